@@ -25,7 +25,8 @@ from __future__ import annotations
 
 import logging
 import os
-from dataclasses import dataclass, field
+import time
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,6 +54,7 @@ class JobResult:
     metrics_path: str | None
     failures: int = 0
     empty_groups: list[dict] = field(default_factory=list)
+    timings: dict[str, float] = field(default_factory=dict)
 
 
 def run_reviews(
@@ -73,22 +75,36 @@ def run_reviews(
     odate = odate or ctx.start.strftime("%Y%m%d")
     group_cols = list(group_cols)
     reviews = ensure_column(reviews, "response")
+    timings: dict[str, float] = {}
+    clock = time.perf_counter()
+
+    def lap(name: str) -> None:
+        nonlocal clock
+        now = time.perf_counter()
+        timings[name] = round(now - clock, 3)
+        clock = now
 
     v = validate(reviews, group_cols, materialize=True, stage_path=stage_dir(spark, "key-stats"),
                  **(join_options or {}))
+    lap("key_stats_sec")
     partitions = [*group_cols, "odate"]
     valid_out = save_dataframe(
         v.valid, os.path.join(out_base, "valid"), "valid", odate=odate, schema=BRONZE_SCHEMA,
         strict=strict, partition_cols=partitions, overwrite=overwrite,
     )
+    lap("valid_write_sec")
+    invalid = v.invalid  # sizes the duplicated-key set and picks the join
+    lap("join_sizing_sec")
     invalid_out = save_dataframe(
-        v.invalid, os.path.join(out_base, "invalid"), "invalid", odate=odate,
+        invalid, os.path.join(out_base, "invalid"), "invalid", odate=odate,
         partition_cols=partitions, overwrite=overwrite,
     )
-    ctx = ctx.finished()
+    lap("invalid_write_sec")
+    stages = {k: f"{x:.3f}" for k, x in timings.items()}
+    stages["join_strategy"] = v.join_plan.strategy
+    ctx = replace(ctx, stages={**stages, **ctx.stages}).finished()
     summary = v.summary
     metrics_path = None
-    summary_rows: list[dict] = []
     if len(group_cols) == 2:
         # A side with no rows at all is not a failed write.
         def side_ok(o: WriteOutcome) -> bool:
@@ -98,7 +114,9 @@ def run_reviews(
         docs = MX.metrics_documents(summary, ctx, group_cols[0], group_cols[1], write_ok=write_ok)
         metrics_path = save_metrics(docs, os.path.join(out_base, "metrics"), "success")
     summary_rows = [r.asDict() for r in summary.collect()]  # one row per (app, client)
-    result = JobResult(summary_rows, valid_out, invalid_out, v.join_plan, metrics_path)
+    lap("metrics_sec")
+    result = JobResult(summary_rows, valid_out, invalid_out, v.join_plan, metrics_path, timings=timings)
+    log.info("batch done: %s", timings)
     if not (valid_out.ok or valid_out.reason == "no rows") or not (
         invalid_out.ok or invalid_out.reason == "no rows"
     ):

@@ -59,7 +59,11 @@ def save_dataframe(
         if schema is not None:
             df = coerce(df, schema, strict=strict, keep=keep)
         out = stamp(df, odate) if "odate" in partition_cols else df
-        if out.isEmpty():  # nothing written, earlier data stays
+        # F2.  A static overwrite of zero rows would empty the whole target,
+        # so it is probed first.  A dynamic overwrite of zero rows replaces no
+        # partition, so the count observed during the write answers it and
+        # saves a job.
+        if overwrite == "static" and out.isEmpty():
             log.warning("no %s rows to write to %s", label, path)
             return WriteOutcome(False, 0, path, "no rows")
         obs = Observation(f"write_{label}")
@@ -74,6 +78,9 @@ def save_dataframe(
             writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
         writer.parquet(path)
         rows = int(obs.get.get("rows", 0))
+        if rows == 0:
+            log.warning("no %s rows to write to %s", label, path)
+            return WriteOutcome(False, 0, path, "no rows")
         return WriteOutcome(True, rows, path)
     except Exception as exc:  # noqa: BLE001 - reported through the outcome
         log.exception("writing %s rows to %s failed", label, path)

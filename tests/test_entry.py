@@ -15,5 +15,18 @@ def test_every_query_has_an_oracle():
 
 def test_valid_reviews_plan_is_map_only(spark):
     plan = E.q_valid_reviews(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
-    assert "PushedFilters" in plan
+    assert "Aggregate" not in plan and "Join" not in plan
+
+
+def test_valid_filter_reaches_the_scan(spark, tmp_dir):
+    """On a bronze Parquet source the C1 predicate is pushed into the scan and
+    only the projected columns are read."""
+    from revisor.operators import checks
+    from revisor.sources import tables
+
+    path = tmp_dir + "/bronze"
+    tables.reviews(spark, "/root/testdata/sf0.001").write.parquet(path)
+    plan = checks.valid_rows(spark.read.parquet(path), ["app", "type_client"]).select("app", "id")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(id), IsNotNull(snippet), IsNotNull(rating)]" in text
+    assert "ReadSchema: struct<id:string,rating:string,snippet:string,app:string>" in text

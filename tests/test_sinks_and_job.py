@@ -31,6 +31,10 @@ def test_sink_idempotent_and_empty_keeps_old(spark, tmp_dir):
                            partition_cols=["app", "type_client", "odate"])
     assert not empty.ok and empty.reason == "no rows"
     assert _rows(spark, path) == first
+    empty_dyn = save_dataframe(r.where(F.lit(False)), path, "v", odate="20240102",
+                               partition_cols=["app", "type_client", "odate"], overwrite="dynamic")
+    assert not empty_dyn.ok and empty_dyn.reason == "no rows"
+    assert _rows(spark, path) == first
     bad = save_dataframe("nope", path, "v", odate="x")
     assert not bad.ok
 
