@@ -7,11 +7,11 @@ Scale notes
   group included — to one row per map task before the shuffle.  Only the key
   columns and five small flags are read from the scan.
 * ``duplicate_rows`` never sends a hot key's rows through a shuffle.  The
-  duplicated-key set is measured first (key count and byte size, one small
+  duplicated-key set is measured first (keys, key bytes and rows, one small
   action).  If its bytes fit under the broadcast limit it is broadcast and the
   semi-join is map-side.  Otherwise keys with at least ``hot_rows`` copies are
-  split off: there are at most ``total_rows / hot_rows`` of them, a proven
-  bound, so that set is broadcast; their rows are answered map-side and
+  split off: there are at most ``dup_rows / hot_rows <= MAX_HOT_KEYS`` of
+  them, a proven bound, so that set is broadcast; their rows are answered map-side and
   removed before the shuffled semi-join handles the remaining (cold) keys,
   each of which has fewer than ``hot_rows`` rows.
 * NULL ids never match a key (inner-join semantics), so Catalyst's inferred
@@ -33,7 +33,7 @@ from revisor.schemas import CRITICAL_COLUMNS, REQUIRED_COLUMNS
 # Largest duplicated-key set (bytes of key text) joined by broadcast.
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 # Upper bound on the number of hot keys; fixes the hot threshold as
-# max(HOT_MIN_ROWS, total_rows / MAX_HOT_KEYS).
+# max(HOT_MIN_ROWS, rows under duplicated keys / MAX_HOT_KEYS).
 MAX_HOT_KEYS = 100_000
 HOT_MIN_ROWS = 1_000_000
 
@@ -204,11 +204,12 @@ def duplicate_rows_planned(
         return _semi(df, right, cols), JoinPlan("broadcast", n_keys, n_bytes)
 
     if hot_rows is None:
-        if total_rows is None:
-            total_rows = df.count()
-        hot_rows = max(HOT_MIN_ROWS, math.ceil(total_rows / MAX_HOT_KEYS))
+        # Rows under duplicated keys bound the hot-key count at least as
+        # tightly as the input size: hot keys <= dup_rows / hot_rows.
+        dup_rows = int(measured["rows"]) if total_rows is None else min(int(measured["rows"]), total_rows)
+        hot_rows = max(HOT_MIN_ROWS, math.ceil(dup_rows / MAX_HOT_KEYS))
     hot = keys.where(F.col(count_col) >= hot_rows)
-    n_hot = hot.count()  # <= total_rows / hot_rows by construction
+    n_hot = hot.count()  # <= dup_rows / hot_rows <= MAX_HOT_KEYS by construction
     cold = keys.where(F.col(count_col) < hot_rows)
     if n_hot == 0:
         out = _semi(df, _renamed_keys(cold, cols), cols)

@@ -68,9 +68,14 @@ def run_reviews(
     overwrite: str = "dynamic",
     strict: bool = True,
     join_options: dict | None = None,
+    metrics_base: str | None = None,
 ) -> JobResult:
     """Validate ``reviews`` (bronze columns + ``group_cols``), write both
-    sides and the metrics documents under ``out_base``."""
+    sides and the metrics documents under ``out_base``.  ``metrics_base``
+    (default ``<out_base>/metrics``) given explicitly is written with
+    overwrite (a per-epoch folder), otherwise appended to."""
+    metrics_mode = "append" if metrics_base is None else "overwrite"
+    metrics_base = metrics_base or os.path.join(out_base, "metrics")
     ctx = ctx or MX.RunContext(application_id=spark.sparkContext.applicationId)
     odate = odate or ctx.start.strftime("%Y%m%d")
     group_cols = list(group_cols)
@@ -112,7 +117,7 @@ def run_reviews(
 
         write_ok = F.lit(side_ok(valid_out) and side_ok(invalid_out))
         docs = MX.metrics_documents(summary, ctx, group_cols[0], group_cols[1], write_ok=write_ok)
-        metrics_path = save_metrics(docs, os.path.join(out_base, "metrics"), "success")
+        metrics_path = save_metrics(docs, metrics_base, "success", mode=metrics_mode)
     summary_rows = [r.asDict() for r in summary.collect()]  # one row per (app, client)
     lap("metrics_sec")
     result = JobResult(summary_rows, valid_out, invalid_out, v.join_plan, metrics_path, timings=timings)
@@ -134,11 +139,14 @@ def run_pages(
     ctx: MX.RunContext | None = None,
     overwrite: str = "dynamic",
     join_options: dict | None = None,
+    metrics_base: str | None = None,
 ) -> JobResult:
     """Landed pages -> page-prefix rule -> reviews -> ``run_reviews``; fetch
     failures become failure records; requested groups without reviews are
     reported."""
     ctx = ctx or MX.RunContext(application_id=spark.sparkContext.applicationId)
+    fail_mode = "append" if metrics_base is None else "overwrite"
+    fail_base = metrics_base or os.path.join(out_base, "metrics")
     kept = P.kept_pages(pages, max_pages)
     rows = P.page_reviews(kept)
     group_cols = [c for c in GROUP_COLUMNS if c in rows.columns]
@@ -151,14 +159,14 @@ def run_pages(
     )
     n_fail = 0
     if not fail_records.isEmpty():
-        save_metrics(fail_records, os.path.join(out_base, "metrics"), "fail")
+        save_metrics(fail_records, fail_base, "fail", mode=fail_mode)
         n_fail = fail_records.count()
 
     requested = pages.select(*group_cols).groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
     empty = [r.asDict() for r in P.empty_groups(requested, reviews, group_cols).collect()]
 
     result = run_reviews(spark, reviews, out_base, odate=odate, ctx=ctx, group_cols=group_cols,
-                         overwrite=overwrite, join_options=join_options)
+                         overwrite=overwrite, join_options=join_options, metrics_base=metrics_base)
     result.failures = n_fail
     result.empty_groups = empty
     return result

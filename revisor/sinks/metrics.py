@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from revisor.operators.metrics import check_metrics_arguments
 
 
-def save_metrics(frame: DataFrame, base: str, metrics_type: str) -> str:
+def save_metrics(frame: DataFrame, base: str, metrics_type: str, mode: str = "append") -> str:
     """Append ``frame`` under ``<base>/<metrics_type>``.  A ``success`` frame
     holds a ``document`` struct column (or plain fields); a ``fail`` frame
     holds failure records, which must carry an ``error`` column."""
@@ -22,7 +22,7 @@ def save_metrics(frame: DataFrame, base: str, metrics_type: str) -> str:
     t = check_metrics_arguments(metrics_type, error=has_error, data=frame)
     target = os.path.join(base, t)
     out = frame.select("document.*") if "document" in frame.columns else frame
-    out.write.mode("append").json(target)
+    out.write.mode(mode).json(target)
     return target
 
 
