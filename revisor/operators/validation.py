@@ -5,10 +5,11 @@ Plan shape (see ``checks`` for the scale notes):
 
 1. ``key_stats``: one aggregation over (group…, id) — the only shuffle that
    sees every row, and it carries only keys and a few counters.  With
-   ``materialize=True`` it is written once as Parquet under the shared
-   checkpoint folder, which cuts lineage and survives executor loss; every
-   later consumer reads that small table.
-2. Per-group counts, check results and summary text derive from that table;
+   ``materialize=True`` its two products (per-group totals and duplicated
+   keys) are written once as Parquet under the shared checkpoint folder,
+   which cuts lineage and survives executor loss; every later consumer reads
+   that small table.
+2. Per-group counts, check results and summary text derive from the totals;
    they are one row per group (or three, for the results).
 3. Valid and NULL-invalid rows are map-only filters of the input.
 4. Rows of duplicated keys come from a semi-join whose strategy is chosen
@@ -91,6 +92,42 @@ def summary_lines(results: DataFrame, group_cols: list[str] | tuple[str, ...] =
     return header.unionByName(label).unionByName(detail)
 
 
+SUMMARY_PART = "summary"
+DUP_KEYS_PART = "dup_keys"
+
+
+def staged_frame(stats: DataFrame, group_cols: list[str]) -> DataFrame:
+    """The per-group totals and the duplicated keys of ``key_stats`` as one
+    frame with a ``part`` column.  The duplicated-key branch keeps every
+    per-key counter so that both branches prune to the same aggregate and
+    share one exchange (the key-level shuffle runs once)."""
+    summary = checks.group_summary(stats, group_cols)
+    sum_cols = [c for c in summary.columns if c not in group_cols]
+    key_cols = [c for c in stats.columns if c not in group_cols and c != "id"]
+    dups = stats.where(F.col("n") > 1)
+    return summary.select(
+        F.lit(SUMMARY_PART).alias("part"), *group_cols, F.lit(None).cast("string").alias("id"),
+        *[F.lit(None).cast("bigint").alias(c) for c in key_cols], *sum_cols,
+    ).unionByName(
+        dups.select(F.lit(DUP_KEYS_PART).alias("part"), *group_cols, "id", *key_cols,
+                    *[F.lit(None).cast(summary.schema[c].dataType).alias(c) for c in sum_cols])
+    )
+
+
+def stage_tables(stats: DataFrame, group_cols: list[str], path: str) -> tuple[DataFrame, DataFrame]:
+    """Write ``staged_frame`` once, partitioned by ``part``, and read the
+    two parts back.  The staged table holds #groups + #duplicated keys rows,
+    not one row per key, so it stays small next to the input."""
+    spark = stats.sparkSession
+    staged_frame(stats, group_cols).write.mode("overwrite").partitionBy("part").parquet(path)
+    back = spark.read.parquet(path)
+    sum_cols = [c for c in checks.group_summary(stats, group_cols).columns if c not in group_cols]
+    return (
+        back.where(F.col("part") == SUMMARY_PART).select(*group_cols, *sum_cols),
+        back.where(F.col("part") == DUP_KEYS_PART).select(*group_cols, "id", F.col("n").alias("count")),
+    )
+
+
 @dataclass
 class Validation:
     """Lazily built outputs of one validation run."""
@@ -99,11 +136,15 @@ class Validation:
     group_cols: list[str]
     stats: DataFrame
     join_options: dict = field(default_factory=dict)
+    staged_summary: DataFrame | None = None
+    staged_keys: DataFrame | None = None
     _invalid: DataFrame | None = None
     _join_plan: JoinPlan | None = None
 
     @property
     def summary(self) -> DataFrame:
+        if self.staged_summary is not None:
+            return self.staged_summary
         return checks.group_summary(self.stats, self.group_cols)
 
     @property
@@ -124,6 +165,8 @@ class Validation:
 
     @property
     def duplicate_keys(self) -> DataFrame:
+        if self.staged_keys is not None:
+            return self.staged_keys
         return self.stats.where(F.col("n") > 1).select(*self.group_cols, "id", F.col("n").alias("count"))
 
     def _plan_duplicates(self) -> None:
@@ -157,10 +200,11 @@ def validate(
     """G4 over a batch.  ``group_cols`` defaults to ``app, type_client`` when
     both are present, else the whole input is one group.
 
-    ``materialize=True`` writes the per-key statistics once (Parquet under
-    ``stage_path`` or a fresh folder in the shared checkpoint folder) so that
-    the counts, the check results and the join sizing read it instead of
-    re-running the aggregation.
+    ``materialize=True`` runs the key-level aggregation once and stages its
+    two products (per-group totals, duplicated keys) as Parquet under
+    ``stage_path`` or a fresh folder in the shared checkpoint folder; the
+    counts, the check results and the join sizing then read that small table
+    and lineage is cut there.
     """
     if group_cols is None:
         group_cols = [c for c in GROUP_COLUMNS if c in df.columns]
@@ -168,12 +212,11 @@ def validate(
             group_cols = []
     group_cols = list(group_cols)
     stats = checks.key_stats(df, group_cols)
+    v = Validation(source=df, group_cols=group_cols, stats=stats, join_options=join_options)
     if materialize:
-        spark = df.sparkSession
         if stage_path is None:
             from revisor.session import stage_dir
 
-            stage_path = stage_dir(spark, "key-stats")
-        stats.write.mode("overwrite").parquet(stage_path)
-        stats = spark.read.parquet(stage_path)
-    return Validation(source=df, group_cols=group_cols, stats=stats, join_options=join_options)
+            stage_path = stage_dir(df.sparkSession, "validation")
+        v.staged_summary, v.staged_keys = stage_tables(stats, group_cols, stage_path)
+    return v

@@ -194,3 +194,16 @@ def test_materialized_stats_equal_lazy(spark):
     lazy = sorted((tuple(x) for x in validate(r).summary.collect()), key=repr)
     mat = sorted((tuple(x) for x in validate(r, materialize=True).summary.collect()), key=repr)
     assert lazy == mat
+
+
+def test_staging_runs_the_key_shuffle_once(spark):
+    from revisor.operators.validation import staged_frame
+    from revisor.sources import tables
+
+    from conftest import SF001
+
+    r = tables.reviews(spark, SF001)
+    df = staged_frame(checks.key_stats(r, ["app", "type_client"]), ["app", "type_client"])
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan
