@@ -246,6 +246,31 @@ def q_ingest_job(spark, sf_dir):
     return sides[0].unionByName(sides[1])
 
 
+def _landed(spark, sf_dir):
+    """Land the pages as JSON files (one landing folder per call) and read
+    them back through the declared-schema source (A1)."""
+    path = stage_dir(spark, "landed-pages")
+    _pages(spark, sf_dir).write.json(path)
+    return P.read_landed_pages(spark, path)
+
+
+def q_landed_page_reviews(spark, sf_dir):
+    rows = P.page_reviews(P.kept_pages(_landed(spark, sf_dir), 10))
+    return rows.select(*G, "product_id", "page_no", "review_no", "id", "likes", "rating", "snippet")
+
+
+def q_ingest_pages_job(spark, sf_dir):
+    from revisor.plans.job import run_pages
+
+    base = stage_dir(spark, "pages-job")
+    res = run_pages(spark, _landed(spark, sf_dir), base, odate=ODATE, ctx=FIXED_CTX)
+    docs = spark.read.json(res.metrics_path)
+    docs = docs.select(F.struct(*docs.columns).alias("document"))
+    docs = docs.select(F.col("document.source.app").alias("app"),
+                       F.lower(F.col("document.type_client")).alias("type_client"), "document")
+    return MX.flat_documents(docs)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "valid_reviews": q_valid_reviews,
     "invalid_null_reviews": q_invalid_null_reviews,
@@ -279,6 +304,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metrics_roundtrip": q_metrics_roundtrip,
     "preview": q_preview,
     "ingest_job": q_ingest_job,
+    "landed_page_reviews": q_landed_page_reviews,
+    "ingest_pages_job": q_ingest_pages_job,
 }
 
 
@@ -558,6 +585,21 @@ SELECT app, type_client, product_id, page_no, CAST(review_no AS INTEGER) AS revi
   product_id || '-' || CAST(page_no AS VARCHAR) || '-' || CAST(review_no AS VARCHAR) AS id,
   CAST(length(line) AS BIGINT) AS likes, CAST(length(line) % 5 + 1 AS VARCHAR) AS rating, line AS snippet
 FROM page_reviews"""
+    q["landed_page_reviews"] = q["page_reviews"]
+    q["ingest_pages_job"] = _with(_PAGES, _page_status_sql(10), _PAGE_REVIEWS) + """
+, s AS (
+  SELECT app, type_client, count(*) AS n, count(*) FILTER (WHERE NOT (length(line) % 5 + 1 BETWEEN 1 AND 5)) AS bad
+  FROM page_reviews GROUP BY app, type_client
+)
+SELECT app, type_client, 'DQ' AS owner_sigla, 'reviews' AS owner_projeto, 'bronze' AS owner_layer_lake,
+  n AS valid_count, CAST(100.0 AS DOUBLE) AS valid_percentage, CAST(0 AS BIGINT) AS invalid_count,
+  CAST(0.0 AS DOUBLE) AS invalid_percentage,
+  n AS total_records, n AS input_records, 2 AS success_count, 1 AS error_count, upper(type_client) AS doc_type_client,
+  app AS source_app, 'google_play' AS source_search,
+  200 AS duplicate_code, 'Nenhum registro duplicado encontrado.' AS duplicate_message,
+  400 AS null_code, 'Valores nulos encontrados nas colunas: {''date'': ' || n || '}.' AS null_message,
+  200 AS type_code, 'Consistência dos tipos de dados verificada com sucesso.' AS type_message
+FROM s"""
     q["empty_products"] = _with(_PAGES, _page_status_sql(10)) + """
 SELECT DISTINCT app, type_client, product_id FROM pages p
 WHERE NOT EXISTS (SELECT 1 FROM kept k WHERE k.app = p.app AND k.type_client = p.type_client

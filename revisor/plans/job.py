@@ -39,7 +39,7 @@ from revisor.operators.validation import validate
 from revisor.schemas import BRONZE_SCHEMA, GROUP_COLUMNS
 from revisor.session import stage_dir
 from revisor.sinks.metrics import save_metrics
-from revisor.sinks.parquet import WriteOutcome, save_dataframe
+from revisor.sinks.parquet import WriteOutcome, save_dataframe, target_path
 from revisor.sources import pages as P
 
 log = logging.getLogger(__name__)
@@ -172,5 +172,42 @@ def run_pages(
     return result
 
 
+def run_single_app(
+    spark: SparkSession,
+    reviews: DataFrame,
+    valid_base: str,
+    invalid_base: str,
+    app: str,
+    type_client: str,
+    *,
+    odate: str,
+    ctx: MX.RunContext | None = None,
+    overwrite: str = "static",
+    strict: bool = False,
+    metrics_base: str | None = None,
+) -> JobResult:
+    """Parity mode with the one-app-per-run layout: the whole input is one
+    app, targets are ``<base>/<app>_<client>/`` partitioned by ``odate``
+    only, and a static overwrite replaces that folder (earlier load dates
+    included), as a per-app run does.  The invalid side is not coerced."""
+    ctx = ctx or MX.RunContext(application_id=spark.sparkContext.applicationId)
+    reviews = ensure_column(reviews, "response")
+    v = validate(reviews, [], materialize=True, stage_path=stage_dir(spark, "single-app"))
+    valid_out = save_dataframe(v.valid, target_path(valid_base, app, type_client), "valid", odate=odate,
+                               schema=BRONZE_SCHEMA, strict=strict, overwrite=overwrite)
+    invalid_out = save_dataframe(v.invalid, target_path(invalid_base, app, type_client), "invalid",
+                                 odate=odate, overwrite=overwrite)
+    ctx = ctx.finished()
+    summary = v.summary.select(F.lit(app).alias("app"), F.lit(type_client).alias("type_client"), "*")
+    write_ok = F.lit((valid_out.ok or valid_out.reason == "no rows") and
+                     (invalid_out.ok or invalid_out.reason == "no rows"))
+    metrics_path = None
+    if metrics_base:
+        docs = MX.metrics_documents(summary, ctx, write_ok=write_ok)
+        metrics_path = save_metrics(docs, metrics_base, "success")
+    rows = [r.asDict() for r in summary.collect()]
+    return JobResult(rows, valid_out, invalid_out, v.join_plan, metrics_path)
+
+
 def today() -> str:
     return datetime.now(timezone.utc).strftime("%Y%m%d")

@@ -46,14 +46,22 @@ def build_session(
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; set to a local temp folder only if unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: only the SQL conf is visible
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+    configured = spark.conf.get(_CHECKPOINT_KEY, None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get(_CHECKPOINT_KEY)
     if not configured:
         # Local runs and tests only: a cluster always names a shared folder.
         configured = tempfile.mkdtemp(prefix="revisor-ckpt-")
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

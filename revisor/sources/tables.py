@@ -41,8 +41,12 @@ def spread_scan(df: DataFrame, keys: list[str] | None) -> DataFrame:
     """
     if not keys:
         return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the scan as is
+        return df
+    if splits >= cores:
         return df
     return df.repartition(cores, *keys)
 

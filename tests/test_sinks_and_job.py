@@ -88,3 +88,21 @@ def test_run_pages(spark, tmp_dir):
     assert s["total_records"] == 3 and s["duplicate_groups"] == 1 and s["invalid_records"] == 2
     fails = spark.read.json(os.path.join(tmp_dir, "out", "metrics", "fail")).collect()
     assert len(fails) == 2
+
+
+def test_run_single_app_parity_layout(spark, tmp_dir):
+    from revisor.plans.job import run_single_app
+
+    from test_validation import MOCK
+
+    df = spark.createDataFrame(MOCK, BRONZE_SCHEMA)
+    vb, ib = os.path.join(tmp_dir, "valid"), os.path.join(tmp_dir, "invalid")
+    res = run_single_app(spark, df, vb, ib, "bank", "pf", odate="20240101", metrics_base=os.path.join(tmp_dir, "m"))
+    assert res.valid.rows == 7 and res.invalid.rows == 2
+    assert os.path.isdir(os.path.join(vb, "bank_pf", "odate=20240101"))
+    run_single_app(spark, df, vb, ib, "bank", "pf", odate="20240102")
+    dates = sorted(os.listdir(os.path.join(vb, "bank_pf")))
+    assert [d for d in dates if d.startswith("odate=")] == ["odate=20240102"]  # static: earlier dates go
+    doc = spark.read.json(res.metrics_path).first()
+    assert doc["type_client"] == "PF" and doc["source"]["app"] == "bank"
+    assert doc["success_count"] == 2 and doc["error_count"] == 1
