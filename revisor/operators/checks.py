@@ -170,6 +170,18 @@ def _semi(df: DataFrame, keys: DataFrame, cols: list[str], how: str = "left_semi
     return df.join(keys, cond, how)
 
 
+def _measure(keys: DataFrame, cols: list[str], count_col: str) -> tuple[int, int, int]:
+    """One small action: number of duplicated keys, their key bytes (with a
+    per-column overhead) and the rows under them."""
+    key_bytes_expr = sum((F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in cols), F.lit(0))
+    m = keys.agg(
+        F.count(F.lit(1)).alias("k"),
+        F.coalesce(F.sum(key_bytes_expr + 16 * len(cols)), F.lit(0)).alias("b"),
+        F.coalesce(F.sum(F.col(count_col)), F.lit(0)).alias("rows"),
+    ).first()
+    return int(m["k"]), int(m["b"]), int(m["rows"])
+
+
 def duplicate_rows_planned(
     df: DataFrame,
     dup_keys: DataFrame,
@@ -178,6 +190,7 @@ def duplicate_rows_planned(
     total_rows: int | None = None,
     broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
     hot_rows: int | None = None,
+    measured: tuple[int, int, int] | None = None,
 ) -> tuple[DataFrame, JoinPlan]:
     """Every row whose non-NULL key appears more than once.
 
@@ -188,13 +201,7 @@ def duplicate_rows_planned(
     cols = [*group_cols, "id"]
     count_col = "count" if "count" in dup_keys.columns else "n"
     keys = dup_keys.where(F.col("id").isNotNull())
-    key_bytes_expr = sum((F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in cols), F.lit(0))
-    measured = keys.agg(
-        F.count(F.lit(1)).alias("k"),
-        F.coalesce(F.sum(key_bytes_expr + 16 * len(cols)), F.lit(0)).alias("b"),
-        F.coalesce(F.sum(F.col(count_col)), F.lit(0)).alias("rows"),
-    ).first()
-    n_keys, n_bytes = int(measured["k"]), int(measured["b"])
+    n_keys, n_bytes, n_rows = measured or _measure(keys, cols, count_col)
 
     if n_keys == 0:
         return df.where(F.lit(False)), JoinPlan("empty", 0, 0)
@@ -206,7 +213,7 @@ def duplicate_rows_planned(
     if hot_rows is None:
         # Rows under duplicated keys bound the hot-key count at least as
         # tightly as the input size: hot keys <= dup_rows / hot_rows.
-        dup_rows = int(measured["rows"]) if total_rows is None else min(int(measured["rows"]), total_rows)
+        dup_rows = n_rows if total_rows is None else min(n_rows, total_rows)
         hot_rows = max(HOT_MIN_ROWS, math.ceil(dup_rows / MAX_HOT_KEYS))
     hot = keys.where(F.col(count_col) >= hot_rows)
     n_hot = hot.count()  # <= dup_rows / hot_rows <= MAX_HOT_KEYS by construction
@@ -222,6 +229,45 @@ def duplicate_rows_planned(
     return hot_part.unionByName(cold_part), JoinPlan("hot_split", n_keys, n_bytes, n_hot, hot_rows)
 
 
+def invalid_rows_planned(
+    df: DataFrame,
+    dup_keys: DataFrame,
+    group_cols: list[str] | tuple[str, ...] = (),
+    *,
+    broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
+    **kwargs,
+) -> tuple[DataFrame, JoinPlan]:
+    """F1 (NULL-invalid rows plus every copy of every duplicated key) with
+    the fewest scans of ``df``.
+
+    When the duplicated-key set is broadcast, one map-side pass does it: a
+    left outer broadcast join flags duplicated rows, and each row is emitted
+    once per reason (NULL-invalid, duplicated), so a duplicated row with a
+    NULL required field appears twice, as in the union.  The shuffled
+    strategies union the NULL-invalid filter with ``duplicate_rows``.
+    """
+    cols = [*group_cols, "id"]
+    count_col = "count" if "count" in dup_keys.columns else "n"
+    keys = dup_keys.where(F.col("id").isNotNull())
+    measured = _measure(keys, cols, count_col)
+    n_keys, n_bytes, _ = measured
+    null_invalid = project_reviews(df, group_cols).where(is_null_invalid())
+    if n_keys == 0:
+        return null_invalid, JoinPlan("empty", 0, 0)
+    if n_bytes <= broadcast_max_bytes:
+        flags = F.broadcast(_renamed_keys(keys, cols).withColumn("_dup", F.lit(1)))
+        joined = _semi(df, flags, cols, "left")
+        copies = is_null_invalid().cast("int") + F.coalesce(F.col("_dup"), F.lit(0))
+        out = joined.where(copies > 0).select(
+            *group_cols, *[F.col(c) for c in project_reviews(df).columns],
+            F.explode(F.array_repeat(F.lit(0), copies)).alias("_copy"),
+        ).drop("_copy")
+        return out, JoinPlan("broadcast", n_keys, n_bytes)
+    dup, plan = duplicate_rows_planned(df, dup_keys, group_cols, broadcast_max_bytes=broadcast_max_bytes,
+                                       measured=measured, **kwargs)
+    return invalid_rows(null_invalid, project_reviews(dup, group_cols)), plan
+
+
 def duplicate_rows(df: DataFrame, dup_keys: DataFrame, group_cols: list[str] | tuple[str, ...] = (),
                    **kwargs) -> DataFrame:
     rows, _ = duplicate_rows_planned(df, dup_keys, group_cols, **kwargs)

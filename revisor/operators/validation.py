@@ -171,12 +171,9 @@ class Validation:
 
     def _plan_duplicates(self) -> None:
         if self._invalid is None:
-            rows, plan = checks.duplicate_rows_planned(
+            self._invalid, self._join_plan = checks.invalid_rows_planned(
                 self.source, self.duplicate_keys, self.group_cols, **self.join_options
             )
-            dup = checks.project_reviews(rows, self.group_cols)
-            self._invalid = checks.invalid_rows(self.null_invalid, dup)
-            self._join_plan = plan
 
     @property
     def invalid(self) -> DataFrame:
