@@ -39,7 +39,7 @@ from revisor.operators.validation import validate
 from revisor.schemas import BRONZE_SCHEMA, GROUP_COLUMNS
 from revisor.session import stage_dir
 from revisor.sinks.metrics import save_metrics
-from revisor.sinks.parquet import WriteOutcome, save_dataframe, target_path
+from revisor.sinks.parquet import WriteOutcome, cluster_by_group, save_dataframe, target_path
 from revisor.sources import pages as P
 
 log = logging.getLogger(__name__)
@@ -69,11 +69,17 @@ def run_reviews(
     strict: bool = True,
     join_options: dict | None = None,
     metrics_base: str | None = None,
+    rows_per_file: int | None = None,
 ) -> JobResult:
     """Validate ``reviews`` (bronze columns + ``group_cols``), write both
     sides and the metrics documents under ``out_base``.  ``metrics_base``
     (default ``<out_base>/metrics``) given explicitly is written with
-    overwrite (a per-epoch folder), otherwise appended to."""
+    overwrite (a per-epoch folder), otherwise appended to.
+
+    Writes are map-only by default, which suits landed files that each hold
+    one app.  ``rows_per_file`` clusters each side by (group, bucket) first
+    (one extra shuffle per side) so mixed-app input still yields few, large
+    files per partition, with hot groups spread over many tasks."""
     metrics_mode = "append" if metrics_base is None else "overwrite"
     metrics_base = metrics_base or os.path.join(out_base, "metrics")
     ctx = ctx or MX.RunContext(application_id=spark.sparkContext.applicationId)
@@ -93,12 +99,19 @@ def run_reviews(
                  **(join_options or {}))
     lap("key_stats_sec")
     partitions = [*group_cols, "odate"]
+    valid_rows = v.valid
+    if rows_per_file and group_cols:
+        sizes = v.summary.select(*group_cols, F.col("valid_records").alias("rows"))
+        valid_rows = cluster_by_group(valid_rows, sizes, group_cols, rows_per_file)
     valid_out = save_dataframe(
-        v.valid, os.path.join(out_base, "valid"), "valid", odate=odate, schema=BRONZE_SCHEMA,
+        valid_rows, os.path.join(out_base, "valid"), "valid", odate=odate, schema=BRONZE_SCHEMA,
         strict=strict, partition_cols=partitions, overwrite=overwrite,
     )
     lap("valid_write_sec")
     invalid = v.invalid  # sizes the duplicated-key set and picks the join
+    if rows_per_file and group_cols:
+        sizes = v.summary.select(*group_cols, F.col("invalid_records").alias("rows"))
+        invalid = cluster_by_group(invalid, sizes, group_cols, rows_per_file)
     lap("join_sizing_sec")
     invalid_out = save_dataframe(
         invalid, os.path.join(out_base, "invalid"), "invalid", odate=odate,

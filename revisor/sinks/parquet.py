@@ -87,6 +87,42 @@ def save_dataframe(
         return WriteOutcome(False, 0, path, f"{type(exc).__name__}: {exc}")
 
 
+# Largest number of groups whose bucket counts are broadcast.
+MAX_CLUSTER_GROUPS = 1_000_000
+
+
+def cluster_by_group(df: DataFrame, group_sizes: DataFrame, group_cols: list[str], rows_per_file: int,
+                     size_col: str = "rows", seed: int = 17) -> DataFrame:
+    """Lay rows out so each write task holds one (app, client) group and
+    about ``rows_per_file`` rows, for inputs whose files mix many groups.
+
+    ``group_sizes`` has one row per group with its row count (taken from the
+    staged summary, never recounted).  A group gets
+    ``ceil(rows / rows_per_file)`` buckets and each row a seeded random
+    bucket, so a hot group is spread over many tasks and a small group lands
+    in one; the frame is then hash-partitioned by (group, bucket).  The
+    bucket table is broadcast only behind a check of its row count.
+    """
+    sizes = group_sizes.select(
+        *group_cols, F.greatest(F.lit(1), F.ceil(F.col(size_col) / F.lit(rows_per_file))).cast("int").alias("_nb")
+    )
+    agg = sizes.agg(F.count(F.lit(1)).alias("g"), F.coalesce(F.sum("_nb"), F.lit(0)).alias("b")).first()
+    n_groups, n_buckets = int(agg["g"]), int(agg["b"])
+    if n_buckets == 0:
+        return df
+    if n_groups > MAX_CLUSTER_GROUPS:
+        raise ValueError(f"{n_groups} groups exceed the broadcast bound {MAX_CLUSTER_GROUPS}")
+    cond = None
+    renamed = sizes.select(*[F.col(c).alias("_g_" + c) for c in group_cols], "_nb")
+    for c in group_cols:
+        term = F.col(c).eqNullSafe(F.col("_g_" + c))
+        cond = term if cond is None else cond & term
+    joined = df.join(F.broadcast(renamed), cond, "left")
+    bucket = F.pmod((F.rand(seed) * F.coalesce(F.col("_nb"), F.lit(1))).cast("int"), F.coalesce(F.col("_nb"), F.lit(1)))
+    out = joined.withColumn("_bucket", bucket).repartition(n_buckets, *group_cols, "_bucket")
+    return out.drop("_nb", "_bucket", *["_g_" + c for c in group_cols])
+
+
 def target_path(base: str, app: str, type_client: str) -> str:
     """Single-app target folder ``<base>/<app>_<client>/``."""
     return f"{base.rstrip('/')}/{app}_{type_client}/"
