@@ -263,9 +263,29 @@ def invalid_rows_planned(
             F.explode(F.array_repeat(F.lit(0), copies)).alias("_copy"),
         ).drop("_copy")
         return out, JoinPlan("broadcast", n_keys, n_bytes)
-    dup, plan = duplicate_rows_planned(df, dup_keys, group_cols, broadcast_max_bytes=broadcast_max_bytes,
-                                       measured=measured, **kwargs)
-    return invalid_rows(null_invalid, project_reviews(dup, group_cols)), plan
+    # Keys too many to broadcast: hot keys (bounded count) are flagged by a
+    # broadcast left join in the same pass that emits the NULL-invalid rows;
+    # only rows of cold keys reach the shuffled semi-join.
+    total_rows = kwargs.get("total_rows")
+    hot_rows = kwargs.get("hot_rows")
+    if hot_rows is None:
+        dup_rows = measured[2] if total_rows is None else min(measured[2], total_rows)
+        hot_rows = max(HOT_MIN_ROWS, math.ceil(dup_rows / MAX_HOT_KEYS))
+    hot = keys.where(F.col(count_col) >= hot_rows)
+    n_hot = hot.count()  # <= dup_rows / hot_rows <= MAX_HOT_KEYS by construction
+    cold = _renamed_keys(keys.where(F.col(count_col) < hot_rows), cols)
+    review_cols = [*group_cols, *project_reviews(df).columns]
+    if n_hot == 0:
+        cold_part = _semi(df, cold, cols).select(*review_cols)
+        return null_invalid.unionByName(cold_part), JoinPlan("shuffle", n_keys, n_bytes, 0, hot_rows)
+    flags = F.broadcast(_renamed_keys(hot, cols).withColumn("_hot", F.lit(1)))
+    flagged = _semi(df, flags, cols, "left").drop(*[_KEY_PREFIX + c for c in cols])
+    copies = is_null_invalid().cast("int") + F.coalesce(F.col("_hot"), F.lit(0))
+    first = flagged.where(copies > 0).select(
+        *review_cols, F.explode(F.array_repeat(F.lit(0), copies)).alias("_copy")
+    ).drop("_copy")
+    cold_part = _semi(flagged.where(F.col("_hot").isNull()), cold, cols).select(*review_cols)
+    return first.unionByName(cold_part), JoinPlan("hot_split", n_keys, n_bytes, n_hot, hot_rows)
 
 
 def duplicate_rows(df: DataFrame, dup_keys: DataFrame, group_cols: list[str] | tuple[str, ...] = (),

@@ -207,3 +207,28 @@ def test_staging_runs_the_key_shuffle_once(spark):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in plan
+
+
+def test_invalid_side_strategies_agree(spark):
+    """The one-pass broadcast form, the shuffled form and the hot/cold split
+    give the same invalid rows as the plain union of filter and semi-join."""
+    from revisor.sources import tables
+
+    from conftest import SF001
+
+    r = tables.reviews(spark, SF001)
+    g = ["app", "type_client"]
+    keys = checks.duplicate_ids(r, g)
+    cols = ["app", "type_client", "id", "snippet", "rating", "date", "avatar"]
+
+    def rows(df):
+        return sorted((tuple(x) for x in df.select(*cols).collect()), key=repr)
+
+    plain = rows(checks.invalid_rows(checks.null_invalid_rows(r, g), checks.duplicate_rows(r, keys, g)))
+    got = {}
+    for name, kw in {"broadcast": {}, "shuffle": {"broadcast_max_bytes": 0, "hot_rows": 10**9},
+                     "hot_split": {"broadcast_max_bytes": 0, "hot_rows": 2}}.items():
+        out, plan = checks.invalid_rows_planned(r, keys, g, **kw)
+        assert plan.strategy == name
+        got[name] = rows(out)
+    assert got["broadcast"] == got["shuffle"] == got["hot_split"] == plain
