@@ -153,6 +153,7 @@ def run_pages(
     overwrite: str = "dynamic",
     join_options: dict | None = None,
     metrics_base: str | None = None,
+    rows_per_file: int | None = None,
 ) -> JobResult:
     """Landed pages -> page-prefix rule -> reviews -> ``run_reviews``; fetch
     failures become failure records; requested groups without reviews are
@@ -179,7 +180,8 @@ def run_pages(
     empty = [r.asDict() for r in P.empty_groups(requested, reviews, group_cols).collect()]
 
     result = run_reviews(spark, reviews, out_base, odate=odate, ctx=ctx, group_cols=group_cols,
-                         overwrite=overwrite, join_options=join_options, metrics_base=metrics_base)
+                         overwrite=overwrite, join_options=join_options, metrics_base=metrics_base,
+                         rows_per_file=rows_per_file)
     result.failures = n_fail
     result.empty_groups = empty
     return result

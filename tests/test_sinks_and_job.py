@@ -127,3 +127,17 @@ def test_clustered_writes_group_files(spark, tmp_dir):
     left = sorted(map(tuple, spark.read.parquet(os.path.join(plain, "valid")).select(*cols).collect()), key=repr)
     right = sorted(map(tuple, spark.read.parquet(os.path.join(clustered, "valid")).select(*cols).collect()), key=repr)
     assert left == right
+
+
+def test_cli_reviews_mode(spark, tmp_dir):
+    """The command line runs the batch in this process's session."""
+    from revisor.__main__ import main
+
+    src = os.path.join(tmp_dir, "src")
+    tables.reviews(spark, SF001).write.parquet(src)
+    out = os.path.join(tmp_dir, "cli")
+    assert main(["reviews", "--input", src, "--out", out, "--odate", "20240101"]) == 0
+    assert spark.read.parquet(os.path.join(out, "valid")).count() > 0
+    assert main(["single-app", "--input", src, "--out", os.path.join(tmp_dir, "one"), "--odate", "20240101",
+                 "--app", "bank", "--client", "pf"]) == 0
+    assert os.path.isdir(os.path.join(tmp_dir, "one", "valid", "bank_pf", "odate=20240101"))
