@@ -161,22 +161,21 @@ def run_pages(
     ctx = ctx or MX.RunContext(application_id=spark.sparkContext.applicationId)
     fail_mode = "append" if metrics_base is None else "overwrite"
     fail_base = metrics_base or os.path.join(out_base, "metrics")
-    kept = P.kept_pages(pages, max_pages)
-    rows = P.page_reviews(kept)
+    status, rows = P.stage_pages(pages, stage_dir(spark, "page-status"), stage_dir(spark, "page-reviews"),
+                                 max_pages)
     group_cols = [c for c in GROUP_COLUMNS if c in rows.columns]
     reviews = rows.select(*group_cols, *[c for c in BRONZE_SCHEMA.fieldNames()])
 
-    failures = P.fetch_failures(pages, max_pages)
+    failures = P.failures_from_status(status)
     fail_records = MX.failure_records(
         failures.withColumn("client", F.col("type_client") if "type_client" in failures.columns else F.lit(None)),
         ctx, keep=[*group_cols, "product_id", "page_no"],
     )
-    n_fail = 0
-    if not fail_records.isEmpty():
+    n_fail = fail_records.count()  # reads the small staged status table
+    if n_fail:
         save_metrics(fail_records, fail_base, "fail", mode=fail_mode)
-        n_fail = fail_records.count()
 
-    requested = pages.select(*group_cols).groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
+    requested = status.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
     empty = [r.asDict() for r in P.empty_groups(requested, reviews, group_cols).collect()]
 
     result = run_reviews(spark, reviews, out_base, odate=odate, ctx=ctx, group_cols=group_cols,

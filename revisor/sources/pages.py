@@ -95,12 +95,61 @@ def fetch_failures(pages: DataFrame, max_pages: int = MAX_PAGES, reviews_col: st
     """Reached pages that failed: a failed request (earlier pages kept) or a
     good page without reviews (the product fails).  Columns: product keys,
     ``page_no``, ``kind`` and ``error`` text."""
+    return failures_from_status(page_status(pages, max_pages, reviews_col), missing_message)
+
+
+# Largest kept-page key set (bytes) joined back to the pages by broadcast.
+KEPT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+
+
+def stage_pages(pages: DataFrame, status_path: str, reviews_path: str, max_pages: int = MAX_PAGES,
+                reviews_col: str = "reviews") -> tuple[DataFrame, DataFrame]:
+    """Run the page-prefix rule once and stage its two products.
+
+    1. The window runs over a narrow projection (product keys, page number
+       and three flags) — never over the review arrays — and the status of
+       every page below the cap is written (one row per page).
+    2. The kept pages are picked from the full pages by a semi-join on
+       (product keys, page number) — broadcast when the measured key set is
+       small, else a shuffle on keys that are unique per page, so a hot
+       product spreads over many tasks — then flattened and written once as
+       Parquet review rows.
+
+    Later passes (key statistics, both writes, failures, empty groups) read
+    these tables instead of re-parsing the landed pages and replaying the
+    window.  Returns (page statuses, review rows) read back from the stage.
+    """
+    spark = pages.sparkSession
+    keys = product_keys(pages)
+    narrow = pages.where(F.col("page_no") < max_pages).select(
+        *keys, "page_no", "request_ok", "next_page_token",
+        F.when(F.col(reviews_col).isNotNull(), F.lit(True)).alias("_has_reviews"),
+    )
+    page_status(narrow, max_pages, "_has_reviews").drop("next_page_token").write.mode("overwrite").parquet(
+        status_path)
+    status = spark.read.parquet(status_path)
+
+    kept = status.where(F.col("status") == KEPT).select(*[F.col(c).alias("_p_" + c) for c in [*keys, "page_no"]])
+    size = kept.agg(F.coalesce(F.sum(sum((F.octet_length(F.col("_p_" + c)) for c in keys), F.lit(0)) + 24),
+                               F.lit(0)).alias("b")).first()["b"]
+    if size <= KEPT_BROADCAST_MAX_BYTES:
+        kept = F.broadcast(kept)
+    cond = None
+    for c in [*keys, "page_no"]:
+        term = F.col(c) == F.col("_p_" + c)
+        cond = term if cond is None else cond & term
+    chosen = pages.where(F.col("page_no") < max_pages).join(kept, cond, "left_semi")
+    page_reviews(chosen).write.mode("overwrite").parquet(reviews_path)
+    return status, spark.read.parquet(reviews_path)
+
+
+def failures_from_status(status: DataFrame, missing_message: str | None = None) -> DataFrame:
+    """``fetch_failures`` over staged page statuses."""
     if missing_message is None:
         from revisor.operators.metrics import MSG_MISSING_REVIEWS
 
         missing_message = MSG_MISSING_REVIEWS
-    keys = product_keys(pages)
-    status = page_status(pages, max_pages, reviews_col)
+    keys = product_keys(status)
     bad = status.where(F.col("status").isin(FAILED_REQUEST, MISSING_REVIEWS))
     error = F.when(
         F.col("status") == FAILED_REQUEST,
