@@ -22,18 +22,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Text that converts: optional sign, integer digits, optional fraction.
-_INT_TEXT = r"^[\x00-\x20]*([+-]?)([0-9]*)(\.[0-9]*)?[\x00-\x20]*$"
+# Text that converts: optional sign, then digits with an optional fraction,
+# or a bare fraction; ASCII whitespace/control characters around it.
+_INT_TEXT = r"^[\x00-\x20]*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]*)[\x00-\x20]*$"
+# The signed integer part of such text (may be just a sign or empty).
+_INT_PART = r"^[\x00-\x20]*([+-]?[0-9]*)"
 
 
 def text_rating_is_int(rating: Column) -> Column:
-    """TRUE when the text converts to int, FALSE otherwise, NULL for NULL."""
-    sign = F.regexp_extract(rating, _INT_TEXT, 1)
-    digits = F.regexp_extract(rating, _INT_TEXT, 2)
-    frac = F.regexp_extract(rating, _INT_TEXT, 3)
-    shape_ok = rating.rlike(_INT_TEXT) & ((F.length(digits) + F.length(frac)) > 0)
-    in_range = (F.length(digits) == 0) | F.concat(sign, digits).try_cast(T.IntegerType()).isNotNull()
-    return F.when(rating.isNull(), F.lit(None).cast("boolean")).otherwise(shape_ok & in_range)
+    """TRUE when the text converts to int, FALSE otherwise, NULL for NULL.
+    One ``rlike`` and one ``regexp_extract`` per row."""
+    int_part = F.regexp_extract(rating, _INT_PART, 1)
+    no_digits = int_part.isin("", "+", "-")  # ".5", "-.": the value is 0
+    in_range = no_digits | int_part.try_cast(T.IntegerType()).isNotNull()
+    return F.when(rating.isNull(), F.lit(None).cast("boolean")).otherwise(rating.rlike(_INT_TEXT) & in_range)
 
 
 def rating_fails_type_check(rating: Column, data_type: T.DataType) -> Column:
