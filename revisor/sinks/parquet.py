@@ -128,6 +128,16 @@ def target_path(base: str, app: str, type_client: str) -> str:
     return f"{base.rstrip('/')}/{app}_{type_client}/"
 
 
+def read_written(spark, path: str, schema: T.StructType,
+                 partition_cols: list[str] | tuple[str, ...] = ("odate",)) -> DataFrame:
+    """Read a tree written by ``save_dataframe`` with the declared schema;
+    the partition columns come back as strings (partition inference would
+    turn ``odate=20240101`` into an int)."""
+    fields = [f for f in schema.fields if f.name not in partition_cols]
+    fields += [T.StructField(c, T.StringType(), True) for c in partition_cols]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
 def preview(df: DataFrame, n: int = 10) -> DataFrame:
     """the first ``n`` rows (a peek; the limit is the feature)."""
     return df.limit(n)

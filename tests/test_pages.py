@@ -88,3 +88,13 @@ def test_page_reviews_and_empty(spark):
     requested = df.select("app", "type_client", "product_id")
     empty = P.empty_groups(requested, reviews, ["app", "type_client", "product_id"])
     assert [r["product_id"] for r in empty.collect()] == ["b"]
+
+
+def test_stage_pages_equals_plain_rule(spark, tmp_dir):
+    pages = tables.pages_from_conversations(tables.table(spark, SF01, "conversations"))
+    status, rows = P.stage_pages(pages, tmp_dir + "/status", tmp_dir + "/rows", 10)
+    plain = P.page_reviews(P.kept_pages(pages, 10))
+    cols = ["app", "product_id", "page_no", "review_no", "id", "snippet"]
+    assert sorted(map(tuple, rows.select(*cols).collect())) == sorted(map(tuple, plain.select(*cols).collect()))
+    assert status.where(F.col("status") == P.KEPT).count() == 266
+    assert "reviews" not in status.columns  # the window ran on the narrow projection

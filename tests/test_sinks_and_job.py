@@ -141,3 +141,15 @@ def test_cli_reviews_mode(spark, tmp_dir):
     assert main(["single-app", "--input", src, "--out", os.path.join(tmp_dir, "one"), "--odate", "20240101",
                  "--app", "bank", "--client", "pf"]) == 0
     assert os.path.isdir(os.path.join(tmp_dir, "one", "valid", "bank_pf", "odate=20240101"))
+
+
+def test_read_written_keeps_partition_types(spark, tmp_dir):
+    from revisor.sinks.parquet import read_written
+
+    r = tables.reviews(spark, SF001)
+    path = os.path.join(tmp_dir, "w")
+    save_dataframe(r, path, "v", odate="20240101", schema=BRONZE_SCHEMA, strict=True,
+                   partition_cols=["app", "type_client", "odate"], overwrite="dynamic")
+    assert dict(spark.read.parquet(path).dtypes)["odate"] == "int"  # inference
+    back = read_written(spark, path, BRONZE_SCHEMA, ["app", "type_client", "odate"])
+    assert dict(back.dtypes)["odate"] == "string" and back.count() == r.count()
