@@ -264,13 +264,31 @@ def q_ingest_pages_job(spark, sf_dir):
 
     base = stage_dir(spark, "pages-job")
     res = run_pages(spark, _landed(spark, sf_dir), base, odate=ODATE, ctx=FIXED_CTX)
-    docs = spark.read.json(res.metrics_path)
+    return _flat_from_json(spark.read.json(res.metrics_path))
+
+
+def _flat_from_json(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.struct(*docs.columns).alias("document"))
     docs = docs.select(F.col("document.source.app").alias("app"),
                        F.lower(F.col("document.type_client")).alias("type_client"), "document")
     return MX.flat_documents(docs)
 
 
+def q_stream_pages_job(spark, sf_dir):
+    """The landed pages drained by the availableNow stream (one micro-batch
+    per trigger), metrics documents read back from the per-epoch folders."""
+    from revisor.streaming.landed import start_landed_stream
+
+    landing = stage_dir(spark, "stream-landing")
+    _pages(spark, sf_dir).write.json(os.path.join(landing, "run-0"))
+    base = stage_dir(spark, "stream-out")
+    q = start_landed_stream(spark, os.path.join(landing, "*"), base, stage_dir(spark, "stream-ckpt"), odate=ODATE)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return _flat_from_json(spark.read.json(os.path.join(base, "metrics", "*", "success")))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "valid_reviews": q_valid_reviews,
     "invalid_null_reviews": q_invalid_null_reviews,
@@ -306,6 +324,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_job": q_ingest_job,
     "landed_page_reviews": q_landed_page_reviews,
     "ingest_pages_job": q_ingest_pages_job,
+    "stream_pages_job": q_stream_pages_job,
 }
 
 
@@ -600,6 +619,7 @@ SELECT app, type_client, 'DQ' AS owner_sigla, 'reviews' AS owner_projeto, 'bronz
   400 AS null_code, 'Valores nulos encontrados nas colunas: {''date'': ' || n || '}.' AS null_message,
   200 AS type_code, 'Consistência dos tipos de dados verificada com sucesso.' AS type_message
 FROM s"""
+    q["stream_pages_job"] = q["ingest_pages_job"]
     q["empty_products"] = _with(_PAGES, _page_status_sql(10)) + """
 SELECT DISTINCT app, type_client, product_id FROM pages p
 WHERE NOT EXISTS (SELECT 1 FROM kept k WHERE k.app = p.app AND k.type_client = p.type_client
