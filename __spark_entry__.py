@@ -289,6 +289,17 @@ def q_stream_pages_job(spark, sf_dir):
     return _flat_from_json(spark.read.json(os.path.join(base, "metrics", "*", "success")))
 
 
+def q_skewed_invalid_reviews(spark, sf_dir):
+    """Invalid side when one id holds a third of all rows, with the broadcast
+    path switched off: the hot key is flagged by broadcast in the first pass
+    and never enters the shuffled semi-join of the cold keys."""
+    r = tables.reviews(spark, sf_dir, hot_every=3)
+    v = validate(r, G, broadcast_max_bytes=0, hot_rows=1000)
+    if v.join_plan.strategy != "hot_split":
+        raise RuntimeError(f"expected the hot/cold split, got {v.join_plan}")
+    return _out(v.invalid)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "valid_reviews": q_valid_reviews,
     "invalid_null_reviews": q_invalid_null_reviews,
@@ -325,6 +336,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landed_page_reviews": q_landed_page_reviews,
     "ingest_pages_job": q_ingest_pages_job,
     "stream_pages_job": q_stream_pages_job,
+    "skewed_invalid_reviews": q_skewed_invalid_reviews,
 }
 
 
@@ -620,6 +632,14 @@ SELECT app, type_client, 'DQ' AS owner_sigla, 'reviews' AS owner_projeto, 'bronz
   200 AS type_code, 'Consistência dos tipos de dados verificada com sucesso.' AS type_message
 FROM s"""
     q["stream_pages_job"] = q["ingest_pages_job"]
+    skewed = _REVIEWS.replace(
+        "CASE WHEN l_orderkey % 89 = 0 THEN NULL ELSE 'r' || CAST(l_orderkey * 8 + l_linenumber AS VARCHAR) END AS id",
+        "CASE WHEN l_orderkey % 3 = 0 THEN 'r-hot' WHEN l_orderkey % 89 = 0 THEN NULL "
+        "ELSE 'r' || CAST(l_orderkey * 8 + l_linenumber AS VARCHAR) END AS id")
+    assert skewed != _REVIEWS
+    q["skewed_invalid_reviews"] = _with(skewed) + (
+        f"SELECT {g}{_OUT} FROM reviews WHERE {_NULL_INVALID} UNION ALL "
+        f"SELECT {g}{_OUT} FROM ({_dup_rows_sql('app, type_client, id')}) t")
     q["empty_products"] = _with(_PAGES, _page_status_sql(10)) + """
 SELECT DISTINCT app, type_client, product_id FROM pages p
 WHERE NOT EXISTS (SELECT 1 FROM kept k WHERE k.app = p.app AND k.type_client = p.type_client

@@ -55,7 +55,10 @@ def _mod(c: str, m: int) -> Column:
     return F.col(c) % m == 0
 
 
-def reviews_from_lineitem(lineitem: DataFrame) -> DataFrame:
+def reviews_from_lineitem(lineitem: DataFrame, hot_every: int | None = None) -> DataFrame:
+    """``hot_every=k`` gives every row with ``l_orderkey % k == 0`` the same
+    id (``r-hot``) — a hot key holding about 1/k of all rows — for skew runs;
+    no row is dropped."""
     ship = F.col("l_shipdate").cast("date").cast("string")
     rating = (
         F.when(_mod("l_partkey", 53), F.lit(None).cast("string"))
@@ -68,9 +71,7 @@ def reviews_from_lineitem(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(
         F.concat(F.lit("https://img.example/"), F.col("l_suppkey").cast("string")).alias("avatar"),
         F.when(_mod("l_partkey", 101), F.lit(None).cast("string")).otherwise(ship).alias("date"),
-        F.when(_mod("l_orderkey", 89), F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("r"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("string")))
-        .alias("id"),
+        _review_id(hot_every).alias("id"),
         F.concat(ship, F.lit("T00:00:00Z")).alias("iso_date"),
         F.col("l_quantity").cast("bigint").alias("likes"),
         rating.alias("rating"),
@@ -87,8 +88,17 @@ def reviews_from_lineitem(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reviews_from_lineitem(table(spark, sf_dir, "lineitem"))
+def _review_id(hot_every: int | None) -> Column:
+    rid = F.when(_mod("l_orderkey", 89), F.lit(None).cast("string")).otherwise(
+        F.concat(F.lit("r"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("string"))
+    )
+    if hot_every:
+        rid = F.when(_mod("l_orderkey", hot_every), F.lit("r-hot")).otherwise(rid)
+    return rid
+
+
+def reviews(spark: SparkSession, sf_dir: str, hot_every: int | None = None) -> DataFrame:
+    return reviews_from_lineitem(table(spark, sf_dir, "lineitem"), hot_every)
 
 
 def raw_pages_from_conversations(conversations: DataFrame) -> DataFrame:
