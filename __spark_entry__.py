@@ -283,7 +283,9 @@ def q_stream_pages_job(spark, sf_dir):
     _pages(spark, sf_dir).write.json(os.path.join(landing, "run-0"))
     base = stage_dir(spark, "stream-out")
     q = start_landed_stream(spark, os.path.join(landing, "*"), base, stage_dir(spark, "stream-ckpt"), odate=ODATE)
-    q.awaitTermination()
+    if not q.awaitTermination(900):
+        q.stop()
+        raise TimeoutError("landed-page stream did not drain within 900 s")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return _flat_from_json(spark.read.json(os.path.join(base, "metrics", "*", "success")))
