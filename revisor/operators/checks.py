@@ -42,7 +42,7 @@ _KEY_PREFIX = "_k_"
 
 # -- C1 / C2 / C3 -----------------------------------------------------------
 
-def is_valid(df: DataFrame | None = None) -> Column:
+def is_valid() -> Column:
     """``id``, ``snippet`` and ``rating`` all present."""
     cond = None
     for c in REQUIRED_COLUMNS:

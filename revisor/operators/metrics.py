@@ -19,12 +19,11 @@ from revisor.operators.validation import check_structs
 
 # ---------------------------------------------------------------------------
 # The failure message of a reached page without reviews, the
-# status of a failure record and the timestamp pattern of a failure record.
+# priority of a failure record and the client of a record without one.
 # ---------------------------------------------------------------------------
 MSG_MISSING_REVIEWS = "[*] Não foi possível recuperar as avaliações."
 FAILURE_PRIORITY = "0"
 UNKNOWN_CLIENT = "UNKNOWN_CLIENT"
-FAILURE_TS_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 # ---------------------------------------------------------------------------
 
 # Whitespace that Python's ``str.strip()`` removes: Unicode White_Space plus
@@ -113,10 +112,6 @@ def with_split(summary: DataFrame) -> DataFrame:
     )
 
 
-SPLIT_COLUMNS = ["input_records", "valid_count", "invalid_count", "total_records", "valid_percentage",
-                 "invalid_percentage", "success_count", "error_count"]
-
-
 def split_metrics(summary: DataFrame, group_cols: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """E4-E6 per group."""
     return with_split(summary).select(
