@@ -264,7 +264,7 @@ def q_ingest_pages_job(spark, sf_dir):
 
     base = stage_dir(spark, "pages-job")
     res = run_pages(spark, _landed(spark, sf_dir), base, odate=ODATE, ctx=FIXED_CTX)
-    return _flat_from_json(spark.read.json(res.metrics_path))
+    return _flat_from_json(spark.read.schema(MX.document_schema(spark, FIXED_CTX)).json(res.metrics_path))
 
 
 def _flat_from_json(docs: DataFrame) -> DataFrame:
@@ -288,7 +288,8 @@ def q_stream_pages_job(spark, sf_dir):
         raise TimeoutError("landed-page stream did not drain within 900 s")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return _flat_from_json(spark.read.json(os.path.join(base, "metrics", "*", "success")))
+    docs = spark.read.schema(MX.document_schema(spark, FIXED_CTX)).json(os.path.join(base, "metrics", "*", "success"))
+    return _flat_from_json(docs)
 
 
 def q_skewed_invalid_reviews(spark, sf_dir):

@@ -180,6 +180,21 @@ def metrics_documents(summary: DataFrame, ctx: RunContext, app_col: str = "app",
     return docs.withColumn("json", F.to_json("document"))
 
 
+def document_schema(spark, ctx: RunContext | None = None):
+    """Declared type of the ``document`` struct, for reading written
+    documents back without inference."""
+    from pyspark.sql import types as T
+
+    from revisor.operators.checks import group_summary, key_stats
+    from revisor.schemas import BRONZE_SCHEMA
+
+    fields = [T.StructField("app", T.StringType()), T.StructField("type_client", T.StringType()),
+              *BRONZE_SCHEMA.fields]
+    empty = spark.createDataFrame([], T.StructType(fields))
+    summary = group_summary(key_stats(empty, ["app", "type_client"]), ["app", "type_client"])
+    return metrics_documents(summary, ctx or RunContext()).schema["document"].dataType
+
+
 def flat_documents(documents: DataFrame, app_col: str = "app", client_col: str = "type_client") -> DataFrame:
     """The scalar fields of the documents as columns (for comparisons)."""
     d = F.col("document")
