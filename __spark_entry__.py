@@ -87,7 +87,8 @@ def q_duplicate_ids_global(spark, sf_dir):
 
 def _dup_rows(spark, sf_dir, group_cols):
     r = _reviews(spark, sf_dir)
-    return checks.duplicate_rows(r, checks.duplicate_ids(r, group_cols), group_cols)
+    keys = validate(r, group_cols, materialize=True).duplicate_keys  # staged once, read twice
+    return checks.duplicate_rows(r, keys, group_cols)
 
 
 def q_duplicate_reviews(spark, sf_dir):
@@ -99,11 +100,11 @@ def q_duplicate_reviews_global(spark, sf_dir):
 
 
 def q_invalid_reviews(spark, sf_dir):
-    return _out(validate(_reviews(spark, sf_dir), G).invalid)
+    return _out(validate(_reviews(spark, sf_dir), G, materialize=True).invalid)
 
 
 def q_invalid_reviews_global(spark, sf_dir):
-    return _out(validate(_reviews(spark, sf_dir), []).invalid, keep=[])
+    return _out(validate(_reviews(spark, sf_dir), [], materialize=True).invalid, keep=[])
 
 
 def q_null_counts(spark, sf_dir):
@@ -297,7 +298,7 @@ def q_skewed_invalid_reviews(spark, sf_dir):
     path switched off: the hot key is flagged by broadcast in the first pass
     and never enters the shuffled semi-join of the cold keys."""
     r = tables.reviews(spark, sf_dir, hot_every=3)
-    v = validate(r, G, broadcast_max_bytes=0, hot_rows=1000)
+    v = validate(r, G, materialize=True, broadcast_max_bytes=0, hot_rows=1000)
     if v.join_plan.strategy != "hot_split":
         raise RuntimeError(f"expected the hot/cold split, got {v.join_plan}")
     return _out(v.invalid)
