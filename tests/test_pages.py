@@ -98,3 +98,21 @@ def test_stage_pages_equals_plain_rule(spark, tmp_dir):
     assert sorted(map(tuple, rows.select(*cols).collect())) == sorted(map(tuple, plain.select(*cols).collect()))
     assert status.where(F.col("status") == P.KEPT).count() == 266
     assert "reviews" not in status.columns  # the window ran on the narrow projection
+
+
+def test_partition_count_invariance_pages_and_reports(spark):
+    from revisor.operators import metrics as MX
+
+    pages = tables.pages_from_conversations(tables.table(spark, SF01, "conversations"))
+    docs = tables.table(spark, SF01, "documents").select(F.col("doc_id").alias("run"), "text")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    got = []
+    try:
+        for n in ("1", "64"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            kept = sorted(map(tuple, P.page_status(pages, 10).select("product_id", "page_no", "status").collect()))
+            keys = sorted(map(tuple, MX.report_pairs(MX.report_lines(docs)).collect()))
+            got.append((kept, keys))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert got[0] == got[1]
