@@ -37,6 +37,7 @@ def _args(argv: list[str] | None) -> argparse.Namespace:
     r = sub.add_parser("reviews", parents=[common])
     r.add_argument("--input", required=True)
     r.add_argument("--rows-per-file", type=int, default=None)
+    r.add_argument("--layout", choices=["split", "sides"], default="split")
     s = sub.add_parser("single-app", parents=[common])
     s.add_argument("--input", required=True)
     s.add_argument("--app", required=True)
@@ -61,7 +62,8 @@ def main(argv: list[str] | None = None) -> int:
         reader = spark.read.format(a.format or "parquet")
         reviews = reader.load(a.input)
         if a.mode == "reviews":
-            res = job.run_reviews(spark, reviews, a.out, odate=a.odate, ctx=ctx, rows_per_file=a.rows_per_file)
+            res = job.run_reviews(spark, reviews, a.out, odate=a.odate, ctx=ctx, rows_per_file=a.rows_per_file,
+                                  layout=a.layout)
         else:
             res = job.run_single_app(spark, reviews, f"{a.out}/valid", f"{a.out}/invalid", a.app, a.client,
                                      odate=a.odate, ctx=ctx, metrics_base=f"{a.out}/metrics")

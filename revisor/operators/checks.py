@@ -229,6 +229,46 @@ def duplicate_rows_planned(
     return hot_part.unionByName(cold_part), JoinPlan("hot_split", n_keys, n_bytes, n_hot, hot_rows)
 
 
+def side_rows_planned(
+    df: DataFrame,
+    dup_keys: DataFrame,
+    group_cols: list[str] | tuple[str, ...] = (),
+    *,
+    broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
+    **kwargs,
+) -> tuple[DataFrame, JoinPlan]:
+    """Both sides in one frame with a ``side`` column (``valid`` /
+    ``invalid``): every valid row once on the valid side and the rows of F1
+    on the invalid side.  When the duplicated keys are broadcast this is one
+    map-side pass over ``df`` (each row is emitted once per side and reason);
+    otherwise the valid filter is unioned with ``invalid_rows_planned``."""
+    cols = [*group_cols, "id"]
+    count_col = "count" if "count" in dup_keys.columns else "n"
+    keys = dup_keys.where(F.col("id").isNotNull())
+    n_keys, n_bytes, _ = _measure(keys, cols, count_col)
+    review_cols = [*group_cols, *project_reviews(df).columns]
+    if n_keys == 0 or n_bytes <= broadcast_max_bytes:
+        if n_keys:
+            flags = F.broadcast(_renamed_keys(keys, cols).withColumn("_dup", F.lit(True)))
+            flagged = _semi(df, flags, cols, "left")
+            dup = F.coalesce(F.col("_dup"), F.lit(False))
+        else:
+            flagged, dup = df, F.lit(False)
+        sides = F.filter(
+            F.array(F.when(is_valid(), F.lit("valid")), F.when(is_null_invalid(), F.lit("invalid")),
+                    F.when(dup, F.lit("invalid"))),
+            lambda x: x.isNotNull(),
+        )
+        out = flagged.select(*review_cols, F.explode(sides).alias("side"))
+        plan = JoinPlan("broadcast", n_keys, n_bytes) if n_keys else JoinPlan("empty", 0, 0)
+        return out, plan
+    invalid, plan = invalid_rows_planned(df, dup_keys, group_cols, broadcast_max_bytes=broadcast_max_bytes,
+                                         **kwargs)
+    valid = project_reviews(df, group_cols).where(is_valid())
+    return (valid.withColumn("side", F.lit("valid"))
+            .unionByName(invalid.select(*review_cols).withColumn("side", F.lit("invalid")))), plan
+
+
 def invalid_rows_planned(
     df: DataFrame,
     dup_keys: DataFrame,

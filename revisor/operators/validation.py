@@ -180,6 +180,14 @@ class Validation:
         self._plan_duplicates()
         return self._invalid
 
+    def sides(self) -> DataFrame:
+        """Valid and invalid rows in one frame with a ``side`` column (one
+        pass over the input when the duplicated keys are broadcast)."""
+        rows, plan = checks.side_rows_planned(self.source, self.duplicate_keys, self.group_cols,
+                                              **self.join_options)
+        self._join_plan = self._join_plan or plan
+        return rows
+
     @property
     def join_plan(self) -> JoinPlan:
         self._plan_duplicates()

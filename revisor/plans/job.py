@@ -70,9 +70,17 @@ def run_reviews(
     join_options: dict | None = None,
     metrics_base: str | None = None,
     rows_per_file: int | None = None,
+    layout: str = "split",
 ) -> JobResult:
     """Validate ``reviews`` (bronze columns + ``group_cols``), write both
-    sides and the metrics documents under ``out_base``.  ``metrics_base``
+    sides and the metrics documents under ``out_base``.
+
+    ``layout="split"`` (default) writes ``<out>/valid`` and ``<out>/invalid``
+    in two jobs, the valid side with the declared types (``strict``).
+    ``layout="sides"`` writes one tree ``<out>/reviews`` partitioned by
+    ``side`` first, in one job — a single pass over the reviews when the
+    duplicated keys are broadcast — with the default coercion on both sides
+    (only int and string fields cast), so both sides share one schema.  ``metrics_base``
     (default ``<out_base>/metrics``) given explicitly is written with
     overwrite (a per-epoch folder), otherwise appended to.
 
@@ -99,6 +107,11 @@ def run_reviews(
                  **(join_options or {}))
     lap("key_stats_sec")
     partitions = [*group_cols, "odate"]
+    if layout == "sides":
+        return _write_sides(spark, v, out_base, odate, ctx, group_cols, overwrite, metrics_base, metrics_mode,
+                            timings, lap)
+    if layout != "split":
+        raise ValueError("layout must be 'split' or 'sides'")
     valid_rows = v.valid
     if rows_per_file and group_cols:
         sizes = v.summary.select(*group_cols, F.col("valid_records").alias("rows"))
@@ -142,6 +155,35 @@ def run_reviews(
     return result
 
 
+def _write_sides(spark, v, out_base, odate, ctx, group_cols, overwrite, metrics_base, metrics_mode,
+                 timings, lap) -> JobResult:
+    rows = v.sides()
+    lap("join_sizing_sec")
+    out = save_dataframe(rows, os.path.join(out_base, "reviews"), "reviews", odate=odate, schema=BRONZE_SCHEMA,
+                         partition_cols=["side", *group_cols, "odate"], overwrite=overwrite)
+    lap("sides_write_sec")
+    summary = v.summary
+    summary_rows = [r.asDict() for r in summary.collect()]  # one row per (app, client)
+    n_valid = sum(r["valid_records"] for r in summary_rows)
+    n_invalid = sum(r["invalid_records"] for r in summary_rows)
+    ok = out.ok or out.reason == "no rows"
+    if out.ok and out.rows != n_valid + n_invalid:
+        raise RuntimeError(f"written rows {out.rows} != valid {n_valid} + invalid {n_invalid}")
+    valid_out = WriteOutcome(ok, n_valid, os.path.join(out.path, "side=valid"), out.reason)
+    invalid_out = WriteOutcome(ok, n_invalid, os.path.join(out.path, "side=invalid"), out.reason)
+    stages = {k: f"{x:.3f}" for k, x in timings.items()}
+    stages["join_strategy"] = v.join_plan.strategy
+    ctx = replace(ctx, stages={**stages, **ctx.stages}).finished()
+    metrics_path = None
+    if len(group_cols) == 2:
+        docs = MX.metrics_documents(summary, ctx, group_cols[0], group_cols[1], write_ok=F.lit(ok))
+        metrics_path = save_metrics(docs, metrics_base, "success", mode=metrics_mode)
+    lap("metrics_sec")
+    if not ok:
+        raise RuntimeError(f"write failed: {out.reason!r}")
+    return JobResult(summary_rows, valid_out, invalid_out, v.join_plan, metrics_path, timings=timings)
+
+
 def run_pages(
     spark: SparkSession,
     pages: DataFrame,

@@ -153,3 +153,22 @@ def test_read_written_keeps_partition_types(spark, tmp_dir):
     assert dict(spark.read.parquet(path).dtypes)["odate"] == "int"  # inference
     back = read_written(spark, path, BRONZE_SCHEMA, ["app", "type_client", "odate"])
     assert dict(back.dtypes)["odate"] == "string" and back.count() == r.count()
+
+
+def test_sides_layout_equals_split_layout(spark, tmp_dir):
+    r = tables.reviews(spark, SF001)
+    cols = ["app", "type_client", "id", "snippet", "rating", "date", "likes"]
+
+    def rows(path):
+        return sorted(map(tuple, spark.read.parquet(path).select(*cols).collect()), key=repr)
+
+    split = run_reviews(spark, r, os.path.join(tmp_dir, "split"), odate="20240101", strict=False)
+    for name, opts in {"bcast": None, "hot": {"broadcast_max_bytes": 0, "hot_rows": 2}}.items():
+        base = os.path.join(tmp_dir, name)
+        sides = run_reviews(spark, r, base, odate="20240101", layout="sides", join_options=opts)
+        assert sides.join_plan.strategy == ("broadcast" if name == "bcast" else "hot_split")
+        assert rows(os.path.join(base, "reviews", "side=valid")) == rows(os.path.join(tmp_dir, "split", "valid"))
+        assert rows(os.path.join(base, "reviews", "side=invalid")) == rows(os.path.join(tmp_dir, "split", "invalid"))
+        assert (sides.valid.rows, sides.invalid.rows) == (split.valid.rows, split.invalid.rows)
+        docs = spark.read.json(sides.metrics_path).collect()
+        assert len(docs) == len(sides.summary) and all(d["write_ok"] for d in docs)

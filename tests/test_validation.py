@@ -232,3 +232,23 @@ def test_invalid_side_strategies_agree(spark):
         assert plan.strategy == name
         got[name] = rows(out)
     assert got["broadcast"] == got["shuffle"] == got["hot_split"] == plain
+
+
+def test_sides_frame_scans_the_source_once(spark, tmp_dir):
+    """With broadcast keys the valid and invalid sides come from one scan of
+    the review source."""
+    from revisor.sources import tables
+
+    from conftest import SF001
+
+    path = tmp_dir + "/bronze"
+    tables.reviews(spark, SF001).write.parquet(path)
+    v = validate(spark.read.parquet(path), ["app", "type_client"], materialize=True,
+                 stage_path=tmp_dir + "/stage")
+    sides = v.sides()
+    sides.collect()
+    plan = sides._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert v.join_plan.strategy == "broadcast"
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "/bronze" in line]
+    assert len(scans) == 1, plan
+    assert "Exchange hashpartitioning" not in plan  # no shuffle of review rows
