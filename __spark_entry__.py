@@ -304,6 +304,16 @@ def q_skewed_invalid_reviews(spark, sf_dir):
     return _out(v.invalid)
 
 
+def q_ingest_job_sides(spark, sf_dir):
+    """The batch with both sides written in one job (``layout="sides"``)."""
+    from revisor.plans.job import run_reviews
+
+    base = stage_dir(spark, "ingest-sides")
+    run_reviews(spark, _reviews(spark, sf_dir), base, odate=ODATE, ctx=FIXED_CTX, layout="sides")
+    t = spark.read.parquet(os.path.join(base, "reviews"))
+    return t.groupBy(*G, "side").agg(F.count(F.lit(1)).alias("rows"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "valid_reviews": q_valid_reviews,
     "invalid_null_reviews": q_invalid_null_reviews,
@@ -341,6 +351,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_pages_job": q_ingest_pages_job,
     "stream_pages_job": q_stream_pages_job,
     "skewed_invalid_reviews": q_skewed_invalid_reviews,
+    "ingest_job_sides": q_ingest_job_sides,
 }
 
 
@@ -636,6 +647,7 @@ SELECT app, type_client, 'DQ' AS owner_sigla, 'reviews' AS owner_projeto, 'bronz
   200 AS type_code, 'Consistência dos tipos de dados verificada com sucesso.' AS type_message
 FROM s"""
     q["stream_pages_job"] = q["ingest_pages_job"]
+    q["ingest_job_sides"] = q["ingest_job"]
     skewed = _REVIEWS.replace(
         "CASE WHEN l_orderkey % 89 = 0 THEN NULL ELSE 'r' || CAST(l_orderkey * 8 + l_linenumber AS VARCHAR) END AS id",
         "CASE WHEN l_orderkey % 3 = 0 THEN 'r-hot' WHEN l_orderkey % 89 = 0 THEN NULL "
