@@ -34,6 +34,7 @@ def _args(argv: list[str] | None) -> argparse.Namespace:
     p.add_argument("--landing", required=True)
     p.add_argument("--max-pages", type=int, default=10)
     p.add_argument("--rows-per-file", type=int, default=None)
+    p.add_argument("--layout", choices=["split", "sides"], default="split")
     r = sub.add_parser("reviews", parents=[common])
     r.add_argument("--input", required=True)
     r.add_argument("--rows-per-file", type=int, default=None)
@@ -57,7 +58,7 @@ def main(argv: list[str] | None = None) -> int:
 
         pages = read_landed_pages(spark, a.landing, a.format or "json")
         res = job.run_pages(spark, pages, a.out, max_pages=a.max_pages, odate=a.odate, ctx=ctx,
-                            rows_per_file=a.rows_per_file)
+                            rows_per_file=a.rows_per_file, layout=a.layout)
     else:
         reader = spark.read.format(a.format or "parquet")
         reviews = reader.load(a.input)

@@ -196,6 +196,7 @@ def run_pages(
     join_options: dict | None = None,
     metrics_base: str | None = None,
     rows_per_file: int | None = None,
+    layout: str = "split",
 ) -> JobResult:
     """Landed pages -> page-prefix rule -> reviews -> ``run_reviews``; fetch
     failures become failure records; requested groups without reviews are
@@ -222,7 +223,7 @@ def run_pages(
 
     result = run_reviews(spark, reviews, out_base, odate=odate, ctx=ctx, group_cols=group_cols,
                          overwrite=overwrite, join_options=join_options, metrics_base=metrics_base,
-                         rows_per_file=rows_per_file)
+                         rows_per_file=rows_per_file, layout=layout)
     result.failures = n_fail
     result.empty_groups = empty
     return result
