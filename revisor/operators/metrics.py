@@ -173,7 +173,10 @@ def document_struct(ctx: RunContext, app_col: str = "app", client_col: str = "ty
 def metrics_documents(summary: DataFrame, ctx: RunContext, app_col: str = "app",
                       client_col: str = "type_client", write_ok: Column | None = None) -> DataFrame:
     """One metrics document per (app, client) row of ``group_summary``:
-    the struct ``document`` and its JSON text ``json``."""
+    the struct ``document`` and its JSON text ``json``.  The run must be
+    finished (``ctx.finished()``): a document without an end time raises."""
+    if ctx.start is None or ctx.end is None:
+        raise ValueError("run start or end time not set; call RunContext.finished() first")
     docs = with_split(summary).select(
         app_col, client_col, document_struct(ctx, app_col, client_col, write_ok).alias("document")
     )
@@ -192,7 +195,7 @@ def document_schema(spark, ctx: RunContext | None = None):
               *BRONZE_SCHEMA.fields]
     empty = spark.createDataFrame([], T.StructType(fields))
     summary = group_summary(key_stats(empty, ["app", "type_client"]), ["app", "type_client"])
-    return metrics_documents(summary, ctx or RunContext()).schema["document"].dataType
+    return metrics_documents(summary, ctx or RunContext().finished()).schema["document"].dataType
 
 
 def flat_documents(documents: DataFrame, app_col: str = "app", client_col: str = "type_client") -> DataFrame:
