@@ -252,3 +252,18 @@ def test_sides_frame_scans_the_source_once(spark, tmp_dir):
     scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "/bronze" in line]
     assert len(scans) == 1, plan
     assert "Exchange hashpartitioning" not in plan  # no shuffle of review rows
+
+
+def test_staged_table_holds_groups_and_duplicated_keys_only(spark, tmp_dir):
+    from revisor.sources import tables
+
+    from conftest import SF001
+
+    r = tables.reviews(spark, SF001)
+    g = ["app", "type_client"]
+    validate(r, g, materialize=True, stage_path=tmp_dir + "/stage")
+    staged = spark.read.parquet(tmp_dir + "/stage")
+    n_groups = r.select(*g).distinct().count()
+    n_dup_keys = checks.duplicate_ids(r, g).count()
+    n_keys = checks.key_counts(r, g).count()
+    assert staged.count() == n_groups + n_dup_keys < n_keys
