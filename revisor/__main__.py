@@ -9,7 +9,8 @@ Modes:
 * ``single-app`` one app's reviews, written to ``<base>/<app>_<client>/``
 
 The session is taken with ``getOrCreate()`` so the cluster's settings apply
-(``spark.checkpoint.dir`` in particular).  The process exits non-zero when a
+(``spark.checkpoint.dir`` in particular); Spark's web UI stays off unless
+``--spark-ui`` is given.  The process exits non-zero when a
 write fails.
 """
 
@@ -30,6 +31,7 @@ def _args(argv: list[str] | None) -> argparse.Namespace:
     common.add_argument("--odate", required=True, help="load date, yyyyMMdd")
     common.add_argument("--format", default=None, help="input format (json for pages, parquet for reviews)")
     common.add_argument("--application-id", default=None)
+    common.add_argument("--spark-ui", action="store_true", help="start Spark's web UI (off by default)")
     p = sub.add_parser("pages", parents=[common])
     p.add_argument("--landing", required=True)
     p.add_argument("--max-pages", type=int, default=10)
@@ -48,7 +50,10 @@ def _args(argv: list[str] | None) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None) -> int:
     a = _args(argv)
-    spark = SparkSession.builder.appName(f"revisor-{a.mode}").getOrCreate()
+    builder = SparkSession.builder.appName(f"revisor-{a.mode}")
+    if not a.spark_ui:
+        builder = builder.config("spark.ui.enabled", "false")
+    spark = builder.getOrCreate()
     from revisor.operators.metrics import RunContext
     from revisor.plans import job
 
