@@ -182,6 +182,16 @@ def _measure(keys: DataFrame, cols: list[str], count_col: str) -> tuple[int, int
     return int(m["k"]), int(m["b"]), int(m["rows"])
 
 
+def _hot_threshold(dup_rows: int, total_rows: int | None, hot_rows: int | None) -> int:
+    """Copies from which a key counts as hot.  Whatever the caller asks for,
+    the threshold is at least ``dup_rows / MAX_HOT_KEYS``, so the hot-key set
+    (broadcast) never exceeds ``MAX_HOT_KEYS`` keys."""
+    if total_rows is not None:
+        dup_rows = min(dup_rows, total_rows)
+    floor = max(2, math.ceil(dup_rows / MAX_HOT_KEYS))
+    return max(floor, hot_rows if hot_rows is not None else HOT_MIN_ROWS)
+
+
 def duplicate_rows_planned(
     df: DataFrame,
     dup_keys: DataFrame,
@@ -210,11 +220,9 @@ def duplicate_rows_planned(
         right = F.broadcast(_renamed_keys(keys, cols))
         return _semi(df, right, cols), JoinPlan("broadcast", n_keys, n_bytes)
 
-    if hot_rows is None:
-        # Rows under duplicated keys bound the hot-key count at least as
-        # tightly as the input size: hot keys <= dup_rows / hot_rows.
-        dup_rows = n_rows if total_rows is None else min(n_rows, total_rows)
-        hot_rows = max(HOT_MIN_ROWS, math.ceil(dup_rows / MAX_HOT_KEYS))
+    # Rows under duplicated keys bound the hot-key count at least as tightly
+    # as the input size: hot keys <= dup_rows / hot_rows <= MAX_HOT_KEYS.
+    hot_rows = _hot_threshold(n_rows, total_rows, hot_rows)
     hot = keys.where(F.col(count_col) >= hot_rows)
     n_hot = hot.count()  # <= dup_rows / hot_rows <= MAX_HOT_KEYS by construction
     cold = keys.where(F.col(count_col) < hot_rows)
@@ -306,11 +314,7 @@ def invalid_rows_planned(
     # Keys too many to broadcast: hot keys (bounded count) are flagged by a
     # broadcast left join in the same pass that emits the NULL-invalid rows;
     # only rows of cold keys reach the shuffled semi-join.
-    total_rows = kwargs.get("total_rows")
-    hot_rows = kwargs.get("hot_rows")
-    if hot_rows is None:
-        dup_rows = measured[2] if total_rows is None else min(measured[2], total_rows)
-        hot_rows = max(HOT_MIN_ROWS, math.ceil(dup_rows / MAX_HOT_KEYS))
+    hot_rows = _hot_threshold(measured[2], kwargs.get("total_rows"), kwargs.get("hot_rows"))
     hot = keys.where(F.col(count_col) >= hot_rows)
     n_hot = hot.count()  # <= dup_rows / hot_rows <= MAX_HOT_KEYS by construction
     cold = _renamed_keys(keys.where(F.col(count_col) < hot_rows), cols)

@@ -267,3 +267,9 @@ def test_staged_table_holds_groups_and_duplicated_keys_only(spark, tmp_dir):
     n_dup_keys = checks.duplicate_ids(r, g).count()
     n_keys = checks.key_counts(r, g).count()
     assert staged.count() == n_groups + n_dup_keys < n_keys
+
+
+def test_hot_threshold_keeps_the_broadcast_bound():
+    assert checks._hot_threshold(10**12, None, 2) >= 10**12 // checks.MAX_HOT_KEYS
+    assert checks._hot_threshold(1000, None, 2) == 2
+    assert checks._hot_threshold(1000, None, None) == checks.HOT_MIN_ROWS
