@@ -308,14 +308,42 @@ def check_metrics_arguments(metrics_type: str, error: object = None, data: objec
     return t
 
 
+def _json_loads_ok(texts):
+    """Arrow-batched: does Python's ``json.loads`` accept the text?"""
+    import json
+
+    def ok(x):
+        if x is None:
+            return None
+        try:
+            json.loads(x)
+            return True
+        except Exception:  # noqa: BLE001 - any parse failure means "not a document"
+            return False
+
+    return texts.map(ok)
+
+
+def _json_ok_udf():
+    import pandas as pd  # noqa: F401 - pandas UDFs need it
+
+    return F.pandas_udf(_json_loads_ok, "boolean")
+
+
 def document_check(docs: DataFrame, text_col: str = "text", keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """G9 JSON rule over a frame of document texts: ``empty`` (missing or
-    empty text), ``ok`` (parses as JSON) or ``invalid_json``."""
+    empty text), ``ok`` (Python's ``json.loads`` accepts it) or
+    ``invalid_json``.
+
+    The rule is Python's JSON grammar (NaN and Infinity accepted, duplicate
+    keys allowed, trailing content rejected), which no built-in Spark parser
+    reproduces (``try_parse_json`` accepts trailing content and rejects
+    duplicate keys), so it runs as a vectorised pandas UDF on the executors.
+    """
     text = F.col(text_col)
-    parsed = F.try_parse_json(text)
     status = (
         F.when(text.isNull() | (text == ""), F.lit("empty"))
-        .when(parsed.isNotNull(), F.lit("ok"))
+        .when(_json_ok_udf()(text), F.lit("ok"))
         .otherwise(F.lit("invalid_json"))
     )
     return docs.select(*keep, status.alias("status"))
