@@ -190,6 +190,14 @@ def q_empty_products(spark, sf_dir):
     return P.empty_groups(requested, rows, keys)
 
 
+def q_empty_apps(spark, sf_dir):
+    """A5 at the (app, client) level: requested groups with no review at all."""
+    pages = _pages(spark, sf_dir)
+    requested = pages.groupBy(*G).agg(F.count(F.lit(1)).alias("pages"))
+    rows = P.page_reviews(P.kept_pages(pages, 10))
+    return P.empty_groups(requested, rows, G)
+
+
 def q_report_keys(spark, sf_dir):
     docs = tables.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("run"), "text")
     return MX.report_pairs(MX.report_lines(docs))
@@ -340,6 +348,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_status": q_page_status,
     "page_reviews": q_page_reviews,
     "empty_products": q_empty_products,
+    "empty_apps": q_empty_apps,
     "report_keys": q_report_keys,
     "failure_records": q_failure_records,
     "document_check": q_document_check,
@@ -656,6 +665,9 @@ FROM s"""
     q["skewed_invalid_reviews"] = _with(skewed) + (
         f"SELECT {g}{_OUT} FROM reviews WHERE {_NULL_INVALID} UNION ALL "
         f"SELECT {g}{_OUT} FROM ({_dup_rows_sql('app, type_client, id')}) t")
+    q["empty_apps"] = _with(_PAGES, _page_status_sql(10)) + """
+SELECT DISTINCT app, type_client FROM pages p
+WHERE NOT EXISTS (SELECT 1 FROM kept k WHERE k.app = p.app AND k.type_client = p.type_client)"""
     q["empty_products"] = _with(_PAGES, _page_status_sql(10)) + """
 SELECT DISTINCT app, type_client, product_id FROM pages p
 WHERE NOT EXISTS (SELECT 1 FROM kept k WHERE k.app = p.app AND k.type_client = p.type_client
