@@ -71,10 +71,15 @@ def run_reviews(
     metrics_base: str | None = None,
     rows_per_file: int | None = None,
     layout: str = "split",
+    load_id: str | None = None,
 ) -> JobResult:
     """Validate ``reviews`` (bronze columns + ``group_cols``), write both
     sides and the metrics documents under ``out_base``.
 
+    ``load_id`` adds a partition level below ``odate`` (``load_id=<id>``):
+    several loads of one day (stream epochs) then each replace only their
+    own partitions instead of each other's.
+
     ``layout="split"`` (default) writes ``<out>/valid`` and ``<out>/invalid``
     in two jobs, the valid side with the declared types (``strict``).
     ``layout="sides"`` writes one tree ``<out>/reviews`` partitioned by
@@ -107,9 +112,16 @@ def run_reviews(
                  **(join_options or {}))
     lap("key_stats_sec")
     partitions = [*group_cols, "odate"]
+    if load_id is not None:
+        partitions.append("load_id")
+
+    def tag(frame: DataFrame) -> DataFrame:
+        # a run-wide literal, stamped on the output rows just before writing
+        return frame if load_id is None else frame.withColumn("load_id", F.lit(str(load_id)))
+
     if layout == "sides":
         return _write_sides(spark, v, out_base, odate, ctx, group_cols, overwrite, metrics_base, metrics_mode,
-                            timings, lap)
+                            timings, lap, tag, load_id)
     if layout != "split":
         raise ValueError("layout must be 'split' or 'sides'")
     valid_rows = v.valid
@@ -117,7 +129,7 @@ def run_reviews(
         sizes = v.summary.select(*group_cols, F.col("valid_records").alias("rows"))
         valid_rows = cluster_by_group(valid_rows, sizes, group_cols, rows_per_file)
     valid_out = save_dataframe(
-        valid_rows, os.path.join(out_base, "valid"), "valid", odate=odate, schema=BRONZE_SCHEMA,
+        tag(valid_rows), os.path.join(out_base, "valid"), "valid", odate=odate, schema=BRONZE_SCHEMA,
         strict=strict, partition_cols=partitions, overwrite=overwrite,
     )
     lap("valid_write_sec")
@@ -127,7 +139,7 @@ def run_reviews(
         invalid = cluster_by_group(invalid, sizes, group_cols, rows_per_file)
     lap("join_sizing_sec")
     invalid_out = save_dataframe(
-        invalid, os.path.join(out_base, "invalid"), "invalid", odate=odate,
+        tag(invalid), os.path.join(out_base, "invalid"), "invalid", odate=odate,
         partition_cols=partitions, overwrite=overwrite,
     )
     lap("invalid_write_sec")
@@ -156,11 +168,12 @@ def run_reviews(
 
 
 def _write_sides(spark, v, out_base, odate, ctx, group_cols, overwrite, metrics_base, metrics_mode,
-                 timings, lap) -> JobResult:
-    rows = v.sides()
+                 timings, lap, tag, load_id) -> JobResult:
+    rows = tag(v.sides())
     lap("join_sizing_sec")
+    partitions = ["side", *group_cols, "odate"] + (["load_id"] if load_id is not None else [])
     out = save_dataframe(rows, os.path.join(out_base, "reviews"), "reviews", odate=odate, schema=BRONZE_SCHEMA,
-                         partition_cols=["side", *group_cols, "odate"], overwrite=overwrite)
+                         partition_cols=partitions, overwrite=overwrite)
     lap("sides_write_sec")
     summary = v.summary
     summary_rows = [r.asDict() for r in summary.collect()]  # one row per (app, client)
@@ -197,6 +210,7 @@ def run_pages(
     metrics_base: str | None = None,
     rows_per_file: int | None = None,
     layout: str = "split",
+    load_id: str | None = None,
 ) -> JobResult:
     """Landed pages -> page-prefix rule -> reviews -> ``run_reviews``; fetch
     failures become failure records; requested groups without reviews are
@@ -223,7 +237,7 @@ def run_pages(
 
     result = run_reviews(spark, reviews, out_base, odate=odate, ctx=ctx, group_cols=group_cols,
                          overwrite=overwrite, join_options=join_options, metrics_base=metrics_base,
-                         rows_per_file=rows_per_file, layout=layout)
+                         rows_per_file=rows_per_file, layout=layout, load_id=load_id)
     result.failures = n_fail
     result.empty_groups = empty
     return result

@@ -11,8 +11,10 @@ kept in the stream's checkpoint.
   of its pages.
 * Trigger: ``availableNow`` by default — drain what is there, then stop —
   which is how a scheduled run uses it; a processing-time trigger works too.
-* Sink: ``foreachBatch``.  Review sides use dynamic partition overwrite, so a
-  replayed epoch rewrites the same partitions; metrics of an epoch go to their
+* Sink: ``foreachBatch``.  Review rows of an epoch go to their own
+  ``load_id=<epoch>`` partitions (below ``odate``) with dynamic overwrite, so
+  a replayed epoch rewrites exactly its own partitions and two epochs of the
+  same app and day never replace each other; metrics of an epoch go to their
   own ``epoch=<id>`` folder, written with overwrite, so a replay replaces
   instead of duplicating.
 """
@@ -56,6 +58,7 @@ def start_landed_stream(
             max_pages=max_pages,
             odate=odate,
             metrics_base=os.path.join(out_base, "metrics", f"epoch={epoch_id}"),
+            load_id=str(epoch_id),
         )
 
     writer = pages.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint_location)

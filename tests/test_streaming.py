@@ -22,11 +22,12 @@ def test_stream_drains_landed_files(spark, tmp_dir):
     invalid = spark.read.parquet(os.path.join(out, "invalid"))
     assert valid.count() == 2 and invalid.count() == 2
     # a second run lands later; the rerun only reads the new file
-    run2 = [("app_s", "pj", "p2", 0, True, [_review(7)], None)]
+    run2 = [("app_s", "pf", "p2", 0, True, [_review(7)], None)]  # same app, client and day
     spark.createDataFrame(run2, PAGE_SCHEMA).coalesce(1).write.json(os.path.join(landing, "run2"))
     q = start_landed_stream(spark, os.path.join(landing, "*"), out, ckpt, odate="20240101")
     q.awaitTermination(120)
     valid = spark.read.parquet(os.path.join(out, "valid"))
-    assert sorted(r["type_client"] for r in valid.select("type_client").collect()) == ["pf", "pf", "pj"]
+    assert sorted(r["id"] for r in valid.select("id").collect()) == ["id1", "id1", "id7"]
+    assert sorted(r["load_id"] for r in valid.select("load_id").distinct().collect()) == [0, 1]
     docs = spark.read.json(os.path.join(out, "metrics", "*", "success"))
     assert docs.count() == 2
