@@ -32,6 +32,8 @@ def _args(argv: list[str] | None) -> argparse.Namespace:
     common.add_argument("--format", default=None, help="input format (json for pages, parquet for reviews)")
     common.add_argument("--application-id", default=None)
     common.add_argument("--spark-ui", action="store_true", help="start Spark's web UI (off by default)")
+    common.add_argument("--load-id", default=None,
+                        help="extra partition level below odate, for several loads of one day")
     p = sub.add_parser("pages", parents=[common])
     p.add_argument("--landing", required=True)
     p.add_argument("--max-pages", type=int, default=10)
@@ -63,13 +65,13 @@ def main(argv: list[str] | None = None) -> int:
 
         pages = read_landed_pages(spark, a.landing, a.format or "json")
         res = job.run_pages(spark, pages, a.out, max_pages=a.max_pages, odate=a.odate, ctx=ctx,
-                            rows_per_file=a.rows_per_file, layout=a.layout)
+                            rows_per_file=a.rows_per_file, layout=a.layout, load_id=a.load_id)
     else:
         reader = spark.read.format(a.format or "parquet")
         reviews = reader.load(a.input)
         if a.mode == "reviews":
             res = job.run_reviews(spark, reviews, a.out, odate=a.odate, ctx=ctx, rows_per_file=a.rows_per_file,
-                                  layout=a.layout)
+                                  layout=a.layout, load_id=a.load_id)
         else:
             res = job.run_single_app(spark, reviews, f"{a.out}/valid", f"{a.out}/invalid", a.app, a.client,
                                      odate=a.odate, ctx=ctx, metrics_base=f"{a.out}/metrics")
