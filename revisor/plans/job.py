@@ -76,18 +76,18 @@ def run_reviews(
     """Validate ``reviews`` (bronze columns + ``group_cols``), write both
     sides and the metrics documents under ``out_base``.
 
-    ``load_id`` adds a partition level below ``odate`` (``load_id=<id>``):
-    several loads of one day (stream epochs) then each replace only their
-    own partitions instead of each other's.
-
     ``layout="split"`` (default) writes ``<out>/valid`` and ``<out>/invalid``
     in two jobs, the valid side with the declared types (``strict``).
     ``layout="sides"`` writes one tree ``<out>/reviews`` partitioned by
     ``side`` first, in one job — a single pass over the reviews when the
     duplicated keys are broadcast — with the default coercion on both sides
-    (only int and string fields cast), so both sides share one schema.  ``metrics_base``
-    (default ``<out_base>/metrics``) given explicitly is written with
-    overwrite (a per-epoch folder), otherwise appended to.
+    (only int and string fields cast), so both sides share one schema.
+
+    ``load_id`` adds a partition level below ``odate`` (``load_id=<id>``):
+    several loads of one day (stream epochs) then each replace only their
+    own partitions instead of each other's.  ``metrics_base`` (default
+    ``<out_base>/metrics``) given explicitly is written with overwrite (a
+    per-epoch folder), otherwise appended to.
 
     Writes are map-only by default, which suits landed files that each hold
     one app.  ``rows_per_file`` clusters each side by (group, bucket) first
