@@ -1,5 +1,5 @@
-"""Command line: ``spark-submit -m revisor <mode> ...`` (or ``python -m
-revisor``).
+"""Command line: ``python -m revisor <mode> ...``, or on a cluster
+``spark-submit --py-files revisor.zip revisor/__main__.py <mode> ...``.
 
 Modes:
 
