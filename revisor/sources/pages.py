@@ -49,7 +49,9 @@ def page_status(pages: DataFrame, max_pages: int = MAX_PAGES, reviews_col: str =
     ``product_failed`` (a page that would be kept, of a failed product)."""
     keys = product_keys(pages)
     ok = F.coalesce(F.col("request_ok"), F.lit(False))
-    has_reviews = F.col(reviews_col).isNotNull()
+    # A boolean flag, computed before the window: the review arrays cross the
+    # window's exchange only if the caller keeps them.
+    has_reviews = F.col("_has_reviews")
     ends_chain = ~ok | F.col("next_page_token").isNull() | ~has_reviews
     ordered = Window.partitionBy(*keys).orderBy("page_no")
     earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
@@ -57,6 +59,7 @@ def page_status(pages: DataFrame, max_pages: int = MAX_PAGES, reviews_col: str =
 
     staged = (
         pages.where(F.col("page_no") < max_pages)
+        .withColumn("_has_reviews", F.col(reviews_col).isNotNull())
         .withColumn("_earlier_end", F.max(ends_chain.cast("int")).over(earlier))
         .withColumn("_rn", F.row_number().over(ordered))
         .withColumn(
@@ -73,7 +76,8 @@ def page_status(pages: DataFrame, max_pages: int = MAX_PAGES, reviews_col: str =
         .when(F.col("_fails_product") == 1, F.lit(PRODUCT_FAILED))
         .otherwise(F.lit(KEPT))
     )
-    return staged.withColumn("status", status).drop("_earlier_end", "_rn", "_reached", "_fails_product")
+    return staged.withColumn("status", status).drop("_earlier_end", "_rn", "_reached", "_fails_product",
+                                                    "_has_reviews")
 
 
 def kept_pages(pages: DataFrame, max_pages: int = MAX_PAGES, reviews_col: str = "reviews") -> DataFrame:
@@ -123,9 +127,9 @@ def stage_pages(pages: DataFrame, status_path: str, reviews_path: str, max_pages
     keys = product_keys(pages)
     narrow = pages.where(F.col("page_no") < max_pages).select(
         *keys, "page_no", "request_ok", "next_page_token",
-        F.when(F.col(reviews_col).isNotNull(), F.lit(True)).alias("_has_reviews"),
+        F.when(F.col(reviews_col).isNotNull(), F.lit(True)).alias("_reviews_present"),
     )
-    page_status(narrow, max_pages, "_has_reviews").drop("next_page_token").write.mode("overwrite").parquet(
+    page_status(narrow, max_pages, "_reviews_present").drop("next_page_token", "_reviews_present").write.mode("overwrite").parquet(
         status_path)
     status = spark.read.parquet(status_path)
 
