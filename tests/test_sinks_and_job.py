@@ -172,3 +172,14 @@ def test_sides_layout_equals_split_layout(spark, tmp_dir):
         assert (sides.valid.rows, sides.invalid.rows) == (split.valid.rows, split.invalid.rows)
         docs = spark.read.json(sides.metrics_path).collect()
         assert len(docs) == len(sides.summary) and all(d["write_ok"] for d in docs)
+
+
+def test_cli_pages_mode_with_load_id(spark, tmp_dir):
+    from revisor.__main__ import main
+
+    review = (None, "2024-01-01", "id1", None, 1, "5", None, "ok", None)
+    landed = os.path.join(tmp_dir, "landed")
+    spark.createDataFrame([("app_c", "pf", "p1", 0, True, [review], None)], PAGE_SCHEMA).write.json(landed)
+    out = os.path.join(tmp_dir, "out")
+    assert main(["pages", "--landing", landed, "--out", out, "--odate", "20240101", "--load-id", "7"]) == 0
+    assert os.path.isdir(os.path.join(out, "valid", "app=app_c", "type_client=pf", "odate=20240101", "load_id=7"))
