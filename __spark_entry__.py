@@ -13,6 +13,13 @@ whole input is one app, duplicate key ``id``); the others use the batch
 semantics of the engine (duplicate key ``app, type_client, id``).
 The map column ``response`` is compared through its two keys
 (``response_title``, ``response_snippet``).
+
+Job-level queries (``sink_roundtrip``, ``metrics_roundtrip``, ``ingest_job``,
+``ingest_job_sides``, ``landed_page_reviews``, ``ingest_pages_job``,
+``stream_pages_job``) write into fresh folders under the session's
+checkpoint folder and return what they read back.  ``skewed_invalid_reviews``
+re-keys a third of the ``lineitem`` rows to one id (no row dropped) and forces
+the hot/cold split.
 """
 
 from __future__ import annotations
