@@ -30,3 +30,18 @@ def test_valid_filter_reaches_the_scan(spark, tmp_dir):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(id), IsNotNull(snippet), IsNotNull(rating)]" in text
     assert "ReadSchema: struct<id:string,rating:string,snippet:string,app:string>" in text
+
+
+JOB_QUERIES = {"sink_roundtrip", "metrics_roundtrip", "ingest_job", "ingest_job_sides", "landed_page_reviews",
+               "ingest_pages_job", "stream_pages_job"}
+
+
+def test_queries_read_the_benchmark_tables(spark):
+    """Every non-job query plans a scan of the benchmark tables (job-level
+    queries read back what they wrote from those tables)."""
+    sf = "/root/testdata/sf0.001"
+    for name, fn in E.queries().items():
+        if name in JOB_QUERIES:
+            continue
+        plan = fn(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+        assert sf in plan, name
