@@ -24,6 +24,7 @@ the hot/cold split.
 
 from __future__ import annotations
 
+import importlib
 import os
 from collections.abc import Callable
 from datetime import datetime, timezone
@@ -379,8 +380,24 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_valid_reviews(spark, "/root/testdata/sf0.001")
 
 
+def _optional(name: str):
+    """A module of the optional subpackage, or None where it was taken out; other import errors show."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as e:
+        if e.name not in (name, "revisor.llm"):
+            raise
+        return None
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    found = dict(_QUERIES)
+    llm, pipeline = _optional("revisor.llm.queries"), _optional("corpus_pipeline")
+    if llm is not None:
+        found.update(llm.queries())
+        if pipeline is not None:
+            found["pipeline"] = pipeline.run
+    return found
 
 
 # -- DuckDB oracles -----------------------------------------------------------
@@ -707,4 +724,9 @@ FROM pairs GROUP BY run, key"""
     q["document_check"] = """
 SELECT doc_id, CASE WHEN text IS NULL OR text = '' THEN 'empty' WHEN json_valid(text) THEN 'ok'
   ELSE 'invalid_json' END AS status FROM documents"""
+    llm, pipeline = _optional("revisor.llm.queries"), _optional("corpus_pipeline")
+    if llm is not None:
+        q.update(llm.oracle_sql())
+        if pipeline is not None and pipeline.ORACLE_SQL:
+            q["pipeline"] = pipeline.ORACLE_SQL
     return q
