@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revisor.llm import langid, licenses, packing, urlfilter, warc
+from revisor.llm import fingerprints, langid, licenses, packing, substrings, urlfilter, warc
 
 #: The rules of the url query (host, path, verdict).
 URL_RULES = [
@@ -26,11 +26,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return urlfilter.judge(_table(spark, sf_dir, "pages"), rules)
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicate(_table(spark, sf_dir, "documents"), digest_only=True)
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
@@ -51,7 +59,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_fingerprints": op1_fingerprints,
     "op2_url_filter": op2_url_filter,
+    "op3_substring_dedup": op3_substring_dedup,
     "op5_license_scan": op5_license_scan,
     "op7_warc": op7_warc,
     "op8_packing": op8_packing,
