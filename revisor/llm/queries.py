@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revisor.llm import fingerprints, langid, licenses, packing, substrings, urlfilter, warc
+from revisor.llm import fingerprints, langid, licenses, neardup, packing, substrings, urlfilter, warc
 
 #: The rules of the url query (host, path, verdict).
 URL_RULES = [
@@ -43,6 +43,10 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
+def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = warc.write_archive(_table(spark, sf_dir, "pages"))
     return warc.page_captures(warc.assemble(warc.read_records(spark, path)))
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op3_substring_dedup": op3_substring_dedup,
     "op5_license_scan": op5_license_scan,
+    "op6_neardup": op6_neardup,
     "op7_warc": op7_warc,
     "op8_packing": op8_packing,
     "op10_language_id": op10_language_id,
