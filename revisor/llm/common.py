@@ -130,3 +130,44 @@ def bloom(df: DataFrame, column: str, count: int, max_bits: int = MAX_BLOOM_BITS
     words = np.zeros(bits // 64, dtype=np.uint64)
     words[found.column("at").to_numpy()] = found.column("word").to_numpy().astype(np.int64).view(np.uint64)
     return Bloom(words)
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """The same columns named ``c0, c1, ...``: names with dots or clashing ones do no harm inside an operator."""
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+
+
+def split(docs: DataFrame, id_col: str, filter_: Bloom, hit: bool) -> DataFrame:
+    """Rows, all columns, whose id's ``xxhash64`` passes the filter (``hit``) or surely is not in it.
+
+    A null id is never a hit.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(filter_)
+    rows = numbered(docs)
+    own = F.col(f"c{docs.columns.index(id_col)}")
+    n = len(docs.columns)
+
+    def run(batches):
+        filter_ = shared.value
+        for batch in batches:
+            named = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+            found = named & filter_.has(batch.column(0).fill_null(0).to_numpy().view(np.uint64))
+            yield batch.filter(pa.array(found if hit else ~found)).select(list(range(1, n + 1)))
+
+    keyed = rows.select(F.when(own.isNotNull(), F.xxhash64(own)).alias("key"), "*")
+    return keyed.mapInArrow(run, rows.schema).toDF(*docs.columns)
+
+
+def without(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """``docs`` without the rows whose id is in ``ids`` (one column, that name); a null id stays.
+
+    Only rows that a filter of the ids lets pass take part in the join; the
+    others, nearly all that stay, are not shuffled.
+    """
+    ids, _ = staged(ids.filter(F.col(id_col).isNotNull()), "drop-ids")
+    keys = ids.select(F.xxhash64(F.col(id_col)).alias("key"))
+    filter_ = bloom(keys, "key", keys.count())
+    hits = numbered(split(docs, id_col, filter_, True))
+    own = f"c{docs.columns.index(id_col)}"
+    left = hits.join(ids.toDF("__id"), F.col(own) == F.col("__id"), "left_anti")
+    return split(docs, id_col, filter_, False).union(left.toDF(*docs.columns))

@@ -27,8 +27,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from revisor.llm.common import rename_free, slices, string_views
+from revisor.llm.common import numbered, rename_free, slices, string_views
 from revisor.llm.hashing import FOLD, IS_SPACE
 
 BUCKETS = 1 << 16  # for either gram length
@@ -181,29 +182,32 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return fit(languages, labels, [np.frombuffer(g, dtype="<u4").astype(np.int64) for _, _, g in order])
 
 
-def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text",
-             carry: list[str] | None = None) -> DataFrame:
-    """Columns: id, ``lang_pred``, ``score``, ``rejected``; ``carry`` adds input columns unchanged.
+def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Columns: the id, ``lang_pred``, ``score``, ``rejected``."""
+    return _predicted(rename_free(docs, doc_id=id_col, text=text_col), 1, model).drop("c1").toDF(
+        id_col, "lang_pred", "score", "rejected")
 
-    With ``carry`` the three result columns are prefixed by ``__`` so that they
-    never clash with carried ones, and the id is only there if carried.
-    """
+
+def accepted(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+    """The documents whose language the model does not reject, with all their columns."""
+    found = _predicted(docs, docs.columns.index(text_col), model).filter("NOT rejected")
+    return found.drop("lang_pred", "score", "rejected").toDF(*docs.columns)
+
+
+def _predicted(docs: DataFrame, text_at: int, model: LanguageModel) -> DataFrame:
+    """The columns as ``c0, c1, ...`` and ``lang_pred``, ``score``, ``rejected`` after them."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kinds = dict(docs.dtypes)
-    keep = [id_col] if carry is None else carry
-    names = ["lang_pred", "score", "rejected"] if carry is None else ["__lang_pred", "__score", "__rejected"]
-    rows = docs.select(F.col(text_col).alias("__text"), *[F.col(f"`{c}`") for c in keep])
+    rows = numbered(docs)
+    names = [*rows.columns, "lang_pred", "score", "rejected"]
 
     def predict(batches):
         model = shared.value
         for batch in slices(batches):
-            found = [model.predict(data) for data in string_views(batch.column(0))]
-            lang, score, rejected = zip(*found)
+            lang, score, rejected = zip(*[model.predict(data) for data in string_views(batch.column(text_at))])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(i + 1) for i in range(len(keep))]
-                + [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],
-                names=keep + names)
+                [*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],
+                names=names)
 
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in keep]
-                       + [f"{names[0]} string, {names[1]} double, {names[2]} boolean"])
+    schema = StructType(rows.schema.fields + [StructField("lang_pred", StringType()), StructField("score", DoubleType()),
+                                              StructField("rejected", BooleanType())])
     return rows.mapInArrow(predict, schema)

@@ -40,7 +40,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revisor.llm.common import bloom, rename_free, slices, staged, string_views, unstage
+from revisor.llm.common import bloom, rename_free, slices, staged, string_views, unstage, without
 from revisor.llm.components import components
 from revisor.llm.hashing import mix, shingles, word_hashes
 
@@ -346,3 +346,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents that stay, with all their columns."""
+    gone = near_duplicates(docs, id_col, text_col).filter("NOT kept")
+    return without(docs, gone.select(F.col("doc_id").alias(id_col)).distinct(), id_col)

@@ -10,7 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revisor.llm import fingerprints, langid, licenses, neardup, packing, substrings, urlfilter, warc
+from revisor.llm import decontaminate, fingerprints, langid, licenses, neardup, packing, rollups, substrings, urlfilter, warc
+from revisor.llm.common import staged
+from revisor.session import stage_dir
 
 #: The rules of the url query (host, path, verdict).
 URL_RULES = [
@@ -39,6 +41,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.deduplicate(_table(spark, sf_dir, "documents"), digest_only=True)
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
@@ -56,6 +62,29 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op9_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load every document, revise every count to a second tokenizer, delete the repeats of equal texts.
+
+    The revision is applied twice under one batch id; the second time has no effect.
+    """
+    import public_tokenizers
+
+    versions = {"byte_bpe": public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                "byte_bpe_multi": public_tokenizers.path("byte_bpe_multi_50k.tiktoken")}
+    docs = _table(spark, sf_dir, "documents").withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
+    counted, _ = staged(rollups.count_tokens(docs, versions, carry=("source", "lang", "digest")), "token-counts")
+    old, new = (rollups.side(F.col("source"), F.col("lang"), F.lit(v), F.col(f"n_{v}")) for v in versions)
+    rollup = rollups.Rollup(spark, stage_dir(spark, "rollup"))
+    rollup.apply("load", counted.select(rollups.no_side().alias("before"), old.alias("after")))
+    revise = counted.select(old.alias("before"), new.alias("after"))
+    rollup.apply("revise", revise)
+    rollup.apply("revise", revise)
+    first = counted.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    repeats = counted.join(first, "digest").filter(F.col("doc_id") > F.col("first"))
+    rollup.apply("delete-repeats", repeats.select(new.alias("before"), rollups.no_side().alias("after")))
+    return rollup.totals()
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = langid.identify(docs, langid.train(docs))
@@ -66,10 +95,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_url_filter": op2_url_filter,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_decontaminate": op4_decontaminate,
     "op5_license_scan": op5_license_scan,
     "op6_neardup": op6_neardup,
     "op7_warc": op7_warc,
     "op8_packing": op8_packing,
+    "op9_token_rollup": op9_token_rollup,
     "op10_language_id": op10_language_id,
 }
 

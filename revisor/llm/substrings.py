@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revisor.llm.common import Bloom, bloom, rename_free, slices, staged, string_views, unstage
+from revisor.llm.common import Bloom, bloom, numbered, rename_free, slices, split, staged, string_views, unstage
 from revisor.llm.hashing import SAME, mix, windows, word_hashes
 
 WINDOW = 50
@@ -265,7 +265,6 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = rename_free(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     marks = removal_marks(docs, id_col, text_col)
     marked = bloom(marks, "key", marks.count())
-    shared = docs.sparkSession.sparkContext.broadcast(marked)
     out_types = [pa.int64(), pa.int64(), pa.string(), pa.string()]
     out_names = ["n_words", "n_removed", "kept_sha256", "kept_text"]
     if digest_only:
@@ -278,28 +277,19 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return pa.RecordBatch.from_arrays([pa.array(ids, id_type)] + [pa.array(c, t) for c, t in zip(columns, out_types)],
                                           names=["doc_id"] + out_names)
 
-    keyed = rows.select("doc_id", F.xxhash64("doc_id").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    keyed = rows.withColumn("text", F.coalesce("text", F.lit("")))
 
     def untouched(batches):
-        filter_ = shared.value
         for batch in slices(batches):
-            keys = batch.column(1).to_numpy().view(np.uint64)
-            free = ~filter_.has(keys) | ~batch.column(0).is_valid().to_numpy(zero_copy_only=False)
-            own = batch.filter(pa.array(free))
-            if own.num_rows:
-                yield result(own.column(0).to_pylist(), own.column(0).type,
-                             [_cut(d.tobytes(), None, None) for d in string_views(own.column(2))])
-
-    def touched(batches):
-        filter_ = shared.value
-        press = zstandard.ZstdCompressor(level=1)
+            yield result(batch.column(0).to_pylist(), batch.column(0).type,
+                         [_cut(d.tobytes(), None, None) for d in string_views(batch.column(1))])
+
+    def press(batches):
+        compressor = zstandard.ZstdCompressor(level=1)
         for batch in slices(batches):
-            keys = batch.column(1).to_numpy().view(np.uint64)
-            own = batch.filter(pa.array(filter_.has(keys) & batch.column(0).is_valid().to_numpy(zero_copy_only=False)))
-            if own.num_rows:
-                yield pa.RecordBatch.from_arrays(
-                    [own.column(0), pa.array([press.compress(d.tobytes()) for d in string_views(own.column(2))], pa.binary())],
-                    names=["doc_id", "text"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([compressor.compress(d.tobytes()) for d in string_views(batch.column(1))], pa.binary())],
+                names=["doc_id", "text"])
 
     def cut(batches):
         unpack = zstandard.ZstdDecompressor()
@@ -311,6 +301,43 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield result(batch.column("doc_id").to_pylist(), batch.column("doc_id").type, found)
 
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * (not digest_only)
-    hit = keyed.mapInArrow(touched, "doc_id long, text binary").join(marks.drop("key"), "doc_id", "left")
-    return keyed.mapInArrow(untouched, schema).unionByName(
+    hit = (split(keyed, "doc_id", marked, True).mapInArrow(press, "doc_id long, text binary")
+           .join(marks.drop("key"), "doc_id", "left"))
+    return split(keyed, "doc_id", marked, False).mapInArrow(untouched, schema).unionByName(
         hit.select("doc_id", "text", "whole", "starts").mapInArrow(cut, schema))
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   length_col: str | None = "n_chars") -> DataFrame:
+    """The documents with all their columns and repeated passages cut from the text.
+
+    A text that loses nothing stays as it is; another one becomes its kept words
+    joined by one space, and ``length_col`` (if there is one) its new length in
+    code points.  A document that loses every word goes.
+    """
+    marks = removal_marks(docs, id_col, text_col)
+    marked = bloom(marks, "key", marks.count())
+    names = docs.columns
+    own, text_at = f"c{names.index(id_col)}", names.index(text_col)
+    length_at = names.index(length_col) if length_col in names else -1
+    touched = numbered(split(docs, id_col, marked, True))
+    found = touched.join(marks.select(F.col("doc_id").alias("__id"), F.col("whole").alias("__whole"), "starts"),
+                         F.col(own).cast("long") == F.col("__id"), "left").filter("NOT coalesce(__whole, false)")
+    fields = touched.columns
+
+    def run(batches):
+        for batch in slices(batches):
+            columns = list(batch.columns[:len(fields)])
+            starts = batch.column(len(fields))
+            changed = starts.is_valid().to_numpy(zero_copy_only=False)
+            new = [t.as_py() if not c else _cut(t.as_buffer().to_pybytes(), False, s.values.to_numpy())[2].decode("utf-8", "replace")
+                   for t, s, c in zip(columns[text_at], starts, changed)]
+            columns[text_at] = pa.array(new, columns[text_at].type)
+            if length_at >= 0:
+                columns[length_at] = pa.array([len(t) if c else n for t, c, n in
+                                               zip(new, changed, columns[length_at].to_pylist())], columns[length_at].type)
+            keep = np.array([not c or bool(t) for t, c in zip(new, changed)])
+            yield pa.RecordBatch.from_arrays(columns, names=fields).filter(pa.array(keep))
+
+    cut = found.select(*fields, "starts").mapInArrow(run, touched.schema).toDF(*names)
+    return split(docs, id_col, marked, False).union(cut)
