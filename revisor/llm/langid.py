@@ -16,8 +16,8 @@ multiplied into the table first, and a text costs one lookup of a short row
 for each gram.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0 and
-rejected; without labelled rows every text is ``und``; a null id is predicted
-but never learned from; repeated rows are predicted alike; columns beyond id,
+rejected, and never learned from; without labelled rows every text is ``und``;
+a null id is predicted but never learned from; repeated rows are predicted alike; columns beyond id,
 text and label are not read.
 """
 
@@ -164,20 +164,24 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
     def features(batches):
         for batch in slices(batches):
-            out = []
+            out, keep = [], []
             for data in string_views(batch.column("text")):
+                keep.append(has_letter(data))
                 g = grams(data)
                 if len(g) > MAX_GRAMS:
                     g = g[np.arange(MAX_GRAMS) * len(g) // MAX_GRAMS]
                 out.append(g.astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("place"), batch.column("lang"), pa.array(out, pa.binary())], names=["place", "lang", "grams"])
+                [batch.column("place"), batch.column("lang"), pa.array(out, pa.binary())],
+                names=["place", "lang", "grams"]).filter(pa.array(keep))
 
     sample = (picked.select(place.alias("place"), "lang", "text")
               .mapInArrow(features, "place long, lang string, grams binary").limit(2 * max_sample).toArrow())
     order = sorted(zip(sample.column("place").to_pylist(), sample.column("lang").to_pylist(),
                        sample.column("grams").to_pylist()))
     index = {name: i for i, name in enumerate(languages)}
+    if not order:
+        return LanguageModel([], np.zeros((2 * BUCKETS, 0), np.float32), np.zeros(0), 1.0, 0.0)
     labels = np.array([index[lang] for _, lang, _ in order], dtype=np.int64)
     return fit(languages, labels, [np.frombuffer(g, dtype="<u4").astype(np.int64) for _, _, g in order])
 
