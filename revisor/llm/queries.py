@@ -55,7 +55,7 @@ def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = warc.write_archive(_table(spark, sf_dir, "pages"))
-    return warc.page_captures(warc.assemble(warc.read_records(spark, path)))
+    return warc.page_captures(warc.assemble(warc.read_records(spark, path, payloads=False)))
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

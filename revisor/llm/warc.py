@@ -178,8 +178,12 @@ def parse(content: memoryview) -> Iterator[tuple]:
                None if payload is None else hashlib.sha256(payload).hexdigest())
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """All records of the archive files under ``path`` (gzip, by file or by record, or plain)."""
+def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """All records of the archive files under ``path`` (gzip, by file or by record, or plain).
+
+    Sizes and digests always come from the whole payloads; with ``payloads``
+    off, the payloads themselves stay behind (null).
+    """
     kinds = {"string": pa.string(), "binary": pa.binary(), "long": pa.int64()}
     fields = [(n, kinds[k]) for n, k in (x.split() for x in RECORD_SCHEMA.split(", "))]
 
@@ -192,8 +196,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
             for content in batch.column(0):
                 rows, size = [], 0
                 for row in parse(memoryview(content.as_buffer())):
-                    rows.append(row)
-                    size += 200 + len(row[8]) + (row[10] or 0)
+                    rows.append(row if payloads else (*row[:9], None, *row[10:]))
+                    size += 200 + len(row[8]) + (payloads and row[10] or 0)
                     if size > 4 << 20:
                         yield flush(rows)
                         rows, size = [], 0
