@@ -14,9 +14,9 @@ Two kinds of finds:
   reaches ``MIN_SHARE`` and every mandatory key phrase of the template stands at
   its place.
 
-Only texts in which one pattern search finds a base phrase or a key phrase are
-looked at word by word; the others can't hold either.  Words are cut as the word
-pattern says and folded A-Z, over the whole text.
+Only texts that hold the rarest word of some base phrase or key phrase are looked
+at word by word; the others can't hold any.  Words are cut and folded A-Z over
+the whole text.
 
 Defined cases: a null text is empty: no words, no labels, score 0; repeated
 rows are scanned one by one; ties between templates at one place keep both
@@ -27,16 +27,14 @@ text are not read.
 from __future__ import annotations
 
 import math
-import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revisor.llm.common import rename_free
 
-#: Word pattern (folded, and as it reads before folding) and the base phrases.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD_UNFOLDED = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: What parts the words of a folded text, and the base phrases.
+GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BASE_PHRASES = {
     "gnu general public license": "gpl",
     "apache license": "apache",
@@ -72,7 +70,11 @@ TEMPLATES = [
 ANCHORS = 3
 MIN_SHARE = 0.7
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+
+
+def words_of(text: Column) -> Column:
+    """The words of a text, folded; a null text has none."""
+    return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), GAP), "")
 
 
 def vocabulary() -> list[str]:
@@ -82,8 +84,7 @@ def vocabulary() -> list[str]:
 def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[dict[str, int], int]:
     """In how many documents each template word occurs, and the number of documents."""
     vocab = vocabulary()
-    words = F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(f"({WORD_UNFOLDED})"), F.lit(1))
-    listed = F.array_distinct(F.filter(F.transform(words, F.lower), lambda w: w.isin(vocab)))
+    listed = F.array_intersect(words_of(F.col("text")), F.array(*[F.lit(w) for w in vocab]))
     # one row for the document itself, marked by the empty string, which is no word
     marked = rename_free(docs, text=text_col).select(F.explode(F.array_append(listed, F.lit(""))).alias("word"))
     counts = {r["word"]: r["n"] for r in marked.groupBy("word").agg(F.count("*").alias("n")).collect()}
@@ -165,11 +166,10 @@ def _position(body: list[str], phrase: list[str]) -> int:
     return next(i for i in range(len(body)) if body[i:i + len(phrase)] == phrase)
 
 
-def _may_hold(weights: dict[str, float]) -> str:
-    """Pattern of texts that contain a key phrase of a template or a base phrase, in either case."""
+def _required(weights: dict[str, float]) -> list[str]:
+    """The rarest word of every base phrase and of every template's first key phrase."""
     phrases = [p for p in BASE_PHRASES] + [phrases[0] for _, _, phrases in TEMPLATES]
-    joined = "|".join(sorted({f"{_GAP}+".join(map(re.escape, p.split())) for p in phrases}))
-    return f"(?i)(?:{joined})"
+    return sorted({max(p.split(), key=lambda w: (weights.get(w, 0.0), w)) for p in phrases})
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -182,13 +182,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     counts, total = frequencies or document_frequencies(docs, text_col)
     weights = {w: idf(n, total) for w, n in counts.items()}
     labels = F.array(*[F.lit(label) for label, _, _ in TEMPLATES])
-    words = F.regexp_extract_all(F.col("text"), F.lit(f"({WORD_UNFOLDED})"), F.lit(1))
     none = F.array().cast("array<string>")
-    rows = rename_free(docs, doc_id=id_col, text=text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.select("doc_id", words.alias("raw"), F.col("text").rlike(_may_hold(weights)).alias("may_hold"))
-    folded = F.transform("raw", lambda w: F.translate(w, _UPPER, _LOWER))
-    rows = rows.select("doc_id", F.size("raw").cast("long").alias("n_words"),
-                       F.when(F.col("may_hold"), folded).otherwise(none).alias("words"))
+    rows = rename_free(docs, doc_id=id_col, text=text_col).select("doc_id", words_of(F.col("text")).alias("all"))
+    may_hold = F.arrays_overlap("all", F.array(*[F.lit(w) for w in _required(weights)]))
+    rows = rows.select("doc_id", F.size("all").cast("long").alias("n_words"),
+                       F.when(may_hold, F.col("all")).otherwise(none).alias("words"))
     rows = rows.select("doc_id", "n_words", _base_places(F.col("words")).alias("base"),
                        _template_places(F.col("words"), weights).alias("found"))
     base_labels = F.array_distinct(F.transform("base", lambda x: x["label"]))
