@@ -17,11 +17,12 @@ one document of each component stays.
    smaller) puts the similarity within ``MARGIN`` of the threshold, then both full
    sets are compared, and confirmed links are contracted to components.
 5. *Rest.*  Buckets that still hold several components are compared across
-   components: first each class with its likeliest partner in every other
-   component, then, after contracting again, every pair that is left and likely
-   enough.  So no link between different texts is lost, and the pairs inside a
-   component, nearly all of a hot group, are never made.  Large buckets are
-   dealt out in blocks.
+   components, in blocks: first registers alone tell which members are in any
+   likely pair, then the full sets of those are compared inside the task, most
+   likely pairs first, until their components are linked.  Every likely pair
+   across components is tested, so no link between different texts is lost; the
+   pairs inside a component, nearly all of a hot group, are never made, and no
+   pairs are emitted but the links that join components.
 
 Defined cases: texts without words are linked with nothing; with fewer than five
 words the whole sequence is the one shingle; a null id is linked with nothing,
@@ -50,7 +51,7 @@ ROWS, BANDS = 4, 40
 REGISTERS = ROWS * BANDS
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1
 MARGIN = 0.15  # over four standard deviations of the estimate at the threshold
-BLOCK = 1024
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
 
 _rng = np.random.default_rng(6)
 _MULTIPLY = _rng.integers(1, 1 << 62, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -215,78 +216,132 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.mapInArrow(verify, "a long, b long").toDF("u", "v")
 
 
-def _cross_pairs(rows: DataFrame, best_only: bool) -> DataFrame:
-    """Likely pairs across components within each block of a bucket.
+def _blocks(batches, columns: list[str]):
+    """Runs of rows with equal (bucket, i, j), as tables; rows arrive sorted by them."""
+    held: pa.Table | None = None
+    for batch in slices(batches, 4 << 20):
+        table = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
+        keys = np.stack([table.column(c).to_numpy().astype(np.int64) for c in ("bucket", "i", "j")], axis=1)
+        starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
+        for at, end in zip(starts[:-1], starts[1:]):
+            yield table.slice(at, end - at).select(columns)
+        held = table.slice(starts[-1])
+    if held is not None:
+        yield held.select(columns)
 
-    ``rows``: (bucket, i, j, side, cls, component, n, registers).  Blocks hold
-    classes of a smaller component (side 0) and those to compare them with.
+
+def _likely_partners(bucket: int, side, component, n, registers):
+    """(k, its likely partners across components, likeliest first) for the compared rows of a block.
+
+    A pair that shares several bands is taken up in the first of them only.
     """
+    band = int(np.flatnonzero(band_hashes(registers[0]).view(np.int64) == bucket)[0])
+    against = np.flatnonzero(side != 0)
+    for k in np.flatnonzero(side != 1):
+        others = against[(component[against] != component[k]) & ((side[against] == 1) | (against > k))]
+        if not len(others):
+            continue
+        same = registers[others] == registers[k]
+        near = same.sum(axis=1) >= REGISTERS * (THRESHOLD_PERCENT / 100 - MARGIN - 0.05)
+        others, same = others[near], same[near]
+        first = same.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band
+        others, same = others[first], same[first]
+        if not len(others):
+            continue
+        value = estimate(n[k], n[others], same.sum(axis=1), (registers[k] > registers[others]).sum(axis=1))
+        near = value >= THRESHOLD_PERCENT / 100 - MARGIN
+        if near.any():
+            yield k, others[near][np.argsort(-value[near], kind="stable")]
+
+
+_NARROW = ["bucket", "i", "j", "side", "cls", "component", "n", "registers"]
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartition(parts, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-
-    def pairs_of(block: pa.Table) -> list[np.ndarray]:
-        side, cls, component, n = (block.column(c).to_numpy() for c in ("side", "cls", "component", "n"))
-        registers = np.frombuffer(b"".join(block.column("registers").to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS)
-        out = []
-        against = np.flatnonzero(side != 0)
-        for k in np.flatnonzero(side != 1):
-            others = against[component[against] != component[k]]
-            equal = (registers[others] == registers[k]).sum(axis=1)
-            near = equal >= REGISTERS * (THRESHOLD_PERCENT / 100 - MARGIN - 0.05)
-            others, equal = others[near], equal[near]
-            if not len(others):
-                continue
-            value = estimate(n[k], n[others], equal, (registers[k] > registers[others]).sum(axis=1))
-            near = value >= THRESHOLD_PERCENT / 100 - MARGIN
-            others, value = others[near], value[near]
-            if best_only and len(others):
-                order = np.lexsort((-value, component[others]))
-                others = others[order]
-                others = others[np.r_[True, component[others][1:] != component[others][:-1]]]
-            out.append(np.stack([np.maximum(cls[k], cls[others]), np.minimum(cls[k], cls[others])], axis=1))
-        return out
+    return rows.repartition(parts, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+
+
+def _with_partners(rows: DataFrame) -> DataFrame:
+    """The rows of blocks that are in some likely pair."""
 
     def run(batches):
-        held: pa.Table | None = None
+        for block in _blocks(batches, _NARROW):
+            side, component, n = (block.column(c).to_numpy() for c in ("side", "component", "n"))
+            registers = np.frombuffer(b"".join(block.column("registers").to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS)
+            keep = np.zeros(len(side), dtype=bool)
+            for k, others in _likely_partners(block.column("bucket")[0].as_py(), side, component, n, registers):
+                keep[k] = True
+                keep[others] = True
+            if keep.any():
+                yield from block.filter(pa.array(keep)).to_batches()
 
-        def emit(block):
-            found = pairs_of(block)
-            if found:
-                both = np.unique(np.concatenate(found), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["a", "b"])
+    return _dealt(rows).mapInArrow(run, rows.select(_NARROW).schema)
 
-        for batch in slices(batches, 4 << 20):
-            table = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
-            keys = np.stack([table.column(c).to_numpy().astype(np.int64) for c in ("bucket", "i", "j")], axis=1)
-            starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
-            for at, end in zip(starts[:-1], starts[1:]):
-                yield from emit(table.slice(at, end - at))
-            held = table.slice(starts[-1])
-        if held is not None:
-            yield from emit(held)
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+def _cross_links(rows: DataFrame) -> DataFrame:
+    """Edges (u, v) between components: exact tests of the likely pairs in each block.
 
+    A block tests a pair only if it has not linked their components yet, so it
+    emits fewer edges than it has components.
+    """
 
-def _mixed_blocks(members: DataFrame, labels: DataFrame, classes: DataFrame) -> tuple[DataFrame, str, int]:
-    """Members of the buckets that hold several components, dealt out in blocks; staged, with their number.
+    def run(batches):
+        unpack = zstandard.ZstdDecompressor()
+        for block in _blocks(batches, [*_NARROW, "text"]):
+            side, cls, component, n = (block.column(c).to_numpy() for c in ("side", "cls", "component", "n"))
+            registers = np.frombuffer(b"".join(block.column("registers").to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS)
+            texts, sets, linked_to = block.column("text"), {}, {}
+
+            def of(i):
+                if i not in sets:
+                    sets[i] = shingle_hashes(np.frombuffer(unpack.decompress(texts[i].as_py()), dtype=np.uint8))
+                return sets[i]
+
+            def root(c):
+                while c in linked_to:
+                    c = linked_to[c]
+                return c
+
+            out = []
+            for k, others in _likely_partners(block.column("bucket")[0].as_py(), side, component, n, registers):
+                for o in others.tolist():
+                    a, b = root(int(component[k])), root(int(component[o]))
+                    if a != b and linked(of(k), of(o)):
+                        linked_to[a] = b
+                        out.append((cls[k], cls[o]))
+            if out:
+                u, v = np.array(out, dtype=np.int64).T
+                yield pa.RecordBatch.from_arrays([pa.array(u.copy()), pa.array(v.copy())], names=["u", "v"])
+
+    return _dealt(rows).mapInArrow(run, "u long, v long")
+
+
+def _mixed_blocks(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members (bucket, cls, n) of the buckets that hold several components, dealt out in blocks.
 
     In a bucket the largest component needs no pairs of its own: its members are
     side 1, compared with the others only.  The others are split into ``i``
     chunks and meet every chunk ``j`` of either kind; side 0 or 2 marks a member
-    that is compared, side 1 or 2 one that it is compared with.
+    that is compared, side 1 or 2 one that it is compared with.  A chunk holds
+    about ``BLOCK`` classes and ``BLOCK_SHINGLES`` shingles at most.
     """
     named = members.join(labels.toDF("cls", "component"), "cls", "left") \
                    .withColumn("component", F.coalesce("component", "cls"))
-    per = named.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    mixed = per.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("major"),
-                                      F.max("n").alias("n_major"), F.sum("n").alias("n_all"), F.count("*").alias("k")) \
-               .filter("k > 1")
-    chunks = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
-    placed = (named.join(mixed, "bucket")
-              .withColumn("is_major", F.col("component") == F.col("major"))
-              .withColumn("minors", chunks(F.col("n_all") - F.col("n_major"))).withColumn("majors", chunks(F.col("n_major")))
-              .withColumn("own", F.pmod(F.xxhash64("cls"), F.when(F.col("is_major"), F.col("majors")).otherwise(F.col("minors"))).cast("int")))
+    per = named.groupBy("bucket", "component").agg(F.count("*").alias("c"), F.sum("n").alias("w"))
+    largest = F.max(F.struct("c", "component", "w"))
+    mixed = per.groupBy("bucket").agg(largest.alias("major"), F.sum("c").alias("c_all"), F.sum("w").alias("w_all"),
+                                      F.count("*").alias("k")).filter("k > 1")
+
+    def chunks(count, weight):
+        return F.ceil(F.greatest(count / F.lit(BLOCK), weight / F.lit(BLOCK_SHINGLES))).cast("int")
+
+    mixed = mixed.select("bucket", F.col("major.component").alias("major"),
+                         chunks(F.col("major.c"), F.col("major.w")).alias("majors"),
+                         chunks(F.col("c_all") - F.col("major.c"), F.col("w_all") - F.col("major.w")).alias("minors"))
+    placed = named.join(mixed, "bucket").withColumn("is_major", F.col("component") == F.col("major"))
+    placed = placed.withColumn("own", F.pmod(F.xxhash64("cls"), F.when(F.col("is_major"), F.col("majors"))
+                                             .otherwise(F.col("minors"))).cast("int"))
     every = F.sequence(F.lit(0), F.col("minors") - 1)
     # (i, j, side) of every block a member belongs to; j counts minor chunks, then major ones
     as_major = F.transform(every, lambda i: F.struct(i.alias("i"), (F.col("minors") + F.col("own")).alias("j"), F.lit(1).alias("side")))
@@ -296,10 +351,8 @@ def _mixed_blocks(members: DataFrame, labels: DataFrame, classes: DataFrame) ->
         F.least(F.col("own"), j).alias("i"), F.greatest(F.col("own"), j).alias("j"),
         F.when(F.col("own") == j, 2).when(F.col("own") < j, 0).otherwise(1).alias("side")))
     blocks = F.when(F.col("is_major"), as_major).otherwise(F.concat(with_major, with_minor))
-    dealt = (placed.select("bucket", "cls", "component", F.explode(blocks).alias("at"))
-             .select("bucket", "at.*", "cls", "component"))
-    out, path = staged(dealt.join(classes.select("cls", "n", "registers"), "cls"), "near-mixed")
-    return out, path, out.count()
+    return placed.select("bucket", "cls", "component", "n", F.explode(blocks).alias("at")).select(
+        "bucket", "at.*", "cls", "component", "n")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -316,28 +369,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars, p_stars = staged(_band_rows(classes).groupBy("bucket").agg(F.min("cls").alias("first"), F.max("cls").alias("last"))
                             .filter("first < last").select("bucket", "first"), "near-stars")
     shared = bloom(stars, "bucket", stars.count())
-    members, p_members = staged(_band_rows(classes, shared).join(stars, "bucket"), "near-members")
+    members, p_members = staged(_band_rows(classes, shared).join(stars, "bucket")
+                                .join(classes.select("cls", "n"), "cls"), "near-members")
     texts, p_texts = staged(_texts(rows, members), "near-texts")
-    paths = [p_cls, p_stars, p_members, p_texts]
-
-    pairs, path = staged(_likely(members.filter("cls > first").select(F.col("cls").alias("a"), F.col("first").alias("b"))
-                                 .distinct(), classes), "near-pairs")
-    tried = pairs
-    edges, path_e = staged(_confirmed(pairs, texts), "near-edges")
+    pairs, p_pairs = staged(_likely(members.filter("cls > first").select(F.col("cls").alias("a"), F.col("first").alias("b"))
+                                    .distinct(), classes), "near-pairs")
+    edges, p_edges = staged(_confirmed(pairs, texts), "near-edges")
     labels, p_labels = components(edges)
-    paths += [path, path_e]
-    for best_only in (True, False):
-        mixed, path, n = _mixed_blocks(members.select("bucket", "cls"), labels, classes)
-        paths.append(path)
-        if not n:
-            break
-        more, path = staged(_cross_pairs(mixed, best_only).join(tried, ["a", "b"], "left_anti"), "near-pairs")
-        paths.append(path)
-        tried = tried.unionByName(more)
-        found, path = staged(_confirmed(more, texts), "near-edges")
-        paths += [path, p_labels]
-        edges = edges.unionByName(found)
-        labels, p_labels = components(edges)
+    paths = [p_cls, p_stars, p_members, p_texts, p_pairs, p_edges]
+
+    mixed, p_mixed = staged(_mixed_blocks(members.select("bucket", "cls", "n"), labels), "near-mixed")
+    near = _with_partners(mixed.join(classes.select("cls", "registers"), "cls").select(_NARROW))
+    more, p_more = staged(_cross_links(near.join(texts.toDF("cls", "text"), "cls").select(*_NARROW, "text")), "near-links")
+    paths += [p_mixed, p_more]
+    if not more.isEmpty():
+        paths.append(p_labels)
+        labels, p_labels = components(edges.unionByName(more))
     unstage(spark, *paths)
 
     of_class = leaders.join(labels.toDF("cls", "component"), "cls", "left").select(

@@ -173,6 +173,7 @@ def test_components_of_paths_and_stars(spark):
 @pytest.mark.parametrize("block", [1024, 4])
 def test_near_duplicates_match_plain_version(spark, docs, near_set, block, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "BLOCK_SHINGLES", block * 1024)
     rows = near_set if block == 4 else near_set + [(1000 + i, t) for i, t in zip(docs.doc_id.tolist(), docs.text)]
     found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
     expected = brute.near_components(rows)
