@@ -5,7 +5,7 @@ Parquet and reads it back with its declared schema: lineage is cut, a lost
 executor costs nothing that was staged, and an empty frame stays readable.
 ``unstage`` removes such a folder as soon as a later table replaces it.
 
-*Bloom filters.*  ``bloom`` ORs partial bit sets on the executors and
+*Bloom filters.*  ``bloom`` fills segments of a bit set on the executors and
 returns one filter whose size never passes ``max_bits``, however large the
 input; beyond that only its false-positive rate rises.  Callers use it to skip
 work, never to decide a result.
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from revisor.session import stage_dir
 
 MAX_BLOOM_BITS = 1 << 28  # 32 MiB, whatever the corpus size
+SEGMENT_BITS = 1 << 20
 BLOOM_HASHES = 4
 BLOOM_BITS_PER_KEY = 12
 
@@ -76,14 +77,25 @@ def slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 8 << 20) -> Itera
 
 
 class Bloom:
-    """Bits of a Bloom filter over 64-bit hashes; ``bits`` is a power of two."""
+    """Bits of a Bloom filter over 64-bit hashes, in segments; a key's bits lie in one segment.
+
+    ``words`` has a row for each segment; both numbers are powers of two.
+    """
 
     def __init__(self, words: np.ndarray):
         self.words = words
-        self.mask = np.uint64(len(words) * 64 - 1)
+        self.flat = words.reshape(-1)
+
+    @staticmethod
+    def segment(hashes: np.ndarray, segments: int) -> np.ndarray:
+        if segments == 1:
+            return np.zeros(len(hashes), dtype=np.uint64)
+        return hashes >> np.uint64(64 - (segments.bit_length() - 1))
 
     @staticmethod
-    def positions(hashes: np.ndarray, mask: np.uint64) -> Iterator[np.ndarray]:
+    def positions(hashes: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+        """Bits of the keys within their segments."""
+        mask = np.uint64(bits - 1)
         step = (hashes >> np.uint64(17)) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
         at = hashes.copy()
         for _ in range(BLOOM_HASHES):
@@ -91,9 +103,11 @@ class Bloom:
             at = at + step
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
+        segments, width = self.words.shape
+        base = self.segment(hashes, segments) * np.uint64(width)
         found = np.ones(len(hashes), dtype=bool)
-        for at in self.positions(hashes, self.mask):
-            found &= (self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) != 0
+        for at in self.positions(hashes, width * 64):
+            found &= (self.flat[base + (at >> np.uint64(6))] >> (at & np.uint64(63))) & np.uint64(1) != 0
         return found
 
 
@@ -107,28 +121,33 @@ def bloom_bits(count: int, max_bits: int = MAX_BLOOM_BITS) -> int:
 def bloom(df: DataFrame, column: str, count: int, max_bits: int = MAX_BLOOM_BITS) -> Bloom:
     """Filter over the 64-bit hashes in ``column`` (nulls are left out).
 
-    Every task sets bits in a set of its own and emits its non-zero words;
-    words are OR-ed by position.  The driver receives at most ``max_bits`` bits.
+    Hashes are dealt out by segment, so a task makes whole segments and the
+    driver receives each segment once: ``max_bits`` bits at most.
     """
     bits = bloom_bits(count, max_bits)
-    mask = np.uint64(bits - 1)
+    segments = max(1, bits // SEGMENT_BITS)
+    width = bits // segments // 64
 
-    def partial(batches):
-        words = np.zeros(bits // 64, dtype=np.uint64)
+    def fill(batches):
+        made: dict[int, np.ndarray] = {}
         for batch in batches:
-            hashes = batch.column(0).drop_null().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            for at in Bloom.positions(hashes, mask):
-                np.bitwise_or.at(words, at >> np.uint64(6), np.uint64(1) << (at & np.uint64(63)))
-        used = np.flatnonzero(words)
-        for at in range(0, len(used), 1 << 18):
-            part = used[at:at + (1 << 18)]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int64)), pa.array(words[part].view(np.int64))],
-                                             names=["at", "word"])
-
-    found = (df.select(F.col(column).cast("long").alias("h")).mapInArrow(partial, "at long, word long")
-             .groupBy("at").agg(F.bit_or("word").alias("word")).toArrow())
-    words = np.zeros(bits // 64, dtype=np.uint64)
-    words[found.column("at").to_numpy()] = found.column("word").to_numpy().astype(np.int64).view(np.uint64)
+            hashes = batch.column(0).to_numpy().view(np.uint64)
+            own = Bloom.segment(hashes, segments)
+            for segment in np.unique(own):
+                words = made.setdefault(int(segment), np.zeros(width, dtype=np.uint64))
+                for at in Bloom.positions(hashes[own == segment], width * 64):
+                    np.bitwise_or.at(words, at >> np.uint64(6), np.uint64(1) << (at & np.uint64(63)))
+        for segment, words in made.items():
+            yield pa.RecordBatch.from_arrays([pa.array([segment], pa.int32()), pa.array([words.tobytes()], pa.binary())],
+                                             names=["segment", "words"])
+
+    h = F.col(column).cast("long")
+    segment = F.lit(0) if segments == 1 else F.shiftrightunsigned(h, 64 - (segments.bit_length() - 1)).cast("int")
+    dealt = df.select(h.alias("h"), segment.alias("segment")).where("h IS NOT NULL").repartition(segments, "segment")
+    found = dealt.select("h").mapInArrow(fill, "segment int, words binary").toArrow()
+    words = np.zeros((segments, width), dtype=np.uint64)
+    for segment, data in zip(found.column("segment").to_pylist(), found.column("words").to_pylist()):
+        words[segment] = np.frombuffer(data, dtype=np.uint64)
     return Bloom(words)
 
 
