@@ -46,6 +46,7 @@ MIN_ITEM_WORDS = 8
 REPETITIONS = 32
 SAMPLES = 2
 MAX_ITEM_WORDS = 4_000_000
+WINDOWS_AT_ONCE = 4096
 _PAD = np.uint64(0x5BD1E9955BD1E995)
 
 
@@ -59,35 +60,35 @@ def seed_size(words: int) -> int:
     return max(1, min(SEED_WORDS, (words - k) // (k + 1)))
 
 
-class Walks:
-    """The random walks of one item size, and the steps at which they are sampled."""
-
-    def __init__(self, size: int, seed: int = 4):
-        rng = np.random.default_rng([seed, size])
-        self.size = size
-        # a walk over `size` words is nearly always through after 2 * size steps
-        self.steps = np.sort(rng.integers(0, 2 * size, (REPETITIONS, SAMPLES)), axis=1)
-        self.salts = rng.integers(0, 1 << 63, (REPETITIONS, 2 * size), dtype=np.uint64)
-
-    def keys(self, runs: np.ndarray) -> np.ndarray:
-        """LSH keys (runs by repetition) of an array of word runs (runs by size)."""
-        n = len(runs)
-        padded = np.concatenate([runs, np.full((n, 1), _PAD)], axis=1)
-        out = np.empty((n, REPETITIONS), dtype=np.uint64)
-        row = np.arange(n)
-        for r in range(REPETITIONS):
-            at = np.zeros(n, dtype=np.int64)
-            key = np.full(n, r, dtype=np.uint64)
-            wanted = list(self.steps[r])
-            for step in range(wanted[-1] + 1):
-                word = padded[row, at]
-                while wanted and wanted[0] == step:
-                    key = mix(key ^ word) + np.uint64(step + 1)
-                    wanted.pop(0)
-                move = mix(word ^ self.salts[r, step]) & np.uint64(1)
-                at = np.minimum(at + move.astype(np.int64), self.size)
-            out[:, r] = key
-        return out
+_rng = np.random.default_rng(4)
+#: Sampled steps as shares of a walk; a walk over n words is nearly always through after 2 * n steps.
+_SHARES = np.sort(_rng.random((REPETITIONS, SAMPLES)), axis=1)
+_WALK_SALT = _rng.integers(0, 1 << 63, REPETITIONS, dtype=np.uint64)
+
+
+def walk_keys(runs: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """LSH keys (runs by repetition) of word runs, one row each, padded beyond their size.
+
+    All runs walk at once, in every repetition: step by step each copies its
+    word where the step is sampled, and moves on by a random bit of (repetition,
+    step, word).  Runs of different sizes never share a key.
+    """
+    n = len(runs)
+    row = np.arange(n)[:, None]
+    wanted = (_SHARES[None] * (2 * sizes[:, None, None])).astype(np.int64)  # run, repetition, sample
+    key = mix(sizes.astype(np.uint64)[:, None] * np.uint64(REPETITIONS) + np.arange(REPETITIONS, dtype=np.uint64)[None])
+    at = np.zeros((n, REPETITIONS), dtype=np.int64)
+    end = sizes[:, None]
+    for step in range(int(wanted.max(initial=-1)) + 1):
+        word = runs[row, at]
+        for sample in range(SAMPLES):
+            here = wanted[:, :, sample] == step
+            if here.any():
+                key[here] = mix(key[here] ^ word[here]) + np.uint64(sample + 1)
+        salt = mix(_WALK_SALT + np.full(1, step, dtype=np.uint64))
+        move = mix(word ^ salt[None]) & np.uint64(1)
+        at = np.minimum(at + move.astype(np.int64), end)
+    return key
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
@@ -114,59 +115,79 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
 
 
 class ItemIndex:
-    """Seeds and LSH tables of the items."""
+    """Seeds and LSH keys of the items, as sorted arrays."""
 
     def __init__(self, items: list[tuple[object, np.ndarray]]):
         self.items = items
-        by_size: dict[int, list[int]] = {}
+        lengths = np.array([len(words) for _, words in items], dtype=np.int64)
+        self.longest = int(lengths.max(initial=0))
+        runs = np.full((len(items), self.longest + 1), _PAD)
+        seeds: list[np.ndarray] = []
+        aligned: list[np.ndarray] = []
         for k, (_, words) in enumerate(items):
-            by_size.setdefault(len(words), []).append(k)
-        self.walks = {size: Walks(size) for size in by_size}
-        self.tables: dict[int, dict[int, list[int]]] = {}
-        seeds: dict[int, set[tuple[int, int]]] = {}
-        self.sizes = sorted({seed_size(size) for size in by_size})
-        for size, own in by_size.items():
-            table: dict[int, list[int]] = {}
-            for k, keys in zip(own, self.walks[size].keys(np.stack([items[k][1] for k in own])).tolist()):
-                for key in keys:
-                    table.setdefault(key, []).append(k)
-            self.tables[size] = table
-            for k in own:
-                for offset, h in enumerate(windows(items[k][1], seed_size(size), seed=7 + seed_size(size)).tolist()):
-                    seeds.setdefault(h, set()).add((size, offset))
-        self.seeds = seeds
-        self.known = np.sort(np.array(list(seeds), dtype=np.uint64))
+            runs[k, :len(words)] = words
+            size = seed_size(len(words))
+            hashes = windows(words, size, seed=7 + size)
+            seeds.append(hashes)
+            aligned.append(np.stack([np.full(len(hashes), len(words)), np.arange(len(hashes))], axis=1))
+        self.seed_sizes = sorted({seed_size(n) for n in lengths.tolist()})
+        # (seed, item length, offset) once each, sorted by seed
+        rows = np.concatenate(aligned) if items else np.zeros((0, 2), np.int64)
+        hashes = np.concatenate(seeds) if items else np.zeros(0, np.uint64)
+        distinct = np.unique(np.rec.fromarrays([hashes, rows[:, 0], rows[:, 1]], names="h,n,o"))
+        self.seeds, self.lengths, self.offsets = distinct["h"].copy(), distinct["n"].copy(), distinct["o"].copy()
         self.coarse = np.zeros(1 << 18, dtype=bool)
-        self.coarse[(self.known >> np.uint64(46)).astype(np.int64)] = True
-
-    def search(self, text: np.ndarray) -> list[tuple[object, int, int, int]]:
-        """(item id, distance, start, end) of every item the text contains, at its best place."""
-        starts: dict[int, set[int]] = {}
-        for size in self.sizes:
+        self.coarse[(self.seeds >> np.uint64(46)).astype(np.int64)] = True
+        keys = walk_keys(runs, lengths) if items else np.zeros((0, REPETITIONS), np.uint64)
+        order = np.argsort(keys, axis=None, kind="stable")
+        self.keys, self.owner = keys.reshape(-1)[order], np.repeat(np.arange(len(items)), REPETITIONS)[order]
+
+    def _aligned(self, text: np.ndarray) -> np.ndarray:
+        """(length, start) of the item-sized windows that align with a seed in the text."""
+        found = []
+        for size in self.seed_sizes:
             runs = windows(text, size, seed=7 + size)
             at = np.flatnonzero(self.coarse[(runs >> np.uint64(46)).astype(np.int64)])
-            if not len(at) or not len(self.known):
-                continue
-            place = np.minimum(np.searchsorted(self.known, runs[at]), len(self.known) - 1)
-            at = at[self.known[place] == runs[at]]
-            for p, h in zip(at.tolist(), runs[at].tolist()):
-                for length, offset in self.seeds[h]:
-                    starts.setdefault(length, set()).add(p - offset)
-        best: dict[int, tuple[int, int, int]] = {}
-        for length, own in starts.items():
-            begin = np.array(sorted(own))
-            place = begin[:, None] + np.arange(length)
-            runs = np.where((place >= 0) & (place < len(text)), text[np.clip(place, 0, len(text) - 1)], _PAD)
-            table = self.tables[length]
-            slack = allowed_edits(length)
-            for p, keys in zip(begin.tolist(), self.walks[length].keys(runs).tolist()):
-                for k in sorted({k for key in keys for k in table.get(key, ())}):
-                    low = max(0, p - slack)
-                    distance, start, end = align(self.items[k][1], text[low:p + length + slack])
-                    found = (distance, low + start, low + end)
-                    if distance <= slack and found < best.get(k, (slack + 1, 0, 0)):
-                        best[k] = found
-        return [(self.items[k][0], *found) for k, found in sorted(best.items())]
+            low = np.searchsorted(self.seeds, runs[at], side="left")
+            n = np.searchsorted(self.seeds, runs[at], side="right") - low
+            place = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+            found.append(np.stack([self.lengths[place], np.repeat(at, n) - self.offsets[place]], axis=1))
+        return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+
+    def _candidates(self, texts: list[np.ndarray]):
+        """(text, item, start) of windows and items that share an LSH key, each once."""
+        aligned = [self._aligned(t) for t in texts]
+        which = np.repeat(np.arange(len(texts)), [len(a) for a in aligned])
+        flat = np.concatenate(aligned) if aligned else np.zeros((0, 2), np.int64)
+        for at in range(0, len(flat), WINDOWS_AT_ONCE):
+            sizes, starts, own = flat[at:at + WINDOWS_AT_ONCE, 0], flat[at:at + WINDOWS_AT_ONCE, 1], which[at:at + WINDOWS_AT_ONCE]
+            runs = np.full((len(sizes), self.longest + 1), _PAD)
+            for i, (t, start, n) in enumerate(zip(own.tolist(), starts.tolist(), sizes.tolist())):
+                part = texts[t][max(0, start):max(0, start + n)]
+                runs[i, max(0, -start):max(0, -start) + len(part)] = part
+            keys = walk_keys(runs, sizes)
+            low = np.searchsorted(self.keys, keys, side="left")
+            n = np.searchsorted(self.keys, keys, side="right") - low
+            hit = np.flatnonzero(n.any(axis=1))
+            pairs = {(int(own[i]), int(self.owner[k]), int(starts[i])) for i in hit for r in np.flatnonzero(n[i])
+                     for k in range(low[i, r], low[i, r] + n[i, r])}
+            yield from sorted(pairs)
+
+    def search(self, texts: list[np.ndarray]) -> list[tuple[int, int, int, int, int]]:
+        """(text, item, distance, start, end) of every item a text contains, at its best place; both by position."""
+        best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        for t, k, start in self._candidates(texts):
+            words = self.items[k][1]
+            slack = allowed_edits(len(words))
+            low = max(0, start - slack)
+            region = texts[t][low:max(0, start + len(words) + slack)]
+            if np.count_nonzero(np.isin(words, region)) < len(words) - slack:
+                continue  # every word that is missing costs an edit
+            distance, first, end = align(words, region)
+            found = (distance, low + first, low + end)
+            if distance <= slack and found < best.get((t, k), (slack + 1, 0, 0)):
+                best[t, k] = found
+        return [(t, k, *found) for (t, k), found in sorted(best.items())]
 
 
 def item_words(text: str | None) -> np.ndarray:
@@ -203,12 +224,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     def searcher(shared):
         def run(batches):
             index = shared.value
-            size = {i: len(w) for i, w in index.items}
             for batch in slices(batches):
                 ids = batch.column(0).to_pylist()
-                out = [(doc, item, distance, start, end - start, size[item])
-                       for doc, data in zip(ids, string_views(batch.column(1))) if data is not None and len(data)
-                       for item, distance, start, end in index.search(word_hashes(data))]
+                texts = [np.zeros(0, np.uint64) if data is None else word_hashes(data) for data in string_views(batch.column(1))]
+                out = [(ids[t], index.items[k][0], distance, start, end - start, len(index.items[k][1]))
+                       for t, k, distance, start, end in index.search(texts)]
                 if out:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(zip(*out), (batch.column(0).type, item_type, pa.int32(), pa.int64(),
