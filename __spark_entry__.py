@@ -37,9 +37,9 @@ from revisor.operators import checks
 from revisor.operators import metrics as MX
 from revisor.operators.columns import coerce, ensure_column, stamp
 from revisor.operators.validation import validate
-from revisor.schemas import BRONZE_SCHEMA, GROUP_COLUMNS
+from revisor.schemas import BRONZE_SCHEMA, GROUP_COLUMNS, WRITTEN_SCHEMA
 from revisor.session import stage_dir
-from revisor.sinks.parquet import preview, save_dataframe
+from revisor.sinks.parquet import preview, read_written, save_dataframe, target_path
 from revisor.sources import pages as P
 from revisor.sources import tables
 
@@ -174,7 +174,7 @@ def _page_cols(df):
 
 
 def q_kept_pages(spark, sf_dir):
-    return _page_cols(P.kept_pages(_pages(spark, sf_dir), 10))
+    return _page_cols(P.kept_pages(_pages(spark, sf_dir)))
 
 
 def q_kept_pages_cap3(spark, sf_dir):
@@ -182,28 +182,69 @@ def q_kept_pages_cap3(spark, sf_dir):
 
 
 def q_page_status(spark, sf_dir):
-    return P.page_status(_pages(spark, sf_dir), 10).select(*G, "product_id", "page_no", "status")
+    return P.page_status(_pages(spark, sf_dir)).select(*G, "product_id", "page_no", "status")
 
 
 def q_page_reviews(spark, sf_dir):
-    rows = P.page_reviews(P.kept_pages(_pages(spark, sf_dir), 10))
+    rows = P.page_reviews(P.kept_pages(_pages(spark, sf_dir)))
     return rows.select(*G, "product_id", "page_no", "review_no", "id", "likes", "rating", "snippet")
 
 
 def q_empty_products(spark, sf_dir):
-    pages = _pages(spark, sf_dir)
-    keys = [*G, "product_id"]
-    requested = pages.groupBy(*keys).agg(F.count(F.lit(1)).alias("pages"))
-    rows = P.page_reviews(P.kept_pages(pages, 10))
-    return P.empty_groups(requested, rows, keys)
+    return P.stage_pages(_pages(spark, sf_dir)).empty_groups([*G, "product_id"])
 
 
 def q_empty_apps(spark, sf_dir):
     """A5 at the (app, client) level: requested groups with no review at all."""
+    return P.stage_pages(_pages(spark, sf_dir)).empty_groups(G)
+
+
+def q_empty_apps_failed(spark, sf_dir):
+    """A5 where every request of one app failed and another app has no name."""
     pages = _pages(spark, sf_dir)
-    requested = pages.groupBy(*G).agg(F.count(F.lit(1)).alias("pages"))
-    rows = P.page_reviews(P.kept_pages(pages, 10))
-    return P.empty_groups(requested, rows, G)
+    pages = pages.withColumn("request_ok", F.col("request_ok") & (F.col("app") != "app_3")).withColumn(
+        "app", F.when(F.col("app") != "app_2", F.col("app")))
+    return P.stage_pages(pages).empty_groups(G)
+
+
+def _page_cases(spark, sf_dir):
+    """Pages of every kind: two fetches of each product, one of them with a page
+    landed twice, empty tokens, NULL apps, products and numbers, chains of 14."""
+    flat = tables.raw_pages_from_conversations(tables.table(spark, sf_dir, "conversations"))
+    turn, conv = F.col("page_no"), F.col("product_id")
+    fetches = flat.withColumn("fetch_id", F.explode(F.array(F.lit("f0"), F.lit("f1")))).withColumn(
+        "copies", F.when((F.col("fetch_id") == "f1") & (turn == 1), 2).otherwise(1))
+    chains = flat.where(turn == 0).withColumn("page_no", F.explode(F.sequence(F.lit(0), F.lit(13)))).select(
+        *[c for c in flat.columns if c != "page_no"], "page_no").withColumn("fetch_id", F.lit("long")).withColumn(
+        "copies", F.lit(1)).withColumn("next_page_token", F.when(turn < 13, F.lit("t")))
+    pages = fetches.unionByName(chains).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return pages.select(
+        F.when(conv % 5 != 0, F.concat(F.lit("app_"), (conv % 4).cast("string"))).alias("app"), F.lit("pf").alias("type_client"),
+        F.when(conv % 7 != 0, conv.cast("string")).alias("product_id"), F.when(turn != 6, turn.cast("int")).alias("page_no"),
+        "request_ok", "review_text",
+        F.when((conv + turn) % 11 == 0, F.lit("")).otherwise(F.col("next_page_token")).alias("next_page_token"),
+        F.when(conv % 7 != 0, F.col("fetch_id")).otherwise(F.concat("fetch_id", conv.cast("string"))).alias("fetch_id"))
+
+
+def q_page_status_cases(spark, sf_dir):
+    """Every landed page has one status: the counts add up to the pages landed."""
+    status = P.page_status(_page_cases(spark, sf_dir), 12, reviews_col="review_text")
+    return status.groupBy("app", "page_no", "status").agg(F.count(F.lit(1)).alias("pages"))
+
+
+def q_corrupt_pages(spark, sf_dir):
+    """Landed lines, some cut short, some with the token in the response's own paging object."""
+    pages = _pages(spark, sf_dir).withColumn("turn", F.col("page_no"))
+    conv = F.col("product_id").cast("long")
+    nested = F.struct(F.col("next_page_token").alias("next_page_token"))
+    pages = pages.withColumn("serpapi_pagination", F.when(conv % 3 == 0, nested)).withColumn(
+        "next_page_token", F.when(conv % 3 != 0, F.col("next_page_token")))
+    line = F.to_json(F.struct(*[c for c in pages.columns if c != "turn"]))
+    cut = (conv + F.col("turn")) % 13 == 0
+    path = stage_dir(spark, "corrupt-pages")
+    pages.select(F.when(cut, F.substring(line, F.lit(1), F.length(line) - 2)).otherwise(line).alias("value")).write.text(path)
+    status = P.page_status(P.read_landed_pages(spark, path))
+    return status.select(*G, "product_id", "page_no", "status")
 
 
 def q_report_keys(spark, sf_dir):
@@ -212,7 +253,7 @@ def q_report_keys(spark, sf_dir):
 
 
 def q_failure_records(spark, sf_dir):
-    f = P.fetch_failures(_pages(spark, sf_dir), 10)
+    f = P.fetch_failures(_pages(spark, sf_dir))
     return MX.failure_records(f.withColumn("client", F.col("type_client")), FIXED_CTX,
                               keep=[*G, "product_id", "page_no", "kind"])
 
@@ -255,7 +296,7 @@ def q_ingest_job(spark, sf_dir):
     from revisor.plans.job import run_reviews
 
     base = stage_dir(spark, "ingest-job")
-    run_reviews(spark, _reviews(spark, sf_dir), base, odate=ODATE, ctx=FIXED_CTX)
+    run_reviews(spark, _reviews(spark, sf_dir), base, odate=ODATE, ctx=FIXED_CTX, layout="split")
     sides = []
     for side in ("valid", "invalid"):
         t = spark.read.parquet(os.path.join(base, side))
@@ -272,7 +313,7 @@ def _landed(spark, sf_dir):
 
 
 def q_landed_page_reviews(spark, sf_dir):
-    rows = P.page_reviews(P.kept_pages(_landed(spark, sf_dir), 10))
+    rows = P.page_reviews(P.kept_pages(_landed(spark, sf_dir)))
     return rows.select(*G, "product_id", "page_no", "review_no", "id", "likes", "rating", "snippet")
 
 
@@ -333,6 +374,120 @@ def q_ingest_job_sides(spark, sf_dir):
     return t.groupBy(*G, "side").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def _written(spark, base: str) -> DataFrame:
+    """The rows a batch wrote, both sides, with the map column shown through its keys."""
+    rows = read_written(spark, os.path.join(base, "reviews"), WRITTEN_SCHEMA, ["side", *G, "odate"])
+    return _out(rows, keep=["side", *G, "odate", "rating_raw"])
+
+
+def q_ingest_job_rows(spark, sf_dir):
+    """The contents of both written sides: typed columns and the rating as it came."""
+    from revisor.plans.job import run_reviews
+
+    base = stage_dir(spark, "ingest-rows")
+    run_reviews(spark, _reviews(spark, sf_dir), base, odate=ODATE, ctx=FIXED_CTX)
+    return _written(spark, base)
+
+
+def q_ingest_pages_rows(spark, sf_dir):
+    """The contents of both sides of a batch over landed pages whose reviews
+    repeat ids, lack texts and have ratings that are no numbers."""
+    from revisor.plans.job import run_pages
+
+    pages = _pages(spark, sf_dir)
+    harmed = F.transform("reviews", lambda r: r.withField("id", F.concat_ws("-", F.col("product_id"), r["likes"].cast("string")))
+                         .withField("snippet", F.when(r["likes"] % 10 != 0, r["snippet"]))
+                         .withField("rating", F.when(r["likes"] % 7 == 0, F.lit("bad")).otherwise(r["rating"])))
+    path = stage_dir(spark, "harmed-pages")
+    pages.withColumn("reviews", harmed).write.json(path)
+    base = stage_dir(spark, "pages-rows")
+    run_pages(spark, P.read_landed_pages(spark, path), base, odate=ODATE, ctx=FIXED_CTX)
+    return _written(spark, base)
+
+
+def q_empty_batch_job(spark, sf_dir):
+    """A batch of which every request failed: nothing is written but the failure records."""
+    from revisor.plans.job import run_pages
+
+    base = stage_dir(spark, "empty-batch")
+    res = run_pages(spark, _pages(spark, sf_dir).withColumn("request_ok", F.lit(False)), base, odate=ODATE, ctx=FIXED_CTX)
+    schema = "app string, type_client string, product_id string, page_no int, client string, error string"
+    records = spark.read.schema(schema).json(os.path.join(base, "metrics", "fail"))
+    return records.withColumn("written", F.lit(res.valid.rows + res.invalid.rows).cast("long")).withColumn(
+        "documents", F.lit(0 if res.metrics_path is None else 1))
+
+
+def q_job_failure_record(spark, sf_dir):
+    """A run whose target can't be written (a file stands where its folder
+    should): the failure record it leaves, and no success document."""
+    from revisor.plans.job import run_reviews
+
+    base = stage_dir(spark, "job-failure")
+    target = spark._jvm.org.apache.hadoop.fs.Path(base, "reviews")
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.create(target, True).close()
+    raised = ""
+    try:
+        run_reviews(spark, _reviews(spark, sf_dir), base, odate=ODATE, ctx=FIXED_CTX)
+    except RuntimeError as e:
+        raised = str(e)
+    metrics = spark._jvm.org.apache.hadoop.fs.Path(base, "metrics/success")
+    schema = "timestamp string, layer string, project string, job string, priority string, torre string, client string, error string"
+    records = spark.read.schema(schema).json(os.path.join(base, "metrics", "fail"))
+    reviews = _reviews(spark, sf_dir).agg(F.count(F.lit(1)).alias("reviews"))
+    return reviews.join(records.select(
+        "timestamp", "layer", "project", "job", "priority", "torre", "client",
+        (F.col("error") == F.lit(f"RuntimeError: {raised}")).alias("error_is_the_one_raised"),
+        F.lit(fs.exists(metrics)).alias("has_success")))
+
+
+def q_many_duplicates_invalid_reviews(spark, sf_dir):
+    """Invalid side with more duplicated keys than a broadcast may hold (the limit set to 0)."""
+    v = validate(_reviews(spark, sf_dir), G, materialize=True, broadcast_max_bytes=0)
+    if v.join_plan.strategy != "shuffle":
+        raise RuntimeError(f"expected the shuffled join, got {v.join_plan}")
+    return _out(v.invalid)
+
+
+def q_rejected_documents(spark, sf_dir):
+    """What the metrics writer refuses, over a document made of every text: as
+    a JSON member, cut short, empty, and with trailing content."""
+    from revisor.sinks.metrics import rejected_documents
+
+    kind = F.col("doc_id") % 5
+    whole = F.concat(F.lit('{"doc": '), F.col("doc_id").cast("string"), F.lit(', "chars": '), F.length("text").cast("string"), F.lit("}"))
+    made = (F.when(kind == 0, whole).when(kind == 1, F.substring(whole, F.lit(1), F.length(whole) - 1)).when(kind == 2, F.lit(""))
+            .when(kind == 3, F.concat(whole, F.lit("]"))).otherwise(F.concat(whole, F.lit(" "))))
+    docs = tables.table(spark, sf_dir, "documents").select("doc_id", made.alias("document"))
+    return rejected_documents(docs, "success").select("doc_id", "reason")
+
+
+def q_single_app_job(spark, sf_dir):
+    """The one-app layout: contents of both trees (ratings as text, which the default coercion keeps)."""
+    from revisor.plans.job import run_single_app
+
+    base = stage_dir(spark, "single-app-job")
+    bases = {side: os.path.join(base, side) for side in ("valid", "invalid")}
+    run_single_app(spark, _reviews(spark, sf_dir), bases["valid"], bases["invalid"], "bank", "pf", odate=ODATE, ctx=FIXED_CTX)
+    schema = T.StructType([f if f.name != "rating" else T.StructField("rating", T.StringType()) for f in BRONZE_SCHEMA.fields])
+    sides = [read_written(spark, target_path(b, "bank", "pf"), schema).withColumn("side", F.lit(s)) for s, b in bases.items()]
+    return _out(sides[0].unionByName(sides[1]), keep=["side", "odate"])
+
+
+def q_sink_outcomes(spark, sf_dir):
+    """H2: the outcome of every kind of call of the sink."""
+    base = stage_dir(spark, "sink-outcomes")
+    rows = _reviews(spark, sf_dir)
+    calls = {"written": (rows, base), "nothing to write": (rows.where(F.lit(False)), base), "no path": (rows, ""),
+             "no frame": ([1], base)}
+    found = []
+    for name, (frame, path) in calls.items():
+        o = save_dataframe(frame, path, name, odate=ODATE, overwrite="dynamic")
+        found.append((name, o.ok, o.rows, o.reason))
+    kept = read_written(spark, base, T.StructType([f for f in BRONZE_SCHEMA.fields if f.name != "rating"])).count()
+    return spark.createDataFrame(found, "call string, ok boolean, rows long, reason string").withColumn("on_disk", F.lit(kept).cast("long"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "valid_reviews": q_valid_reviews,
     "invalid_null_reviews": q_invalid_null_reviews,
@@ -372,6 +527,17 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_pages_job": q_stream_pages_job,
     "skewed_invalid_reviews": q_skewed_invalid_reviews,
     "ingest_job_sides": q_ingest_job_sides,
+    "empty_apps_failed": q_empty_apps_failed,
+    "page_status_cases": q_page_status_cases,
+    "corrupt_pages": q_corrupt_pages,
+    "ingest_job_rows": q_ingest_job_rows,
+    "ingest_pages_rows": q_ingest_pages_rows,
+    "empty_batch_job": q_empty_batch_job,
+    "job_failure_record": q_job_failure_record,
+    "many_duplicates_invalid_reviews": q_many_duplicates_invalid_reviews,
+    "rejected_documents": q_rejected_documents,
+    "single_app_job": q_single_app_job,
+    "sink_outcomes": q_sink_outcomes,
 }
 
 
@@ -421,7 +587,7 @@ reviews AS (
   FROM lineitem
 )"""
 
-_INT_RE = r"'^[\x00-\x20]*([+-]?)([0-9]*)(\.[0-9]*)?[\x00-\x20]*$'"
+_INT_RE = r"'^[\x00-\x20\x7f]*([+-]?)([0-9]*)(\.[0-9]*)?[\x00-\x20\x7f]*$'"
 _BAD = f"""(rating IS NULL OR NOT (
     regexp_matches(rating, {_INT_RE})
     AND length(regexp_extract(rating, {_INT_RE}, 2)) + length(regexp_extract(rating, {_INT_RE}, 3)) > 0
@@ -539,15 +705,21 @@ pages AS (
 )"""
 
 
-def _page_status_sql(cap: int) -> str:
-    part = "PARTITION BY app, type_client, product_id"
-    ends = "(NOT request_ok OR next_page_token IS NULL OR review_text IS NULL)"
+def _page_status_sql(cap: int | None = None, pages: str = "pages", fetch: str = "NULL") -> str:
+    """Every row of ``pages`` with its status; ``fetch`` is the column that parts the fetches of a product."""
+    part = f"PARTITION BY app, type_client, product_id, {fetch}"
+    ends = "(NOT request_ok OR coalesce(next_page_token, '') = '' OR review_text IS NULL)"
+    over = "FALSE" if cap is None else f"page_no >= {cap}"
     return f"""
+ps0 AS (
+  SELECT *, row_number() OVER ({part}, page_no) AS copy, page_no IS NULL AS unnumbered, coalesce({over}, FALSE) AS over_cap
+  FROM {pages}
+),
 ps1 AS (
   SELECT *, max(CASE WHEN {ends} THEN 1 ELSE 0 END) OVER ({part} ORDER BY page_no
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier_end,
          row_number() OVER ({part} ORDER BY page_no) AS rn
-  FROM pages WHERE page_no < {cap}
+  FROM ps0 WHERE copy = 1 AND NOT unnumbered AND NOT over_cap
 ),
 ps2 AS (
   SELECT *, page_no = rn - 1 AND coalesce(earlier_end, 0) = 0 AS reached FROM ps1
@@ -557,9 +729,12 @@ ps3 AS (
   FROM ps2
 ),
 page_status AS (
-  SELECT *, CASE WHEN NOT reached THEN 'not_reached' WHEN NOT request_ok THEN 'failed_request'
+  SELECT * EXCLUDE (earlier_end, rn, reached, pf), CASE WHEN NOT reached THEN 'not_reached' WHEN NOT request_ok THEN 'failed_request'
     WHEN review_text IS NULL THEN 'missing_reviews' WHEN pf = 1 THEN 'product_failed' ELSE 'kept' END AS status
   FROM ps3
+  UNION ALL
+  SELECT *, CASE WHEN unnumbered THEN 'unnumbered' WHEN over_cap THEN 'over_cap' ELSE 'repeated_page' END
+  FROM ps0 WHERE copy > 1 OR unnumbered OR over_cap
 ),
 kept AS (SELECT * FROM page_status WHERE status = 'kept')"""
 
@@ -628,7 +803,7 @@ UNION ALL
 SELECT app, type_client, check_no * 2 + 2, '  -> ' || message FROM results WHERE length(message) > 0"""
     q["split_metrics"] = _with(_REVIEWS, _SUMMARY_G, _SPLIT) + (
         "SELECT *, CAST(3 - success_count AS INTEGER) AS error_count FROM split")
-    docs_sql = _with(_REVIEWS, _SUMMARY_G, _SPLIT, _results_sql("app, type_client")) + """
+    documents = """
 SELECT s.app, s.type_client, 'DQ' AS owner_sigla, 'reviews' AS owner_projeto, 'bronze' AS owner_layer_lake,
   s.valid_count, s.valid_percentage, s.invalid_count, s.invalid_percentage, s.total_records, s.input_records,
   s.success_count, CAST(3 - s.success_count AS INTEGER) AS error_count, upper(s.type_client) AS doc_type_client,
@@ -639,6 +814,7 @@ FROM split s
 JOIN results d ON d.app = s.app AND d.type_client = s.type_client AND d.check_no = 0
 JOIN results n ON n.app = s.app AND n.type_client = s.type_client AND n.check_no = 1
 JOIN results t ON t.app = s.app AND t.type_client = s.type_client AND t.check_no = 2"""
+    docs_sql = _with(_REVIEWS, _SUMMARY_G, _SPLIT, _results_sql("app, type_client")) + documents
     q["metrics_documents"] = docs_sql
     q["metrics_roundtrip"] = docs_sql
     q["ensure_response"] = r + ("SELECT app, type_client, avatar, date, id, iso_date, likes, rating, "
@@ -658,30 +834,24 @@ JOIN results t ON t.app = s.app AND t.type_client = s.type_client AND t.check_no
         f"SELECT app, type_client FROM reviews WHERE {_NULL_INVALID} UNION ALL "
         f"SELECT app, type_client FROM ({_dup_rows_sql('app, type_client, id')}) t) u GROUP BY app, type_client")
 
-    p10 = _with(_PAGES, _page_status_sql(10))
-    q["kept_pages"] = p10 + "SELECT app, type_client, product_id, page_no FROM kept"
+    pages = _with(_PAGES, _page_status_sql())
+    q["kept_pages"] = pages + "SELECT app, type_client, product_id, page_no FROM kept"
     q["kept_pages_cap3"] = _with(_PAGES, _page_status_sql(3)) + "SELECT app, type_client, product_id, page_no FROM kept"
-    q["page_status"] = p10 + "SELECT app, type_client, product_id, page_no, status FROM page_status"
-    q["page_reviews"] = _with(_PAGES, _page_status_sql(10), _PAGE_REVIEWS) + """
+    q["page_status"] = pages + "SELECT app, type_client, product_id, page_no, status FROM page_status"
+    q["page_reviews"] = _with(_PAGES, _page_status_sql(), _PAGE_REVIEWS) + """
 SELECT app, type_client, product_id, page_no, CAST(review_no AS INTEGER) AS review_no,
   product_id || '-' || CAST(page_no AS VARCHAR) || '-' || CAST(review_no AS VARCHAR) AS id,
   CAST(length(line) AS BIGINT) AS likes, CAST(length(line) % 5 + 1 AS VARCHAR) AS rating, line AS snippet
 FROM page_reviews"""
     q["landed_page_reviews"] = q["page_reviews"]
-    q["ingest_pages_job"] = _with(_PAGES, _page_status_sql(10), _PAGE_REVIEWS) + """
-, s AS (
-  SELECT app, type_client, count(*) AS n, count(*) FILTER (WHERE NOT (length(line) % 5 + 1 BETWEEN 1 AND 5)) AS bad
-  FROM page_reviews GROUP BY app, type_client
-)
-SELECT app, type_client, 'DQ' AS owner_sigla, 'reviews' AS owner_projeto, 'bronze' AS owner_layer_lake,
-  n AS valid_count, CAST(100.0 AS DOUBLE) AS valid_percentage, CAST(0 AS BIGINT) AS invalid_count,
-  CAST(0.0 AS DOUBLE) AS invalid_percentage,
-  n AS total_records, n AS input_records, 2 AS success_count, 1 AS error_count, upper(type_client) AS doc_type_client,
-  app AS source_app, 'google_play' AS source_search,
-  200 AS duplicate_code, 'Nenhum registro duplicado encontrado.' AS duplicate_message,
-  400 AS null_code, 'Valores nulos encontrados nas colunas: {''date'': ' || n || '}.' AS null_message,
-  200 AS type_code, 'Consistência dos tipos de dados verificada com sucesso.' AS type_message
-FROM s"""
+    landed = """
+reviews AS (
+  SELECT app, type_client, product_id || '-' || page_no || '-' || review_no AS id, line AS snippet,
+    CAST(length(line) % 5 + 1 AS VARCHAR) AS rating, CAST(NULL AS VARCHAR) AS date
+  FROM page_reviews
+)"""
+    q["ingest_pages_job"] = _with(_PAGES, _page_status_sql(), _PAGE_REVIEWS, landed, _SUMMARY_G, _SPLIT,
+                                  _results_sql("app, type_client")) + documents
     q["stream_pages_job"] = q["ingest_pages_job"]
     q["ingest_job_sides"] = q["ingest_job"]
     skewed = _REVIEWS.replace(
@@ -692,14 +862,14 @@ FROM s"""
     q["skewed_invalid_reviews"] = _with(skewed) + (
         f"SELECT {g}{_OUT} FROM reviews WHERE {_NULL_INVALID} UNION ALL "
         f"SELECT {g}{_OUT} FROM ({_dup_rows_sql('app, type_client, id')}) t")
-    q["empty_apps"] = _with(_PAGES, _page_status_sql(10)) + """
+    q["empty_apps"] = _with(_PAGES, _page_status_sql()) + """
 SELECT DISTINCT app, type_client FROM pages p
 WHERE NOT EXISTS (SELECT 1 FROM kept k WHERE k.app = p.app AND k.type_client = p.type_client)"""
-    q["empty_products"] = _with(_PAGES, _page_status_sql(10)) + """
+    q["empty_products"] = _with(_PAGES, _page_status_sql()) + """
 SELECT DISTINCT app, type_client, product_id FROM pages p
 WHERE NOT EXISTS (SELECT 1 FROM kept k WHERE k.app = p.app AND k.type_client = p.type_client
                   AND k.product_id = p.product_id)"""
-    q["failure_records"] = _with(_PAGES, _page_status_sql(10), _FAILURES) + """
+    q["failure_records"] = _with(_PAGES, _page_status_sql(), _FAILURES) + """
 SELECT app, type_client, product_id, page_no, kind, '2024-01-01T12:03:00.500Z' AS timestamp, 'bronze' AS layer,
   'reviews' AS project, 'reviews_ingestion' AS job, '0' AS priority, 'REVIEWS' AS torre,
   CASE WHEN type_client IS NULL OR type_client = '' THEN 'UNKNOWN_CLIENT' ELSE upper(type_client) END AS client,
@@ -724,6 +894,76 @@ FROM pairs GROUP BY run, key"""
     q["document_check"] = """
 SELECT doc_id, CASE WHEN text IS NULL OR text = '' THEN 'empty' WHEN json_valid(text) THEN 'ok'
   ELSE 'invalid_json' END AS status FROM documents"""
+    written = f"""avatar, date, id, iso_date, likes, TRY_CAST(rating AS DOUBLE) AS rating, rating AS rating_raw,
+  response['title'] AS response_title, response['snippet'] AS response_snippet, snippet, title, '{ODATE}' AS odate"""
+    both_sides = (f"SELECT 'valid' AS side, {g}{written} FROM reviews WHERE {_VALID} UNION ALL "
+                  f"SELECT 'invalid', {g}{written} FROM reviews WHERE {_NULL_INVALID} UNION ALL "
+                  f"SELECT 'invalid', {g}{written} FROM ({_dup_rows_sql('app, type_client, id')}) t")
+    q["ingest_job_rows"] = r + both_sides
+    harmed = """
+reviews AS (
+  SELECT app, type_client, CAST(NULL AS VARCHAR) AS avatar, CAST(NULL AS VARCHAR) AS date,
+    product_id || '-' || length(line) AS id, CAST(NULL AS VARCHAR) AS iso_date, CAST(length(line) AS BIGINT) AS likes,
+    CASE WHEN length(line) % 7 = 0 THEN 'bad' ELSE CAST(length(line) % 5 + 1 AS VARCHAR) END AS rating,
+    CAST(NULL AS MAP(VARCHAR, VARCHAR)) AS response, CASE WHEN length(line) % 10 <> 0 THEN line END AS snippet,
+    CAST(NULL AS VARCHAR) AS title
+  FROM page_reviews
+)"""
+    q["ingest_pages_rows"] = _with(_PAGES, _page_status_sql(), _PAGE_REVIEWS, harmed) + both_sides
+    q["single_app_job"] = r + (
+        f"SELECT 'valid' AS side, {_OUT}, '{ODATE}' AS odate FROM reviews WHERE {_VALID} UNION ALL "
+        f"SELECT 'invalid', {_OUT}, '{ODATE}' FROM reviews WHERE {_NULL_INVALID} UNION ALL "
+        f"SELECT 'invalid', {_OUT}, '{ODATE}' FROM ({_dup_rows_sql('id')}) t")
+    q["many_duplicates_invalid_reviews"] = q["invalid_reviews"]
+    q["sink_outcomes"] = """
+SELECT call, ok, CASE WHEN ok THEN n ELSE 0 END AS rows, reason, n AS on_disk
+FROM (VALUES ('written', TRUE, ''), ('nothing to write', FALSE, 'no rows'), ('no path', FALSE, 'empty target path'),
+  ('no frame', FALSE, 'not a DataFrame: list')) AS o(call, ok, reason), (SELECT count(*) AS n FROM lineitem) AS c"""
+    q["job_failure_record"] = """
+SELECT count(*) AS reviews, '2024-01-01T12:03:00.500Z' AS timestamp, 'bronze' AS layer, 'reviews' AS project,
+  'reviews_ingestion' AS job, '0' AS priority, 'REVIEWS' AS torre, 'UNKNOWN_CLIENT' AS client,
+  TRUE AS error_is_the_one_raised, FALSE AS has_success
+FROM lineitem"""
+    q["rejected_documents"] = """
+SELECT doc_id, CASE doc_id % 5 WHEN 2 THEN 'empty data' ELSE 'invalid JSON' END AS reason
+FROM documents WHERE doc_id % 5 IN (1, 2, 3)"""
+    q["empty_batch_job"] = _with(_PAGES) + """
+SELECT app, type_client, product_id, page_no, 'PF' AS client,
+  'request failed for product ' || product_id || ' on page 0' AS error, CAST(0 AS BIGINT) AS written, 0 AS documents
+FROM pages WHERE page_no = 0"""
+    q["empty_apps_failed"] = _with(_PAGES, """
+failed AS (
+  SELECT * REPLACE (request_ok AND app <> 'app_3' AS request_ok, CASE WHEN app <> 'app_2' THEN app END AS app) FROM pages
+)""", _page_status_sql(pages="failed")) + """
+SELECT app, type_client FROM page_status GROUP BY app, type_client HAVING count(*) FILTER (WHERE status = 'kept') = 0"""
+    cases = """
+flat AS (
+  SELECT conv_id, turn, (conv_id * 7 + turn) % 23 <> 0 AS request_ok,
+    CASE WHEN (conv_id * 5 + turn) % 29 <> 0 THEN text END AS review_text,
+    CASE WHEN (conv_id + turn) % 6 <> 5 THEN 'tok' || CAST(turn AS VARCHAR) END AS token
+  FROM conversations
+),
+every AS (
+  SELECT conv_id, turn, request_ok, review_text, token, fetch_id FROM flat, (VALUES ('f0'), ('f1')) AS f(fetch_id)
+  UNION ALL SELECT conv_id, turn, request_ok, review_text, token, 'f1' FROM flat WHERE turn = 1
+  UNION ALL SELECT conv_id, n, request_ok, review_text, CASE WHEN n < 13 THEN 't' END, 'long'
+  FROM flat, (SELECT unnest(range(14)) AS n) AS r WHERE turn = 0
+),
+cases AS (
+  SELECT CASE WHEN conv_id % 5 <> 0 THEN 'app_' || CAST(conv_id % 4 AS VARCHAR) END AS app, 'pf' AS type_client,
+    CASE WHEN conv_id % 7 <> 0 THEN CAST(conv_id AS VARCHAR) END AS product_id,
+    CASE WHEN turn <> 6 THEN CAST(turn AS INTEGER) END AS page_no, request_ok, review_text,
+    CASE WHEN (conv_id + turn) % 11 = 0 THEN '' ELSE token END AS next_page_token,
+    CASE WHEN conv_id % 7 <> 0 THEN fetch_id ELSE fetch_id || conv_id END AS fetch_id
+  FROM every
+)"""
+    q["page_status_cases"] = _with(cases, _page_status_sql(12, "cases", "fetch_id")) + """
+SELECT app, page_no, status, count(*) AS pages FROM page_status GROUP BY ALL"""
+    q["corrupt_pages"] = _with(_PAGES, """
+whole AS (SELECT * FROM pages WHERE (CAST(product_id AS BIGINT) + page_no) % 13 <> 0)""", _page_status_sql(pages="whole")) + """
+SELECT app, type_client, product_id, page_no, status FROM page_status
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, 'failed_request' FROM pages WHERE (CAST(product_id AS BIGINT) + page_no) % 13 = 0"""
     llm, pipeline = _optional("revisor.llm.queries"), _optional("corpus_pipeline")
     if llm is not None:
         q.update(llm.oracle_sql())

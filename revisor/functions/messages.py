@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 CHECK_DUPLICATE = "duplicate_check"
 CHECK_NULL = "null_check"
 CHECK_TYPE = "type_consistency_check"
-CHECKS = [CHECK_DUPLICATE, CHECK_NULL, CHECK_TYPE]
 
 CODE_OK = 200
 CODE_BAD_DATA = 400

@@ -24,9 +24,9 @@ from pyspark.sql import types as T
 
 # Text that converts: optional sign, then digits with an optional fraction,
 # or a bare fraction; ASCII whitespace/control characters around it.
-_INT_TEXT = r"^[\x00-\x20]*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]*)[\x00-\x20]*$"
+_INT_TEXT = r"^[\x00-\x20\x7f]*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]*)[\x00-\x20\x7f]*\z"
 # The signed integer part of such text (may be just a sign or empty).
-_INT_PART = r"^[\x00-\x20]*([+-]?[0-9]*)"
+_INT_PART = r"^[\x00-\x20\x7f]*([+-]?[0-9]*)"
 
 
 def text_rating_is_int(rating: Column) -> Column:

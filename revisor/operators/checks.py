@@ -6,24 +6,24 @@ Scale notes
   whose partial (map-side) aggregation collapses every hot key — the NULL-id
   group included — to one row per map task before the shuffle.  Only the key
   columns and five small flags are read from the scan.
-* ``duplicate_rows`` never sends a hot key's rows through a shuffle.  The
-  duplicated-key set is measured first (keys, key bytes and rows, one small
-  action).  If its bytes fit under the broadcast limit it is broadcast and the
-  semi-join is map-side.  Otherwise keys with at least ``hot_rows`` copies are
-  split off: there are at most ``dup_rows / hot_rows <= MAX_HOT_KEYS`` of
-  them, a proven bound, so that set is broadcast; their rows are answered map-side and
-  removed before the shuffled semi-join handles the remaining (cold) keys,
-  each of which has fewer than ``hot_rows`` rows.
+* ``duplicate_rows`` measures the duplicated-key set first (keys, key bytes and
+  rows, one small action).  If its bytes fit under the broadcast limit it is
+  broadcast and the semi-join is map-side.  Otherwise keys with at least
+  ``hot_rows`` copies, a fixed number, are split off and answered map-side; their
+  set is broadcast behind a check of its bytes (only where it would not fit does
+  the number of copies rise, and AQE splits what stays).  The other keys go
+  through a shuffled semi-join whose row side Spark filters first by a Bloom
+  filter of the duplicated ids (``allow_runtime_filter``): rows of unique ids,
+  nearly all, do not reach the exchange.
 * NULL ids never match a key (inner-join semantics), so Catalyst's inferred
   ``isnotnull(id)`` drops them before any exchange.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revisor.functions.ratings import rating_fails_type_check
@@ -32,10 +32,10 @@ from revisor.schemas import CRITICAL_COLUMNS, REQUIRED_COLUMNS
 
 # Largest duplicated-key set (bytes of key text) joined by broadcast.
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-# Upper bound on the number of hot keys; fixes the hot threshold as
-# max(HOT_MIN_ROWS, rows under duplicated keys / MAX_HOT_KEYS).
-MAX_HOT_KEYS = 100_000
-HOT_MIN_ROWS = 1_000_000
+# Copies from which a key is hot, and the largest hot-key set (bytes of key text)
+# joined by broadcast.
+HOT_ROWS = 100_000
+HOT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 _KEY_PREFIX = "_k_"
 
@@ -170,26 +170,51 @@ def _semi(df: DataFrame, keys: DataFrame, cols: list[str], how: str = "left_semi
     return df.join(keys, cond, how)
 
 
+def _key_bytes(cols: list[str]) -> Column:
+    """Bytes of one key's text, with a per-column overhead."""
+    return sum((F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in cols), F.lit(0)) + 16 * len(cols)
+
+
 def _measure(keys: DataFrame, cols: list[str], count_col: str) -> tuple[int, int, int]:
-    """One small action: number of duplicated keys, their key bytes (with a
-    per-column overhead) and the rows under them."""
-    key_bytes_expr = sum((F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in cols), F.lit(0))
+    """One small action: number of duplicated keys, their key bytes and the rows under them."""
     m = keys.agg(
         F.count(F.lit(1)).alias("k"),
-        F.coalesce(F.sum(key_bytes_expr + 16 * len(cols)), F.lit(0)).alias("b"),
+        F.coalesce(F.sum(_key_bytes(cols)), F.lit(0)).alias("b"),
         F.coalesce(F.sum(F.col(count_col)), F.lit(0)).alias("rows"),
     ).first()
     return int(m["k"]), int(m["b"]), int(m["rows"])
 
 
-def _hot_threshold(dup_rows: int, total_rows: int | None, hot_rows: int | None) -> int:
-    """Copies from which a key counts as hot.  Whatever the caller asks for,
-    the threshold is at least ``dup_rows / MAX_HOT_KEYS``, so the hot-key set
-    (broadcast) never exceeds ``MAX_HOT_KEYS`` keys."""
-    if total_rows is not None:
-        dup_rows = min(dup_rows, total_rows)
-    floor = max(2, math.ceil(dup_rows / MAX_HOT_KEYS))
-    return max(floor, hot_rows if hot_rows is not None else HOT_MIN_ROWS)
+def _hot_keys(keys: DataFrame, cols: list[str], count_col: str, hot_rows: int | None) -> tuple[int, int]:
+    """Copies from which a key counts as hot, and the number of such keys.
+
+    The threshold is ``hot_rows`` (a constant by default) unless the hot keys
+    would not fit under ``HOT_BROADCAST_MAX_BYTES``; then it is the first power of
+    ten above it whose keys do."""
+    steps = [(hot_rows or HOT_ROWS) * 10 ** k for k in range(8)]
+    at_least = [F.col(count_col) >= n for n in steps]
+    m = keys.agg(*[F.count_if(c).alias(f"k{i}") for i, c in enumerate(at_least)],
+                 *[F.coalesce(F.sum(F.when(c, _key_bytes(cols))), F.lit(0)).alias(f"b{i}") for i, c in enumerate(at_least)]).first()
+    i = next(i for i in range(len(steps)) if m[f"b{i}"] <= HOT_BROADCAST_MAX_BYTES or i == len(steps) - 1)
+    return steps[i], int(m[f"k{i}"])
+
+
+def allow_runtime_filter(spark: SparkSession, n_keys: int, n_bytes: int) -> None:
+    """Let Spark's runtime Bloom filter carry ``n_keys`` duplicated ids.
+
+    Its defaults stop at 10 MB of creating side, below the size from which keys
+    are shuffled at all.  Settings are only ever raised."""
+    prefix = "spark.sql.optimizer.runtime.bloomFilter."
+    spark.conf.set(prefix + "enabled", "true")
+    wanted = {"creationSideThreshold": 4 * n_bytes + (1 << 20), "expectedNumItems": n_keys, "maxNumItems": n_keys,
+              "maxNumBits": min(8 * n_keys, 1 << 30)}
+    for name, value in wanted.items():
+        now = str(spark.conf.get(prefix + name)).strip().lower()
+        unit = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+        digits = now.rstrip("bkmg")
+        bytes_now = int(digits) * unit.get(now[len(digits):][:1], 1)
+        if bytes_now < value:
+            spark.conf.set(prefix + name, str(value))
 
 
 def duplicate_rows_planned(
@@ -197,7 +222,6 @@ def duplicate_rows_planned(
     dup_keys: DataFrame,
     group_cols: list[str] | tuple[str, ...] = (),
     *,
-    total_rows: int | None = None,
     broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
     hot_rows: int | None = None,
     measured: tuple[int, int, int] | None = None,
@@ -211,7 +235,7 @@ def duplicate_rows_planned(
     cols = [*group_cols, "id"]
     count_col = "count" if "count" in dup_keys.columns else "n"
     keys = dup_keys.where(F.col("id").isNotNull())
-    n_keys, n_bytes, n_rows = measured or _measure(keys, cols, count_col)
+    n_keys, n_bytes, _ = measured or _measure(keys, cols, count_col)
 
     if n_keys == 0:
         return df.where(F.lit(False)), JoinPlan("empty", 0, 0)
@@ -220,12 +244,10 @@ def duplicate_rows_planned(
         right = F.broadcast(_renamed_keys(keys, cols))
         return _semi(df, right, cols), JoinPlan("broadcast", n_keys, n_bytes)
 
-    # Rows under duplicated keys bound the hot-key count at least as tightly
-    # as the input size: hot keys <= dup_rows / hot_rows <= MAX_HOT_KEYS.
-    hot_rows = _hot_threshold(n_rows, total_rows, hot_rows)
+    hot_rows, n_hot = _hot_keys(keys, cols, count_col, hot_rows)
     hot = keys.where(F.col(count_col) >= hot_rows)
-    n_hot = hot.count()  # <= dup_rows / hot_rows <= MAX_HOT_KEYS by construction
     cold = keys.where(F.col(count_col) < hot_rows)
+    allow_runtime_filter(df.sparkSession, n_keys, n_bytes)
     if n_hot == 0:
         out = _semi(df, _renamed_keys(cold, cols), cols)
         return out, JoinPlan("shuffle", n_keys, n_bytes, 0, hot_rows)
@@ -311,12 +333,12 @@ def invalid_rows_planned(
             F.explode(F.array_repeat(F.lit(0), copies)).alias("_copy"),
         ).drop("_copy")
         return out, JoinPlan("broadcast", n_keys, n_bytes)
-    # Keys too many to broadcast: hot keys (bounded count) are flagged by a
+    # Keys too many to broadcast: hot keys (bounded bytes) are flagged by a
     # broadcast left join in the same pass that emits the NULL-invalid rows;
     # only rows of cold keys reach the shuffled semi-join.
-    hot_rows = _hot_threshold(measured[2], kwargs.get("total_rows"), kwargs.get("hot_rows"))
+    hot_rows, n_hot = _hot_keys(keys, cols, count_col, kwargs.get("hot_rows"))
     hot = keys.where(F.col(count_col) >= hot_rows)
-    n_hot = hot.count()  # <= dup_rows / hot_rows <= MAX_HOT_KEYS by construction
+    allow_runtime_filter(df.sparkSession, n_keys, n_bytes)
     cold = _renamed_keys(keys.where(F.col(count_col) < hot_rows), cols)
     review_cols = [*group_cols, *project_reviews(df).columns]
     if n_hot == 0:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revisor.schemas import BRONZE_SCHEMA, REVIEW_COLUMNS
+from revisor.schemas import BRONZE_SCHEMA, RAW_RATING, REVIEW_COLUMNS
 
 
 def ensure_column(df: DataFrame, name: str, data_type: T.DataType | None = None) -> DataFrame:
@@ -23,8 +23,18 @@ def ensure_column(df: DataFrame, name: str, data_type: T.DataType | None = None)
 
 def project_reviews(df: DataFrame, keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """The fixed review projection (B2), after the ``keep`` columns
-    (grouping keys such as ``app``/``type_client``)."""
-    return df.select(*keep, *REVIEW_COLUMNS)
+    (grouping keys such as ``app``/``type_client``); a rating kept as it came
+    stays with its row."""
+    raw = [RAW_RATING] if RAW_RATING in df.columns else []
+    return df.select(*keep, *REVIEW_COLUMNS, *raw)
+
+
+def keep_raw_rating(df: DataFrame) -> DataFrame:
+    """The rating's text in a column of its own, so that a typed write loses
+    nothing of a rating that is not a number."""
+    if RAW_RATING in df.columns:
+        return df
+    return df.withColumn(RAW_RATING, F.col("rating").cast("string"))
 
 
 def coerce(df: DataFrame, schema: T.StructType = BRONZE_SCHEMA, strict: bool = False,

@@ -19,18 +19,28 @@ from revisor.operators.validation import check_structs
 
 # ---------------------------------------------------------------------------
 # The failure message of a reached page without reviews, the
-# priority of a failure record and the client of a record without one.
+# priority of a failure record and the client of a record without one; the
+# separators of a report line and the prefix of lines that don't count; the
+# time formats of a document.  The field names in ``document_struct`` and
+# ``failure_records`` are fixed values too.
 # ---------------------------------------------------------------------------
 MSG_MISSING_REVIEWS = "[*] Não foi possível recuperar as avaliações."
 FAILURE_PRIORITY = "0"
 UNKNOWN_CLIENT = "UNKNOWN_CLIENT"
+KEY_VALUE_SEPARATORS = " => | = "
+SKIPPED_LINE_PREFIX = "Scheduling mode"
+CLOCK_FORMAT = "%Y-%m-%d %H:%M:%S"
 # ---------------------------------------------------------------------------
 
 # Whitespace that Python's ``str.strip()`` removes: Unicode White_Space plus
 # the four ASCII information separators.
 _PY_SPACE = r"[\s\x1c-\x1f]"
 _STRIP = rf"(?U)^{_PY_SPACE}+|{_PY_SPACE}+$"
-_KV_SPLIT = " => | = "
+
+
+def utc_millis(t: datetime) -> str:
+    """ISO text of a UTC time, to the millisecond."""
+    return t.replace(tzinfo=None).isoformat(timespec="milliseconds") + "Z"
 
 
 @dataclass(frozen=True)
@@ -61,7 +71,7 @@ class RunContext:
 
     @staticmethod
     def _ts(t: datetime) -> str:
-        return t.strftime("%Y-%m-%d %H:%M:%S")
+        return t.strftime(CLOCK_FORMAT)
 
     @property
     def start_ts(self) -> str:
@@ -73,8 +83,7 @@ class RunContext:
 
     @property
     def document_ts(self) -> str:
-        t = self.timestamp or self.end or self.start
-        return t.strftime("%Y-%m-%dT%H:%M:%S.%f")[:-3] + "Z"
+        return utc_millis(self.timestamp or self.end or self.start)
 
 
 # -- E5 / E6 ------------------------------------------------------------------
@@ -249,8 +258,8 @@ def report_pairs(lines: DataFrame) -> DataFrame:
     `` = ``; only two-part lines count; key and value are stripped; when a key
     repeats within a run, the later line wins."""
     line = F.col("line")
-    parts = F.split(py_strip(line), _KV_SPLIT, -1)
-    kept = lines.where((F.length(py_strip(line)) > 0) & ~line.startswith("Scheduling mode")).select(
+    parts = F.split(py_strip(line), KEY_VALUE_SEPARATORS, -1)
+    kept = lines.where((F.length(py_strip(line)) > 0) & ~line.startswith(SKIPPED_LINE_PREFIX)).select(
         "run", "line_no", parts.alias("parts")
     ).where(F.size("parts") == 2)
     pairs = kept.select(
@@ -276,7 +285,7 @@ def report_maps(pairs: DataFrame) -> DataFrame:
 def failure_records(failures: DataFrame, ctx: RunContext, client_col: str = "client",
                     error_col: str = "error", keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """One failure record per input row (``client``, ``error``)."""
-    ts = F.lit((ctx.timestamp or ctx.end or ctx.start).strftime("%Y-%m-%dT%H:%M:%S.%f")[:-3] + "Z")
+    ts = F.lit(ctx.document_ts)
     client = F.col(client_col)
     return failures.select(
         *keep,
@@ -308,42 +317,33 @@ def check_metrics_arguments(metrics_type: str, error: object = None, data: objec
     return t
 
 
-def _json_loads_ok(texts):
-    """Arrow-batched: does Python's ``json.loads`` accept the text?"""
-    import json
-
-    def ok(x):
-        if x is None:
-            return None
-        try:
-            json.loads(x)
-            return True
-        except Exception:  # noqa: BLE001 - any parse failure means "not a document"
-            return False
-
-    return texts.map(ok)
+_JSON = {"allowSingleQuotes": "false"}
 
 
-def _json_ok_udf():
-    import pandas as pd  # noqa: F401 - pandas UDFs need it
+def _is_json(text: Column) -> Column:
+    """Whether the whole text is one JSON value.
 
-    return F.pandas_udf(_json_loads_ok, "boolean")
+    The parser stops after a value, so the text is read twice inside a wrapper:
+    as the only element of an array and as the only member of an object.  What
+    follows a value breaks one of them, whatever closing bracket it begins
+    with."""
+    element = F.size(F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", _JSON)) == 1
+    member = F.size(F.map_keys(F.from_json(F.concat(F.lit('{"d":'), text, F.lit("}")), "map<string,string>", _JSON))) == 1
+    return F.coalesce(element & member, F.lit(False))
 
 
 def document_check(docs: DataFrame, text_col: str = "text", keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """G9 JSON rule over a frame of document texts: ``empty`` (missing or
-    empty text), ``ok`` (Python's ``json.loads`` accepts it) or
-    ``invalid_json``.
+    empty text), ``ok`` (one JSON value) or ``invalid_json``.
 
-    The rule is Python's JSON grammar (NaN and Infinity accepted, duplicate
-    keys allowed, trailing content rejected), which no built-in Spark parser
-    reproduces (``try_parse_json`` accepts trailing content and rejects
-    duplicate keys), so it runs as a vectorised pandas UDF on the executors.
+    The grammar is JSON as Spark's parser reads it: any value at the top,
+    repeated keys allowed, NaN and Infinity accepted as numbers, no single quotes,
+    no trailing content.  It runs inside the JVM.
     """
     text = F.col(text_col)
     status = (
         F.when(text.isNull() | (text == ""), F.lit("empty"))
-        .when(_json_ok_udf()(text), F.lit("ok"))
+        .when(_is_json(text), F.lit("ok"))
         .otherwise(F.lit("invalid_json"))
     )
     return docs.select(*keep, status.alias("status"))

@@ -32,6 +32,7 @@ from revisor.functions import messages as M
 from revisor.operators import checks
 from revisor.operators.checks import JoinPlan
 from revisor.schemas import GROUP_COLUMNS
+from revisor.session import stage_dir
 
 
 def check_structs() -> list[Column]:
@@ -119,8 +120,10 @@ def stage_tables(stats: DataFrame, group_cols: list[str], path: str) -> tuple[Da
     two parts back.  The staged table holds #groups + #duplicated keys rows,
     not one row per key, so it stays small next to the input."""
     spark = stats.sparkSession
-    staged_frame(stats, group_cols).write.mode("overwrite").partitionBy("part").parquet(path)
-    back = spark.read.parquet(path)
+    frame = staged_frame(stats, group_cols)
+    frame.write.mode("overwrite").partitionBy("part").parquet(path)
+    # the declared schema: a batch without rows leaves no file to infer one from
+    back = spark.read.schema(frame.schema).parquet(path)
     sum_cols = [c for c in checks.group_summary(stats, group_cols).columns if c not in group_cols]
     return (
         back.where(F.col("part") == SUMMARY_PART).select(*group_cols, *sum_cols),
@@ -190,7 +193,8 @@ class Validation:
 
     @property
     def join_plan(self) -> JoinPlan:
-        self._plan_duplicates()
+        if self._join_plan is None:
+            self._plan_duplicates()
         return self._join_plan
 
 
@@ -220,8 +224,6 @@ def validate(
     v = Validation(source=df, group_cols=group_cols, stats=stats, join_options=join_options)
     if materialize:
         if stage_path is None:
-            from revisor.session import stage_dir
-
             stage_path = stage_dir(df.sparkSession, "validation")
         v.staged_summary, v.staged_keys = stage_tables(stats, group_cols, stage_path)
     return v

@@ -1,62 +1,131 @@
 """The ingestion batch over every (app, client) pair of the input at once.
 
-Jobs run, in order (nothing loops over apps, no review row reaches the
-driver):
+Jobs run, in order (nothing loops over apps, no review row and no group reaches
+the driver, only totals do):
 
 1. key statistics — scan of the key and flag columns, one partially
    aggregated shuffle, written once to the shared stage folder;
 2. duplicated-key sizing — one small aggregate over that table (picks the
    semi-join strategy);
-3. valid write — map-only filter + strict coercion, partitioned by
-   ``app / type_client / odate``;
-4. invalid write — NULL-invalid filter plus the duplicated-key semi-join;
-5. metrics documents and failure records — one row per app and client,
+3. the write — by default both sides in one pass, partitioned by
+   ``side / app / type_client / odate``, with the declared types and the
+   rating as it came beside the typed one;
+4. metrics documents and failure records — one row per app and client,
    appended as JSON.
 
-The per-group summary collected to the driver (for the return value and
-logs) has one row per (app, client).
-
 Writes use dynamic partition overwrite so a rerun replaces only the
-partitions of the apps in this batch.  A run that fails after recording
-raises (the exit code reflects the failure).
+partitions of the apps in this batch.  Whatever ends a run early is recorded as
+a failure record before it is raised again, and a failed write never leaves a
+success document.  Staged tables are removed when the run ends.
 """
 
 from __future__ import annotations
 
+import functools
 import logging
 import os
 import time
 from dataclasses import dataclass, field, replace
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revisor.operators import metrics as MX
 from revisor.operators.checks import JoinPlan
-from revisor.operators.columns import ensure_column
-from revisor.operators.validation import validate
-from revisor.schemas import BRONZE_SCHEMA, GROUP_COLUMNS
-from revisor.session import stage_dir
+from revisor.operators.columns import ensure_column, keep_raw_rating
+from revisor.operators.validation import Validation, validate
+from revisor.schemas import BRONZE_SCHEMA, GROUP_COLUMNS, WRITTEN_SCHEMA
+from revisor.session import release, stage_dir
 from revisor.sinks.metrics import save_metrics
 from revisor.sinks.parquet import WriteOutcome, cluster_by_group, save_dataframe, target_path
 from revisor.sources import pages as P
 
 log = logging.getLogger(__name__)
 
+NO_ROWS = "no rows"
+
 
 @dataclass
 class JobResult:
-    summary: list[dict]
+    totals: dict[str, int]  # groups, total_records, valid_records, invalid_records, duplicate_groups
     valid: WriteOutcome
     invalid: WriteOutcome
     join_plan: JoinPlan | None
     metrics_path: str | None
     failures: int = 0
-    empty_groups: list[dict] = field(default_factory=list)
+    empty_groups: int = 0
+    empty_path: str | None = None
     timings: dict[str, float] = field(default_factory=dict)
 
 
+def record_failure(spark: SparkSession, base: str, ctx: MX.RunContext, error: Exception, client: str | None = None) -> None:
+    """G8 for a whole run: one failure record under ``<base>/fail``."""
+    try:
+        row = spark.createDataFrame([(client, f"{type(error).__name__}: {error}")], "client string, error string")
+        save_metrics(MX.failure_records(row, ctx), base, "fail")
+    except Exception:  # noqa: BLE001 - the first error is the one to raise
+        log.exception("the failure could not be recorded under %s", base)
+
+
+def _recorded(base_of):
+    """Record what a run raises, then raise it; ``base_of`` names the metrics folder of a call."""
+
+    def wrap(run):
+        @functools.wraps(run)
+        def recorded(spark, *args, ctx: MX.RunContext | None = None, **kwargs):
+            ctx = ctx or MX.RunContext(application_id=spark.sparkContext.applicationId)
+            try:
+                return run(spark, *args, ctx=ctx, **kwargs)
+            except Exception as error:
+                base, client = base_of(*args, **kwargs)
+                record_failure(spark, base, ctx, error, client)
+                raise
+
+        return recorded
+
+    return wrap
+
+
+def _batch_base(_rows, out_base, **kwargs):
+    return kwargs.get("metrics_base") or os.path.join(out_base, "metrics"), None
+
+
+def _single_base(_rows, valid_base, _invalid_base, _app, type_client, **kwargs):
+    return kwargs.get("metrics_base") or single_app_metrics(valid_base), type_client
+
+
+def single_app_metrics(valid_base: str) -> str:
+    """Default metrics folder of a one-app run: ``metrics`` beside the valid base."""
+    return os.path.join(os.path.dirname(valid_base.rstrip("/")), "metrics")
+
+
+def _checked(*outcomes: WriteOutcome) -> None:
+    """A side with no rows at all is not a failed write; anything else that is not ok raises."""
+    bad = [f"{o.path}: {o.reason}" for o in outcomes if not o.ok and o.reason != NO_ROWS]
+    if bad:
+        raise RuntimeError("write failed: " + "; ".join(bad))
+
+
+def _totals(summary: DataFrame) -> dict[str, int]:
+    """Sums over the groups: one row reaches the driver."""
+    names = ["total_records", "valid_records", "invalid_records", "duplicate_groups"]
+    row = summary.agg(F.count(F.lit(1)).alias("groups"), *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]).first()
+    return {n: int(row[n]) for n in ["groups", *names]}
+
+
+def _documents(v: Validation, totals: dict[str, int], ctx: MX.RunContext, base: str, mode: str) -> str | None:
+    """Success documents of the groups; none for a batch without groups."""
+    if len(v.group_cols) != 2:
+        log.warning("no metrics documents: they need an app and a client column, the groups are %s", v.group_cols)
+        return None
+    if not totals["groups"]:
+        log.warning("no metrics documents: the batch has no reviews")
+        return None
+    docs = MX.metrics_documents(v.summary, ctx, *v.group_cols, write_ok=F.lit(True))
+    return save_metrics(docs, base, "success", mode=mode)
+
+
+@_recorded(_batch_base)
 def run_reviews(
     spark: SparkSession,
     reviews: DataFrame,
@@ -66,22 +135,21 @@ def run_reviews(
     ctx: MX.RunContext | None = None,
     group_cols: list[str] | tuple[str, ...] = tuple(GROUP_COLUMNS),
     overwrite: str = "dynamic",
-    strict: bool = True,
     join_options: dict | None = None,
     metrics_base: str | None = None,
     rows_per_file: int | None = None,
-    layout: str = "split",
+    layout: str = "sides",
     load_id: str | None = None,
 ) -> JobResult:
     """Validate ``reviews`` (bronze columns + ``group_cols``), write both
     sides and the metrics documents under ``out_base``.
 
-    ``layout="split"`` (default) writes ``<out>/valid`` and ``<out>/invalid``
-    in two jobs, the valid side with the declared types (``strict``).
-    ``layout="sides"`` writes one tree ``<out>/reviews`` partitioned by
+    Both layouts write ``WRITTEN_SCHEMA``: the declared types, and the rating's
+    text in ``rating_raw``, so that a rating that is not a number is kept.
+    ``layout="sides"`` (default) writes one tree ``<out>/reviews`` partitioned by
     ``side`` first, in one job — a single pass over the reviews when the
-    duplicated keys are broadcast — with the default coercion on both sides
-    (only int and string fields cast), so both sides share one schema.
+    duplicated keys are broadcast.  ``layout="split"`` writes ``<out>/valid`` and
+    ``<out>/invalid`` in two jobs.
 
     ``load_id`` adds a partition level below ``odate`` (``load_id=<id>``):
     several loads of one day (stream epochs) then each replace only their
@@ -90,15 +158,21 @@ def run_reviews(
     per-epoch folder), otherwise appended to.
 
     Writes are map-only by default, which suits landed files that each hold
-    one app.  ``rows_per_file`` clusters each side by (group, bucket) first
-    (one extra shuffle per side) so mixed-app input still yields few, large
+    one app.  ``rows_per_file`` clusters the rows by (group, bucket) first
+    (one extra shuffle) so mixed-app input still yields few, large
     files per partition, with hot groups spread over many tasks."""
-    metrics_mode = "append" if metrics_base is None else "overwrite"
+    return _run_reviews(spark, reviews, out_base, odate, ctx, list(group_cols), overwrite, join_options, metrics_base,
+                        rows_per_file, layout, load_id)
+
+
+def _run_reviews(spark, reviews, out_base, odate, ctx, group_cols, overwrite, join_options, metrics_base,
+                 rows_per_file, layout, load_id) -> JobResult:
+    if layout not in ("sides", "split"):
+        raise ValueError("layout must be 'sides' or 'split'")
+    mode = "append" if metrics_base is None else "overwrite"
     metrics_base = metrics_base or os.path.join(out_base, "metrics")
-    ctx = ctx or MX.RunContext(application_id=spark.sparkContext.applicationId)
     odate = odate or ctx.start.strftime("%Y%m%d")
-    group_cols = list(group_cols)
-    reviews = ensure_column(reviews, "response")
+    reviews = keep_raw_rating(ensure_column(reviews, "response"))
     timings: dict[str, float] = {}
     clock = time.perf_counter()
 
@@ -108,141 +182,97 @@ def run_reviews(
         timings[name] = round(now - clock, 3)
         clock = now
 
-    v = validate(reviews, group_cols, materialize=True, stage_path=stage_dir(spark, "key-stats"),
-                 **(join_options or {}))
-    lap("key_stats_sec")
-    partitions = [*group_cols, "odate"]
-    if load_id is not None:
-        partitions.append("load_id")
-
-    def tag(frame: DataFrame) -> DataFrame:
-        # a run-wide literal, stamped on the output rows just before writing
-        return frame if load_id is None else frame.withColumn("load_id", F.lit(str(load_id)))
-
-    if layout == "sides":
-        return _write_sides(spark, v, out_base, odate, ctx, group_cols, overwrite, metrics_base, metrics_mode,
-                            timings, lap, tag, load_id)
-    if layout != "split":
-        raise ValueError("layout must be 'split' or 'sides'")
-    valid_rows = v.valid
-    if rows_per_file and group_cols:
-        sizes = v.summary.select(*group_cols, F.col("valid_records").alias("rows"))
-        valid_rows = cluster_by_group(valid_rows, sizes, group_cols, rows_per_file)
-    valid_out = save_dataframe(
-        tag(valid_rows), os.path.join(out_base, "valid"), "valid", odate=odate, schema=BRONZE_SCHEMA,
-        strict=strict, partition_cols=partitions, overwrite=overwrite,
-    )
-    lap("valid_write_sec")
-    invalid = v.invalid  # sizes the duplicated-key set and picks the join
-    if rows_per_file and group_cols:
-        sizes = v.summary.select(*group_cols, F.col("invalid_records").alias("rows"))
-        invalid = cluster_by_group(invalid, sizes, group_cols, rows_per_file)
-    lap("join_sizing_sec")
-    invalid_out = save_dataframe(
-        tag(invalid), os.path.join(out_base, "invalid"), "invalid", odate=odate,
-        partition_cols=partitions, overwrite=overwrite,
-    )
-    lap("invalid_write_sec")
-    stages = {k: f"{x:.3f}" for k, x in timings.items()}
-    stages["join_strategy"] = v.join_plan.strategy
-    ctx = replace(ctx, stages={**stages, **ctx.stages}).finished()
-    summary = v.summary
-    metrics_path = None
-    if len(group_cols) == 2:
-        # A side with no rows at all is not a failed write.
-        def side_ok(o: WriteOutcome) -> bool:
-            return o.ok or o.reason == "no rows"
-
-        write_ok = F.lit(side_ok(valid_out) and side_ok(invalid_out))
-        docs = MX.metrics_documents(summary, ctx, group_cols[0], group_cols[1], write_ok=write_ok)
-        metrics_path = save_metrics(docs, metrics_base, "success", mode=metrics_mode)
-    summary_rows = [r.asDict() for r in summary.collect()]  # one row per (app, client)
-    lap("metrics_sec")
-    result = JobResult(summary_rows, valid_out, invalid_out, v.join_plan, metrics_path, timings=timings)
-    log.info("batch done: %s", timings)
-    if not (valid_out.ok or valid_out.reason == "no rows") or not (
-        invalid_out.ok or invalid_out.reason == "no rows"
-    ):
-        raise RuntimeError(f"write failed: valid={valid_out.reason!r} invalid={invalid_out.reason!r}")
-    return result
-
-
-def _write_sides(spark, v, out_base, odate, ctx, group_cols, overwrite, metrics_base, metrics_mode,
-                 timings, lap, tag, load_id) -> JobResult:
-    rows = tag(v.sides())
-    lap("join_sizing_sec")
-    partitions = ["side", *group_cols, "odate"] + (["load_id"] if load_id is not None else [])
-    out = save_dataframe(rows, os.path.join(out_base, "reviews"), "reviews", odate=odate, schema=BRONZE_SCHEMA,
-                         partition_cols=partitions, overwrite=overwrite)
-    lap("sides_write_sec")
-    summary = v.summary
-    summary_rows = [r.asDict() for r in summary.collect()]  # one row per (app, client)
-    n_valid = sum(r["valid_records"] for r in summary_rows)
-    n_invalid = sum(r["invalid_records"] for r in summary_rows)
-    ok = out.ok or out.reason == "no rows"
-    if out.ok and out.rows != n_valid + n_invalid:
-        raise RuntimeError(f"written rows {out.rows} != valid {n_valid} + invalid {n_invalid}")
-    valid_out = WriteOutcome(ok, n_valid, os.path.join(out.path, "side=valid"), out.reason)
-    invalid_out = WriteOutcome(ok, n_invalid, os.path.join(out.path, "side=invalid"), out.reason)
-    stages = {k: f"{x:.3f}" for k, x in timings.items()}
-    stages["join_strategy"] = v.join_plan.strategy
-    ctx = replace(ctx, stages={**stages, **ctx.stages}).finished()
-    metrics_path = None
-    if len(group_cols) == 2:
-        docs = MX.metrics_documents(summary, ctx, group_cols[0], group_cols[1], write_ok=F.lit(ok))
-        metrics_path = save_metrics(docs, metrics_base, "success", mode=metrics_mode)
-    lap("metrics_sec")
-    if not ok:
-        raise RuntimeError(f"write failed: {out.reason!r}")
-    return JobResult(summary_rows, valid_out, invalid_out, v.join_plan, metrics_path, timings=timings)
-
-
+    partitions = [*group_cols, "odate"] + (["load_id"] if load_id is not None else [])
+
+    def save(rows: DataFrame, name: str, sizes: DataFrame, keys: list[str]) -> WriteOutcome:
+        if rows_per_file and keys:
+            rows = cluster_by_group(rows, sizes, keys, rows_per_file)
+        if load_id is not None:
+            rows = rows.withColumn("load_id", F.lit(str(load_id)))  # a run-wide literal
+        own = partitions if name != "reviews" else ["side", *partitions]
+        return save_dataframe(rows, os.path.join(out_base, name), name, odate=odate, schema=WRITTEN_SCHEMA, strict=True,
+                              partition_cols=own, overwrite=overwrite)
+
+    def sizes_of(side: str) -> DataFrame:
+        return v.summary.select(*group_cols, F.col(f"{side}_records").alias("rows"))
+
+    stage_path = stage_dir(spark, "key-stats")
+    try:
+        v = validate(reviews, group_cols, materialize=True, stage_path=stage_path, **(join_options or {}))
+        lap("key_stats_sec")
+        totals = _totals(v.summary)
+        if layout == "sides":
+            sizes = sizes_of("valid").withColumn("side", F.lit("valid")).unionByName(
+                sizes_of("invalid").withColumn("side", F.lit("invalid")))
+            out = save(v.sides(), "reviews", sizes, ["side", *group_cols])
+            _checked(out)
+            if out.rows != totals["valid_records"] + totals["invalid_records"]:
+                raise RuntimeError(f"written rows {out.rows} differ from the totals {totals}")
+            valid, invalid = (
+                WriteOutcome(totals[f"{s}_records"] > 0, totals[f"{s}_records"], os.path.join(out_base, "reviews", f"side={s}"),
+                             "" if totals[f"{s}_records"] else NO_ROWS) for s in ("valid", "invalid"))
+        else:
+            valid = save(v.valid, "valid", sizes_of("valid"), group_cols)
+            invalid = save(v.invalid, "invalid", sizes_of("invalid"), group_cols)
+            _checked(valid, invalid)
+        lap("write_sec")
+        stages = {k: f"{x:.3f}" for k, x in timings.items()}
+        stages["join_strategy"] = v.join_plan.strategy
+        ctx = replace(ctx, stages={**stages, **ctx.stages}).finished()
+        metrics_path = _documents(v, totals, ctx, metrics_base, mode)
+        lap("metrics_sec")
+        log.info("batch done: %s", timings)
+        return JobResult(totals, valid, invalid, v.join_plan, metrics_path, timings=timings)
+    finally:
+        release(spark, stage_path)
+
+
+@_recorded(_batch_base)
 def run_pages(
     spark: SparkSession,
     pages: DataFrame,
     out_base: str,
     *,
-    max_pages: int = P.MAX_PAGES,
+    max_pages: int | None = None,
     odate: str | None = None,
     ctx: MX.RunContext | None = None,
     overwrite: str = "dynamic",
     join_options: dict | None = None,
     metrics_base: str | None = None,
     rows_per_file: int | None = None,
-    layout: str = "split",
+    layout: str = "sides",
     load_id: str | None = None,
 ) -> JobResult:
-    """Landed pages -> page-prefix rule -> reviews -> ``run_reviews``; fetch
-    failures become failure records; requested groups without reviews are
-    reported."""
-    ctx = ctx or MX.RunContext(application_id=spark.sparkContext.applicationId)
-    fail_mode = "append" if metrics_base is None else "overwrite"
-    fail_base = metrics_base or os.path.join(out_base, "metrics")
-    status, rows = P.stage_pages(pages, stage_dir(spark, "page-status"), stage_dir(spark, "page-reviews"),
-                                 max_pages)
-    group_cols = [c for c in GROUP_COLUMNS if c in rows.columns]
-    reviews = rows.select(*group_cols, *[c for c in BRONZE_SCHEMA.fieldNames()])
-
-    failures = P.failures_from_status(status)
-    fail_records = MX.failure_records(
-        failures.withColumn("client", F.col("type_client") if "type_client" in failures.columns else F.lit(None)),
-        ctx, keep=[*group_cols, "product_id", "page_no"],
-    )
-    n_fail = fail_records.count()  # reads the small staged status table
-    if n_fail:
-        save_metrics(fail_records, fail_base, "fail", mode=fail_mode)
-
-    requested = status.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
-    empty = [r.asDict() for r in P.empty_groups(requested, reviews, group_cols).collect()]
-
-    result = run_reviews(spark, reviews, out_base, odate=odate, ctx=ctx, group_cols=group_cols,
-                         overwrite=overwrite, join_options=join_options, metrics_base=metrics_base,
-                         rows_per_file=rows_per_file, layout=layout, load_id=load_id)
-    result.failures = n_fail
-    result.empty_groups = empty
+    """Landed pages -> page-prefix rule -> reviews -> ``run_reviews``; failed
+    fetches become failure records; requested groups without reviews are
+    reported under ``<metrics>/empty``.  A batch whose pages hold no review writes
+    no data and no documents."""
+    mode = "append" if metrics_base is None else "overwrite"
+    base = metrics_base or os.path.join(out_base, "metrics")
+    staged = P.stage_pages(pages, max_pages)
+    try:
+        group_cols = [c for c in GROUP_COLUMNS if c in pages.columns]
+        failures = staged.failures()
+        client = F.col("type_client") if "type_client" in failures.columns else F.lit(None).cast("string")
+        records = MX.failure_records(failures.withColumn("client", client), ctx, keep=[*P.fetch_keys(failures), "page_no"])
+        n_failures = records.count()  # reads the small staged status table
+        if n_failures:
+            save_metrics(records, base, "fail", mode=mode)
+        empty = staged.empty_groups(group_cols)
+        n_empty, empty_path = empty.count(), None
+        if n_empty:
+            empty_path = os.path.join(base, "empty")
+            empty.write.mode(mode).json(empty_path)
+        reviews = staged.reviews().select(*group_cols, *BRONZE_SCHEMA.fieldNames())
+        result = _run_reviews(spark, reviews, out_base, odate, ctx, group_cols, overwrite, join_options, metrics_base,
+                              rows_per_file, layout, load_id)
+    finally:
+        staged.release()
+    result.failures, result.empty_groups, result.empty_path = n_failures, n_empty, empty_path
     return result
 
 
+@_recorded(_single_base)
 def run_single_app(
     spark: SparkSession,
     reviews: DataFrame,
@@ -254,31 +284,26 @@ def run_single_app(
     odate: str,
     ctx: MX.RunContext | None = None,
     overwrite: str = "static",
-    strict: bool = False,
     metrics_base: str | None = None,
 ) -> JobResult:
     """Parity mode with the one-app-per-run layout: the whole input is one
     app, targets are ``<base>/<app>_<client>/`` partitioned by ``odate``
     only, and a static overwrite replaces that folder (earlier load dates
-    included), as a per-app run does.  The invalid side is not coerced."""
-    ctx = ctx or MX.RunContext(application_id=spark.sparkContext.applicationId)
+    included), as a per-app run does.  Neither side's values are changed: the
+    valid side is coerced by the default rules (B4), the invalid side not at
+    all."""
     reviews = ensure_column(reviews, "response")
-    v = validate(reviews, [], materialize=True, stage_path=stage_dir(spark, "single-app"))
-    valid_out = save_dataframe(v.valid, target_path(valid_base, app, type_client), "valid", odate=odate,
-                               schema=BRONZE_SCHEMA, strict=strict, overwrite=overwrite)
-    invalid_out = save_dataframe(v.invalid, target_path(invalid_base, app, type_client), "invalid",
-                                 odate=odate, overwrite=overwrite)
-    ctx = ctx.finished()
-    summary = v.summary.select(F.lit(app).alias("app"), F.lit(type_client).alias("type_client"), "*")
-    write_ok = F.lit((valid_out.ok or valid_out.reason == "no rows") and
-                     (invalid_out.ok or invalid_out.reason == "no rows"))
-    metrics_path = None
-    if metrics_base:
-        docs = MX.metrics_documents(summary, ctx, write_ok=write_ok)
-        metrics_path = save_metrics(docs, metrics_base, "success")
-    rows = [r.asDict() for r in summary.collect()]
-    return JobResult(rows, valid_out, invalid_out, v.join_plan, metrics_path)
-
-
-def today() -> str:
-    return datetime.now(timezone.utc).strftime("%Y%m%d")
+    stage_path = stage_dir(spark, "single-app")
+    try:
+        v = validate(reviews, [], materialize=True, stage_path=stage_path)
+        valid = save_dataframe(v.valid, target_path(valid_base, app, type_client), "valid", odate=odate,
+                               schema=BRONZE_SCHEMA, overwrite=overwrite)
+        invalid = save_dataframe(v.invalid, target_path(invalid_base, app, type_client), "invalid", odate=odate,
+                                 overwrite=overwrite)
+        _checked(valid, invalid)
+        summary = v.summary.select(F.lit(app).alias("app"), F.lit(type_client).alias("type_client"), "*")
+        docs = MX.metrics_documents(summary, ctx.finished(), write_ok=F.lit(True))
+        metrics_path = save_metrics(docs, metrics_base or single_app_metrics(valid_base), "success")
+        return JobResult(_totals(v.summary), valid, invalid, v.join_plan, metrics_path)
+    finally:
+        release(spark, stage_path)

@@ -38,7 +38,8 @@ RAW_REVIEW_SCHEMA = T.StructType(
     [f if f.name != "rating" else T.StructField("rating", T.StringType(), True) for f in BRONZE_SCHEMA.fields]
 )
 
-# One landed API page.
+# One page of a fetch.  ``fetch_id`` names the fetch run that landed it (NULL
+# where a landing folder holds one fetch per product).
 PAGE_SCHEMA = T.StructType(
     [
         T.StructField("app", T.StringType(), True),
@@ -48,30 +49,21 @@ PAGE_SCHEMA = T.StructType(
         T.StructField("request_ok", T.BooleanType(), True),
         T.StructField("reviews", T.ArrayType(RAW_REVIEW_SCHEMA, True), True),
         T.StructField("next_page_token", T.StringType(), True),
+        T.StructField("fetch_id", T.StringType(), True),
     ]
 )
 
-VALIDATION_RESULT_SCHEMA = T.StructType(
+# A page as landed: the response's own paging object may hold the token, and a
+# line that is not a page keeps its text.
+CORRUPT_COLUMN = "corrupt_line"
+LANDED_SCHEMA = T.StructType(
     [
-        T.StructField("check", T.StringType(), False),
-        T.StructField("status", T.BooleanType(), False),
-        T.StructField("code", T.IntegerType(), False),
-        T.StructField("message", T.StringType(), False),
-        T.StructField("total_records", T.LongType(), False),
+        *PAGE_SCHEMA.fields,
+        T.StructField("serpapi_pagination", T.StructType([T.StructField("next_page_token", T.StringType(), True)]), True),
+        T.StructField(CORRUPT_COLUMN, T.StringType(), True),
     ]
 )
 
-FAILURE_SCHEMA = T.StructType(
-    [
-        T.StructField(name, T.StringType(), True)
-        for name in ["timestamp", "layer", "project", "job", "priority", "torre", "client", "error"]
-    ]
-)
-
-REPORT_LINE_SCHEMA = T.StructType(
-    [
-        T.StructField("run", T.StringType(), True),
-        T.StructField("line_no", T.IntegerType(), True),
-        T.StructField("line", T.StringType(), True),
-    ]
-)
+# What the batch writes: the bronze columns and the rating as it came.
+RAW_RATING = "rating_raw"
+WRITTEN_SCHEMA = T.StructType([*BRONZE_SCHEMA.fields, T.StructField(RAW_RATING, T.StringType(), True)])

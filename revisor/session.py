@@ -3,8 +3,9 @@
 On a cluster the session is created by the launcher; ``build_session`` is for
 local runs (tests, bench).  ``stage_dir`` returns a fresh folder inside the
 cluster's ``spark.checkpoint.dir``: intermediate tables written there survive
-executor loss and cut lineage.  A local temporary folder is only chosen when
-that setting is absent, which is the local/test case.
+executor loss and cut lineage; ``release`` removes one.  A local temporary
+folder is only chosen when that setting is absent and the master is local;
+elsewhere a missing setting is an error.
 """
 
 from __future__ import annotations
@@ -58,7 +59,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get(_CHECKPOINT_KEY)
     if not configured:
-        # Local runs and tests only: a cluster always names a shared folder.
+        # Local runs and tests only: a cluster must name a shared folder.
+        master = sc.master if sc is not None else ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(f"{_CHECKPOINT_KEY} is not set: staged tables need a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="revisor-ckpt-")
     if sc is None:
         return configured
@@ -70,3 +74,11 @@ def stage_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint folder."""
     root = checkpoint_root(spark)
     return os.path.join(root, "revisor-stage", f"{name}-{uuid.uuid4().hex}")
+
+
+def release(spark: SparkSession, *paths: str) -> None:
+    """Remove staged folders that nothing reads any more."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)

@@ -2,27 +2,57 @@
 JSON lines to one folder per outcome (``success`` / ``fail``), replacing the
 search index of the original job.  Appends are idempotent per run only in
 the sense that each run adds its own files; readers use the declared schema
-of the document."""
+of the document.
+
+The writer applies the document rules (G9) to the rows themselves before it
+writes: a failure needs an error text, a success needs data, and a document
+given as text must be JSON.
+"""
 
 from __future__ import annotations
 
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revisor.operators.metrics import check_metrics_arguments
+from revisor.operators.metrics import check_metrics_arguments, document_check
+
+
+def rejected_documents(frame: DataFrame, metrics_type: str) -> DataFrame:
+    """Rows the writer refuses, with the ``reason``."""
+    if metrics_type == "fail":
+        error = F.col("error")
+        return frame.where(error.isNull() | (F.trim(error) == "")).withColumn("reason", F.lit("empty error"))
+    if "document" in frame.columns and not isinstance(frame.schema["document"].dataType, T.StringType):
+        return frame.where(F.col("document").isNull()).withColumn("reason", F.lit("empty data"))
+    if "document" in frame.columns:
+        kept = [c for c in frame.columns if c != "status"]
+        checked = document_check(frame, "document", keep=kept).where("status != 'ok'")
+        reason = F.when(F.col("status") == "empty", F.lit("empty data")).otherwise(F.lit("invalid JSON"))
+        return checked.withColumn("reason", reason).drop("status")
+    return frame.limit(0).withColumn("reason", F.lit(""))
 
 
 def save_metrics(frame: DataFrame, base: str, metrics_type: str, mode: str = "append") -> str:
-    """Append ``frame`` under ``<base>/<metrics_type>``.  A ``success`` frame
-    holds a ``document`` struct column (or plain fields); a ``fail`` frame
-    holds failure records, which must carry an ``error`` column."""
-    has_error = "error" in frame.columns
-    t = check_metrics_arguments(metrics_type, error=has_error, data=frame)
+    """Write ``frame`` under ``<base>/<metrics_type>``.  A ``success`` frame
+    holds a ``document`` column (a struct, or JSON text) or plain fields; a
+    ``fail`` frame holds failure records with their ``error``.  Raises before
+    anything is written if a rule is broken."""
+    t = check_metrics_arguments(metrics_type, error="error" in frame.columns, data=frame)
+    bad = rejected_documents(frame, t).select("reason").head(1)
+    if bad:
+        raise ValueError(f"a {t!r} record breaks the document rules: {bad[0]['reason']}")
+    if t == "success" and frame.isEmpty():
+        raise ValueError("a 'success' record needs data")
     target = os.path.join(base, t)
-    out = frame.select("document.*") if "document" in frame.columns else frame
-    out.write.mode(mode).json(target)
+    if "document" not in frame.columns:
+        frame.write.mode(mode).json(target)
+    elif isinstance(frame.schema["document"].dataType, T.StringType):
+        frame.select(F.col("document").alias("value")).write.mode(mode).text(target)
+    else:
+        frame.select("document.*").write.mode(mode).json(target)
     return target
 
 

@@ -1,150 +1,189 @@
 """Landed API pages: reader (A1), page-prefix rule (A2), flattening (A3),
-empty-app report (A5) and per-product fetch failures (G8 input).
+empty-group report (A5) and fetch failures (G8 input).
 
-The page-prefix rule replays the paging loop of a fetch for every product at
-once.  Per product and zero-based page number ``p``:
+The rule replays the paging loop of every fetch at once.  A *fetch* is one
+``(app, type_client, product_id, fetch_id)`` (NULLs compare as equal); its pages
+are numbered from 0:
 
-* only pages with ``p < max_pages`` are read;
-* a page is *reached* when every earlier page exists (numbers run 0, 1, …)
-  and none of them ended the chain; a page ends the chain when its request
-  failed, when it has no ``next_page_token``, or when it has no reviews;
+* a page is *reached* when every earlier number was landed and none of those
+  pages ended the chain; a page ends the chain when its request failed, when
+  its token is NULL or empty, or when it has no reviews;
 * a reached good page with reviews is kept;
 * a reached failed request is not kept (earlier pages are) and is reported;
-* a reached good page *without* reviews fails the whole product: none of its
-  pages are kept and the product is reported.
-
-Scale: the window runs only over pages below the cap, so one product's
-window partition holds at most ``max_pages`` rows however hot the product
-is; the rule costs one exchange on the product key.
+* a reached good page *without* reviews fails the whole fetch: none of its
+  pages are kept and it is reported.
+
+Every landed page gets exactly one status, the ones outside any chain too: a
+line that is no page is a failed request, a page without a usable number is
+``unnumbered``, one at or beyond an explicit cap is ``over_cap``, and a number
+that was landed twice in one fetch counts once (the page read first), the
+others being ``repeated_page``.
+
+Scale: the pages are parsed once into a staged columnar table that numbers its
+rows.  The rule reads only narrow columns of it; repeated numbers are folded by
+an aggregation that combines on the map side, so the window over a fetch holds
+one row per distinct page number even where the key is NULL or hot; statuses and
+kept pages join back on the row number, which is unique.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from dataclasses import dataclass
 
-from revisor.schemas import GROUP_COLUMNS, PAGE_SCHEMA
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-MAX_PAGES = 10
+from revisor.schemas import CORRUPT_COLUMN, GROUP_COLUMNS, LANDED_SCHEMA, PAGE_SCHEMA
+from revisor.session import release, stage_dir
 
 KEPT = "kept"
 FAILED_REQUEST = "failed_request"
 MISSING_REVIEWS = "missing_reviews"
 NOT_REACHED = "not_reached"
 PRODUCT_FAILED = "product_failed"
+OVER_CAP = "over_cap"
+REPEATED_PAGE = "repeated_page"
+UNNUMBERED = "unnumbered"
+
+ROW = "page_row"
+# Most kept pages whose row numbers (8 bytes each) are joined back by broadcast.
+KEPT_BROADCAST_MAX_ROWS = 4_000_000
 
 
 def read_landed_pages(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    """A1: landed pages with the declared page schema (never inferred)."""
-    return spark.read.schema(PAGE_SCHEMA).format(fmt).load(path)
+    """A1: landed pages with the declared schema (never inferred).  The token
+    is read from the page or from the response's paging object; a line that is
+    not a page keeps its text in ``corrupt_line`` and has NULLs elsewhere."""
+    reader = spark.read.schema(LANDED_SCHEMA).option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+    token = F.coalesce("next_page_token", "serpapi_pagination.next_page_token")
+    return reader.format(fmt).load(path).select(
+        *[c for c in PAGE_SCHEMA.fieldNames() if c != "next_page_token"], token.alias("next_page_token"), CORRUPT_COLUMN)
 
 
 def product_keys(pages: DataFrame) -> list[str]:
-    return [c for c in GROUP_COLUMNS if c in pages.columns] + ["product_id"]
+    return [c for c in (*GROUP_COLUMNS, "product_id") if c in pages.columns]
+
+
+def fetch_keys(pages: DataFrame) -> list[str]:
+    return product_keys(pages) + [c for c in ("fetch_id",) if c in pages.columns]
+
+
+@dataclass
+class StagedPages:
+    """The staged pages, their statuses and what derives from both."""
+
+    pages: DataFrame
+    status: DataFrame
+    paths: list[str]
 
+    def kept(self) -> DataFrame:
+        """A2: the pages a fetch would have concatenated, with all their columns."""
+        rows = self.status.where(F.col("status") == KEPT).select(ROW)
+        if rows.count() <= KEPT_BROADCAST_MAX_ROWS:
+            rows = F.broadcast(rows)
+        return self.pages.join(rows, ROW, "left_semi").drop(ROW)
 
-def page_status(pages: DataFrame, max_pages: int = MAX_PAGES, reviews_col: str = "reviews") -> DataFrame:
-    """A2: every page below the cap with its ``status`` — ``kept``,
-    ``failed_request``, ``missing_reviews``, ``not_reached`` or
-    ``product_failed`` (a page that would be kept, of a failed product)."""
-    keys = product_keys(pages)
+    def reviews(self) -> DataFrame:
+        return page_reviews(self.kept())
+
+    def failures(self, missing_message: str | None = None) -> DataFrame:
+        return failures_from_status(self.status, missing_message)
+
+    def empty_groups(self, group_cols: list[str] | tuple[str, ...]) -> DataFrame:
+        """A5 from the statuses alone: requested groups whose kept pages hold no review."""
+        held = F.sum(F.when(F.col("status") == KEPT, F.col("n_reviews")).otherwise(0))
+        return self.status.groupBy(*group_cols).agg(held.alias("_held")).where("_held = 0").drop("_held")
+
+    def release(self) -> None:
+        release(self.pages.sparkSession, *self.paths)
+
+
+def stage_pages(pages: DataFrame, max_pages: int | None = None, reviews_col: str = "reviews") -> StagedPages:
+    """Parse ``pages`` once into a staged table and give every page its status.
+
+    ``max_pages`` caps the pages of a fetch (none by default: what was landed is
+    read).  ``reviews_col`` may be an array or any column that is NULL where a
+    page has no reviews.
+    """
+    spark = pages.sparkSession
+    page_path, status_path = stage_dir(spark, "pages"), stage_dir(spark, "page-status")
+    numbered = pages.withColumn(ROW, F.monotonically_increasing_id())
+    numbered.write.parquet(page_path)
+    staged = spark.read.schema(numbered.schema).parquet(page_path)
+    status = _status(staged, max_pages, reviews_col)
+    status.write.parquet(status_path)
+    return StagedPages(staged, spark.read.schema(status.schema).parquet(status_path), [page_path, status_path])
+
+
+def _status(pages: DataFrame, max_pages: int | None, reviews_col: str) -> DataFrame:
+    keys = fetch_keys(pages)
+    corrupt = F.col(CORRUPT_COLUMN).isNotNull() if CORRUPT_COLUMN in pages.columns else F.lit(False)
+    has_reviews = F.col(reviews_col).isNotNull()
+    n_reviews = F.size(reviews_col) if isinstance(pages.schema[reviews_col].dataType, T.ArrayType) else F.lit(1)
     ok = F.coalesce(F.col("request_ok"), F.lit(False))
-    # A boolean flag, computed before the window: the review arrays cross the
-    # window's exchange only if the caller keeps them.
-    has_reviews = F.col("_has_reviews")
-    ends_chain = ~ok | F.col("next_page_token").isNull() | ~has_reviews
+    token = F.col("next_page_token")
+    narrow = pages.select(
+        *keys, "page_no", ROW, corrupt.alias("corrupt"), ok.alias("ok"), has_reviews.alias("has_reviews"),
+        (~ok | token.isNull() | (token == "") | ~has_reviews).alias("ends"),
+        F.when(has_reviews, n_reviews).otherwise(0).cast("long").alias("n_reviews"),
+    )
+    numbered = F.coalesce(F.col("page_no") >= 0, F.lit(False))
+    over_cap = F.lit(False) if max_pages is None else numbered & (F.col("page_no") >= max_pages)
+    # one page per number: the first row, picked by an aggregation (a hot or NULL key never meets in one task)
+    flags = [ROW, "ok", "has_reviews", "ends"]
+    chosen = (narrow.where(~F.col("corrupt") & numbered & ~over_cap).groupBy(*keys, "page_no")
+              .agg(F.min(F.struct(*flags)).alias("first")).select(*keys, "page_no", "first.*"))
     ordered = Window.partitionBy(*keys).orderBy("page_no")
     earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
-
-    staged = (
-        pages.where(F.col("page_no") < max_pages)
-        .withColumn("_has_reviews", F.col(reviews_col).isNotNull())
-        .withColumn("_earlier_end", F.max(ends_chain.cast("int")).over(earlier))
-        .withColumn("_rn", F.row_number().over(ordered))
-        .withColumn(
-            "_reached",
-            (F.col("page_no") == F.col("_rn") - 1) & (F.coalesce(F.col("_earlier_end"), F.lit(0)) == 0),
-        )
-        .withColumn("_fails_product", F.max((F.col("_reached") & ok & ~has_reviews).cast("int")).over(whole))
-    )
-    reached = F.col("_reached")
-    status = (
-        F.when(~reached, F.lit(NOT_REACHED))
-        .when(~ok, F.lit(FAILED_REQUEST))
-        .when(~has_reviews, F.lit(MISSING_REVIEWS))
-        .when(F.col("_fails_product") == 1, F.lit(PRODUCT_FAILED))
+    reached = (F.col("page_no") == F.row_number().over(ordered) - 1) & ~F.coalesce(
+        F.max("ends").over(earlier), F.lit(False))
+    chosen = chosen.withColumn("reached", reached)
+    fails = F.max(F.col("reached") & F.col("ok") & ~F.col("has_reviews")).over(Window.partitionBy(*keys))
+    in_chain = (
+        F.when(~F.col("reached"), F.lit(NOT_REACHED))
+        .when(~F.col("ok"), F.lit(FAILED_REQUEST))
+        .when(~F.col("has_reviews"), F.lit(MISSING_REVIEWS))
+        .when(fails, F.lit(PRODUCT_FAILED))
         .otherwise(F.lit(KEPT))
     )
-    return staged.withColumn("status", status).drop("_earlier_end", "_rn", "_reached", "_fails_product",
-                                                    "_has_reviews")
+    outside = (
+        F.when(F.col("corrupt"), F.lit(FAILED_REQUEST))
+        .when(~numbered, F.lit(UNNUMBERED))
+        .when(over_cap, F.lit(OVER_CAP))
+        .otherwise(F.lit(REPEATED_PAGE))
+    )
+    found = chosen.select(ROW, in_chain.alias("in_chain"))
+    return narrow.join(found, ROW, "left").select(
+        *keys, "page_no", ROW, "corrupt", F.col("ok").alias("request_ok"), "n_reviews",
+        F.coalesce("in_chain", outside).alias("status"))
+
+
+def page_status(pages: DataFrame, max_pages: int | None = None, reviews_col: str = "reviews") -> DataFrame:
+    """A2: every landed page with its ``status`` (narrow columns, staged)."""
+    return stage_pages(pages, max_pages, reviews_col).status
 
 
-def kept_pages(pages: DataFrame, max_pages: int = MAX_PAGES, reviews_col: str = "reviews") -> DataFrame:
+def kept_pages(pages: DataFrame, max_pages: int | None = None, reviews_col: str = "reviews") -> DataFrame:
     """A2: the pages a fetch would have concatenated."""
-    return page_status(pages, max_pages, reviews_col).where(F.col("status") == KEPT).drop("status")
+    return stage_pages(pages, max_pages, reviews_col).kept()
 
 
 def page_reviews(kept: DataFrame) -> DataFrame:
     """A3: one row per review of the kept pages (``review_no`` is the
     position within its page)."""
-    keys = product_keys(kept)
+    keys = fetch_keys(kept)
     return kept.select(
         *keys, "page_no", F.posexplode("reviews").alias("review_no", "r")
     ).select(*keys, "page_no", "review_no", "r.*")
 
 
-def fetch_failures(pages: DataFrame, max_pages: int = MAX_PAGES, reviews_col: str = "reviews",
+def fetch_failures(pages: DataFrame, max_pages: int | None = None, reviews_col: str = "reviews",
                    missing_message: str | None = None) -> DataFrame:
-    """Reached pages that failed: a failed request (earlier pages kept) or a
-    good page without reviews (the product fails).  Columns: product keys,
-    ``page_no``, ``kind`` and ``error`` text."""
-    return failures_from_status(page_status(pages, max_pages, reviews_col), missing_message)
-
-
-# Largest kept-page key set (bytes) joined back to the pages by broadcast.
-KEPT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-
-
-def stage_pages(pages: DataFrame, status_path: str, reviews_path: str, max_pages: int = MAX_PAGES,
-                reviews_col: str = "reviews") -> tuple[DataFrame, DataFrame]:
-    """Run the page-prefix rule once and stage its two products.
-
-    1. The window runs over a narrow projection (product keys, page number
-       and three flags) — never over the review arrays — and the status of
-       every page below the cap is written (one row per page).
-    2. The kept pages are picked from the full pages by a semi-join on
-       (product keys, page number) — broadcast when the measured key set is
-       small, else a shuffle on keys that are unique per page, so a hot
-       product spreads over many tasks — then flattened and written once as
-       Parquet review rows.
-
-    Later passes (key statistics, both writes, failures, empty groups) read
-    these tables instead of re-parsing the landed pages and replaying the
-    window.  Returns (page statuses, review rows) read back from the stage.
-    """
-    spark = pages.sparkSession
-    keys = product_keys(pages)
-    narrow = pages.where(F.col("page_no") < max_pages).select(
-        *keys, "page_no", "request_ok", "next_page_token",
-        F.when(F.col(reviews_col).isNotNull(), F.lit(True)).alias("_reviews_present"),
-    )
-    page_status(narrow, max_pages, "_reviews_present").drop("next_page_token", "_reviews_present").write.mode("overwrite").parquet(
-        status_path)
-    status = spark.read.parquet(status_path)
-
-    kept = status.where(F.col("status") == KEPT).select(*[F.col(c).alias("_p_" + c) for c in [*keys, "page_no"]])
-    size = kept.agg(F.coalesce(F.sum(sum((F.octet_length(F.col("_p_" + c)) for c in keys), F.lit(0)) + 24),
-                               F.lit(0)).alias("b")).first()["b"]
-    if size <= KEPT_BROADCAST_MAX_BYTES:
-        kept = F.broadcast(kept)
-    cond = None
-    for c in [*keys, "page_no"]:
-        term = F.col(c) == F.col("_p_" + c)
-        cond = term if cond is None else cond & term
-    chosen = pages.where(F.col("page_no") < max_pages).join(kept, cond, "left_semi")
-    page_reviews(chosen).write.mode("overwrite").parquet(reviews_path)
-    return status, spark.read.parquet(reviews_path)
+    """Failed pages: a failed request (earlier pages kept), a line that is no
+    page, or a reached good page without reviews (the fetch fails).  Columns:
+    fetch keys, ``page_no``, ``kind`` and ``error`` text."""
+    return stage_pages(pages, max_pages, reviews_col).failures(missing_message)
 
 
 def failures_from_status(status: DataFrame, missing_message: str | None = None) -> DataFrame:
@@ -153,19 +192,27 @@ def failures_from_status(status: DataFrame, missing_message: str | None = None)
         from revisor.operators.metrics import MSG_MISSING_REVIEWS
 
         missing_message = MSG_MISSING_REVIEWS
-    keys = product_keys(status)
     bad = status.where(F.col("status").isin(FAILED_REQUEST, MISSING_REVIEWS))
-    error = F.when(
-        F.col("status") == FAILED_REQUEST,
-        F.concat(F.lit("request failed for product "), F.col("product_id").cast("string"),
-                 F.lit(" on page "), F.col("page_no").cast("string")),
-    ).otherwise(F.lit(missing_message))
-    return bad.select(*keys, "page_no", F.col("status").alias("kind"), error.alias("error"))
+
+    def named(c: str) -> Column:
+        return F.coalesce(F.col(c).cast("string"), F.lit("NULL"))
+
+    error = (
+        F.when(F.col("corrupt"), F.lit("landed line is not a page"))
+        .when(F.col("status") == FAILED_REQUEST, F.concat(F.lit("request failed for product "), named("product_id"),
+                                                          F.lit(" on page "), named("page_no")))
+        .otherwise(F.lit(missing_message))
+    )
+    return bad.select(*fetch_keys(status), "page_no", F.col("status").alias("kind"), error.alias("error"))
 
 
 def empty_groups(requested: DataFrame, rows: DataFrame, group_cols: list[str] | tuple[str, ...]) -> DataFrame:
-    """A5: requested groups without a single row.  ``rows`` is reduced to
-    one row per group (partial aggregation) before the anti join, so a hot
-    group never reaches one task."""
+    """A5: requested groups without a single row, a NULL key being a group like
+    any other.  ``rows`` is reduced to one row per group (partial aggregation)
+    before the anti join, so a hot group never reaches one task."""
     found = rows.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
-    return requested.select(*group_cols).join(found, list(group_cols), "left_anti")
+    found = found.select(*[F.col(c).alias("_f_" + c) for c in group_cols])
+    cond = F.lit(True)
+    for c in group_cols:
+        cond = cond & F.col(c).eqNullSafe(F.col("_f_" + c))
+    return requested.select(*group_cols).join(found, cond, "left_anti")

@@ -14,11 +14,12 @@ def _review(i):
     return (None, None, f"r{i}", None, 1, "5", None, f"text {i}", None)
 
 
-def _page(product, p, ok=True, reviews=True, token=True):
-    return ("app", "pf", product, p, ok, [_review(p)] if reviews else None, f"t{p}" if token else None)
+def _page(product, p, ok=True, reviews=True, token=True, fetch=None, app="app"):
+    token = f"t{p}" if token is True else token or None
+    return (app, "pf", product, p, ok, [_review(p)] if reviews else None, token, fetch)
 
 
-def _kept(spark, rows, cap=10):
+def _kept(spark, rows, cap=None):
     df = spark.createDataFrame(rows, PAGE_SCHEMA)
     return sorted((r["product_id"], r["page_no"]) for r in P.kept_pages(df, cap).collect())
 
@@ -33,7 +34,7 @@ def test_cases(spark):
     rows += [_page("late_missing", 0, token=False), _page("late_missing", 1, reviews=False)]
     rows += [_page("gap", 0), _page("gap", 2)]
     got = _kept(spark, rows)
-    expect = ([("chain", p) for p in range(4)] + [("first_only", 0)] + [("long", p) for p in range(10)]
+    expect = ([("chain", p) for p in range(4)] + [("first_only", 0)] + [("long", p) for p in range(15)]
               + [("fail2", 0), ("fail2", 1)] + [("late_missing", 0)] + [("gap", 0)])
     assert got == sorted(expect)
     assert _kept(spark, [_page("long", p) for p in range(15)], cap=3) == [("long", p) for p in range(3)]
@@ -50,7 +51,7 @@ def _loop(pages, cap):
     for prod, pg in by_product.items():
         got, p = [], 0
         failed = False
-        while p < cap:
+        while cap is None or p < cap:
             r = pg.get(p)
             if r is None:
                 break
@@ -72,12 +73,12 @@ def test_against_loop(spark):
     conv = tables.table(spark, SF01, "conversations")
     flat = tables.raw_pages_from_conversations(conv)
     rows = flat.collect()
-    for cap in (10, 3):
+    for cap in (None, 3):
         ours = P.kept_pages(flat.withColumn("product_id", F.col("product_id")), cap, reviews_col="review_text")
         got = sorted((r["product_id"], r["page_no"]) for r in ours.collect())
         assert got == _loop(rows, cap)
         assert len({p for p, _ in got}) == 89
-    assert len(_loop(rows, 10)) == 266 and len(_loop(rows, 3)) == 212
+    assert len(_loop(rows, None)) == 266 and len(_loop(rows, 3)) == 212
 
 
 def test_page_reviews_and_empty(spark):
@@ -90,14 +91,69 @@ def test_page_reviews_and_empty(spark):
     assert [r["product_id"] for r in empty.collect()] == ["b"]
 
 
-def test_stage_pages_equals_plain_rule(spark, tmp_dir):
+def _statuses(spark, rows, cap=None):
+    df = rows if not isinstance(rows, list) else spark.createDataFrame(rows, PAGE_SCHEMA)
+    found = P.page_status(df, cap).collect()
+    assert len(found) == df.count()  # every landed page has one status
+    return sorted((r["product_id"] or "", r["fetch_id"] or "", -1 if r["page_no"] is None else r["page_no"], r["status"])
+                  for r in found)
+
+
+def test_every_page_has_a_status(spark):
+    rows = [_page("a", p, fetch=f) for f in ("f0", "f1") for p in range(2)] + [_page("a", 0, fetch="f0", ok=False)]
+    rows += [_page(None, 0), _page("n", None), _page("n", -1), _page("n", 0), _page("n", 1), _page("n", 2)]
+    assert _statuses(spark, rows, cap=2) == [
+        ("", "", 0, "kept"), ("a", "f0", 0, "kept"), ("a", "f0", 0, "repeated_page"), ("a", "f0", 1, "kept"),
+        ("a", "f1", 0, "kept"), ("a", "f1", 1, "kept"), ("n", "", -1, "unnumbered"), ("n", "", -1, "unnumbered"),
+        ("n", "", 0, "kept"), ("n", "", 1, "kept"), ("n", "", 2, "over_cap")]
+
+
+def test_two_fetches_and_null_keys_lose_nothing(spark):
+    rows = [_page("p", p, fetch=f, token=p == 0) for f in ("f0", "f1") for p in range(2)]
+    rows += [_page("q", 0, app=None, token=None), _page(None, 0, token=None)]
+    df = spark.createDataFrame(rows, PAGE_SCHEMA)
+    assert P.page_reviews(P.kept_pages(df)).count() == 6
+    assert P.stage_pages(df).reviews().count() == 6
+    reviews = P.page_reviews(P.kept_pages(df))
+    assert P.empty_groups(df.select("app", "type_client").distinct(), reviews, ["app", "type_client"]).count() == 0
+
+
+def test_empty_token_ends_the_chain(spark):
+    rows = [_page("p", 0, token=""), _page("p", 1)]
+    rows[0] = (*rows[0][:6], "", None)
+    assert _kept(spark, rows) == [("p", 0)]
+
+
+def test_landed_lines(spark, tmp_dir):
+    """The response's own token is read; a broken line is a failed request, not a lost one."""
+    import json
+
+    def line(page_no, **more):
+        return json.dumps({"app": "x", "type_client": "pf", "product_id": "p", "page_no": page_no, "request_ok": True,
+                           "reviews": [{"id": f"r{page_no}", "rating": "5", "snippet": "s"}], **more})
+
+    lines = [line(0, serpapi_pagination={"next_page_token": "t"}), line(1, next_page_token="t"), line(2)[:-9], line(2)]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(tmp_dir + "/in")
+    staged = P.stage_pages(P.read_landed_pages(spark, tmp_dir + "/in"))
+    assert sorted((r["page_no"] is None, r["status"]) for r in staged.status.collect()) == [
+        (False, "kept"), (False, "kept"), (False, "kept"), (True, "failed_request")]
+    assert [r["error"] for r in staged.failures().collect()] == ["landed line is not a page"]
+    assert sorted(r["id"] for r in staged.reviews().collect()) == ["r0", "r1", "r2"]
+
+
+def test_no_pages(spark):
+    staged = P.stage_pages(spark.createDataFrame([], PAGE_SCHEMA))
+    assert staged.reviews().count() == staged.failures().count() == staged.empty_groups(["app"]).count() == 0
+
+
+def test_the_rule_moves_no_reviews(spark):
+    """The window and its exchanges see narrow columns only, and the kept pages come back by row number."""
     pages = tables.pages_from_conversations(tables.table(spark, SF01, "conversations"))
-    status, rows = P.stage_pages(pages, tmp_dir + "/status", tmp_dir + "/rows", 10)
-    plain = P.page_reviews(P.kept_pages(pages, 10))
-    cols = ["app", "product_id", "page_no", "review_no", "id", "snippet"]
-    assert sorted(map(tuple, rows.select(*cols).collect())) == sorted(map(tuple, plain.select(*cols).collect()))
-    assert status.where(F.col("status") == P.KEPT).count() == 266
-    assert "reviews" not in status.columns  # the window ran on the narrow projection
+    staged = P.stage_pages(pages, 10)
+    plan = P._status(staged.pages, 10, "reviews")._jdf.queryExecution().executedPlan().toString()
+    assert all("reviews#" not in x or "has_reviews" in x for x in plan.splitlines() if "Exchange" in x or "Window" in x)
+    assert "reviews" not in staged.status.columns
+    assert staged.status.where(F.col("status") == P.KEPT).count() == 266
 
 
 def test_partition_count_invariance_pages_and_reports(spark):

@@ -57,76 +57,164 @@ def test_run_reviews(spark, tmp_dir):
     r = tables.reviews(spark, SF001)
     res = run_reviews(spark, r, tmp_dir, odate="20240101", ctx=MX.RunContext(application_id="t"))
     assert res.valid.ok and res.invalid.ok
-    total_valid = sum(s["valid_records"] for s in res.summary)
-    total_invalid = sum(s["invalid_records"] for s in res.summary)
-    assert spark.read.parquet(os.path.join(tmp_dir, "valid")).count() == total_valid == res.valid.rows
-    assert spark.read.parquet(os.path.join(tmp_dir, "invalid")).count() == total_invalid == res.invalid.rows
-    valid_schema = spark.read.parquet(os.path.join(tmp_dir, "valid")).schema
-    assert valid_schema["rating"].dataType.simpleString() == "double"
+    written = spark.read.parquet(os.path.join(tmp_dir, "reviews"))
+    counts = {x["side"]: x["count"] for x in written.groupBy("side").count().collect()}
+    assert counts == {"valid": res.totals["valid_records"], "invalid": res.totals["invalid_records"]}
+    assert dict(written.dtypes)["rating"] == "double" and dict(written.dtypes)["rating_raw"] == "string"
     docs = spark.read.json(res.metrics_path).collect()
-    assert len(docs) == len(res.summary) and all(d["write_ok"] for d in docs)
+    assert len(docs) == res.totals["groups"] and all(d["write_ok"] for d in docs)
+
+
+def test_staged_tables_are_removed(spark, tmp_dir):
+    import glob
+
+    from revisor.session import checkpoint_root
+
+    stage = os.path.join(checkpoint_root(spark).removeprefix("file:"), "revisor-stage", "*")
+    before = set(glob.glob(stage))
+    run_reviews(spark, tables.reviews(spark, SF001), os.path.join(tmp_dir, "a"), odate="20240101")
+    run_pages(spark, spark.createDataFrame(PAGES, PAGE_SCHEMA), os.path.join(tmp_dir, "b"), odate="20240101")
+    assert set(glob.glob(stage)) == before
+
+
+def test_ratings_survive_the_typed_write(spark, tmp_dir):
+    """No written valid row has lost its rating: the text is beside the number, in both layouts and sides."""
+    r = tables.reviews(spark, SF001)
+    run_reviews(spark, r, os.path.join(tmp_dir, "sides"), odate="20240101")
+    run_reviews(spark, r, os.path.join(tmp_dir, "split"), odate="20240101", layout="split")
+    for path in ("sides/reviews/side=valid", "split/valid"):
+        valid = spark.read.parquet(os.path.join(tmp_dir, path))
+        assert valid.where("rating_raw IS NULL OR id IS NULL OR snippet IS NULL").count() == 0
+        assert valid.where("rating IS NULL AND rating_raw = 'bad'").count() > 0
+    types = [spark.read.parquet(os.path.join(tmp_dir, p)).schema["rating"].dataType.simpleString()
+             for p in ("split/valid", "split/invalid", "sides/reviews")]
+    assert types == ["double"] * 3
+
+
+def _review(i, rating="5"):
+    return (None, "2024-01-01", f"id{i}", None, 1, rating, None, "ok", None)
+
+
+PAGES = [
+    ("app_x", "pf", "p1", 0, True, [_review(1), _review(2)], "t0", None),
+    ("app_x", "pf", "p1", 1, True, [_review(2)], None, None),
+    ("app_x", "pf", "p2", 0, True, None, "t0", None),
+    ("app_y", "pj", "p3", 0, False, None, None, None),
+]
 
 
 def test_run_pages(spark, tmp_dir):
-    def review(i, rating="5"):
-        return (None, "2024-01-01", f"id{i}", None, 1, rating, None, "ok", None)
-
-    pages = [
-        ("app_x", "pf", "p1", 0, True, [review(1), review(2)], "t0"),
-        ("app_x", "pf", "p1", 1, True, [review(2)], None),
-        ("app_x", "pf", "p2", 0, True, None, "t0"),
-        ("app_y", "pj", "p3", 0, False, None, None),
-    ]
     landed = os.path.join(tmp_dir, "landed")
-    spark.createDataFrame(pages, PAGE_SCHEMA).write.json(landed)
+    spark.createDataFrame(PAGES, PAGE_SCHEMA).write.json(landed)
     from revisor.sources.pages import read_landed_pages
 
     res = run_pages(spark, read_landed_pages(spark, landed), os.path.join(tmp_dir, "out"), odate="20240101")
-    assert res.failures == 2
-    assert res.empty_groups == [{"app": "app_y", "type_client": "pj"}]
-    (s,) = res.summary
-    assert s["total_records"] == 3 and s["duplicate_groups"] == 1 and s["invalid_records"] == 2
+    assert res.failures == 2 and res.empty_groups == 1
+    (empty,) = spark.read.json(res.empty_path).collect()
+    assert (empty["app"], empty["type_client"]) == ("app_y", "pj")
+    assert res.totals == {"groups": 1, "total_records": 3, "valid_records": 3, "invalid_records": 2, "duplicate_groups": 1}
     fails = spark.read.json(os.path.join(tmp_dir, "out", "metrics", "fail")).collect()
     assert len(fails) == 2
 
 
+def test_batches_without_reviews(spark, tmp_dir):
+    """No review rows, pages that all failed, no pages at all: nothing is written and nothing breaks."""
+    failed = [(*p[:4], False, *p[5:]) for p in PAGES]
+    none = tables.reviews(spark, SF001).where("false")
+    for name, res in (("reviews", run_reviews(spark, none, tmp_dir + "/a", odate="20240101")),
+                      ("split", run_reviews(spark, none, tmp_dir + "/b", odate="20240101", layout="split")),
+                      ("failed", run_pages(spark, spark.createDataFrame(failed, PAGE_SCHEMA), tmp_dir + "/c", odate="20240101")),
+                      ("nothing", run_pages(spark, spark.createDataFrame([], PAGE_SCHEMA), tmp_dir + "/d", odate="20240101"))):
+        assert (res.valid.rows, res.invalid.rows, res.metrics_path) == (0, 0, None), name
+        assert res.valid.reason == res.invalid.reason == "no rows"
+        assert res.failures == (3 if name == "failed" else 0)
+
+
+def _only_failure(spark, base):
+    (row,) = spark.read.json(os.path.join(base, "fail")).collect()
+    assert not os.path.exists(os.path.join(base, "success"))
+    return row
+
+
+def test_every_entry_records_its_failure(spark, tmp_dir):
+    import pytest
+
+    from revisor.plans.job import run_single_app
+
+    def blocked(*parts):
+        path = os.path.join(tmp_dir, *parts)
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        open(path, "w").close()  # a file where a folder should be
+
+    r = tables.reviews(spark, SF001)
+    blocked("a", "reviews")
+    with pytest.raises(RuntimeError, match="write failed"):
+        run_reviews(spark, r, os.path.join(tmp_dir, "a"), odate="20240101")
+    row = _only_failure(spark, os.path.join(tmp_dir, "a", "metrics"))
+    assert row["client"] == "UNKNOWN_CLIENT" and row["error"].startswith("RuntimeError: write failed")
+
+    blocked("b", "reviews")
+    with pytest.raises(RuntimeError, match="write failed"):
+        run_pages(spark, spark.createDataFrame(PAGES[:2], PAGE_SCHEMA), os.path.join(tmp_dir, "b"), odate="20240101")
+    assert _only_failure(spark, os.path.join(tmp_dir, "b", "metrics"))["error"].startswith("RuntimeError")
+
+    blocked("c", "valid")
+    with pytest.raises(RuntimeError, match="write failed"):
+        run_single_app(spark, r, os.path.join(tmp_dir, "c", "valid"), os.path.join(tmp_dir, "c", "invalid"), "bank", "pf",
+                       odate="20240101")
+    assert _only_failure(spark, os.path.join(tmp_dir, "c", "metrics"))["client"] == "PF"
+
+    with pytest.raises(ValueError):  # anything that ends a run is recorded, not only writes
+        run_reviews(spark, r, os.path.join(tmp_dir, "d"), odate="20240101", layout="other")
+    assert "layout" in _only_failure(spark, os.path.join(tmp_dir, "d", "metrics"))["error"]
+
+
 def test_run_single_app_parity_layout(spark, tmp_dir):
     from revisor.plans.job import run_single_app
 
-    from test_validation import MOCK
+    from test_validation import RULES
 
-    df = spark.createDataFrame(MOCK, BRONZE_SCHEMA)
+    df = spark.createDataFrame(RULES, BRONZE_SCHEMA)
     vb, ib = os.path.join(tmp_dir, "valid"), os.path.join(tmp_dir, "invalid")
     res = run_single_app(spark, df, vb, ib, "bank", "pf", odate="20240101", metrics_base=os.path.join(tmp_dir, "m"))
-    assert res.valid.rows == 7 and res.invalid.rows == 2
+    assert res.valid.rows == 6 and res.invalid.rows == 9
     assert os.path.isdir(os.path.join(vb, "bank_pf", "odate=20240101"))
     run_single_app(spark, df, vb, ib, "bank", "pf", odate="20240102")
     dates = sorted(os.listdir(os.path.join(vb, "bank_pf")))
     assert [d for d in dates if d.startswith("odate=")] == ["odate=20240102"]  # static: earlier dates go
     doc = spark.read.json(res.metrics_path).first()
     assert doc["type_client"] == "PF" and doc["source"]["app"] == "bank"
-    assert doc["success_count"] == 2 and doc["error_count"] == 1
+    assert doc["success_count"] == 0 and doc["error_count"] == 3
 
 
-def test_clustered_writes_group_files(spark, tmp_dir):
-    """With rows_per_file, each (app, client, odate) folder gets about
-    rows / rows_per_file files and the rows are unchanged."""
+def test_clustered_writes_group_files(spark, tmp_dir, monkeypatch):
+    """With rows_per_file, each (side, app, client, odate) folder gets about
+    rows / rows_per_file files and the rows are unchanged; a group table too
+    large to broadcast gives the same rows."""
     import glob
 
+    from revisor.sinks import parquet
+
     r = tables.reviews(spark, SF001).repartition(8)  # mix the groups over tasks
     plain = os.path.join(tmp_dir, "plain")
-    clustered = os.path.join(tmp_dir, "clustered")
     a = run_reviews(spark, r, plain, odate="20240101")
-    b = run_reviews(spark, r, clustered, odate="20240101", rows_per_file=400)
-    assert a.valid.rows == b.valid.rows and a.invalid.rows == b.invalid.rows
-    for s in b.summary:
-        folder = os.path.join(clustered, "valid", f"app={s['app']}", f"type_client={s['type_client']}", "odate=20240101")
-        files = glob.glob(os.path.join(folder, "*.parquet"))
-        assert len(files) <= -(-s["valid_records"] // 400) + 1
-    cols = ["app", "type_client", "id", "snippet", "rating"]
-    left = sorted(map(tuple, spark.read.parquet(os.path.join(plain, "valid")).select(*cols).collect()), key=repr)
-    right = sorted(map(tuple, spark.read.parquet(os.path.join(clustered, "valid")).select(*cols).collect()), key=repr)
-    assert left == right
+    cols = ["side", "app", "type_client", "id", "snippet", "rating"]
+
+    def rows(path):
+        return sorted(map(tuple, spark.read.parquet(os.path.join(path, "reviews")).select(*cols).collect()), key=repr)
+
+    defaults = parquet.cluster_by_group.__kwdefaults__, parquet.cluster_by_group.__defaults__
+    for name, limit in (("small", None), ("large", 0)):
+        if limit is not None:
+            monkeypatch.setattr(parquet.cluster_by_group, "__defaults__", (*defaults[1][:-1], limit))
+        clustered = os.path.join(tmp_dir, name)
+        b = run_reviews(spark, r, clustered, odate="20240101", rows_per_file=400)
+        assert a.valid.rows == b.valid.rows and a.invalid.rows == b.invalid.rows and rows(clustered) == rows(plain)
+        counts = spark.read.parquet(os.path.join(clustered, "reviews")).groupBy("side", "app", "type_client").count().collect()
+        for s in counts:
+            folder = os.path.join(clustered, "reviews", f"side={s['side']}", f"app={s['app']}", f"type_client={s['type_client']}",
+                                  "odate=20240101")
+            assert len(glob.glob(os.path.join(folder, "*.parquet"))) <= -(-s["count"] // 400) + 1
 
 
 def test_cli_reviews_mode(spark, tmp_dir):
@@ -137,7 +225,7 @@ def test_cli_reviews_mode(spark, tmp_dir):
     tables.reviews(spark, SF001).write.parquet(src)
     out = os.path.join(tmp_dir, "cli")
     assert main(["reviews", "--input", src, "--out", out, "--odate", "20240101"]) == 0
-    assert spark.read.parquet(os.path.join(out, "valid")).count() > 0
+    assert spark.read.parquet(os.path.join(out, "reviews")).count() > 0
     assert main(["single-app", "--input", src, "--out", os.path.join(tmp_dir, "one"), "--odate", "20240101",
                  "--app", "bank", "--client", "pf"]) == 0
     assert os.path.isdir(os.path.join(tmp_dir, "one", "valid", "bank_pf", "odate=20240101"))
@@ -157,21 +245,21 @@ def test_read_written_keeps_partition_types(spark, tmp_dir):
 
 def test_sides_layout_equals_split_layout(spark, tmp_dir):
     r = tables.reviews(spark, SF001)
-    cols = ["app", "type_client", "id", "snippet", "rating", "date", "likes"]
+    cols = ["app", "type_client", "id", "snippet", "rating", "rating_raw", "date", "likes"]
 
     def rows(path):
         return sorted(map(tuple, spark.read.parquet(path).select(*cols).collect()), key=repr)
 
-    split = run_reviews(spark, r, os.path.join(tmp_dir, "split"), odate="20240101", strict=False)
+    split = run_reviews(spark, r, os.path.join(tmp_dir, "split"), odate="20240101", layout="split")
     for name, opts in {"bcast": None, "hot": {"broadcast_max_bytes": 0, "hot_rows": 2}}.items():
         base = os.path.join(tmp_dir, name)
-        sides = run_reviews(spark, r, base, odate="20240101", layout="sides", join_options=opts)
+        sides = run_reviews(spark, r, base, odate="20240101", join_options=opts)
         assert sides.join_plan.strategy == ("broadcast" if name == "bcast" else "hot_split")
         assert rows(os.path.join(base, "reviews", "side=valid")) == rows(os.path.join(tmp_dir, "split", "valid"))
         assert rows(os.path.join(base, "reviews", "side=invalid")) == rows(os.path.join(tmp_dir, "split", "invalid"))
         assert (sides.valid.rows, sides.invalid.rows) == (split.valid.rows, split.invalid.rows)
         docs = spark.read.json(sides.metrics_path).collect()
-        assert len(docs) == len(sides.summary) and all(d["write_ok"] for d in docs)
+        assert len(docs) == sides.totals["groups"] and all(d["write_ok"] for d in docs)
 
 
 def test_cli_pages_mode_with_load_id(spark, tmp_dir):
@@ -179,7 +267,7 @@ def test_cli_pages_mode_with_load_id(spark, tmp_dir):
 
     review = (None, "2024-01-01", "id1", None, 1, "5", None, "ok", None)
     landed = os.path.join(tmp_dir, "landed")
-    spark.createDataFrame([("app_c", "pf", "p1", 0, True, [review], None)], PAGE_SCHEMA).write.json(landed)
+    spark.createDataFrame([("app_c", "pf", "p1", 0, True, [review], None, None)], PAGE_SCHEMA).write.json(landed)
     out = os.path.join(tmp_dir, "out")
     assert main(["pages", "--landing", landed, "--out", out, "--odate", "20240101", "--load-id", "7"]) == 0
-    assert os.path.isdir(os.path.join(out, "valid", "app=app_c", "type_client=pf", "odate=20240101", "load_id=7"))
+    assert os.path.isdir(os.path.join(out, "reviews", "side=valid", "app=app_c", "type_client=pf", "odate=20240101", "load_id=7"))

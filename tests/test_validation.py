@@ -7,22 +7,18 @@ from revisor.operators import metrics as MX
 from revisor.operators.validation import validate
 from revisor.schemas import BRONZE_SCHEMA
 
-# Seven reviews, rows 4 and 5 identical (invented names and texts).
-MOCK = [
-    ("https://img.example/u1", "March 02, 2025", "rv-0001", "2025-03-02T08:10:00Z", 12, 5.0, None,
-     "As notificações não chegam depois da atualização.", "Ana Lima"),
-    ("https://img.example/u2", "March 05, 2025", "rv-0002", "2025-03-05T19:45:10Z", 7, 4.0, None,
-     "Leve e rápido, falta pouco.", "Bruno Reis"),
-    ("https://img.example/u3", "March 09, 2025", "rv-0003", "2025-03-09T11:02:33Z", 30, 1.0, None,
-     "Falhas constantes ao confirmar.", "Caio Prado"),
-    ("https://img.example/u4", "March 11, 2025", "rv-0004", "2025-03-11T06:30:00Z", 3, 2.0, None,
-     "Interface com complicações chatas.", "Dora Melo"),
-    ("https://img.example/u4", "March 11, 2025", "rv-0004", "2025-03-11T06:30:00Z", 3, 2.0, None,
-     "Interface com complicações chatas.", "Dora Melo"),
-    ("https://img.example/u5", "March 14, 2025", "rv-0005", "2025-03-14T22:15:42Z", 18, 4.0, None,
-     "Cada vez melhor.", "Enzo Faria"),
-    ("https://img.example/u6", "March 20, 2025", "rv-0006", "2025-03-20T13:00:05Z", 9, 3.0, None,
-     "Bom, mas sem integração com relógio.", "Flora Dias"),
+def _row(key, snippet="text", rating=3.0, date="2024-02-01"):
+    return (f"https://img.example/{key}", date, key, "2024-02-01T00:00:00Z", 1, rating, None, snippet, "someone")
+
+
+# One case per rule: what repeats, what lacks a field, what is fine.
+RULES = [
+    _row("alone"),
+    _row("thrice"), _row("thrice"), _row("thrice"),  # every copy stays valid and is invalid as well
+    _row("half"), _row("half", snippet=None),  # a repeated id of which one row lacks a field
+    _row(None), _row(None),  # NULL ids are one repeated group, but join nothing
+    _row("undated", date=None),  # reported, still valid
+    _row("unrated", rating=None),  # fails the null check and the type check
 ]
 
 
@@ -30,30 +26,37 @@ def _results(v):
     return {r["check"]: r for r in v.results.collect()}
 
 
-def test_golden_mock(spark):
-    df = spark.createDataFrame(MOCK, BRONZE_SCHEMA)
-    v = validate(df, [])
+def test_golden_rules(spark):
+    v = validate(spark.createDataFrame(RULES, BRONZE_SCHEMA), [])
     res = _results(v)
     assert res["duplicate_check"]["code"] == 409 and not res["duplicate_check"]["status"]
-    assert res["duplicate_check"]["message"] == "Registros duplicados encontrados: 1 registros com base no 'id'."
-    assert res["null_check"]["code"] == 200 and res["null_check"]["status"]
+    assert res["duplicate_check"]["message"] == "Registros duplicados encontrados: 3 registros com base no 'id'."
+    assert res["null_check"]["code"] == 400
+    assert res["null_check"]["message"] == (
+        "Valores nulos encontrados nas colunas: {'id': 2, 'snippet': 1, 'rating': 1, 'date': 1}.")
+    assert res["type_consistency_check"]["code"] == 400
+    assert {r["total_records"] for r in res.values()} == {10}
+    assert sorted(r["id"] for r in v.valid.collect()) == ["alone", "half", "thrice", "thrice", "thrice", "undated"]
+    assert sorted(str(r["id"]) for r in v.invalid.collect()) == [
+        "None", "None", "half", "half", "half", "thrice", "thrice", "thrice", "unrated"]
+    assert v.valid.schema == BRONZE_SCHEMA and v.invalid.schema == BRONZE_SCHEMA
+    split = MX.split_metrics(v.summary).first()
+    assert split["success_count"] == 0 and split["error_count"] == 3
+    assert abs(split["valid_percentage"] - 6 / 15 * 100) < 1e-12 and abs(split["invalid_percentage"] - 9 / 15 * 100) < 1e-12
+
+
+def test_golden_clean(spark):
+    v = validate(spark.createDataFrame([_row(k) for k in "abc"], BRONZE_SCHEMA), [])
+    res = _results(v)
+    assert {r["code"] for r in res.values()} == {200} and all(r["status"] for r in res.values())
+    assert res["duplicate_check"]["message"] == "Nenhum registro duplicado encontrado."
     assert res["null_check"]["message"] == "Nenhum valor nulo encontrado nas colunas criticas."
-    assert res["type_consistency_check"]["code"] == 200
     assert res["type_consistency_check"]["message"] == "Consistência dos tipos de dados verificada com sucesso."
-    assert {r["total_records"] for r in res.values()} == {7}
-    assert v.valid.count() == 7
-    assert v.invalid.count() == 2
-    assert v.valid.schema == BRONZE_SCHEMA
-    assert v.invalid.schema == BRONZE_SCHEMA
-    split = MX.split_metrics(v.summary).first()
-    assert split["success_count"] == 2 and split["error_count"] == 1
-    assert abs(split["valid_percentage"] - 7 / 9 * 100) < 1e-12
-    assert abs(split["invalid_percentage"] - 2 / 9 * 100) < 1e-12
+    assert v.valid.count() == 3 and v.invalid.count() == 0
     lines = [r["line"] for r in v.summary_lines.orderBy("line_no").collect()]
-    assert lines[0] == "[*] Validação da ingestão concluída para 7 registros."
-    assert lines[1] == "Duplicate Check: FALHOU"
-    assert lines[3] == "Null Check: PASSOU"
-    assert lines[5] == "Type Consistency Check: PASSOU"
+    assert lines[0] == "[*] Validação da ingestão concluída para 3 registros."
+    assert [x for x in lines if x.endswith("PASSOU")] == [
+        "Duplicate Check: PASSOU", "Null Check: PASSOU", "Type Consistency Check: PASSOU"]
 
 
 def _edge_frame(spark, rows):
@@ -269,7 +272,36 @@ def test_staged_table_holds_groups_and_duplicated_keys_only(spark, tmp_dir):
     assert staged.count() == n_groups + n_dup_keys < n_keys
 
 
-def test_hot_threshold_keeps_the_broadcast_bound():
-    assert checks._hot_threshold(10**12, None, 2) >= 10**12 // checks.MAX_HOT_KEYS
-    assert checks._hot_threshold(1000, None, 2) == 2
-    assert checks._hot_threshold(1000, None, None) == checks.HOT_MIN_ROWS
+def test_hot_threshold_does_not_grow_with_the_data(spark, monkeypatch):
+    keys = spark.createDataFrame([("a", "k%d" % i, 10 ** (i % 7)) for i in range(70)], "app string, id string, count long")
+    assert checks._hot_keys(keys, ["app", "id"], "count", None) == (checks.HOT_ROWS, 20)
+    assert checks._hot_keys(keys, ["app", "id"], "count", 2) == (2, 60)
+    # only where the hot set would not fit does the threshold rise
+    monkeypatch.setattr(checks, "HOT_BROADCAST_MAX_BYTES", 500)
+    assert checks._hot_keys(keys, ["app", "id"], "count", 100) == (10 ** 6, 10)
+
+
+def test_shuffled_join_filters_the_rows_by_a_bloom_filter(spark):
+    """Above the broadcast limit the row side is cut down before its exchange."""
+    from revisor.sources import tables
+
+    from conftest import SF001
+
+    saved = {k: spark.conf.get(k, None) for k in (
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "spark.sql.autoBroadcastJoinThreshold")}
+    for k in saved:
+        spark.conf.set(k, "0" if "Scan" in k else "-1")
+    try:
+        v = validate(tables.reviews(spark, SF001), materialize=True, broadcast_max_bytes=0)
+        plan = v.invalid._jdf.queryExecution().optimizedPlan().toString()
+        assert v.join_plan.strategy == "shuffle" and "might_contain" in plan
+    finally:
+        for k, value in saved.items():
+            spark.conf.set(k, value) if value is not None else spark.conf.unset(k)
+
+
+def test_staged_empty_batch(spark):
+    """Grouped and staged, an input without rows gives empty frames, not an error."""
+    df = spark.createDataFrame([], BRONZE_SCHEMA).withColumn("app", F.lit("a")).withColumn("type_client", F.lit("pf"))
+    v = validate(df, materialize=True)
+    assert v.summary.count() == 0 and v.invalid.count() == 0 and v.join_plan.strategy == "empty"
