@@ -36,7 +36,7 @@ from revisor.llm.hashing import mix, shingles, word_hashes
 BINS = 512  # a power of two
 BITS = 4
 SHINGLE_WORDS = 5
-BUCKETS_PER_PARTITION = 4
+BUCKETS_PER_PARTITION = 16  # buckets are dealt to partitions by hash: many small ones come out even
 _PROBES = 256  # rows of the probe table kept at once
 
 _cache: dict[int, np.ndarray] = {}
