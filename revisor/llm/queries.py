@@ -135,6 +135,59 @@ SELECT p.page_id, p.host, p.path, rule_host || rule_path AS rule, coalesce(rule_
 FROM parts p LEFT JOIN fits f ON f.page_id = p.page_id AND f.rank = 1
 """
 
+_WORDS = r"'[^\x20\x09-\x0D]+'"
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE_SQL["op3_substring_dedup"] = f"""
+WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORDS}) AS w FROM documents),
+places AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS run
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM texts WHERE len(w) >= 50)
+),
+firsts AS (SELECT run, min(doc_id) AS first FROM places GROUP BY run),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM places JOIN firsts USING (run) WHERE first < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM texts),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT t.doc_id, len(w) AS n_words, len(w) - coalesce(k.n, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept k USING (doc_id)
+"""
+
+ORACLE_SQL["op6_neardup"] = f"""
+WITH RECURSIVE texts AS (SELECT doc_id, regexp_extract_all({_FOLDED}, {_WORDS}) AS w FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM texts WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+),
+links AS (
+  SELECT a, b FROM pairs p JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * p.n >= 75 * (x.n + y.n - p.n)
+),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id AS node, doc_id AS root FROM documents
+  UNION
+  SELECT w.b, r.root FROM reach r JOIN ways w ON w.a = r.node
+)
+SELECT node AS doc_id, coalesce(any_value(n), 0) AS n_shingles, min(root) AS component_id, node = min(root) AS kept
+FROM reach LEFT JOIN sizes ON doc_id = node GROUP BY node
+"""
+
+ORACLE_SQL["op7_warc"] = """
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+),
+firsts AS (SELECT payload_digest, min(page_id) AS first FROM payloads WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to
+FROM payloads LEFT JOIN firsts USING (payload_digest)
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
