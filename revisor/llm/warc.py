@@ -79,9 +79,10 @@ def write_archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     base = base.withColumn("size", F.octet_length("payload")) \
                .withColumn("digest", F.sha2(F.col("payload").cast("binary"), 256))
     order = F.struct(F.col("page_id").isNull().alias("unnamed"), F.col("page_id"), F.col("capture"))
-    shared = (base.filter(F.col("size") >= MIN_REVISIT).groupBy("digest")
-              .agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1")
-              .select("digest", F.col("first.capture").alias("first")))
+    # staged first: where the repeated digests are few, Spark sees it and broadcasts them, and no payload is shuffled
+    shared, _ = staged(base.filter(F.col("size") >= MIN_REVISIT).groupBy("digest")
+                       .agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1")
+                       .select("digest", F.col("first.capture").alias("first")), "warc-shared")
     # a payload too short to be revisited joins nothing: its key is its own
     key = F.when(F.col("size") >= MIN_REVISIT, F.col("digest")).otherwise(F.col("capture").cast("string"))
     rows = base.withColumn("key", key).join(shared.withColumnRenamed("digest", "key"), "key", "left")
