@@ -3,7 +3,7 @@
 *Staging.*  ``staged`` writes a frame to the shared checkpoint folder as
 Parquet and reads it back with its declared schema: lineage is cut, a lost
 executor costs nothing that was staged, and an empty frame stays readable.
-``unstage`` removes such a folder as soon as a later table replaces it.
+``revisor.session.release`` removes such a folder once a later table replaces it.
 
 *Bloom filters.*  ``bloom`` fills segments of a bit set on the executors and
 returns one filter whose size never passes ``max_bits``, however large the
@@ -17,13 +17,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revisor.session import stage_dir
 
 MAX_BLOOM_BITS = 1 << 28  # 32 MiB, whatever the corpus size
 SEGMENT_BITS = 1 << 20
+BATCH_ROWS = 1000
 BLOOM_HASHES = 4
 BLOOM_BITS_PER_KEY = 12
 
@@ -36,16 +37,20 @@ def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
-def unstage(spark: SparkSession, *paths: str) -> None:
-    """Remove staged folders that nothing reads any more."""
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in paths:
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(conf).delete(p, True)
+def bound_batches(df: DataFrame) -> None:
+    """Lower the session's Arrow batches to ``BATCH_ROWS`` rows.
+
+    Texts can be long: Spark's 10,000 rows would be gigabytes between the JVM and
+    a Python worker where texts have 100 KB.  A smaller setting stays.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(name)) <= BATCH_ROWS:
+        df.sparkSession.conf.set(name, str(BATCH_ROWS))
 
 
 def rename_free(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, under the operator's own names: extra columns never clash."""
+    bound_batches(df)
     return df.select(*[df[source].alias(name) for name, source in columns.items()])
 
 
@@ -153,6 +158,7 @@ def bloom(df: DataFrame, column: str, count: int, max_bits: int = MAX_BLOOM_BITS
 
 def numbered(docs: DataFrame) -> DataFrame:
     """The same columns named ``c0, c1, ...``: names with dots or clashing ones do no harm inside an operator."""
+    bound_batches(docs)
     return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
 
 

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revisor.llm.common import staged, unstage
+from revisor.llm.common import staged
+from revisor.session import release
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -33,7 +34,7 @@ def components(edges: DataFrame) -> tuple[DataFrame, str]:
     # done when no edge hangs on a node that hangs on another one, and each node hangs on one
     while _unsettled(now):
         after, path_after = staged(_star(_star(now, large=True), large=False), "edges")
-        unstage(spark, path)
+        release(spark, path)
         now, path = after, path_after
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")), path
 

@@ -41,9 +41,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revisor.llm.common import bloom, rename_free, slices, staged, string_views, unstage, without
+from revisor.llm.common import bloom, rename_free, slices, staged, string_views, without
 from revisor.llm.components import components
 from revisor.llm.hashing import mix, shingles, word_hashes
+from revisor.session import release
 
 SHINGLE_WORDS = 5
 THRESHOLD_PERCENT = 75
@@ -385,7 +386,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not more.isEmpty():
         paths.append(p_labels)
         labels, p_labels = components(edges.unionByName(more))
-    unstage(spark, *paths)
+    release(spark, *paths)
 
     of_class = leaders.join(labels.toDF("cls", "component"), "cls", "left").select(
         "d1", "d2", F.coalesce("component", "cls").alias("component"))

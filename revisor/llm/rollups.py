@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revisor.llm.common import slices
+from revisor.llm.common import bound_batches, slices
 
 KEYS = ["source", "lang", "tokenizer"]
 SIDE = "struct<source:string,lang:string,tokenizer:string,tokens:bigint>"
@@ -41,6 +41,7 @@ def count_tokens(docs: DataFrame, tokenizers: dict[str, str], id_col: str = "doc
     """
     kinds = dict(docs.dtypes)
     names = [f"n_{name}" for name in tokenizers]
+    bound_batches(docs)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *carry)
 
     def run(batches):

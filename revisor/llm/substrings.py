@@ -38,8 +38,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revisor.llm.common import Bloom, bloom, numbered, rename_free, slices, split, staged, string_views, unstage
+from revisor.llm.common import Bloom, bloom, numbered, rename_free, slices, split, staged, string_views
 from revisor.llm.hashing import SAME, mix, windows, word_hashes
+from revisor.session import release
 
 WINDOW = 50
 #: A perfect difference set modulo 31.
@@ -130,7 +131,7 @@ def _perhaps_copied(rows: DataFrame, whole: Bloom) -> DataFrame:
 
     def run(batches):
         press = zstandard.ZstdCompressor(level=1)
-        for batch in slices(batches):
+        for batch in slices(batches, 2 << 20):
             ids, texts, halves = [], [], []
             for doc, data in zip(batch.column(0).to_pylist(), string_views(batch.column(1))):
                 if data is None or doc is None or len(data) < 2 * WINDOW - 1:
@@ -161,7 +162,7 @@ def _over_texts(raw: DataFrame, leaders: DataFrame, whole: Bloom, of_text, names
     def over(packed: bool):
         def run(batches):
             whole, filters = shared.value
-            for batch in slices(batches, 2 << 20 if packed else 8 << 20):
+            for batch in slices(batches, 1 << 20 if packed else 2 << 20):
                 made = [of_text(doc, words, filters) for doc, words in _taking_part(batch, None if packed else whole)]
                 made = [m for m in made if m is not None]
                 if made:
@@ -235,7 +236,7 @@ def removal_marks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .unionByName(copies.select("doc_id", F.lit(True).alias("whole"), none))
         .groupBy("doc_id").agg(F.max("whole").alias("whole"), F.first("starts", ignorenulls=True).alias("starts"))
         .withColumn("key", F.xxhash64("doc_id")), "sub-marks")
-    unstage(spark, p_digests, p_first, p_copies, p_leaders, p_anchors, p_windows)
+    release(spark, p_digests, p_first, p_copies, p_leaders, p_anchors, p_windows)
     return out
 
 
@@ -277,19 +278,28 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return pa.RecordBatch.from_arrays([pa.array(ids, id_type)] + [pa.array(c, t) for c, t in zip(columns, out_types)],
                                           names=["doc_id"] + out_names)
 
-    keyed = rows.withColumn("text", F.coalesce("text", F.lit("")))
+    shared = docs.sparkSession.sparkContext.broadcast(marked)
+    keyed = rows.select("doc_id", F.xxhash64("doc_id").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+
+    def marked_rows(batch):
+        return shared.value.has(batch.column(1).to_numpy().view(np.uint64)) & batch.column(0).is_valid().to_numpy(
+            zero_copy_only=False)
 
     def untouched(batches):
-        for batch in slices(batches):
-            yield result(batch.column(0).to_pylist(), batch.column(0).type,
-                         [_cut(d.tobytes(), None, None) for d in string_views(batch.column(1))])
+        for batch in slices(batches, 2 << 20):
+            own = batch.filter(pa.array(~marked_rows(batch)))
+            if own.num_rows:
+                yield result(own.column(0).to_pylist(), own.column(0).type,
+                             [_cut(d.tobytes(), None, None) for d in string_views(own.column(2))])
 
-    def press(batches):
+    def touched(batches):
         compressor = zstandard.ZstdCompressor(level=1)
-        for batch in slices(batches):
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([compressor.compress(d.tobytes()) for d in string_views(batch.column(1))], pa.binary())],
-                names=["doc_id", "text"])
+        for batch in slices(batches, 2 << 20):
+            own = batch.filter(pa.array(marked_rows(batch)))
+            if own.num_rows:
+                yield pa.RecordBatch.from_arrays(
+                    [own.column(0), pa.array([compressor.compress(d.tobytes()) for d in string_views(own.column(2))], pa.binary())],
+                    names=["doc_id", "text"])
 
     def cut(batches):
         unpack = zstandard.ZstdDecompressor()
@@ -301,9 +311,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield result(batch.column("doc_id").to_pylist(), batch.column("doc_id").type, found)
 
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * (not digest_only)
-    hit = (split(keyed, "doc_id", marked, True).mapInArrow(press, "doc_id long, text binary")
-           .join(marks.drop("key"), "doc_id", "left"))
-    return split(keyed, "doc_id", marked, False).mapInArrow(untouched, schema).unionByName(
+    hit = keyed.mapInArrow(touched, "doc_id long, text binary").join(marks.drop("key"), "doc_id", "left")
+    return keyed.mapInArrow(untouched, schema).unionByName(
         hit.select("doc_id", "text", "whole", "starts").mapInArrow(cut, schema))
 
 

@@ -27,8 +27,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revisor.llm.common import Bloom, bloom, rename_free, staged, unstage
+from revisor.llm.common import Bloom, bloom, rename_free, staged
 from revisor.llm.hashing import mix
+from revisor.session import release
 
 MAX_SHARD_KEYS = 16_000_000
 MAX_LEVELS = 60
@@ -167,7 +168,7 @@ def build_cascade(urls: DataFrame, listed: DataFrame, lengths: list[int]) -> Cas
             left, path = staged(_passing(sides[1], cascade.levels[-1:], k), "url-left")
             paths.append(path)
             sides = [left, sides[0]]
-    unstage(urls.sparkSession, *paths)
+    release(urls.sparkSession, *paths)
     return cascade
 
 
@@ -196,7 +197,7 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
                       .join(own.select("host", "path"), ["host", "path"], "left_semi").select("host", "path", "high", "low"))
             cascades.append((verdict, build_cascade(urls, listed, lengths)))
         out = out.mapInArrow(_judge_batches(spark.sparkContext.broadcast(cascades), lengths), schema)
-    unstage(spark, path_of)
+    release(spark, path_of)
     return out.select("page_id", "host", "path", F.concat("rule_host", "rule_path").alias("rule"),
                       F.coalesce("verdict", F.lit(default)).alias("verdict"))
 
