@@ -52,7 +52,7 @@ ROWS, BANDS = 4, 40
 REGISTERS = ROWS * BANDS
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1
 MARGIN = 0.15  # over four standard deviations of the estimate at the threshold
-BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
+BLOCK, BLOCK_SHINGLES = 256, 1 << 18
 
 _rng = np.random.default_rng(6)
 _MULTIPLY = _rng.integers(1, 1 << 62, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
