@@ -1,3 +1,5 @@
+"""Rows with every odd case, as fixtures that the test modules import."""
+
 import random
 
 import pytest

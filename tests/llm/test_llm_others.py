@@ -7,7 +7,7 @@ import random
 import brute
 import numpy as np
 import pytest
-from conftest import EDGE, LONG, prose
+from edge_rows import EDGE, LONG, edge, none, prose  # noqa: F401
 from pyspark.sql import functions as F
 from test_llm_texts import check_packing
 

@@ -7,7 +7,7 @@ import zlib
 import brute
 import numpy as np
 import pytest
-from conftest import EDGE, LONG, prose  # noqa: F401
+from edge_rows import EDGE, LONG, edge, none, prose  # noqa: F401
 from pyspark.sql import functions as F
 
 from revisor.llm import components, fingerprints, hashing, neardup, packing, substrings
