@@ -3,18 +3,22 @@
 A document is contaminated by an item if some run of its words is within edit
 distance ``ALLOWED`` times the item's word count of the item (words folded A-Z).
 
-1. *Windows.*  An item with ``k`` allowed edits has ``k + 1`` stretches of which
-   one stays whole, so a contaminated text holds a run of ``m`` of the item's
+1. *Pieces.*  The share of steps on which two walks (3) agree falls with their
+   length, so an item is embedded in pieces of ``PIECE_WORDS`` words or up to
+   twice as many.  If the item is within its allowed edits of a run, some piece
+   is within its own share of them, so one piece that is found finds the item.
+2. *Windows.*  A piece with ``k`` allowed edits has ``k + 1`` stretches of which
+   one stays whole, so a contaminated text holds a run of ``m`` of the piece's
    words in a row (``SEED_WORDS`` for the allowed share used here).  Where such a
-   run stands, the item-sized window that would align with it is taken; all
+   run stands, the piece-sized window that would align with it is taken; all
    other windows are beyond the allowed distance.
-2. *Embedding.*  The CGK random walk copies the current word at each step and
+3. *Embedding.*  The CGK random walk copies the current word at each step and
    moves on or not by a random bit of (step, word), so that windows at a small
    edit distance become strings at a small Hamming distance.
-3. *LSH.*  Each of ``REPETITIONS`` walks is sampled at ``SAMPLES`` steps; windows
-   and items whose samples agree in one repetition are candidates.
-4. *Verification.*  Candidates are aligned exactly (edit distance of the whole
-   item to any run of words around the window).
+4. *LSH.*  Each of ``REPETITIONS`` walks is sampled at ``SAMPLES`` steps; windows
+   and pieces whose samples agree in one repetition are candidates.
+5. *Verification.*  Candidates are aligned exactly (edit distance of the whole
+   item to any run of words around the place the window gives it).
 
 The item index is built on the driver from the benchmark table, whose size is
 checked (``MAX_ITEM_WORDS`` words a part); a larger table is searched part by
@@ -31,6 +35,7 @@ beyond the ids and texts are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +48,7 @@ from revisor.llm.hashing import mix, windows, word_hashes
 ALLOWED = 0.2
 SEED_WORDS = 3
 MIN_ITEM_WORDS = 8
+PIECE_WORDS = 30
 REPETITIONS = 32
 SAMPLES = 2
 MAX_ITEM_WORDS = 4_000_000
@@ -60,6 +66,12 @@ def seed_size(words: int) -> int:
     return max(1, min(SEED_WORDS, (words - k) // (k + 1)))
 
 
+def piece_bounds(words: int) -> list[int]:
+    """Where an item is cut, both ends included: even pieces, one for an item of under twice ``PIECE_WORDS``."""
+    n = max(1, words // PIECE_WORDS)
+    return [k * words // n for k in range(n + 1)]
+
+
 _rng = np.random.default_rng(4)
 #: Sampled steps as shares of a walk; a walk over n words is nearly always through after 2 * n steps.
 _SHARES = np.sort(_rng.random((REPETITIONS, SAMPLES)), axis=1)
@@ -115,23 +127,27 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
 
 
 class ItemIndex:
-    """Seeds and LSH keys of the items, as sorted arrays."""
+    """Seeds and LSH keys of the items' pieces, as sorted arrays."""
 
     def __init__(self, items: list[tuple[object, np.ndarray]]):
         self.items = items
-        lengths = np.array([len(words) for _, words in items], dtype=np.int64)
+        cuts = [piece_bounds(len(words)) for _, words in items]
+        pieces = [words[low:high] for (_, words), own in zip(items, cuts) for low, high in zip(own, own[1:])]
+        self.piece_item = np.repeat(np.arange(len(items)), [len(own) - 1 for own in cuts])
+        self.piece_at = np.array([low for own in cuts for low in own[:-1]], dtype=np.int64)
+        lengths = np.array([len(words) for words in pieces], dtype=np.int64)
         self.longest = int(lengths.max(initial=0))
-        runs = np.full((len(items), self.longest + 1), _PAD)
+        runs = np.full((len(pieces), self.longest + 1), _PAD)
         seeds: list[np.ndarray] = []
         aligned: list[np.ndarray] = []
-        for k, (_, words) in enumerate(items):
+        for k, words in enumerate(pieces):
             runs[k, :len(words)] = words
             size = seed_size(len(words))
             hashes = windows(words, size, seed=7 + size)
             seeds.append(hashes)
             aligned.append(np.stack([np.full(len(hashes), len(words)), np.arange(len(hashes))], axis=1))
         self.seed_sizes = sorted({seed_size(n) for n in lengths.tolist()})
-        # (seed, item length, offset) once each, sorted by seed
+        # (seed, piece length, offset) once each, sorted by seed
         rows = np.concatenate(aligned) if items else np.zeros((0, 2), np.int64)
         hashes = np.concatenate(seeds) if items else np.zeros(0, np.uint64)
         distinct = np.unique(np.rec.fromarrays([hashes, rows[:, 0], rows[:, 1]], names="h,n,o"))
@@ -140,10 +156,10 @@ class ItemIndex:
         self.coarse[(self.seeds >> np.uint64(46)).astype(np.int64)] = True
         keys = walk_keys(runs, lengths) if items else np.zeros((0, REPETITIONS), np.uint64)
         order = np.argsort(keys, axis=None, kind="stable")
-        self.keys, self.owner = keys.reshape(-1)[order], np.repeat(np.arange(len(items)), REPETITIONS)[order]
+        self.keys, self.owner = keys.reshape(-1)[order], np.repeat(np.arange(len(pieces)), REPETITIONS)[order]
 
     def _aligned(self, text: np.ndarray) -> np.ndarray:
-        """(length, start) of the item-sized windows that align with a seed in the text."""
+        """(length, start) of the piece-sized windows that align with a seed in the text."""
         found = []
         for size in self.seed_sizes:
             runs = windows(text, size, seed=7 + size)
@@ -155,7 +171,7 @@ class ItemIndex:
         return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
 
     def _candidates(self, texts: list[np.ndarray]):
-        """(text, item, start) of windows and items that share an LSH key, each once."""
+        """(text, item, start of the item) of windows and pieces that share an LSH key, each once a block of windows."""
         aligned = [self._aligned(t) for t in texts]
         which = np.repeat(np.arange(len(texts)), [len(a) for a in aligned])
         flat = np.concatenate(aligned) if aligned else np.zeros((0, 2), np.int64)
@@ -169,18 +185,33 @@ class ItemIndex:
             low = np.searchsorted(self.keys, keys, side="left")
             n = np.searchsorted(self.keys, keys, side="right") - low
             hit = np.flatnonzero(n.any(axis=1))
-            pairs = {(int(own[i]), int(self.owner[k]), int(starts[i])) for i in hit for r in np.flatnonzero(n[i])
-                     for k in range(low[i, r], low[i, r] + n[i, r])}
+            found = {(int(i), int(k)) for i in hit for r in np.flatnonzero(n[i])
+                     for k in self.owner[low[i, r]:low[i, r] + n[i, r]]}
+            pairs = {(int(own[i]), int(self.piece_item[k]), int(starts[i] - self.piece_at[k])) for i, k in found}
             yield from sorted(pairs)
 
+    def _places(self, texts: list[np.ndarray]):
+        """(text, item, first start, last start) of candidates.  The pieces of a long item give many starts that differ
+        by the edits between them, so those within the allowed edits of the first are aligned at once."""
+        for (t, k), own in groupby(self._candidates(texts), key=lambda c: c[:2]):
+            size = len(self.items[k][1])
+            span = allowed_edits(size) if len(piece_bounds(size)) > 2 else 0
+            first = last = None
+            for _, _, start in own:
+                if first is not None and start - first > span:
+                    yield t, k, first, last
+                    first = None
+                first, last = start if first is None else first, start
+            yield t, k, first, last
+
     def search(self, texts: list[np.ndarray]) -> list[tuple[int, int, int, int, int]]:
         """(text, item, distance, start, end) of every item a text contains, at its best place; both by position."""
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for t, k, start in self._candidates(texts):
+        for t, k, start, last in self._places(texts):
             words = self.items[k][1]
             slack = allowed_edits(len(words))
             low = max(0, start - slack)
-            region = texts[t][low:max(0, start + len(words) + slack)]
+            region = texts[t][low:max(0, last + len(words) + slack)]
             if np.count_nonzero(np.isin(words, region)) < len(words) - slack:
                 continue  # every word that is missing costs an edit
             distance, first, end = align(words, region)

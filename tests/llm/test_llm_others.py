@@ -112,6 +112,21 @@ def test_recall_over_all_allowed_distances(spark):
         assert brute.edit_distance(item, own) == r["distance"] == brute.best_window_distance(item, words)
 
 
+@pytest.mark.parametrize("size", [100, 250, 500, 1000, 2000])
+def test_recall_of_long_items(size):
+    """Texts at the largest allowed distance, which shorter walks than the whole item's have to find."""
+    rng = random.Random(size)
+    items = [[f"w{rng.randrange(3000)}" for _ in range(size)] for _ in range(12)]
+    index = decontaminate.ItemIndex([(k, decontaminate.item_words(" ".join(w))) for k, w in enumerate(items)])
+    allowed = decontaminate.allowed_edits(size)
+    texts = [decontaminate.item_words(" ".join(prose(40, k).split() + damaged(w, allowed, rng) + prose(40, k + 50).split()))
+             for k, w in enumerate(items)]
+    found = {(t, k): (distance, start, end) for t, k, distance, start, end in index.search(texts)}
+    assert set(found) == {(k, k) for k in range(len(items))}
+    for (t, k), (distance, start, end) in found.items():
+        assert distance <= allowed and end <= len(texts[t]) and abs(end - start - size) <= allowed
+
+
 def test_decontamination_on_the_tables(spark):
     docs, items = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     found = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, items).collect()}
