@@ -5,15 +5,17 @@ becomes one blank, so grams carry word starts and ends).  Each gram hashes to
 a row of an embedding table; a text is the mean of its rows; a linear softmax
 reads the language from the mean.  Table and softmax are trained together by
 stochastic gradient descent in numpy on a bounded sample of labelled rows
-(``MAX_SAMPLE`` texts in all, drawn evenly by language through a hash of the
-id; ``MAX_GRAMS`` grams a text, spread evenly over the whole text).  One part
+(about ``MAX_SAMPLE`` texts in all, drawn evenly by language through a hash of the
+id, or ``MIN_EACH`` of every language if that is more; ``MAX_GRAMS`` grams a text,
+spread evenly over the whole text).  Every label that occurs is learned.  One part
 in five of the sample calibrates: a temperature makes the softmax's confidence
 honest, and the rejection threshold is the confidence that all but
 ``FALSE_REJECT`` of the calibration texts reach, 0.5 at most.
 
 Prediction covers the whole text: since softmax weights act on a mean, they are
 multiplied into the table first, and a text costs one lookup of a short row
-for each gram.
+for each gram.  With more languages than ``DIMENSIONS`` they act on the mean
+itself, which keeps the rows short.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0 and
 rejected, and never learned from; without labelled rows every text is ``und``;
@@ -34,8 +36,10 @@ from revisor.llm.hashing import FOLD, IS_SPACE
 
 BUCKETS = 1 << 16  # for either gram length
 DIMENSIONS = 16
-MAX_LANGUAGES = 200
+MANY_DIMENSIONS = 64  # these two with more languages than DIMENSIONS
+MANY_EPOCHS = 12
 MAX_SAMPLE = 6000
+MIN_EACH = 30
 MAX_GRAMS = 600
 EPOCHS = 6
 BATCH = 32
@@ -74,20 +78,24 @@ def has_letter(data: np.ndarray) -> bool:
 
 
 class LanguageModel:
-    def __init__(self, languages: list[str], table: np.ndarray, bias: np.ndarray, temperature: float, threshold: float):
-        self.languages, self.table, self.bias = languages, table, bias
+    """``table`` holds logits of each gram, or embeddings that ``weight`` makes logits of."""
+
+    def __init__(self, languages: list[str], table: np.ndarray, bias: np.ndarray, temperature: float, threshold: float,
+                 weight: np.ndarray | None = None):
+        self.languages, self.table, self.bias, self.weight = languages, table, bias, weight
         self.temperature, self.threshold = temperature, threshold
 
     def predict(self, data: np.ndarray | None) -> tuple[str, float, bool]:
         """Language, calibrated confidence and whether to reject, of one whole text."""
         if data is None or not self.languages or not has_letter(data):
             return UNKNOWN, 0.0, True
-        total, n = np.zeros(len(self.languages)), 0
+        total, n = np.zeros(self.table.shape[1]), 0
         for at in range(0, len(data), 1 << 20):  # overlapping blocks keep memory flat
             rows = grams(data[max(0, at - 3):at + (1 << 20)])
             total += self.table[rows].sum(axis=0, dtype=np.float64)
             n += len(rows)
-        logits = (total / n + self.bias) / self.temperature
+        mean = total / n if self.weight is None else total / n @ self.weight
+        logits = (mean + self.bias) / self.temperature
         p = np.exp(logits - logits.max())
         p /= p.sum()
         best = int(p.argmax())
@@ -107,12 +115,13 @@ def fit(languages: list[str], labels: np.ndarray, texts: list[np.ndarray], seed:
     if held.sum() < n or n < 2:
         held[:] = False
     train = np.flatnonzero(~held)
-    embed = rng.normal(0, 0.1, (2 * BUCKETS, DIMENSIONS)).astype(np.float32)
-    weight = rng.normal(0, 0.1, (DIMENSIONS, n)).astype(np.float32)
+    width, epochs = (DIMENSIONS, EPOCHS) if n <= DIMENSIONS else (MANY_DIMENSIONS, MANY_EPOCHS)
+    embed = rng.normal(0, 0.1, (2 * BUCKETS, width)).astype(np.float32)
+    weight = rng.normal(0, 0.1, (width, n)).astype(np.float32)
     bias = np.zeros(n, dtype=np.float32)
-    steps = EPOCHS * max(1, -(-len(train) // BATCH))
+    steps = epochs * max(1, -(-len(train) // BATCH))
     step = 0
-    for _ in range(EPOCHS):
+    for _ in range(epochs):
         rng.shuffle(train)
         for at in range(0, len(train), BATCH):
             own = train[at:at + BATCH]
@@ -131,17 +140,18 @@ def fit(languages: list[str], labels: np.ndarray, texts: list[np.ndarray], seed:
             # a text's gradient is one row for all its grams; the mean makes it small, so scale it up
             np.subtract.at(embed, flat, np.repeat(back * (rate * BATCH), sizes.astype(int), axis=0))
             step += 1
-    table = embed @ weight
+    table, after = (embed @ weight, None) if n <= DIMENSIONS else (embed, weight)
     temperature, threshold = 1.0, 0.0
     if held.any():
-        logits = np.stack([table[texts[i]].mean(axis=0) + bias for i in np.flatnonzero(held)])
+        logits = np.stack([table[texts[i]].mean(axis=0) for i in np.flatnonzero(held)])
+        logits = (logits if after is None else logits @ after) + bias
         truth = labels[held]
         loss = [(-np.log(_softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12).mean(), t)
                 for t in np.geomspace(0.05, 20, 61)]
         temperature = float(min(loss)[1])
         reached = _softmax(logits / temperature).max(axis=1)
         threshold = float(min(0.5, np.quantile(reached, FALSE_REJECT)))
-    return LanguageModel(languages, table.astype(np.float32), bias, temperature, threshold)
+    return LanguageModel(languages, table.astype(np.float32), bias, temperature, threshold, after)
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -150,17 +160,16 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     rows = rename_free(docs, doc_id=id_col, text=text_col, lang=lang_col)
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
                        & ~held_out(F.col("doc_id")))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = rows.groupBy("lang").count().collect()
     languages = sorted(r["lang"] for r in counts)
     if not languages:
         return LanguageModel([], np.zeros((2 * BUCKETS, 0), np.float32), np.zeros(0), 1.0, 0.0)
-    each = max_sample // len(languages)
+    each = max(max_sample // len(languages), MIN_EACH)
     scale = 1 << 30
-    share = F.lit(0).cast("long")
-    for r in counts:
-        share = F.when(F.col("lang") == r["lang"], F.lit(min(scale, int(scale * each / r["count"])))).otherwise(share)
+    shares = docs.sparkSession.createDataFrame([(r["lang"], min(scale, int(scale * each / r["count"]))) for r in counts],
+                                               f"lang {dict(rows.dtypes)['lang']}, share long")
     place = F.pmod(F.xxhash64(F.lit(17), F.col("doc_id")), F.lit(scale))
-    picked = rows.filter(place < share)
+    picked = rows.join(F.broadcast(shares), "lang").filter(place < F.col("share"))
 
     def features(batches):
         for batch in slices(batches):
@@ -176,7 +185,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                 names=["place", "lang", "grams"]).filter(pa.array(keep))
 
     sample = (picked.select(place.alias("place"), "lang", "text")
-              .mapInArrow(features, "place long, lang string, grams binary").limit(2 * max_sample).toArrow())
+              .mapInArrow(features, "place long, lang string, grams binary").limit(2 * max(max_sample, each * len(languages))).toArrow())
     order = sorted(zip(sample.column("place").to_pylist(), sample.column("lang").to_pylist(),
                        sample.column("grams").to_pylist()))
     index = {name: i for i, name in enumerate(languages)}

@@ -357,6 +357,21 @@ def test_language_accuracy_on_held_out_rows(spark):
     assert {(r["doc_id"], r["lang_pred"]) for r in again} == {(r["doc_id"], r["lang_pred"]) for r in found}
 
 
+def test_every_language_is_learned(spark):
+    """More labels than any bound on classes; the rarest are learned like the others."""
+    rng = random.Random(3)
+    vocabulary = {f"l{k}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(12)] for k in range(230)}
+    rows = [(lang, " ".join(rng.choice(own) for _ in range(20)))
+            for k, (lang, own) in enumerate(vocabulary.items()) for _ in range(60 if k < 200 else 30)]
+    docs = spark.createDataFrame([(i, *row) for i, row in enumerate(rows)], "doc_id long, lang string, text string")
+    model = langid.train(docs)
+    assert model.languages == sorted(vocabulary)
+    found = {r["doc_id"]: r for r in langid.identify(docs, model).collect()}
+    right = [(lang, found[i]["lang_pred"] == lang and not found[i]["rejected"]) for i, (lang, _) in enumerate(rows)]
+    rare = [ok for lang, ok in right if int(lang[1:]) >= 200]
+    assert sum(ok for _, ok in right) >= 0.97 * len(right) and sum(rare) >= 0.97 * len(rare)
+
+
 def test_language_edges(spark, edge, none):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = langid.train(docs)
