@@ -15,13 +15,16 @@ are numbered from 0:
 
 Every landed page gets exactly one status, the ones outside any chain too: a
 line that is no page is a failed request, a page without a usable number is
-``unnumbered``, one at or beyond an explicit cap is ``over_cap``, and a number
-that was landed twice in one fetch counts once (the page read first), the
-others being ``repeated_page``.
+``unnumbered`` and one at or beyond an explicit cap is ``over_cap``.  Of a number
+that was landed more than once in one fetch, a good page with reviews counts
+before others and then the one read first; the chain goes on if any copy lets
+it.  Good copies whose reviews differ from it share its status (two fetches
+landed without a fetch id lose nothing), all other copies are
+``repeated_page``.  Repeated and unnumbered pages that held reviews are reported.
 
 Scale: the pages are parsed once into a staged columnar table that numbers its
-rows.  The rule reads only narrow columns of it; repeated numbers are folded by
-an aggregation that combines on the map side, so the window over a fetch holds
+rows.  The rule reads only narrow columns of it and a digest of the reviews;
+copies and then repeated numbers are folded by aggregations that combine on the map side, so the window over a fetch holds
 one row per distinct page number even where the key is NULL or hot; statuses and
 kept pages join back on the row number, which is unique.
 """
@@ -123,17 +126,24 @@ def _status(pages: DataFrame, max_pages: int | None, reviews_col: str) -> DataFr
     n_reviews = F.size(reviews_col) if isinstance(pages.schema[reviews_col].dataType, T.ArrayType) else F.lit(1)
     ok = F.coalesce(F.col("request_ok"), F.lit(False))
     token = F.col("next_page_token")
+    good = ok & has_reviews
     narrow = pages.select(
         *keys, "page_no", ROW, corrupt.alias("corrupt"), ok.alias("ok"), has_reviews.alias("has_reviews"),
+        F.when(good, F.md5(F.to_json(F.struct(F.col(reviews_col).alias("r"))))).alias("content"),
         (~ok | token.isNull() | (token == "") | ~has_reviews).alias("ends"),
         F.when(has_reviews, n_reviews).otherwise(0).cast("long").alias("n_reviews"),
     )
     numbered = F.coalesce(F.col("page_no") >= 0, F.lit(False))
     over_cap = F.lit(False) if max_pages is None else numbered & (F.col("page_no") >= max_pages)
-    # one page per number: the first row, picked by an aggregation (a hot or NULL key never meets in one task)
-    flags = [ROW, "ok", "has_reviews", "ends"]
-    chosen = (narrow.where(~F.col("corrupt") & numbered & ~over_cap).groupBy(*keys, "page_no")
-              .agg(F.min(F.struct(*flags)).alias("first")).select(*keys, "page_no", "first.*"))
+    # good copies with other reviews apart, the rest as one; aggregations, so a hot or NULL key never meets in one task
+    copies = (narrow.where(~F.col("corrupt") & numbered & ~over_cap).groupBy(*keys, "page_no", "content")
+              .agg(F.min(F.struct(ROW, "ok", "has_reviews")).alias("first"), F.min("ends").alias("ends"))
+              .select(*keys, "page_no", "content", "first.*", "ends"))
+    # one page per number: a good one if there is any, then the first row
+    chosen = (copies.groupBy(*keys, "page_no")
+              .agg(F.min(F.struct(F.col("content").isNull().alias("bad"), ROW, "ok", "has_reviews")).alias("first"),
+                   F.min("ends").alias("ends"))
+              .select(*keys, "page_no", "first.*", "ends"))
     ordered = Window.partitionBy(*keys).orderBy("page_no")
     earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
     reached = (F.col("page_no") == F.row_number().over(ordered) - 1) & ~F.coalesce(
@@ -153,7 +163,12 @@ def _status(pages: DataFrame, max_pages: int | None, reviews_col: str) -> DataFr
         .when(over_cap, F.lit(OVER_CAP))
         .otherwise(F.lit(REPEATED_PAGE))
     )
-    found = chosen.select(ROW, in_chain.alias("in_chain"))
+    by_number = chosen.select(*[F.col(c).alias("_n_" + c) for c in (*keys, "page_no", ROW)], in_chain.alias("in_chain"))
+    same = F.lit(True)
+    for c in (*keys, "page_no"):
+        same = same & F.col(c).eqNullSafe(F.col("_n_" + c))
+    counts = (F.col(ROW) == F.col("_n_" + ROW)) | F.col("content").isNotNull()
+    found = copies.join(by_number, same).where(counts).select(ROW, "in_chain")
     return narrow.join(found, ROW, "left").select(
         *keys, "page_no", ROW, "corrupt", F.col("ok").alias("request_ok"), "n_reviews",
         F.coalesce("in_chain", outside).alias("status"))
@@ -181,7 +196,8 @@ def page_reviews(kept: DataFrame) -> DataFrame:
 def fetch_failures(pages: DataFrame, max_pages: int | None = None, reviews_col: str = "reviews",
                    missing_message: str | None = None) -> DataFrame:
     """Failed pages: a failed request (earlier pages kept), a line that is no
-    page, or a reached good page without reviews (the fetch fails).  Columns:
+    page, a reached good page without reviews (the fetch fails), or a repeated
+    or unnumbered page that held reviews (they are not kept).  Columns:
     fetch keys, ``page_no``, ``kind`` and ``error`` text."""
     return stage_pages(pages, max_pages, reviews_col).failures(missing_message)
 
@@ -192,7 +208,8 @@ def failures_from_status(status: DataFrame, missing_message: str | None = None)
         from revisor.operators.metrics import MSG_MISSING_REVIEWS
 
         missing_message = MSG_MISSING_REVIEWS
-    bad = status.where(F.col("status").isin(FAILED_REQUEST, MISSING_REVIEWS))
+    unused = F.col("status").isin(REPEATED_PAGE, UNNUMBERED) & (F.col("n_reviews") > 0)
+    bad = status.where(F.col("status").isin(FAILED_REQUEST, MISSING_REVIEWS) | unused)
 
     def named(c: str) -> Column:
         return F.coalesce(F.col(c).cast("string"), F.lit("NULL"))
@@ -201,6 +218,10 @@ def failures_from_status(status: DataFrame, missing_message: str | None = None)
         F.when(F.col("corrupt"), F.lit("landed line is not a page"))
         .when(F.col("status") == FAILED_REQUEST, F.concat(F.lit("request failed for product "), named("product_id"),
                                                           F.lit(" on page "), named("page_no")))
+        .when(F.col("status") == REPEATED_PAGE, F.concat(F.lit("repeated page "), named("page_no"), F.lit(" of product "),
+                                                         named("product_id"), F.lit(" not kept")))
+        .when(F.col("status") == UNNUMBERED, F.concat(F.lit("page without a usable number of product "),
+                                                      named("product_id"), F.lit(" not kept")))
         .otherwise(F.lit(missing_message))
     )
     return bad.select(*fetch_keys(status), "page_no", F.col("status").alias("kind"), error.alias("error"))

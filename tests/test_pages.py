@@ -118,6 +118,35 @@ def test_two_fetches_and_null_keys_lose_nothing(spark):
     assert P.empty_groups(df.select("app", "type_client").distinct(), reviews, ["app", "type_client"]).count() == 0
 
 
+def _with_reviews(page, *ids):
+    return (*page[:5], [(None, None, i, None, 1, "5", None, i, None) for i in ids], *page[6:])
+
+
+def test_copies_that_differ_lose_no_reviews(spark):
+    """Two fetches without an id, the shorter read first; a failed landing and its retry; equal copies count once."""
+    rows = [_with_reviews(_page("two", p, token=p < 1), f"a{p}") for p in range(2)]
+    rows += [_with_reviews(_page("two", p, token=p < 2), f"b{p}") for p in range(3)]
+    rows += [_page("retry", 0, ok=False, reviews=False), _page("retry", 0), _page("retry", 1, token=False), _page("retry", 1, token=False)]
+    rows += [_page("blank", 0, reviews=False), _page("blank", 0, token=False), _page("none", None), _page(None, None, reviews=False)]
+    staged = P.stage_pages(spark.createDataFrame(rows, PAGE_SCHEMA).coalesce(1))
+    found = sorted((r["product_id"], r["id"]) for r in staged.reviews().collect())
+    assert found == [("blank", "r0"), ("retry", "r0"), ("retry", "r1"), *[("two", i) for i in ("a0", "a1", "b0", "b1", "b2")]]
+    assert staged.status.count() == len(rows)
+    fails = sorted((r["product_id"], r["page_no"], r["kind"], r["error"]) for r in staged.failures().collect())
+    assert fails == [("none", None, P.UNNUMBERED, "page without a usable number of product none not kept"),
+                     ("retry", 1, P.REPEATED_PAGE, "repeated page 1 of product retry not kept")]
+
+
+def test_run_pages_records_repeated_and_unnumbered_pages(spark, tmp_dir):
+    from revisor.plans.job import run_pages
+
+    rows = [_page("p", 0, token=False), _page("p", 0, token=False), _page("p", None)]
+    result = run_pages(spark, spark.createDataFrame(rows, PAGE_SCHEMA), tmp_dir + "/out", odate="20240101")
+    errors = sorted(r["error"] for r in spark.read.json(tmp_dir + "/out/metrics/fail").collect())
+    assert result.failures == 2 and errors == ["page without a usable number of product p not kept",
+                                               "repeated page 0 of product p not kept"]
+
+
 def test_empty_token_ends_the_chain(spark):
     rows = [_page("p", 0, token=""), _page("p", 1)]
     rows[0] = (*rows[0][:6], "", None)
