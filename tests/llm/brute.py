@@ -98,3 +98,20 @@ def best_window_distance(item, text_words):
             last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
         best = min(best, row[-1])
     return best
+
+
+def runs(sequence, least=12):
+    """Sorted (start, end, smallest period) of all maximal repetitions, one period after the other."""
+    n, found = len(sequence), {}
+    for q in range(1, n // 2 + 1):
+        i = 0
+        while i + q < n:
+            if sequence[i] != sequence[i + q]:
+                i += 1
+                continue
+            start = i
+            while i + q < n and sequence[i] == sequence[i + q]:
+                i += 1
+            if i - start >= q and i + q - start >= least:
+                found.setdefault((start, i + q), q)
+    return sorted((s, e, q) for (s, e), q in found.items())
