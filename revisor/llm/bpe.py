@@ -16,8 +16,8 @@ What is a letter, a number or white space follows the tokenizers library's own
 Unicode tables, which the driver asks for once and sends along; so do the normal form and
 lower case of characters that the tables of two Unicode versions may tell apart.
 
-Words repeat, so a worker remembers those it has merged (``REMEMBERED`` at
-most).  Texts are read in pieces of about ``PIECE`` characters, cut before white
+Words repeat, so a worker remembers the ids of what stood between white space
+(twice ``REMEMBERED`` at most); the pattern is only matched inside what is new.  Texts are read in pieces of about ``PIECE`` characters, cut before white
 space, which no word, normal form or special token spans.
 
 Defined cases: a null text is empty and has no ids; so has a text of white space
@@ -39,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, normalizers, pre_tokenizers
@@ -46,10 +47,13 @@ from tokenizers import Regex, normalizers, pre_tokenizers
 from revisor.llm.common import bound_batches, slices
 
 LONG_WORD = 64
-REMEMBERED = 1 << 17
+REMEMBERED = 1 << 18
 PIECE = 1 << 18
 NO_RANK = 1 << 60
 
+#: Characters that Python's ``split`` takes for white space, the tokenizers library not.
+_NOT_WHITE = ("\x1c", "\x1d", "\x1e", "\x1f")
+
 #: Characters on whose normal form and lower case all recent Unicode versions agree: to Cyrillic, kana, CJK, Hangul.
 _UNSETTLED = re.compile("[^\x00-\u052f\u3041-\u3096\u3099-\u30ff\u4e00-\u9fff\uac00-\ud7a3]")
 
@@ -73,6 +77,30 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
 
 
+class _Remembered(dict):
+    """Ids (as bytes) of settled texts without white space, made when asked for the first time.
+
+    A full memory becomes the ``older`` one, from which what is asked for again comes back.
+    """
+
+    def __init__(self, coder: WordBpe):
+        self.coder = coder
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self.older.get(part)
+        if ids is None:
+            words = self.coder.words(part)
+            ids = (np.array(self.coder.merge(part), dtype=np.int32).tobytes() if words == [part]
+                   else b"".join(map(self.__getitem__, words)))
+        if len(part) <= LONG_WORD:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+            self[part] = ids
+        return ids
+
+
 class WordBpe:
     """Encoder and decoder of a tokenizer file: NFC, white space to one blank, lower case, pattern, byte-level BPE."""
 
@@ -93,10 +121,11 @@ class WordBpe:
         self.vocab: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in (*self.vocab.items(), *self.special.items())}
-        #: (left id, right id) -> (rank, id of both together)
-        self.merges = {(self.vocab[a], self.vocab[b]): (rank, self.vocab[a + b])
-                       for rank, (a, b) in enumerate(tuple(m) if isinstance(m, list) else tuple(m.split(" "))
-                                                     for m in model["merges"])}
+        pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        self.wide = max(self.vocab.values()) + 1
+        #: left id * wide + right id -> rank; the id of both together by rank
+        self.ranks = {self.vocab[a] * self.wide + self.vocab[b]: rank for rank, (a, b) in enumerate(pairs)}
+        self.joined = [self.vocab[a + b] for a, b in pairs]
         shown = byte_characters()
         self.first_ids = [self.vocab[c] for c in shown]
         self.last_ids = [self.vocab[c + self.end] for c in shown]
@@ -108,16 +137,21 @@ class WordBpe:
         self._word = re.compile(pattern)
         self._white = re.compile(f"[{classes[chr(92) + 's']}]")
         self._settle = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()]).normalize_str
-        self._known: dict[str, list[int]] = {}
+        self._known = _Remembered(self)
+        self._table: pa.Array | None = None
 
-    def words(self, piece: str) -> list[str]:
-        """The pattern's words; white space only parts them, so it is not folded to one blank first."""
+    def settled(self, piece: str) -> str:
+        """NFC and lower case; white space only parts words, so it is not folded to one blank first."""
         if piece.isascii():
-            return self._ascii_word.findall(piece.lower())
+            return piece.lower()
         if _UNSETTLED.search(piece):
-            return self._word.findall(self._settle(piece))
+            return self._settle(piece)
         # lower case character by character: the final form of sigma does not depend on its neighbours
-        return self._word.findall(unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower())
+        return unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()
+
+    def words(self, settled: str) -> list[str]:
+        """The pattern's words in a settled text."""
+        return (self._ascii_word if settled.isascii() else self._word).findall(settled)
 
     def merge(self, word: str) -> list[int]:
         """Ids of one word of the pattern."""
@@ -127,42 +161,39 @@ class WordBpe:
         return self._by_heap(ids) if len(ids) > LONG_WORD else self._by_scan(ids)
 
     def _by_scan(self, ids: list[int]) -> list[int]:
-        """``ids[k]`` begins at boundary ``k``; ``ranks[k]`` is the rank of joining it with the next one."""
-        merges, none = self.merges, (NO_RANK, -1)
-        found = [merges.get(pair, none) for pair in itertools.pairwise(ids)]
-        ranks = [r for r, _ in found]
-        joined = [i for _, i in found]
-        while ranks:
-            least = min(ranks)
+        """Part ``k`` has ``ids[k]``; ``near[k]`` is the rank of joining it with the next one."""
+        rank_of, wide = self.ranks.get, self.wide
+        near = [rank_of(a * wide + b, NO_RANK) for a, b in itertools.pairwise(ids)]
+        while near:
+            least = min(near)
             if least == NO_RANK:
                 break
-            k = ranks.index(least)
-            ids[k] = joined[k]
-            del ids[k + 1], ranks[k], joined[k]
-            if k < len(ranks):
-                ranks[k], joined[k] = merges.get((ids[k], ids[k + 1]), none)
+            k = near.index(least)
+            ids[k] = own = self.joined[least]
+            del ids[k + 1], near[k]
+            if k < len(near):
+                near[k] = rank_of(own * wide + ids[k + 1], NO_RANK)
             if k:
-                ranks[k - 1], joined[k - 1] = merges.get((ids[k - 1], ids[k]), none)
+                near[k - 1] = rank_of(ids[k - 1] * wide + own, NO_RANK)
         return ids
 
     def _by_heap(self, ids: list[int]) -> list[int]:
         """The same merges for a long word: the smallest rank, leftmost first."""
-        merges, n = self.merges, len(ids)
+        ranks, wide, n = self.ranks, self.wide, len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(*merges[pair], k, *pair) for k, pair in enumerate(itertools.pairwise(ids)) if pair in merges]
-        heap = [(rank, k, left, right, new) for rank, new, k, left, right in heap]
+        heap = [(ranks[a * wide + b], k, a, b) for k, (a, b) in enumerate(itertools.pairwise(ids)) if a * wide + b in ranks]
         heapq.heapify(heap)
 
         def offer(k):
-            if k >= 0 and after[k] < n and (own := merges.get((ids[k], ids[after[k]]))):
-                heapq.heappush(heap, (own[0], k, ids[k], ids[after[k]], own[1]))
+            if k >= 0 and after[k] < n and (rank := ranks.get(ids[k] * wide + ids[after[k]])) is not None:
+                heapq.heappush(heap, (rank, k, ids[k], ids[after[k]]))
 
         while heap:
-            _, k, left, right, new = heapq.heappop(heap)
+            rank, k, left, right = heapq.heappop(heap)
             if ids[k] != left or after[k] >= n or ids[after[k]] != right:
                 continue  # one of the two has been merged since
             gone = after[k]
-            ids[k], ids[gone] = new, -1
+            ids[k], ids[gone] = self.joined[rank], -1
             after[k] = after[gone]
             if after[k] < n:
                 before[after[k]] = k
@@ -180,33 +211,38 @@ class WordBpe:
             at = cut.start()
         yield text[at:] if at else text
 
-    def _plain(self, text: str, out: list[int]) -> None:
-        known = self._known
+    def _plain(self, text: str, out: list[bytes]) -> None:
         for piece in self._pieces(text):
-            for word in self.words(piece):
-                ids = known.get(word)
-                if ids is None:
-                    ids = self.merge(word)
-                    if len(word) <= LONG_WORD:
-                        if len(known) >= REMEMBERED:
-                            known.clear()
-                        known[word] = ids
-                out += ids
-
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
+            settled = self.settled(piece)
+            odd = any(c in settled for c in _NOT_WHITE)
+            parts = self._white.split(settled) if odd else settled.split()
+            out.extend(map(self._known.__getitem__, parts))
+
+    def encode(self, text: str) -> np.ndarray:
+        out: list[bytes] = []
         at = 0
         for found in self._special.finditer(text):
             self._plain(text[at:found.start()], out)
-            out.append(self.special[found.group()])
+            out.append(np.int32(self.special[found.group()]).tobytes())
             at = found.end()
         self._plain(text[at:] if at else text, out)
-        return out
+        return np.frombuffer(b"".join(out), dtype=np.int32)
 
     def decode(self, ids) -> str:
         """Without a decoder in the file, tokens are joined by blanks."""
         return " ".join(map(self.tokens.__getitem__, ids))
 
+    def decode_lists(self, lists: pa.ListArray) -> pa.Array:
+        """The text of each list of ids; empty for a null."""
+        if self._table is None:
+            self._table = pa.array([self.tokens.get(i) for i in range(max(self.tokens) + 1)], pa.string())
+        tokens = self._table.take(lists.flatten())
+        if tokens.null_count:
+            raise KeyError("an id without a token")
+        lengths = np.asarray(pc.fill_null(pc.list_value_length(lists), 0))
+        ends = pa.array(np.cumsum(np.r_[0, lengths]), pa.int32())
+        return pc.binary_join(pa.ListArray.from_arrays(ends, tokens), " ")
+
 
 _encoders: dict[str, WordBpe] = {}
 
@@ -227,7 +263,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     def run(batches):
         own = encoder(path, classes)
         for batch in slices(batches, 2 << 20):
-            ids = [np.array(own.encode(text), dtype=np.int32) for text in batch.column(1).to_pylist()]
+            ids = [own.encode(text) for text in batch.column(1).to_pylist()]
             ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
             flat = pa.array(np.concatenate(ids))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), flat)], names=["doc_id", "ids"])
@@ -245,8 +281,7 @@ def decode(frame: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     def run(batches):
         own = encoder(path, classes)
         for batch in slices(batches, 2 << 20):
-            texts = [own.decode(ids or ()) for ids in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, own.decode_lists(batch.column(at))], names=[*batch.schema.names, "decoded"])
 
     schema = ", ".join(f"{c} {t}" for c, t in plain.dtypes) + ", decoded string"
     return plain.mapInArrow(run, schema).toDF(*frame.columns, "decoded")
