@@ -8,20 +8,26 @@ The ``BITS`` low-order bits of each bin are packed into the fingerprint.  Two
 bins of unlike values still agree in ``BITS`` bits with probability ``2**-BITS``,
 which ``likeness`` takes out of the share of equal bins.
 
-``with_successor`` pairs every document with the next one by id without a
-global sort in one task: ids are cut into buckets at their quantiles, the first
-document of each bucket is also sent to the bucket before it, and each bucket
-is read in order as a stream.  Texts cross the network once, compressed.
+Every document is paired with the next one by id without a global sort of
+texts: the distinct keys (id and text hashes) are sorted in ranges, the first key
+of each range cuts a bucket, texts are dealt to buckets, and the first document of
+each bucket is also sent to the bucket before it.  Each bucket is read in order
+as a stream.  Texts cross the network once, compressed.  Equal rows are one key:
+they are counted, one of them is dealt out, and the others, whose successor is
+equal to them, get their rows from one copy of the text.
 
 Defined cases: a null text is empty; an empty text (or one of white space only)
 has the empty fingerprint, which is like itself (1) and like nothing else (0);
-documents are ordered by id, then by text hash, null ids last; a repeated row
-follows its copy; a single document is its own successor; an empty table gives
-no rows; columns beyond id and text are not read.
+documents are ordered by id, then by text hash, null ids last; rows that share
+an id, or have none, are cut into buckets by their text hash, so they need no
+task of their own; a repeated row follows its copy; a single document is its
+own successor; a text of any length is read whole, by one task at a time; an
+empty table gives no rows; columns beyond id and text are not read.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 
 import numpy as np
@@ -30,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revisor.llm.common import rename_free, slices
+from revisor.llm.common import bloom, rename_free, slices, staged
 from revisor.llm.hashing import mix, shingles, word_hashes
 
 BINS = 512  # a power of two
@@ -110,60 +116,63 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - n] + following[:n]
 
 
-def with_successor(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
-    """Documents and guests, dealt out by bucket and sorted within it.
+KEY = ["nameless", "doc_id", "t1", "t2"]
 
-    Columns ``bucket, guest, nameless, doc_id, tie, text`` (zstd); in a bucket,
-    each row's successor is the row after it, and the guest rows at the end are
-    the first documents of the next bucket.  Returns the id's type as well.
-    """
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``nameless, doc_id, t1, t2, text``: documents in order of the first four; rows that agree in them are equal."""
     rows = rename_free(docs, doc_id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))
-    kind = dict(rows.dtypes)["doc_id"]
-    spark = docs.sparkSession
+    return rows.select(F.col("doc_id").isNull().alias("nameless"), "doc_id", F.xxhash64("text").alias("t1"),
+                       F.xxhash64(F.lit(1), "text").alias("t2"), "text")
+
+
+def _keys(batch: pa.RecordBatch) -> list[tuple]:
+    """The key of each row, comparable: a missing id is 0, behind ``nameless``."""
+    return list(zip(batch.column(0).to_pylist(), batch.column(1).fill_null(0).to_pylist(),
+                    batch.column(2).to_pylist(), batch.column(3).to_pylist()))
+
+
+def with_successor(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """One row a key of ``rows`` and guests, dealt out by bucket and sorted within it.
+
+    Columns ``bucket, guest``, the key and ``text`` (zstd); in a bucket, each row's
+    successor is the next row of another key, and the guest at the end is the
+    first document of the next bucket.  Rows of one key are equal: a task sends one
+    of them, so a bucket has one a task at most.  ``keys`` holds the keys of ``rows``.
+    """
+    spark = rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n = parts * BUCKETS_PER_PARTITION
-    # one value per bucket reaches the driver
-    cuts = rows.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10 * n)).first()[0] or []
-    bounds = np.unique(np.array(cuts, dtype=np.int64))
-
-    def bucket_of(column) -> np.ndarray:
-        """Index of the first bound not below the id; nulls have the last bucket of all."""
-        ids = column.fill_null(0).to_numpy(zero_copy_only=False)
-        found = np.searchsorted(bounds, ids, side="left")
-        found[~column.is_valid().to_numpy(zero_copy_only=False)] = len(bounds) + 1
-        return found
-
-    def bucketed(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(bucket_of(batch.column(0))), batch.column(0)], names=["bucket", "doc_id"])
-
-    firsts = (rows.select("doc_id").mapInArrow(bucketed, f"bucket long, doc_id {kind}")
-              .groupBy("bucket").agg(F.min("doc_id").alias("first")).orderBy("bucket").collect())
-    buckets = [r["bucket"] for r in firsts]
-    before = {b: buckets[i - 1] for i, b in enumerate(buckets)}
-    first_id = {r["bucket"]: r["first"] for r in firsts}
-    nameless_tie = None
-    if firsts and firsts[-1]["first"] is None:  # rows without an id are ordered by their text alone
-        nameless_tie = rows.filter("doc_id IS NULL").agg(F.min(F.xxhash64("text"))).first()[0]
+    # the first key of each bucket reaches the driver
+    ranged = keys.repartitionByRange(parts * BUCKETS_PER_PARTITION, *KEY).select(F.spark_partition_id().alias("range"), F.struct(*KEY).alias("key"))
+    firsts = sorted((r["key"]["nameless"], r["key"]["doc_id"] or 0, r["key"]["t1"], r["key"]["t2"])
+                    for r in ranged.groupBy("range").agg(F.min("key").alias("key")).collect())
+    shared = spark.sparkContext.broadcast(firsts)
 
     def deal(batches):
-        press = zstandard.ZstdCompressor(level=1)
+        firsts, press, sent = shared.value, zstandard.ZstdCompressor(level=1), set()
         for batch in slices(batches):
-            bucket = bucket_of(batch.column(0))
-            ids, tie = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            text = [press.compress(x.as_buffer().to_pybytes()) for x in batch.column(2)]
-            own = [(int(b), False, i is None, i, t, x) for b, i, t, x in zip(bucket, ids, tie, text)]
-            own += [(before[b], True, nameless, i, t, x) for b, _, nameless, i, t, x in own
-                    if i == first_id[b] and (not nameless or t == nameless_tie)]
+            bucket, guest, take = [], [], []
+            for i, key in enumerate(_keys(batch)):
+                if key in sent:
+                    continue
+                sent.add(key)
+                own = bisect.bisect_right(firsts, key) - 1
+                bucket.append(own)
+                guest.append(False)
+                take.append(i)
+                if firsts[own] == key:
+                    bucket.append((own or len(firsts)) - 1)
+                    guest.append(True)
+                    take.append(i)
+            texts = {i: press.compress(batch.column(4)[i].as_buffer().to_pybytes()) for i in set(take)}
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, type=k) for c, k in zip(zip(*own), (pa.int64(), pa.bool_(), pa.bool_(),
-                                                                  batch.column(0).type, pa.int64(), pa.binary()))],
-                names=["bucket", "guest", "nameless", "doc_id", "tie", "text"])
+                [pa.array(bucket, pa.int64()), pa.array(guest, pa.bool_()), *[c.take(pa.array(take, pa.int64())) for c in batch.columns[:4]],
+                 pa.array([texts[i] for i in take], pa.binary())], names=["bucket", "guest", *batch.schema.names[:4], "text"])
 
-    dealt = rows.select("doc_id", F.xxhash64("text").alias("tie"), "text").mapInArrow(
-        deal, f"bucket long, guest boolean, nameless boolean, doc_id {kind}, tie long, text binary")
-    return (dealt.repartition(parts, "bucket")
-            .sortWithinPartitions("bucket", "guest", "nameless", "doc_id", "tie"), kind)
+    kind = dict(rows.dtypes)["doc_id"]
+    dealt = rows.select(*KEY, "text").mapInArrow(
+        deal, f"bucket long, guest boolean, nameless boolean, doc_id {kind}, t1 long, t2 long, text binary")
+    return dealt.repartition(parts, "bucket").sortWithinPartitions("bucket", "guest", *KEY)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -178,36 +187,78 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, fingerprint string")
 
 
+OUTPUT = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+_TYPES = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+_SCHEMA = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+
+
+def _compared(text: str, own: np.ndarray | None, after: str, following: np.ndarray | None) -> tuple:
+    """The output columns but the id of a text and its successor, given both fingerprints."""
+    new = edited(text, after)
+    raw = new.encode("utf-8")
+    new_print = own if new == text else text_fingerprint(raw)
+    return (len(text), hashlib.sha256(raw).hexdigest(), pack_bits(own), pack_bits(new_print),
+            likeness(own, new_print), likeness(own, following))
+
+
+def _repeated(rows: DataFrame, repeats: DataFrame, kind: str) -> DataFrame:
+    """The output rows of all but the last of equal rows: each is followed by a row equal to it.
+
+    Only rows that a filter of the repeated keys lets pass are looked at; a task
+    emits one row a key, which is then copied as often as ``repeats`` says.
+    """
+    hashed = F.xxhash64(*KEY)
+    shared = rows.sparkSession.sparkContext.broadcast(bloom(repeats.select(hashed.alias("key")), "key", repeats.count()))
+
+    def run(batches):
+        filter_, sent = shared.value, set()
+        for batch in slices(batches):
+            keys, take, out = _keys(batch), [], []
+            for i in np.flatnonzero(filter_.has(batch.column(5).to_numpy().view(np.uint64))).tolist():
+                if keys[i] not in sent:
+                    sent.add(keys[i])
+                    take.append(i)
+                    text = batch.column(4)[i].as_py()
+                    own = text_fingerprint(text.encode("utf-8"))
+                    out.append(_compared(text, own, text, own))
+            if out:
+                own = [c.take(pa.array(take, pa.int64())) for c in batch.columns[:4]]
+                yield pa.RecordBatch.from_arrays([*own, *[pa.array(c, t) for c, t in zip(zip(*out), _TYPES)]], names=[*KEY, *OUTPUT[1:]])
+
+    found = rows.select(*KEY, "text", hashed.alias("key")).mapInArrow(
+        run, f"nameless boolean, doc_id {kind}, t1 long, t2 long, {_SCHEMA}").dropDuplicates(KEY)
+    same = [found[c].eqNullSafe(repeats[c]) for c in KEY]
+    copied = found.join(repeats, same).select(*[found[c] for c in OUTPUT], F.explode(F.sequence(F.lit(2), "copies")).alias("copy"))
+    return copied.drop("copy")
+
+
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of each text and of its edited form, and their likeness; one row per document."""
-    dealt, kind = with_successor(docs, id_col, text_col)
+    rows = _keyed(docs, id_col, text_col)
+    kind = dict(rows.dtypes)["doc_id"]
+    keys, _ = staged(rows.groupBy(*KEY).agg(F.count("*").alias("copies")), "fingerprint-keys")
 
     def run(batches):
         unpack = zstandard.ZstdDecompressor()
-        held = None  # the document that waits for its successor: bucket, id, text, fingerprint
-        types = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+        held = None  # the document that waits for its successor: key, id, text, fingerprint
         for batch in slices(batches, 2 << 20):
-            rows = []
-            doc_ids = batch.column("doc_id").to_pylist()
-            doc_type = batch.column("doc_id").type
-            for bucket, guest, doc, packed in zip(batch.column("bucket").to_pylist(), batch.column("guest").to_pylist(),
-                                                  doc_ids, batch.column("text").to_pylist()):
-                if guest and held is None:
-                    continue  # a second guest: rows that share the first id
-                data = unpack.decompress(packed)
+            out, ids = [], []
+            doc_ids, keys = batch.column("doc_id"), _keys(batch.select(KEY))
+            for i, (bucket, guest) in enumerate(zip(batch.column("bucket").to_pylist(), batch.column("guest").to_pylist())):
+                key = (bucket, guest, keys[i])
+                if (held is None and guest) or (held is not None and held[0] == key):
+                    continue  # a copy that another task sent
+                data = unpack.decompress(batch.column("text")[i].as_buffer())
                 text, own = data.decode("utf-8", "replace"), text_fingerprint(data)
                 if held is not None:
                     _, held_id, held_text, held_print = held
-                    new = edited(held_text, text)
-                    raw = new.encode("utf-8")
-                    new_print = held_print if new == held_text else text_fingerprint(raw)
-                    rows.append((held_id, len(held_text), hashlib.sha256(raw).hexdigest(), pack_bits(held_print),
-                                 pack_bits(new_print), likeness(held_print, new_print), likeness(held_print, own)))
-                held = None if guest else (bucket, doc, text, own)
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), [doc_type, *types])],
-                                                 names=["doc_id", "n_chars", "edited_sha256", "fingerprint",
-                                                        "edited_fingerprint", "near_edited", "near_next"])
-
-    return dealt.mapInArrow(run, f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, "
-                                 "edited_fingerprint string, near_edited double, near_next double")
+                    ids.append(held_id)
+                    out.append(_compared(held_text, held_print, text, own))
+                held = None if guest else (key, doc_ids[i].as_py(), text, own)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(ids, doc_ids.type), *[pa.array(c, t) for c, t in zip(zip(*out), _TYPES)]],
+                                                 names=OUTPUT)
+
+    found = with_successor(rows, keys).mapInArrow(run, f"doc_id {kind}, {_SCHEMA}")
+    repeats = keys.filter("copies > 1")
+    return found if repeats.isEmpty() else found.unionByName(_repeated(rows, repeats, kind))

@@ -106,6 +106,31 @@ def test_fingerprint_edges(spark, edge, none):
     assert one[0]["near_next"] == 1.0
 
 
+def plain_edited(rows):
+    """Sorted (doc_id, n_chars, edited_sha256, equal to the next text) of (doc_id, text) rows, by id and then text hash."""
+    out, n = [], len(rows)
+    for k, (i, text) in enumerate(rows):
+        new = fingerprints.edited(text, rows[(k + 1) % n][1])
+        out.append((i, len(text), hashlib.sha256(new.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("hot", [7, None])
+def test_fingerprints_of_a_hot_id(spark, hot):
+    """Half the rows share an id or have none, a quarter are one row; no bucket holds the shared id whole."""
+    rows = [(k, prose(30 + k % 50, k)) for k in range(150)] + [(hot, prose(20 + k % 9, 1000 + k)) for k in range(150)] + [(hot, prose(40, 3))] * 100
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    tie = {r["text"]: (r["a"], r["b"]) for r in df.select("text", F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b")).collect()}
+    ordered = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, tie[r[1]]))
+    found = fingerprints.edited_fingerprints(df).collect()
+    assert sorted(((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in found), key=str) == plain_edited(ordered)
+    assert sum(r["near_next"] == 1.0 for r in found) >= 99
+    keyed = fingerprints._keyed(df, "doc_id", "text")
+    dealt = fingerprints.with_successor(keyed, keyed.select(*fingerprints.KEY).distinct()).filter("NOT guest")
+    per_bucket = dealt.filter(F.col("doc_id").eqNullSafe(F.lit(hot))).groupBy("bucket").count().agg(F.max("count")).first()[0]
+    assert per_bucket <= 20
+
+
 # -- 3: substrings -----------------------------------------------------------------
 
 def test_cover_is_a_difference_cover():
