@@ -142,10 +142,17 @@ def with_successor(rows: DataFrame, keys: DataFrame) -> DataFrame:
     """
     spark = rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # the first key of each bucket reaches the driver
-    ranged = keys.repartitionByRange(parts * BUCKETS_PER_PARTITION, *KEY).select(F.spark_partition_id().alias("range"), F.struct(*KEY).alias("key"))
-    firsts = sorted((r["key"]["nameless"], r["key"]["doc_id"] or 0, r["key"]["t1"], r["key"]["t2"])
-                    for r in ranged.groupBy("range").agg(F.min("key").alias("key")).collect())
+    stride = max(1, keys.count() // (parts * BUCKETS_PER_PARTITION))
+
+    def cut(batches):
+        seen = 0
+        for batch in batches:
+            yield batch.take(pa.array(range(-seen % stride, batch.num_rows, stride), pa.int64()))
+            seen += batch.num_rows
+
+    # the first key of each bucket reaches the driver: a range's first, and every stride-th after it
+    ranged = keys.select(*KEY).repartitionByRange(parts, *KEY).sortWithinPartitions(*KEY)
+    firsts = sorted(key for batch in ranged.mapInArrow(cut, ranged.schema).toArrow().to_batches() for key in _keys(batch))
     shared = spark.sparkContext.broadcast(firsts)
 
     def deal(batches):
