@@ -22,18 +22,22 @@ it.  Good copies whose reviews differ from it share its status (two fetches
 landed without a fetch id lose nothing), all other copies are
 ``repeated_page``.  Repeated and unnumbered pages that held reviews are reported.
 
-Scale: the pages are parsed once into a staged columnar table that numbers its
-rows.  The rule reads only narrow columns of it and a digest of the reviews;
-copies and then repeated numbers are folded by aggregations that combine on the map side, so the window over a fetch holds
-one row per distinct page number even where the key is NULL or hot; statuses and
-kept pages join back on the row number, which is unique.
+Scale: a page is known by its row in the landing.  Parquet landings have one, the
+file and the row's place in it, so no page is copied; other landings (JSON) are
+parsed once into a staged table that numbers its rows.  The rule reads only narrow
+columns and a digest of the reviews; copies and then repeated numbers are folded
+by aggregations that combine on the map side, so the window over a fetch holds one
+row per distinct page number even where the key is NULL or hot.  Kept pages are a
+filter on the scan by their row, which is unique: of the kept and the other rows the
+smaller side is broadcast.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,8 +54,10 @@ REPEATED_PAGE = "repeated_page"
 UNNUMBERED = "unnumbered"
 
 ROW = "page_row"
-# Most kept pages whose row numbers (8 bytes each) are joined back by broadcast.
+# Most rows (16 bytes each) that a filter of pages takes by broadcast.
 KEPT_BROADCAST_MAX_ROWS = 4_000_000
+# Plans whose every row is one row of a file.
+_ROW_KEEPING = {"Project", "Filter", "LogicalRelation", "SubqueryAlias", "View"}
 
 
 def read_landed_pages(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
@@ -72,20 +78,63 @@ def fetch_keys(pages: DataFrame) -> list[str]:
     return product_keys(pages) + [c for c in ("fetch_id",) if c in pages.columns]
 
 
+def _from_one_scan(pages: DataFrame) -> bool:
+    """Whether each row of ``pages`` is one row of a file: nothing but projections and filters above a scan."""
+    try:
+        node = pages._jdf.queryExecution().analyzed()
+    except Exception:  # noqa: BLE001 - a remote session shows no plan
+        return False
+    while node.children().size() == 1 and node.nodeName() in _ROW_KEEPING:
+        node = node.children().head()
+    return node.nodeName() in _ROW_KEEPING and node.children().size() == 0
+
+
+def identified(pages: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``pages`` with ``page_row``, a row identity that every read of them repeats, and the folders staged for it.
+
+    The identity is (file, row in the file) where Spark knows both; otherwise the
+    pages are written once and numbered.
+    """
+    if _from_one_scan(pages):
+        row = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+        try:
+            return pages.select("*", row.alias(ROW)), []
+        except AnalysisException:
+            pass  # a format whose rows have no place, such as JSON
+    spark = pages.sparkSession
+    path = stage_dir(spark, "pages")
+    row = F.struct(F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("row"))
+    numbered = pages.withColumn(ROW, row)
+    numbered.write.parquet(path)
+    return spark.read.schema(numbered.schema).parquet(path), [path]
+
+
+def _only(pages: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join of pages by their row."""
+    own = rows.select(F.col(ROW + ".file").alias("_file"), F.col(ROW + ".row").alias("_row"))
+    return pages.join(own, (F.col(ROW + ".file") == F.col("_file")) & (F.col(ROW + ".row") == F.col("_row")), how).drop(ROW)
+
+
 @dataclass
 class StagedPages:
-    """The staged pages, their statuses and what derives from both."""
+    """The pages, their staged statuses and what derives from both."""
 
     pages: DataFrame
     status: DataFrame
     paths: list[str]
+    most_kept: int  # bounds of the number of kept and of other rows, counted while the statuses were written
+    most_other: int
 
     def kept(self) -> DataFrame:
-        """A2: the pages a fetch would have concatenated, with all their columns."""
-        rows = self.status.where(F.col("status") == KEPT).select(ROW)
-        if rows.count() <= KEPT_BROADCAST_MAX_ROWS:
-            rows = F.broadcast(rows)
-        return self.pages.join(rows, ROW, "left_semi").drop(ROW)
+        """A2: the pages a fetch would have concatenated, with all their columns.
+
+        The smaller one of kept and other rows is broadcast, and no page is
+        shuffled; a landing with more of both than may be broadcast is joined."""
+        is_kept = F.col("status") == KEPT
+        kept, other = self.status.where(is_kept).select(ROW), self.status.where(~is_kept).select(ROW)
+        if self.most_other < self.most_kept and self.most_other <= KEPT_BROADCAST_MAX_ROWS:
+            return _only(self.pages, F.broadcast(other), "left_anti")
+        return _only(self.pages, F.broadcast(kept) if self.most_kept <= KEPT_BROADCAST_MAX_ROWS else kept, "left_semi")
 
     def reviews(self) -> DataFrame:
         return page_reviews(self.kept())
@@ -93,30 +142,47 @@ class StagedPages:
     def failures(self, missing_message: str | None = None) -> DataFrame:
         return failures_from_status(self.status, missing_message)
 
-    def empty_groups(self, group_cols: list[str] | tuple[str, ...]) -> DataFrame:
-        """A5 from the statuses alone: requested groups whose kept pages hold no review."""
-        held = F.sum(F.when(F.col("status") == KEPT, F.col("n_reviews")).otherwise(0))
-        return self.status.groupBy(*group_cols).agg(held.alias("_held")).where("_held = 0").drop("_held")
+    def empty_groups(self, group_cols: list[str] | tuple[str, ...], requested: DataFrame | None = None) -> DataFrame:
+        """A5: groups that were landed or ``requested`` but kept no review, from the statuses alone.
+
+        ``n_pages`` counts a group's landed pages where ``requested`` is given:
+        0 for a request that landed nothing.  Both sides are folded by one
+        aggregation that combines on the map side, so NULL keys match and a hot
+        group or a request asked for many times never meets in one task.
+        """
+        held = F.when(F.col("status") == KEPT, F.col("n_reviews")).otherwise(0).cast("long")
+        sides = self.status.select(*group_cols, held.alias("_held"), F.lit(1).cast("long").alias("_page"))
+        if requested is not None:
+            none = F.lit(0).cast("long")
+            sides = sides.unionByName(requested.select(
+                *[F.col(c).cast(self.status.schema[c].dataType) for c in group_cols], none.alias("_held"), none.alias("_page")))
+        empty = sides.groupBy(*group_cols).agg(F.sum("_held").alias("_held"), F.sum("_page").alias("n_pages")).where("_held = 0")
+        return empty.select(*group_cols, *([] if requested is None else ["n_pages"]))
 
     def release(self) -> None:
         release(self.pages.sparkSession, *self.paths)
 
 
 def stage_pages(pages: DataFrame, max_pages: int | None = None, reviews_col: str = "reviews") -> StagedPages:
-    """Parse ``pages`` once into a staged table and give every page its status.
+    """Give every page its status, staged without the pages themselves where the landing knows its rows.
 
     ``max_pages`` caps the pages of a fetch (none by default: what was landed is
     read).  ``reviews_col`` may be an array or any column that is NULL where a
     page has no reviews.
     """
     spark = pages.sparkSession
-    page_path, status_path = stage_dir(spark, "pages"), stage_dir(spark, "page-status")
-    numbered = pages.withColumn(ROW, F.monotonically_increasing_id())
-    numbered.write.parquet(page_path)
-    staged = spark.read.schema(numbered.schema).parquet(page_path)
-    status = _status(staged, max_pages, reviews_col)
-    status.write.parquet(status_path)
-    return StagedPages(staged, spark.read.schema(status.schema).parquet(status_path), [page_path, status_path])
+    known, paths = identified(pages)
+    path = stage_dir(spark, "page-status")
+    status = _status(known, max_pages, reviews_col)
+    seen = Observation("page_status")
+    is_kept = F.col("status") == KEPT
+    status.observe(seen, F.count_if(is_kept).alias("kept"), F.count_if(~is_kept).alias("other"),
+                   F.count("differs").alias("differ")).write.parquet(path)
+    counts = {k: seen.get.get(k) or 0 for k in ("kept", "other", "differ")}
+    staged = spark.read.schema(status.schema).parquet(path)
+    if counts["differ"]:
+        staged = _settled(staged)
+    return StagedPages(known, staged.drop("differs"), [*paths, path], counts["kept"], counts["other"] + counts["differ"])
 
 
 def _status(pages: DataFrame, max_pages: int | None, reviews_col: str) -> DataFrame:
@@ -135,15 +201,11 @@ def _status(pages: DataFrame, max_pages: int | None, reviews_col: str) -> DataFr
     )
     numbered = F.coalesce(F.col("page_no") >= 0, F.lit(False))
     over_cap = F.lit(False) if max_pages is None else numbered & (F.col("page_no") >= max_pages)
-    # good copies with other reviews apart, the rest as one; aggregations, so a hot or NULL key never meets in one task
-    copies = (narrow.where(~F.col("corrupt") & numbered & ~over_cap).groupBy(*keys, "page_no", "content")
-              .agg(F.min(F.struct(ROW, "ok", "has_reviews")).alias("first"), F.min("ends").alias("ends"))
-              .select(*keys, "page_no", "content", "first.*", "ends"))
-    # one page per number: a good one if there is any, then the first row
-    chosen = (copies.groupBy(*keys, "page_no")
-              .agg(F.min(F.struct(F.col("content").isNull().alias("bad"), ROW, "ok", "has_reviews")).alias("first"),
-                   F.min("ends").alias("ends"))
-              .select(*keys, "page_no", "first.*", "ends"))
+    # one page per number: a good one if there is any, then the first row; an aggregation that combines on the map
+    # side, so a hot or NULL key never meets in one task
+    best = F.min(F.struct(F.col("content").isNull().alias("bad"), ROW, "content", "ok", "has_reviews"))
+    chosen = (narrow.where(~F.col("corrupt") & numbered & ~over_cap).groupBy(*keys, "page_no")
+              .agg(best.alias("best"), F.min("ends").alias("ends")).select(*keys, "page_no", "best.*", "ends"))
     ordered = Window.partitionBy(*keys).orderBy("page_no")
     earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
     reached = (F.col("page_no") == F.row_number().over(ordered) - 1) & ~F.coalesce(
@@ -157,21 +219,32 @@ def _status(pages: DataFrame, max_pages: int | None, reviews_col: str) -> DataFr
         .when(fails, F.lit(PRODUCT_FAILED))
         .otherwise(F.lit(KEPT))
     )
-    outside = (
+    by_number = chosen.select(*[F.col(c).alias("_n_" + c) for c in (*keys, "page_no", ROW, "content")], in_chain.alias("in_chain"))
+    same = F.lit(True)
+    for c in (*keys, "page_no"):
+        same = same & F.col(c).eqNullSafe(F.col("_n_" + c))
+    # a good copy whose reviews differ from the chosen one's waits for ``_settled``
+    status = (
         F.when(F.col("corrupt"), F.lit(FAILED_REQUEST))
         .when(~numbered, F.lit(UNNUMBERED))
         .when(over_cap, F.lit(OVER_CAP))
+        .when((F.col(ROW) == F.col("_n_" + ROW)) | F.coalesce(F.col("content") != F.col("_n_content"), F.lit(False)), F.col("in_chain"))
         .otherwise(F.lit(REPEATED_PAGE))
     )
-    by_number = chosen.select(*[F.col(c).alias("_n_" + c) for c in (*keys, "page_no", ROW)], in_chain.alias("in_chain"))
-    same = F.lit(True)
-    for c in (*keys, "page_no"):
-        same = same & F.col(c).eqNullSafe(F.col("_n_" + c))
-    counts = (F.col(ROW) == F.col("_n_" + ROW)) | F.col("content").isNotNull()
-    found = copies.join(by_number, same).where(counts).select(ROW, "in_chain")
-    return narrow.join(found, ROW, "left").select(
-        *keys, "page_no", ROW, "corrupt", F.col("ok").alias("request_ok"), "n_reviews",
-        F.coalesce("in_chain", outside).alias("status"))
+    differs = F.when((F.col(ROW) != F.col("_n_" + ROW)) & (F.col("content") != F.col("_n_content")), F.col("content"))
+    return narrow.join(by_number, same, "left").select(
+        *keys, "page_no", ROW, "corrupt", F.col("ok").alias("request_ok"), "n_reviews", status.alias("status"),
+        differs.alias("differs"))
+
+
+def _settled(status: DataFrame) -> DataFrame:
+    """The statuses where some good copies differ from the chosen one: equal ones among them count once."""
+    keys = fetch_keys(status)
+    waits = status.where(F.col("differs").isNotNull())
+    first = waits.groupBy(*keys, "page_no", "differs").agg(F.min(ROW).alias("_first")).select("_first", F.lit(True).alias("_is_first"))
+    found = waits.join(first, F.col(ROW) == F.col("_first"), "left").withColumn(
+        "status", F.when(F.col("_is_first"), F.col("status")).otherwise(F.lit(REPEATED_PAGE)))
+    return status.where(F.col("differs").isNull()).unionByName(found.select(status.columns))
 
 
 def page_status(pages: DataFrame, max_pages: int | None = None, reviews_col: str = "reviews") -> DataFrame:

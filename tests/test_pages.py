@@ -1,6 +1,9 @@
 """Page-prefix rule: named cases and a brute-force loop over the benchmark
 conversations."""
 
+from pathlib import Path
+
+import pytest
 from pyspark.sql import functions as F
 
 from revisor.schemas import PAGE_SCHEMA
@@ -175,14 +178,75 @@ def test_no_pages(spark):
     assert staged.reviews().count() == staged.failures().count() == staged.empty_groups(["app"]).count() == 0
 
 
-def test_the_rule_moves_no_reviews(spark):
-    """The window and its exchanges see narrow columns only, and the kept pages come back by row number."""
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString().splitlines()
+
+
+@pytest.mark.parametrize("most", [None, 300])
+def test_the_rule_moves_no_reviews(spark, monkeypatch, most):
+    """Windows and exchanges see narrow columns only; the kept pages are a filter on the scan by their row."""
+    if most:  # fewer kept than other pages may be broadcast, or none of both
+        monkeypatch.setattr(P, "KEPT_BROADCAST_MAX_ROWS", most)
     pages = tables.pages_from_conversations(tables.table(spark, SF01, "conversations"))
     staged = P.stage_pages(pages, 10)
-    plan = P._status(staged.pages, 10, "reviews")._jdf.queryExecution().executedPlan().toString()
-    assert all("reviews#" not in x or "has_reviews" in x for x in plan.splitlines() if "Exchange" in x or "Window" in x)
+    for plan in (_plan(P._status(staged.pages, 10, "reviews")), _plan(staged.kept())):
+        assert all("reviews#" not in x or "has_reviews" in x for x in plan if "Exchange" in x or "Window" in x)
     assert "reviews" not in staged.status.columns
-    assert staged.status.where(F.col("status") == P.KEPT).count() == 266
+    assert staged.status.where(F.col("status") == P.KEPT).count() == staged.kept().count() == 266
+
+
+def _bytes(path):
+    folder = Path(path.removeprefix("file:"))
+    return sum(p.stat().st_size for p in folder.rglob("*.parquet"))
+
+
+def test_a_parquet_landing_is_not_copied(spark, tmp_dir):
+    """Rows of a Parquet landing are known by file and place: only the narrow statuses are staged."""
+    pages = tables.pages_from_conversations(tables.table(spark, SF01, "conversations"))
+    long = F.transform("reviews", lambda r: r.withField("snippet", F.concat_ws(" ", *[
+        F.sha2(F.concat("product_id", F.col("page_no").cast("string"), r["id"], F.lit(str(k))), 512) for k in range(5)])))
+    pages.withColumn("reviews", long).repartition(5).write.parquet(tmp_dir + "/in")
+    landed = spark.read.schema(pages.schema).parquet(tmp_dir + "/in")
+    staged = P.stage_pages(landed.where("product_id IS NOT NULL"))
+    assert len(staged.paths) == 1 and _bytes(staged.paths[0]) < _bytes(tmp_dir + "/in") / 10
+    found, expected = (sorted(map(tuple, x.select("product_id", "page_no", "status").collect()))
+                       for x in (staged.status, P.stage_pages(pages).status))
+    assert found == expected
+    assert staged.reviews().count() == P.stage_pages(pages).reviews().count()
+    assert staged.pages.select(P.ROW).distinct().count() == pages.count()
+
+
+def test_rows_made_of_one_row_of_a_file_are_told_apart(spark, tmp_dir):
+    """A plan that repeats the rows of a scan has no row identity of its own and is staged."""
+    spark.createDataFrame([_page("p", 0, token=False)], PAGE_SCHEMA).write.parquet(tmp_dir + "/in")
+    one = spark.read.schema(PAGE_SCHEMA).parquet(tmp_dir + "/in")
+    twice = one.withColumn("fetch_id", F.explode(F.array(F.lit("f0"), F.lit("f1"))))
+    assert _statuses(spark, twice) == [("p", "f0", 0, "kept"), ("p", "f1", 0, "kept")]
+    assert _statuses(spark, one.unionByName(one)) == [("p", "", 0, "kept"), ("p", "", 0, "repeated_page")]
+    assert [len(P.identified(x)[1]) for x in (one, twice, one.unionByName(one))] == [0, 1, 1]
+
+
+def test_many_copies_of_one_number(spark):
+    """Half of the landing is one page of one fetch, with three contents and failures among its copies."""
+    rows = [_with_reviews(_page(None, 0, token=False), f"a{k % 3}") for k in range(300)] + [_page(None, 0, ok=False)] * 50
+    rows += [_page(f"p{k}", 0, token=False) for k in range(350)]
+    staged = P.stage_pages(spark.createDataFrame(rows, PAGE_SCHEMA).repartition(6))
+    assert staged.status.groupBy("status").count().collect() and staged.status.count() == 700
+    assert sorted(r["id"] for r in staged.reviews().where("product_id IS NULL").collect()) == ["a0", "a1", "a2"]
+    assert staged.kept().count() == 353
+
+
+def test_requested_groups_without_reviews(spark):
+    """A request that landed nothing, one that landed only failures, NULL keys and repeated requests."""
+    rows = [_page("a", 0, token=False), _page("b", 0, ok=False), _page(None, 0, ok=False)]
+    staged = P.stage_pages(spark.createDataFrame(rows, PAGE_SCHEMA))
+    asked = spark.createDataFrame([("app", "pf", p) for p in ("a", "b", "c", "c", None)] + [(None, "pf", "a")],
+                                  "app string, type_client string, product_id string")
+    empty = staged.empty_groups(["app", "product_id"], asked)
+    assert sorted(map(tuple, empty.collect()), key=str) == sorted(
+        [("app", "b", 1), ("app", "c", 0), ("app", None, 1), (None, "a", 0)], key=str)
+    assert staged.empty_groups(["app"], asked).collect() == [(None, 0)]
+    assert staged.empty_groups(["app"]).collect() == []
 
 
 def test_partition_count_invariance_pages_and_reports(spark):
