@@ -194,9 +194,31 @@ def q_empty_products(spark, sf_dir):
     return P.stage_pages(_pages(spark, sf_dir)).empty_groups([*G, "product_id"])
 
 
+def _requests(spark, sf_dir):
+    return tables.requests_from_customers(tables.table(spark, sf_dir, "customer"))
+
+
 def q_empty_apps(spark, sf_dir):
-    """A5 at the (app, client) level: requested groups with no review at all."""
-    return P.stage_pages(_pages(spark, sf_dir)).empty_groups(G)
+    """A5 at the (app, client) level: landed or requested groups with no review at all."""
+    return P.stage_pages(_pages(spark, sf_dir)).empty_groups(G, _requests(spark, sf_dir))
+
+
+def q_empty_requests(spark, sf_dir):
+    """A5 for every landed or requested product, with the number of pages it landed."""
+    return P.stage_pages(_pages(spark, sf_dir)).empty_groups([*G, "product_id"], _requests(spark, sf_dir))
+
+
+def q_requested_pages_job(spark, sf_dir):
+    """The empty groups that the job over landed pages reports, run twice under one key."""
+    from revisor.plans.job import run_pages
+
+    base = stage_dir(spark, "requested-job")
+    landed = _landed(spark, sf_dir)
+    for _ in range(2):
+        res = run_pages(spark, landed, base, requested=_requests(spark, sf_dir), odate=ODATE, ctx=FIXED_CTX)
+    found = spark.read.schema("app string, type_client string, n_pages long").json(res.empty_path)
+    return found.withColumn("failures", F.lit(res.failures).cast("long")).withColumn(
+        "failure_records", F.lit(spark.read.json(res.failures_path).count()).cast("long"))
 
 
 def q_empty_apps_failed(spark, sf_dir):
@@ -350,6 +372,22 @@ def q_stream_pages_job(spark, sf_dir):
     return _flat_from_json(docs)
 
 
+def q_rerun_job(spark, sf_dir):
+    """A batch run twice with one load date, then one app's part of it again, in both layouts of
+    the trees: every group still has one document, and its reviews once."""
+    from revisor.plans.job import run_reviews
+
+    base, rows = stage_dir(spark, "rerun-job"), _reviews(spark, sf_dir)
+    for part, layout in ((rows, "split"), (rows, "split"), (rows.where("app = 'app_R'"), "split")):
+        res = run_reviews(spark, part, base, odate=ODATE, ctx=FIXED_CTX, layout=layout)
+    docs = _flat_from_json(spark.read.schema(MX.document_schema(spark, FIXED_CTX)).json(res.metrics_path))
+    sides = []
+    for side in ("valid", "invalid"):
+        written = read_written(spark, os.path.join(base, side), WRITTEN_SCHEMA, [*G, "odate"])
+        sides.append(written.groupBy(*G).agg(F.count(F.lit(1)).alias(f"{side}_rows")))
+    return docs.join(sides[0], G).join(sides[1], G)
+
+
 def q_skewed_invalid_reviews(spark, sf_dir):
     """Invalid side when one id holds a third of all rows, with the broadcast
     path switched off: the hot key is flagged by broadcast in the first pass
@@ -412,7 +450,7 @@ def q_empty_batch_job(spark, sf_dir):
     base = stage_dir(spark, "empty-batch")
     res = run_pages(spark, _pages(spark, sf_dir).withColumn("request_ok", F.lit(False)), base, odate=ODATE, ctx=FIXED_CTX)
     schema = "app string, type_client string, product_id string, page_no int, client string, error string"
-    records = spark.read.schema(schema).json(os.path.join(base, "metrics", "fail"))
+    records = spark.read.schema(schema).json(res.failures_path)
     return records.withColumn("written", F.lit(res.valid.rows + res.invalid.rows).cast("long")).withColumn(
         "documents", F.lit(0 if res.metrics_path is None else 1))
 
@@ -515,6 +553,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_reviews": q_page_reviews,
     "empty_products": q_empty_products,
     "empty_apps": q_empty_apps,
+    "empty_requests": q_empty_requests,
+    "requested_pages_job": q_requested_pages_job,
+    "rerun_job": q_rerun_job,
     "report_keys": q_report_keys,
     "failure_records": q_failure_records,
     "document_check": q_document_check,
@@ -854,6 +895,10 @@ reviews AS (
                                   _results_sql("app, type_client")) + documents
     q["stream_pages_job"] = q["ingest_pages_job"]
     q["ingest_job_sides"] = q["ingest_job"]
+    q["rerun_job"] = (f"SELECT d.*, valid_rows, invalid_rows FROM ({q['metrics_documents']}) d "
+                      f"JOIN (SELECT app, type_client, sum(rows) FILTER (side = 'valid')::BIGINT AS valid_rows, "
+                      f"sum(rows) FILTER (side = 'invalid')::BIGINT AS invalid_rows FROM ({q['ingest_job']}) "
+                      "GROUP BY app, type_client) USING (app, type_client)")
     skewed = _REVIEWS.replace(
         "CASE WHEN l_orderkey % 89 = 0 THEN NULL ELSE 'r' || CAST(l_orderkey * 8 + l_linenumber AS VARCHAR) END AS id",
         "CASE WHEN l_orderkey % 3 = 0 THEN 'r-hot' WHEN l_orderkey % 89 = 0 THEN NULL "
@@ -862,9 +907,26 @@ reviews AS (
     q["skewed_invalid_reviews"] = _with(skewed) + (
         f"SELECT {g}{_OUT} FROM reviews WHERE {_NULL_INVALID} UNION ALL "
         f"SELECT {g}{_OUT} FROM ({_dup_rows_sql('app, type_client, id')}) t")
-    q["empty_apps"] = _with(_PAGES, _page_status_sql()) + """
-SELECT DISTINCT app, type_client FROM pages p
-WHERE NOT EXISTS (SELECT 1 FROM kept k WHERE k.app = p.app AND k.type_client = p.type_client)"""
+    requested = """
+requested AS (
+  SELECT CASE WHEN c_custkey % 50 <> 0 THEN 'app_' || CAST(c_custkey % 6 AS VARCHAR) END AS app, 'pf' AS type_client,
+    CAST(CASE WHEN c_custkey % 6 < 4 THEN c_custkey - c_custkey % 4 + c_custkey % 6 ELSE c_custkey END AS VARCHAR) AS product_id
+  FROM customer
+),
+asked AS (
+  SELECT app, type_client, product_id, 0 AS held, 0 AS landed FROM requested
+  UNION ALL SELECT app, type_client, product_id, CASE WHEN status = 'kept' THEN 1 ELSE 0 END, 1 FROM page_status
+)"""
+    empties = _with(_PAGES, _page_status_sql(), requested)
+    q["empty_apps"] = empties + """
+SELECT app, type_client, CAST(sum(landed) AS BIGINT) AS n_pages FROM asked GROUP BY app, type_client HAVING sum(held) = 0"""
+    q["empty_requests"] = empties + """
+SELECT app, type_client, product_id, CAST(sum(landed) AS BIGINT) AS n_pages FROM asked
+GROUP BY app, type_client, product_id HAVING sum(held) = 0"""
+    q["requested_pages_job"] = _with(_PAGES, _page_status_sql(), requested, _FAILURES) + """
+SELECT app, type_client, CAST(sum(landed) AS BIGINT) AS n_pages, (SELECT count(*) FROM failures) AS failures,
+  (SELECT count(*) FROM failures) AS failure_records
+FROM asked GROUP BY app, type_client HAVING sum(held) = 0"""
     q["empty_products"] = _with(_PAGES, _page_status_sql()) + """
 SELECT DISTINCT app, type_client, product_id FROM pages p
 WHERE NOT EXISTS (SELECT 1 FROM kept k WHERE k.app = p.app AND k.type_client = p.type_client

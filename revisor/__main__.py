@@ -36,6 +36,9 @@ def _args(argv: list[str] | None) -> argparse.Namespace:
                         help="extra partition level below odate, for several loads of one day")
     p = sub.add_parser("pages", parents=[common])
     p.add_argument("--landing", required=True)
+    p.add_argument("--requested", default=None, help="table of requested fetches (app, type_client, ...): those that landed "
+                                                     "nothing are reported as empty")
+    p.add_argument("--requested-format", default="parquet")
     p.add_argument("--max-pages", type=int, default=None, help="read at most so many pages of a fetch (default: all)")
     p.add_argument("--rows-per-file", type=int, default=None)
     p.add_argument("--layout", choices=["sides", "split"], default="sides")
@@ -61,10 +64,12 @@ def main(argv: list[str] | None = None) -> int:
 
     ctx = RunContext(application_id=a.application_id or spark.sparkContext.applicationId)
     if a.mode == "pages":
+        from revisor.schemas import REQUEST_SCHEMA
         from revisor.sources.pages import read_landed_pages
 
         pages = read_landed_pages(spark, a.landing, a.format or "json")
-        res = job.run_pages(spark, pages, a.out, max_pages=a.max_pages, odate=a.odate, ctx=ctx,
+        requested = spark.read.format(a.requested_format).schema(REQUEST_SCHEMA).load(a.requested) if a.requested else None
+        res = job.run_pages(spark, pages, a.out, requested=requested, max_pages=a.max_pages, odate=a.odate, ctx=ctx,
                             rows_per_file=a.rows_per_file, layout=a.layout, load_id=a.load_id)
     else:
         reader = spark.read.format(a.format or "parquet")

@@ -10,11 +10,12 @@ the driver, only totals do):
 3. the write — by default both sides in one pass, partitioned by
    ``side / app / type_client / odate``, with the declared types and the
    rating as it came beside the typed one;
-4. metrics documents and failure records — one row per app and client,
-   appended as JSON.
+4. metrics documents and failure records — one row per app and client, as
+   JSON under the run key (load date, load id).
 
 Writes use dynamic partition overwrite so a rerun replaces only the
-partitions of the apps in this batch.  Whatever ends a run early is recorded as
+partitions of the apps in this batch, and its documents.  A layout of two trees
+is written aside and published together.  Whatever ends a run early is recorded as
 a failure record before it is raised again, and a failed write never leaves a
 success document.  Staged tables are removed when the run ends.
 """
@@ -36,7 +37,8 @@ from revisor.operators.columns import ensure_column, keep_raw_rating
 from revisor.operators.validation import Validation, validate
 from revisor.schemas import BRONZE_SCHEMA, GROUP_COLUMNS, WRITTEN_SCHEMA
 from revisor.session import release, stage_dir
-from revisor.sinks.metrics import save_metrics
+from revisor.sinks.metrics import DEFAULT_LOAD, save_metrics, save_run_metrics
+from revisor.sinks.publish import Publication, recover
 from revisor.sinks.parquet import WriteOutcome, cluster_by_group, save_dataframe, target_path
 from revisor.sources import pages as P
 
@@ -55,18 +57,26 @@ class JobResult:
     failures: int = 0
     empty_groups: int = 0
     empty_path: str | None = None
+    failures_path: str | None = None
     timings: dict[str, float] = field(default_factory=dict)
 
 
-def record_failure(spark: SparkSession, base: str, ctx: MX.RunContext, error: Exception, client: str | None = None) -> None:
-    """G8 for a whole run: one failure record under ``<base>/fail``."""
+def record_failure(spark: SparkSession, base: str, ctx: MX.RunContext, error: Exception, client: str | None = None,
+                   odate: str | None = None, load_id: str | None = None) -> None:
+    """G8 for a whole run: one failure record appended under the run key; every attempt leaves its own."""
     try:
         row = spark.createDataFrame([(client, f"{type(error).__name__}: {error}")], "client string, error string")
-        save_metrics(MX.failure_records(row, ctx), base, "fail")
+        records = MX.failure_records(row, ctx).withColumn("odate", F.lit(odate or _today(ctx))).withColumn(
+            "load_id", F.lit(load_id or DEFAULT_LOAD))
+        records.write.mode("append").partitionBy("odate", "load_id").json(os.path.join(base, "fail"))
     except Exception:  # noqa: BLE001 - the first error is the one to raise
         log.exception("the failure could not be recorded under %s", base)
 
 
+def _today(ctx: MX.RunContext) -> str:
+    return ctx.start.strftime("%Y%m%d")
+
+
 def _recorded(base_of):
     """Record what a run raises, then raise it; ``base_of`` names the metrics folder of a call."""
 
@@ -78,7 +88,7 @@ def _recorded(base_of):
                 return run(spark, *args, ctx=ctx, **kwargs)
             except Exception as error:
                 base, client = base_of(*args, **kwargs)
-                record_failure(spark, base, ctx, error, client)
+                record_failure(spark, base, ctx, error, client, kwargs.get("odate"), kwargs.get("load_id"))
                 raise
 
         return recorded
@@ -113,8 +123,9 @@ def _totals(summary: DataFrame) -> dict[str, int]:
     return {n: int(row[n]) for n in ["groups", *names]}
 
 
-def _documents(v: Validation, totals: dict[str, int], ctx: MX.RunContext, base: str, mode: str) -> str | None:
-    """Success documents of the groups; none for a batch without groups."""
+def _documents(v: Validation, totals: dict[str, int], ctx: MX.RunContext, base: str, odate: str, load_id: str | None,
+               own_base: bool) -> str | None:
+    """Success documents of the groups, one each for a run key; none for a batch without groups."""
     if len(v.group_cols) != 2:
         log.warning("no metrics documents: they need an app and a client column, the groups are %s", v.group_cols)
         return None
@@ -122,7 +133,11 @@ def _documents(v: Validation, totals: dict[str, int], ctx: MX.RunContext, base:
         log.warning("no metrics documents: the batch has no reviews")
         return None
     docs = MX.metrics_documents(v.summary, ctx, *v.group_cols, write_ok=F.lit(True))
-    return save_metrics(docs, base, "success", mode=mode)
+    if own_base:
+        return save_metrics(docs, base, "success", mode="overwrite")
+    covers = v.summary.select(F.col(v.group_cols[0]).alias("app"), F.upper(v.group_cols[1]).alias("client"))
+    return save_run_metrics(docs, base, "success", odate=odate, load_id=load_id, covers=covers,
+                            about={"source.app": "app", "type_client": "client"})
 
 
 @_recorded(_batch_base)
@@ -153,9 +168,10 @@ def run_reviews(
 
     ``load_id`` adds a partition level below ``odate`` (``load_id=<id>``):
     several loads of one day (stream epochs) then each replace only their
-    own partitions instead of each other's.  ``metrics_base`` (default
-    ``<out_base>/metrics``) given explicitly is written with overwrite (a
-    per-epoch folder), otherwise appended to.
+    own partitions instead of each other's.  Documents lie under
+    ``<out_base>/metrics/success`` by (``odate``, ``load_id``); a rerun replaces
+    those of its groups.  An explicit ``metrics_base`` is a folder of this run
+    alone (a per-epoch folder) and is overwritten.
 
     Writes are map-only by default, which suits landed files that each hold
     one app.  ``rows_per_file`` clusters the rows by (group, bucket) first
@@ -169,9 +185,11 @@ def _run_reviews(spark, reviews, out_base, odate, ctx, group_cols, overwrite, jo
                  rows_per_file, layout, load_id) -> JobResult:
     if layout not in ("sides", "split"):
         raise ValueError("layout must be 'sides' or 'split'")
-    mode = "append" if metrics_base is None else "overwrite"
+    own_base = metrics_base is not None
     metrics_base = metrics_base or os.path.join(out_base, "metrics")
-    odate = odate or ctx.start.strftime("%Y%m%d")
+    odate = odate or _today(ctx)
+    recover(spark, out_base)
+    both = Publication(spark, out_base)
     reviews = keep_raw_rating(ensure_column(reviews, "response"))
     timings: dict[str, float] = {}
     clock = time.perf_counter()
@@ -190,8 +208,10 @@ def _run_reviews(spark, reviews, out_base, odate, ctx, group_cols, overwrite, jo
         if load_id is not None:
             rows = rows.withColumn("load_id", F.lit(str(load_id)))  # a run-wide literal
         own = partitions if name != "reviews" else ["side", *partitions]
-        return save_dataframe(rows, os.path.join(out_base, name), name, odate=odate, schema=WRITTEN_SCHEMA, strict=True,
-                              partition_cols=own, overwrite=overwrite)
+        target = os.path.join(out_base, name)
+        out = save_dataframe(rows, target if layout == "sides" else both.aside(target), name, odate=odate, schema=WRITTEN_SCHEMA,
+                             strict=True, partition_cols=own, overwrite=overwrite)
+        return out if layout == "sides" else both.add(out, target, overwrite, len(own))
 
     def sizes_of(side: str) -> DataFrame:
         return v.summary.select(*group_cols, F.col(f"{side}_records").alias("rows"))
@@ -215,14 +235,18 @@ def _run_reviews(spark, reviews, out_base, odate, ctx, group_cols, overwrite, jo
             valid = save(v.valid, "valid", sizes_of("valid"), group_cols)
             invalid = save(v.invalid, "invalid", sizes_of("invalid"), group_cols)
             _checked(valid, invalid)
+            both.commit()
         lap("write_sec")
         stages = {k: f"{x:.3f}" for k, x in timings.items()}
         stages["join_strategy"] = v.join_plan.strategy
         ctx = replace(ctx, stages={**stages, **ctx.stages}).finished()
-        metrics_path = _documents(v, totals, ctx, metrics_base, mode)
+        metrics_path = _documents(v, totals, ctx, metrics_base, odate, load_id, own_base)
         lap("metrics_sec")
         log.info("batch done: %s", timings)
         return JobResult(totals, valid, invalid, v.join_plan, metrics_path, timings=timings)
+    except Exception:
+        both.abort()
+        raise
     finally:
         release(spark, stage_path)
 
@@ -233,6 +257,7 @@ def run_pages(
     pages: DataFrame,
     out_base: str,
     *,
+    requested: DataFrame | None = None,
     max_pages: int | None = None,
     odate: str | None = None,
     ctx: MX.RunContext | None = None,
@@ -244,31 +269,44 @@ def run_pages(
     load_id: str | None = None,
 ) -> JobResult:
     """Landed pages -> page-prefix rule -> reviews -> ``run_reviews``; failed
-    fetches become failure records; requested groups without reviews are
-    reported under ``<metrics>/empty``.  A batch whose pages hold no review writes
-    no data and no documents."""
-    mode = "append" if metrics_base is None else "overwrite"
+    fetches become failure records; groups without reviews are reported under
+    ``<metrics>/empty``, those of ``requested`` (a table of requested fetches with
+    the group columns) also where they landed nothing at all.  A rerun replaces
+    the records of the groups it covers.  A batch whose pages hold no review
+    writes no data and no documents."""
+    own_base = metrics_base is not None
     base = metrics_base or os.path.join(out_base, "metrics")
+    odate = odate or _today(ctx)
     staged = P.stage_pages(pages, max_pages)
     try:
         group_cols = [c for c in GROUP_COLUMNS if c in pages.columns]
         failures = staged.failures()
         client = F.col("type_client") if "type_client" in failures.columns else F.lit(None).cast("string")
-        records = MX.failure_records(failures.withColumn("client", client), ctx, keep=[*P.fetch_keys(failures), "page_no"])
-        n_failures = records.count()  # reads the small staged status table
-        if n_failures:
-            save_metrics(records, base, "fail", mode=mode)
-        empty = staged.empty_groups(group_cols)
-        n_empty, empty_path = empty.count(), None
-        if n_empty:
-            empty_path = os.path.join(base, "empty")
-            empty.write.mode(mode).json(empty_path)
+        records = MX.failure_records(failures.withColumn("client", client), ctx,
+                                     keep=[*P.fetch_keys(failures), "page_no", "kind"])
+        empty = staged.empty_groups(group_cols, requested)
+        n_failures, n_empty = records.count(), empty.count()  # both read the small staged status table
+        covers = staged.status.select(*group_cols)
+        if requested is not None:
+            covers = covers.unionByName(requested.select(*group_cols))
+        about = {c: c for c in group_cols}
+        if own_base:
+            failures_path, empty_path = os.path.join(base, "fail"), os.path.join(base, "empty")
+            if n_failures:
+                save_metrics(records, base, "fail", mode="overwrite")
+            if n_empty:
+                empty.write.mode("overwrite").json(empty_path)
+        else:
+            key = {"odate": odate, "load_id": load_id, "covers": covers, "about": about}
+            failures_path = save_run_metrics(records, base, "fail", stays=F.col("kind").isNull(), **key)  # a run's own failures
+            empty_path = save_run_metrics(empty, base, "empty", **key)
         reviews = staged.reviews().select(*group_cols, *BRONZE_SCHEMA.fieldNames())
         result = _run_reviews(spark, reviews, out_base, odate, ctx, group_cols, overwrite, join_options, metrics_base,
                               rows_per_file, layout, load_id)
     finally:
         staged.release()
-    result.failures, result.empty_groups, result.empty_path = n_failures, n_empty, empty_path
+    result.failures, result.empty_groups = n_failures, n_empty
+    result.failures_path, result.empty_path = failures_path if n_failures else None, empty_path if n_empty else None
     return result
 
 
@@ -289,21 +327,30 @@ def run_single_app(
     """Parity mode with the one-app-per-run layout: the whole input is one
     app, targets are ``<base>/<app>_<client>/`` partitioned by ``odate``
     only, and a static overwrite replaces that folder (earlier load dates
-    included), as a per-app run does.  Neither side's values are changed: the
+    included), as a per-app run does.  Both sides are published together, and a
+    rerun replaces the document of this app and load date.  Neither side's values are changed: the
     valid side is coerced by the default rules (B4), the invalid side not at
     all."""
     reviews = ensure_column(reviews, "response")
     stage_path = stage_dir(spark, "single-app")
+    recover(spark, valid_base)
+    both = Publication(spark, valid_base)
+    valid_target, invalid_target = target_path(valid_base, app, type_client), target_path(invalid_base, app, type_client)
     try:
         v = validate(reviews, [], materialize=True, stage_path=stage_path)
-        valid = save_dataframe(v.valid, target_path(valid_base, app, type_client), "valid", odate=odate,
-                               schema=BRONZE_SCHEMA, overwrite=overwrite)
-        invalid = save_dataframe(v.invalid, target_path(invalid_base, app, type_client), "invalid", odate=odate,
-                                 overwrite=overwrite)
+        valid = save_dataframe(v.valid, both.aside(valid_target), "valid", odate=odate, schema=BRONZE_SCHEMA, overwrite=overwrite)
+        invalid = save_dataframe(v.invalid, both.aside(invalid_target), "invalid", odate=odate, overwrite=overwrite)
         _checked(valid, invalid)
+        valid, invalid = both.add(valid, valid_target, overwrite, 1), both.add(invalid, invalid_target, overwrite, 1)
+        both.commit()
         summary = v.summary.select(F.lit(app).alias("app"), F.lit(type_client).alias("type_client"), "*")
         docs = MX.metrics_documents(summary, ctx.finished(), write_ok=F.lit(True))
-        metrics_path = save_metrics(docs, metrics_base or single_app_metrics(valid_base), "success")
+        covers = spark.createDataFrame([(app, type_client.upper())], "app string, client string")
+        metrics_path = save_run_metrics(docs, metrics_base or single_app_metrics(valid_base), "success", odate=odate, load_id=None,
+                                        covers=covers, about={"source.app": "app", "type_client": "client"})
         return JobResult(_totals(v.summary), valid, invalid, v.join_plan, metrics_path)
+    except Exception:
+        both.abort()
+        raise
     finally:
         release(spark, stage_path)

@@ -53,6 +53,9 @@ PAGE_SCHEMA = T.StructType(
     ]
 )
 
+# One requested fetch, landed or not.
+REQUEST_SCHEMA = T.StructType([f for f in PAGE_SCHEMA.fields if f.name in ("app", "type_client", "product_id")])
+
 # A page as landed: the response's own paging object may hold the token, and a
 # line that is not a page keeps its text.
 CORRUPT_COLUMN = "corrupt_line"

@@ -76,9 +76,12 @@ def stage_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "revisor-stage", f"{name}-{uuid.uuid4().hex}")
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system that holds ``path``."""
+    return spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def release(spark: SparkSession, *paths: str) -> None:
     """Remove staged folders that nothing reads any more."""
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for path in paths:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(conf).delete(folder, True)
+        file_system(spark, path).delete(spark._jvm.org.apache.hadoop.fs.Path(path), True)

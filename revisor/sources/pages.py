@@ -36,7 +36,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,15 +77,18 @@ def fetch_keys(pages: DataFrame) -> list[str]:
     return product_keys(pages) + [c for c in ("fetch_id",) if c in pages.columns]
 
 
-def _from_one_scan(pages: DataFrame) -> bool:
-    """Whether each row of ``pages`` is one row of a file: nothing but projections and filters above a scan."""
+def _has_row_places(pages: DataFrame) -> bool:
+    """Whether each row of ``pages`` is one row of a file that knows its place: nothing but projections and filters
+    above the scan of a format with row numbers (Parquet)."""
     try:
         node = pages._jdf.queryExecution().analyzed()
-    except Exception:  # noqa: BLE001 - a remote session shows no plan
+        while node.children().size() == 1 and node.nodeName() in _ROW_KEEPING:
+            node = node.children().head()
+        if node.nodeName() not in _ROW_KEEPING or node.children().size():
+            return False
+        return "row_index" in pages.select("_metadata").schema["_metadata"].dataType.fieldNames()
+    except Exception:  # noqa: BLE001 - a remote session shows no plan, a source that is no file has no such column
         return False
-    while node.children().size() == 1 and node.nodeName() in _ROW_KEEPING:
-        node = node.children().head()
-    return node.nodeName() in _ROW_KEEPING and node.children().size() == 0
 
 
 def identified(pages: DataFrame) -> tuple[DataFrame, list[str]]:
@@ -95,12 +97,9 @@ def identified(pages: DataFrame) -> tuple[DataFrame, list[str]]:
     The identity is (file, row in the file) where Spark knows both; otherwise the
     pages are written once and numbered.
     """
-    if _from_one_scan(pages):
-        row = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-        try:
-            return pages.select("*", row.alias(ROW)), []
-        except AnalysisException:
-            pass  # a format whose rows have no place, such as JSON
+    if _has_row_places(pages):
+        return pages.select("*", F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+                            .alias(ROW)), []
     spark = pages.sparkSession
     path = stage_dir(spark, "pages")
     row = F.struct(F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("row"))

@@ -118,3 +118,14 @@ def pages_from_conversations(conversations: DataFrame) -> DataFrame:
         F.when(F.col("review_text").isNotNull(), line_reviews).alias("reviews"),
         F.col("next_page_token"),
     )
+
+
+def requests_from_customers(customer: DataFrame) -> DataFrame:
+    """Requested fetches: one for every customer, named as the pages are; a
+    fiftieth names no app.  Apps ``app_4`` and ``app_5`` land no pages."""
+    key = F.col("c_custkey")
+    return customer.select(
+        F.when(key % 50 != 0, F.concat(F.lit("app_"), (key % 6).cast("string"))).alias("app"),
+        F.lit("pf").alias("type_client"),
+        F.when(key % 6 < 4, key - key % 4 + key % 6).otherwise(key).cast("string").alias("product_id"),
+    )

@@ -1,12 +1,18 @@
 """Parquet sink semantics and the end-to-end batch."""
 
+import json
 import os
+import shutil
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from revisor.operators import metrics as MX
-from revisor.plans.job import run_pages, run_reviews
+from revisor.plans import job
+from revisor.plans.job import run_pages, run_reviews, run_single_app
 from revisor.schemas import BRONZE_SCHEMA, PAGE_SCHEMA
+from revisor.sinks import publish
 from revisor.sinks.parquet import save_dataframe
 from revisor.sources import tables
 
@@ -271,3 +277,104 @@ def test_cli_pages_mode_with_load_id(spark, tmp_dir):
     out = os.path.join(tmp_dir, "out")
     assert main(["pages", "--landing", landed, "--out", out, "--odate", "20240101", "--load-id", "7"]) == 0
     assert os.path.isdir(os.path.join(out, "reviews", "side=valid", "app=app_c", "type_client=pf", "odate=20240101", "load_id=7"))
+
+
+def _tree(path):
+    return sorted((p.relative_to(path).as_posix(), p.read_bytes()) for p in Path(path).rglob("*") if p.is_file())
+
+
+@pytest.mark.parametrize("overwrite", ["static", "dynamic"])
+def test_a_failed_second_side_changes_nothing(spark, tmp_dir, monkeypatch, overwrite):
+    """The invalid side can't be written: readers see the batch before, whole; the next run sees none of it either."""
+    rows = tables.reviews(spark, SF001)
+    bases = [tmp_dir + "/valid", tmp_dir + "/invalid"]
+
+    def both(frame, odate):
+        return (lambda: run_reviews(spark, frame, tmp_dir + "/split", odate=odate, layout="split", overwrite=overwrite),
+                lambda: run_single_app(spark, frame, *bases, "bank", "pf", odate=odate, overwrite=overwrite))
+
+    for run in both(rows, "20240101"):
+        run()
+    before = [_tree(p) for p in (tmp_dir + "/split/valid", tmp_dir + "/split/invalid", *bases)]
+    written = job.save_dataframe
+
+    def broken(df, path, label, **kwargs):
+        out = written(df, path, label, **kwargs)
+        return out if label == "valid" else job.WriteOutcome(False, 0, path, "disk full")
+
+    monkeypatch.setattr(job, "save_dataframe", broken)
+    for run in both(rows.where("app = 'app_R'"), "20240101"):
+        with pytest.raises(RuntimeError, match="disk full"):
+            run()
+    assert [_tree(p) for p in (tmp_dir + "/split/valid", tmp_dir + "/split/invalid", *bases)] == before
+    assert not [p for p in Path(tmp_dir).rglob("_publish-*")]
+    monkeypatch.undo()
+    for run in both(rows.where("app = 'app_R'"), "20240102"):
+        run()
+    assert [_tree(p) for p in (tmp_dir + "/split/valid", *bases)] != [before[0], *before[2:]]
+    left = spark.read.parquet(tmp_dir + "/split/valid").groupBy("odate").count().count()
+    assert left == (1 if overwrite == "static" else 2)
+
+
+def test_a_publication_that_stopped_half_way_is_finished(spark, tmp_dir, monkeypatch):
+    """The process dies after the first move: both sides are old or new again once the next run has begun."""
+    rows = tables.reviews(spark, SF001)
+    run_reviews(spark, rows, tmp_dir, odate="20240101", layout="split")
+    expected = [spark.read.parquet(f"{tmp_dir}/{s}").where("app = 'app_N'").count() for s in ("valid", "invalid")]
+    carry = publish._carry_out
+    monkeypatch.setattr(publish, "_carry_out", lambda *_: (_ for _ in ()).throw(SystemError("killed")))
+    with pytest.raises(SystemError):
+        run_reviews(spark, rows.where("app = 'app_R'"), tmp_dir, odate="20240102", layout="split", overwrite="static")
+    monkeypatch.setattr(publish, "_carry_out", carry)
+    (manifest,) = Path(tmp_dir).glob("_publish-*.json")
+    first, second = json.loads(manifest.read_text())["moves"]
+    shutil.rmtree(first[1].removeprefix("file:"))
+    Path(first[0].removeprefix("file:")).rename(first[1].removeprefix("file:"))
+    assert spark.read.parquet(tmp_dir + "/invalid").where("app = 'app_N'").count() == expected[1]
+    assert publish.recover(spark, tmp_dir) == 1 and publish.recover(spark, tmp_dir) == 0
+    for side in ("valid", "invalid"):
+        assert {r["app"] for r in spark.read.parquet(f"{tmp_dir}/{side}").select("app").distinct().collect()} == {"app_R"}
+    assert not [p for p in Path(tmp_dir).rglob("_publish-*")]
+
+
+def test_reruns_leave_one_document_a_group(spark, tmp_dir):
+    """A whole rerun, a rerun of one app, another load and another date; the failures of a run stay."""
+    rows = tables.reviews(spark, SF001)
+    groups = rows.select("app", "type_client").distinct().count()
+    success = tmp_dir + "/metrics/success"
+    for frame in (rows, rows, rows.where("app = 'app_R'")):
+        res = run_reviews(spark, frame, tmp_dir, odate="20240101")
+        assert spark.read.json(res.metrics_path).groupBy("source.app", "type_client").count().agg(
+            F.count("*"), F.max("count")).first() == (groups, 1)
+    run_reviews(spark, rows, tmp_dir, odate="20240101", load_id="late")
+    run_reviews(spark, rows, tmp_dir, odate="20240102")
+    found = spark.read.json(success).groupBy("odate", "load_id").count().collect()
+    assert sorted((str(r["odate"]), r["load_id"], r["count"]) for r in found) == [
+        ("20240101", "batch", groups), ("20240101", "late", groups), ("20240102", "batch", groups)]
+
+
+def test_reruns_of_pages_replace_their_failures_and_empties(spark, tmp_dir):
+    asked = spark.createDataFrame([("app_x", "pf"), ("app_z", "pf"), (None, "pf")], "app string, type_client string")
+    kwargs = {"odate": "20240101", "requested": asked}
+    job.record_failure(spark, tmp_dir + "/metrics", MX.RunContext(), ValueError("an earlier attempt"), odate="20240101")
+    for pages, failures in ((PAGES, 2), (PAGES, 2), (PAGES[:2], 0)):
+        res = run_pages(spark, spark.createDataFrame(pages, PAGE_SCHEMA), tmp_dir, **kwargs)
+        assert res.failures == failures
+        records = spark.read.json(tmp_dir + "/metrics/fail")
+        runs = records.where("error LIKE 'ValueError%'").count()
+        # app_y is not in the last landing, so what was recorded about it stays
+        assert (runs, records.count() - runs) == (1, max(failures, 1))
+    empty = spark.read.json(res.empty_path).collect()
+    assert sorted((r.asDict().get("app") or "", r["n_pages"]) for r in empty) == [("", 0), ("app_y", 1), ("app_z", 0)]
+
+
+def test_cli_requested(spark, tmp_dir, capsys):
+    from revisor.__main__ import main
+
+    spark.createDataFrame(PAGES, PAGE_SCHEMA).write.json(tmp_dir + "/landed")
+    spark.createDataFrame([("app_z", "pf", "p9")], "app string, type_client string, product_id string").write.parquet(tmp_dir + "/asked")
+    assert main(["pages", "--landing", tmp_dir + "/landed", "--requested", tmp_dir + "/asked", "--out", tmp_dir + "/out",
+                 "--odate", "20240101"]) == 0
+    said = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert said["empty_groups"] == 2
+    assert sorted(r["app"] for r in spark.read.json(said["empty_path"]).collect()) == ["app_y", "app_z"]
