@@ -11,10 +11,12 @@ Scale notes
   broadcast and the semi-join is map-side.  Otherwise keys with at least
   ``hot_rows`` copies, a fixed number, are split off and answered map-side; their
   set is broadcast behind a check of its bytes (only where it would not fit does
-  the number of copies rise, and AQE splits what stays).  The other keys go
-  through a shuffled semi-join whose row side Spark filters first by a Bloom
-  filter of the duplicated ids (``allow_runtime_filter``): rows of unique ids,
-  nearly all, do not reach the exchange.
+  the number of copies rise, and AQE splits what stays).  Rows that a Bloom
+  filter of the other keys lets pass are joined with them; the filter is a
+  broadcast table of bit blocks with a fixed largest size, probed by built-in
+  functions, so rows of unique ids, nearly all, do not reach the exchange.  All of
+  it is one pass over the rows: each leaves it once for every reason it has, and
+  only the reason "perhaps duplicated" is still checked behind the exchange.
 * NULL ids never match a key (inner-join semantics), so Catalyst's inferred
   ``isnotnull(id)`` drops them before any exchange.
 """
@@ -23,7 +25,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revisor.functions.ratings import rating_fails_type_check
@@ -199,22 +201,81 @@ def _hot_keys(keys: DataFrame, cols: list[str], count_col: str, hot_rows: int |
     return steps[i], int(m[f"k{i}"])
 
 
-def allow_runtime_filter(spark: SparkSession, n_keys: int, n_bytes: int) -> None:
-    """Let Spark's runtime Bloom filter carry ``n_keys`` duplicated ids.
+# -- a Bloom filter as a table of bit blocks -------------------------------------
 
-    Its defaults stop at 10 MB of creating side, below the size from which keys
-    are shuffled at all.  Settings are only ever raised."""
-    prefix = "spark.sql.optimizer.runtime.bloomFilter."
-    spark.conf.set(prefix + "enabled", "true")
-    wanted = {"creationSideThreshold": 4 * n_bytes + (1 << 20), "expectedNumItems": n_keys, "maxNumItems": n_keys,
-              "maxNumBits": min(8 * n_keys, 1 << 30)}
-    for name, value in wanted.items():
-        now = str(spark.conf.get(prefix + name)).strip().lower()
-        unit = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-        digits = now.rstrip("bkmg")
-        bytes_now = int(digits) * unit.get(now[len(digits):][:1], 1)
-        if bytes_now < value:
-            spark.conf.set(prefix + name, str(value))
+FILTER_BITS_PER_KEY = 12
+FILTER_MAX_BYTES = 32 * 1024 * 1024  # beyond it the filter lets more rows pass, all of which are checked
+_WIDE_BITS = 1 << 15  # bits of one ``bitmap_construct_agg``
+_BLOCK_BITS = 1 << 10
+_BLOCKS = _WIDE_BITS // _BLOCK_BITS
+
+
+def _places(cols: list[str], n_wide: int) -> tuple[Column, Column, list[Column]]:
+    """A key's wide bitmap, its block there, and its three bits in that block."""
+    h = F.xxhash64(*cols)
+    block = F.shiftrightunsigned(h, 20).bitwiseAND(F.lit(_BLOCKS - 1).cast("long"))
+    bits = [F.shiftrightunsigned(h, at).bitwiseAND(F.lit(_BLOCK_BITS - 1).cast("long")) for at in (25, 36, 47)]
+    return F.pmod(h, F.lit(n_wide).cast("long")), block, bits
+
+
+def key_filter(keys: DataFrame, cols: list[str], n_keys: int) -> tuple[DataFrame, int]:
+    """Bit blocks (``_block``, ``_bits``) of the keys, and the number of wide bitmaps they were cut from."""
+    most = FILTER_MAX_BYTES * 8 // _WIDE_BITS
+    n_wide = max(1, min(most, -(-n_keys * FILTER_BITS_PER_KEY // _WIDE_BITS)))
+    wide, block, bits = _places(cols, n_wide)
+    places = keys.select(wide.alias("wide"), F.explode(F.array(*[block * _BLOCK_BITS + b for b in bits])).alias("place"))
+    made = places.groupBy("wide").agg(F.bitmap_construct_agg("place").alias("bits"))
+    size = _BLOCK_BITS // 8
+    cut = made.select("wide", "bits", F.explode(F.sequence(F.lit(0), F.lit(_BLOCKS - 1))).alias("block"))
+    return cut.select((F.col("wide") * _BLOCKS + F.col("block")).alias("_block"),
+                      F.substring("bits", F.col("block") * size + 1, F.lit(size)).alias("_bits")), n_wide
+
+
+def _perhaps(bits: list[Column]) -> Column:
+    """Whether all of a row's bits are set in ``_bits`` (NULL: no block)."""
+    cond = F.col("_bits").isNotNull()
+    for b in bits:
+        byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.shiftrightunsigned(b, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+        cond = cond & (F.getbit(byte, b.bitwiseAND(F.lit(7).cast("long")).cast("int")) == 1)
+    return cond
+
+
+def _one_pass(df: DataFrame, keys: DataFrame, cols: list[str], count_col: str, hot_rows: int | None, n_keys: int, n_bytes: int,
+              reasons: list[Column]) -> tuple[DataFrame, JoinPlan]:
+    """Every row once for each of the ``reasons`` (true, false) that holds, and once more if its key is in ``keys``.
+
+    Keys with many copies are flagged by broadcast, rows of the others are marked
+    by the filter, and only marked rows are compared with the keys behind an
+    exchange.  Rows with a settled reason go along under any route, so a NULL or hot
+    key of theirs meets in no one task.
+    """
+    hot_rows, n_hot = _hot_keys(keys, cols, count_col, hot_rows)
+    cold = keys.where(F.col(count_col) < hot_rows)
+    hot = F.lit(False)
+    rows = df
+    if n_hot:
+        flags = F.broadcast(_renamed_keys(keys.where(F.col(count_col) >= hot_rows), cols).withColumn("_hot", F.lit(True)))
+        rows = _semi(rows, flags, cols, "left").drop(*[_KEY_PREFIX + c for c in cols])
+        hot = F.coalesce(F.col("_hot"), F.lit(False))
+    blocks, n_wide = key_filter(cold, cols, max(1, n_keys - n_hot))
+    wide, block, bits = _places(cols, n_wide)
+    rows = rows.withColumn("_at", wide * _BLOCKS + block).join(F.broadcast(blocks), F.col("_at") == F.col("_block"), "left")
+    settled = [*reasons, hot]
+    open_ = F.col("id").isNotNull() & ~hot & _perhaps(bits)
+    found = F.filter(F.array(*[F.when(c, F.lit(i + 1)) for i, c in enumerate(settled)], F.when(open_, F.lit(0))),
+                     lambda x: x.isNotNull())
+    marked = rows.select(*df.columns, F.explode(found).alias("_reason"))
+    # the key's hash, or any number for a settled row: it only spreads those
+    route = F.when(F.col("_reason") == 0, F.xxhash64(*cols)).otherwise(F.xxhash64(F.monotonically_increasing_id()))
+    cold = _renamed_keys(cold.withColumn("_route", F.xxhash64(*cols)), [*cols, "_route"])
+    cond = F.col("_route") == F.col(_KEY_PREFIX + "_route")
+    for c in cols:
+        right = F.col(_KEY_PREFIX + c)
+        cond = cond & ((F.col(c) == right) if c == "id" else F.col(c).eqNullSafe(right))
+    joined = marked.withColumn("_route", route).join(cold, cond, "left")
+    out = joined.where((F.col("_reason") > 0) | F.col(_KEY_PREFIX + "_route").isNotNull()).select(*df.columns)
+    plan = JoinPlan("hot_split", n_keys, n_bytes, n_hot, hot_rows) if n_hot else JoinPlan("shuffle", n_keys, n_bytes, 0, hot_rows)
+    return out, plan
 
 
 def duplicate_rows_planned(
@@ -244,19 +305,7 @@ def duplicate_rows_planned(
         right = F.broadcast(_renamed_keys(keys, cols))
         return _semi(df, right, cols), JoinPlan("broadcast", n_keys, n_bytes)
 
-    hot_rows, n_hot = _hot_keys(keys, cols, count_col, hot_rows)
-    hot = keys.where(F.col(count_col) >= hot_rows)
-    cold = keys.where(F.col(count_col) < hot_rows)
-    allow_runtime_filter(df.sparkSession, n_keys, n_bytes)
-    if n_hot == 0:
-        out = _semi(df, _renamed_keys(cold, cols), cols)
-        return out, JoinPlan("shuffle", n_keys, n_bytes, 0, hot_rows)
-
-    hot_b = F.broadcast(_renamed_keys(hot, cols))
-    hot_part = _semi(df, hot_b, cols)
-    rest = _semi(df, hot_b, cols, "left_anti")
-    cold_part = _semi(rest, _renamed_keys(cold, cols), cols)
-    return hot_part.unionByName(cold_part), JoinPlan("hot_split", n_keys, n_bytes, n_hot, hot_rows)
+    return _one_pass(df, keys, cols, count_col, hot_rows, n_keys, n_bytes, [])
 
 
 def side_rows_planned(
@@ -313,8 +362,8 @@ def invalid_rows_planned(
     When the duplicated-key set is broadcast, one map-side pass does it: a
     left outer broadcast join flags duplicated rows, and each row is emitted
     once per reason (NULL-invalid, duplicated), so a duplicated row with a
-    NULL required field appears twice, as in the union.  The shuffled
-    strategies union the NULL-invalid filter with ``duplicate_rows``.
+    NULL required field appears twice, as in the union.  Keys too many to
+    broadcast are looked for in one pass too (``_one_pass``).
     """
     cols = [*group_cols, "id"]
     count_col = "count" if "count" in dup_keys.columns else "n"
@@ -333,25 +382,8 @@ def invalid_rows_planned(
             F.explode(F.array_repeat(F.lit(0), copies)).alias("_copy"),
         ).drop("_copy")
         return out, JoinPlan("broadcast", n_keys, n_bytes)
-    # Keys too many to broadcast: hot keys (bounded bytes) are flagged by a
-    # broadcast left join in the same pass that emits the NULL-invalid rows;
-    # only rows of cold keys reach the shuffled semi-join.
-    hot_rows, n_hot = _hot_keys(keys, cols, count_col, kwargs.get("hot_rows"))
-    hot = keys.where(F.col(count_col) >= hot_rows)
-    allow_runtime_filter(df.sparkSession, n_keys, n_bytes)
-    cold = _renamed_keys(keys.where(F.col(count_col) < hot_rows), cols)
-    review_cols = [*group_cols, *project_reviews(df).columns]
-    if n_hot == 0:
-        cold_part = _semi(df, cold, cols).select(*review_cols)
-        return null_invalid.unionByName(cold_part), JoinPlan("shuffle", n_keys, n_bytes, 0, hot_rows)
-    flags = F.broadcast(_renamed_keys(hot, cols).withColumn("_hot", F.lit(1)))
-    flagged = _semi(df, flags, cols, "left").drop(*[_KEY_PREFIX + c for c in cols])
-    copies = is_null_invalid().cast("int") + F.coalesce(F.col("_hot"), F.lit(0))
-    first = flagged.where(copies > 0).select(
-        *review_cols, F.explode(F.array_repeat(F.lit(0), copies)).alias("_copy")
-    ).drop("_copy")
-    cold_part = _semi(flagged.where(F.col("_hot").isNull()), cold, cols).select(*review_cols)
-    return first.unionByName(cold_part), JoinPlan("hot_split", n_keys, n_bytes, n_hot, hot_rows)
+    rows = df.select(*group_cols, *project_reviews(df).columns)
+    return _one_pass(rows, keys, cols, count_col, kwargs.get("hot_rows"), n_keys, n_bytes, [is_null_invalid()])
 
 
 def duplicate_rows(df: DataFrame, dup_keys: DataFrame, group_cols: list[str] | tuple[str, ...] = (),

@@ -174,9 +174,10 @@ def run_reviews(
     alone (a per-epoch folder) and is overwritten.
 
     Writes are map-only by default, which suits landed files that each hold
-    one app.  ``rows_per_file`` clusters the rows by (group, bucket) first
-    (one extra shuffle) so mixed-app input still yields few, large
-    files per partition, with hot groups spread over many tasks."""
+    one app.  ``rows_per_file`` rebalances the rows by group first (one extra
+    shuffle, sized at run time) so mixed-app input still yields few, large
+    files per partition of so many rows at most, with hot groups spread over
+    many tasks."""
     return _run_reviews(spark, reviews, out_base, odate, ctx, list(group_cols), overwrite, join_options, metrics_base,
                         rows_per_file, layout, load_id)
 
@@ -202,29 +203,24 @@ def _run_reviews(spark, reviews, out_base, odate, ctx, group_cols, overwrite, jo
 
     partitions = [*group_cols, "odate"] + (["load_id"] if load_id is not None else [])
 
-    def save(rows: DataFrame, name: str, sizes: DataFrame, keys: list[str]) -> WriteOutcome:
+    def save(rows: DataFrame, name: str, keys: list[str]) -> WriteOutcome:
         if rows_per_file and keys:
-            rows = cluster_by_group(rows, sizes, keys, rows_per_file)
+            rows = cluster_by_group(rows, keys)
         if load_id is not None:
             rows = rows.withColumn("load_id", F.lit(str(load_id)))  # a run-wide literal
         own = partitions if name != "reviews" else ["side", *partitions]
         target = os.path.join(out_base, name)
         out = save_dataframe(rows, target if layout == "sides" else both.aside(target), name, odate=odate, schema=WRITTEN_SCHEMA,
-                             strict=True, partition_cols=own, overwrite=overwrite)
+                             strict=True, partition_cols=own, overwrite=overwrite, max_records_per_file=rows_per_file)
         return out if layout == "sides" else both.add(out, target, overwrite, len(own))
 
-    def sizes_of(side: str) -> DataFrame:
-        return v.summary.select(*group_cols, F.col(f"{side}_records").alias("rows"))
-
     stage_path = stage_dir(spark, "key-stats")
     try:
         v = validate(reviews, group_cols, materialize=True, stage_path=stage_path, **(join_options or {}))
         lap("key_stats_sec")
         totals = _totals(v.summary)
         if layout == "sides":
-            sizes = sizes_of("valid").withColumn("side", F.lit("valid")).unionByName(
-                sizes_of("invalid").withColumn("side", F.lit("invalid")))
-            out = save(v.sides(), "reviews", sizes, ["side", *group_cols])
+            out = save(v.sides(), "reviews", ["side", *group_cols])
             _checked(out)
             if out.rows != totals["valid_records"] + totals["invalid_records"]:
                 raise RuntimeError(f"written rows {out.rows} differ from the totals {totals}")
@@ -232,8 +228,8 @@ def _run_reviews(spark, reviews, out_base, odate, ctx, group_cols, overwrite, jo
                 WriteOutcome(totals[f"{s}_records"] > 0, totals[f"{s}_records"], os.path.join(out_base, "reviews", f"side={s}"),
                              "" if totals[f"{s}_records"] else NO_ROWS) for s in ("valid", "invalid"))
         else:
-            valid = save(v.valid, "valid", sizes_of("valid"), group_cols)
-            invalid = save(v.invalid, "invalid", sizes_of("invalid"), group_cols)
+            valid = save(v.valid, "valid", group_cols)
+            invalid = save(v.invalid, "invalid", group_cols)
             _checked(valid, invalid)
             both.commit()
         lap("write_sec")

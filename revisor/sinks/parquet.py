@@ -16,7 +16,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,48 +88,16 @@ def save_dataframe(
         return WriteOutcome(False, 0, path, reason)
 
 
-# Largest group table (bytes of key text) joined by broadcast.
-GROUP_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+def cluster_by_group(df: DataFrame, group_cols: list[str]) -> DataFrame:
+    """Lay rows out so a write task holds few groups and a large share of each,
+    for inputs whose files mix many groups.
 
-
-def _row_hash(df: DataFrame) -> Column:
-    """A hash of all columns (maps, which cannot be hashed, as JSON text)."""
-    return F.xxhash64(*[F.to_json(F.col(f.name)) if isinstance(f.dataType, T.MapType) else F.col(f.name)
-                        for f in df.schema.fields])
-
-
-def cluster_by_group(df: DataFrame, group_sizes: DataFrame, group_cols: list[str], rows_per_file: int,
-                     size_col: str = "rows", broadcast_max_bytes: int = GROUP_BROADCAST_MAX_BYTES) -> DataFrame:
-    """Lay rows out so each write task holds one (app, client) group and
-    about ``rows_per_file`` rows, for inputs whose files mix many groups.
-
-    ``group_sizes`` has one row per group with its row count (taken from the
-    staged summary, never recounted).  A group gets
-    ``ceil(rows / rows_per_file)`` buckets and each row the bucket of its hash
-    (the same on a retry), so a hot group is spread over many tasks and a
-    small group lands in one; the frame is then hash-partitioned by (group,
-    bucket).  The bucket table is broadcast behind a check of its bytes; a
-    larger one is joined as Spark sees fit.
+    Spark's ``rebalance`` hint by the group columns: partitions are sized at run
+    time, small groups share one and a hot group is split over many, by the
+    session's ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.  Nothing is
+    counted and nothing but shuffle sizes reaches the driver.
     """
-    sizes = group_sizes.select(
-        *group_cols, F.greatest(F.lit(1), F.ceil(F.col(size_col) / F.lit(rows_per_file))).cast("int").alias("_nb")
-    )
-    key_bytes = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in group_cols), F.lit(16))
-    agg = sizes.agg(F.coalesce(F.sum(key_bytes), F.lit(0)).alias("g"), F.coalesce(F.sum("_nb"), F.lit(0)).alias("b")).first()
-    n_buckets = int(agg["b"])
-    if n_buckets == 0:
-        return df
-    cond = None
-    renamed = sizes.select(*[F.col(c).alias("_g_" + c) for c in group_cols], "_nb")
-    for c in group_cols:
-        term = F.col(c).eqNullSafe(F.col("_g_" + c))
-        cond = term if cond is None else cond & term
-    if int(agg["g"]) <= broadcast_max_bytes:
-        renamed = F.broadcast(renamed)
-    joined = df.join(renamed, cond, "left")
-    bucket = F.pmod(_row_hash(df), F.coalesce(F.col("_nb"), F.lit(1)))
-    out = joined.withColumn("_bucket", bucket).repartition(n_buckets, *group_cols, "_bucket")
-    return out.drop("_nb", "_bucket", *["_g_" + c for c in group_cols])
+    return df.hint("rebalance", *group_cols)
 
 
 def target_path(base: str, app: str, type_client: str) -> str:

@@ -193,34 +193,43 @@ def test_run_single_app_parity_layout(spark, tmp_dir):
     assert doc["success_count"] == 0 and doc["error_count"] == 3
 
 
-def test_clustered_writes_group_files(spark, tmp_dir, monkeypatch):
-    """With rows_per_file, each (side, app, client, odate) folder gets about
-    rows / rows_per_file files and the rows are unchanged; a group table too
-    large to broadcast gives the same rows."""
-    import glob
-
-    from revisor.sinks import parquet
-
+def test_clustered_writes_group_files(spark, tmp_dir):
+    """With rows_per_file, each (side, app, client, odate) folder gets few files of at most so many rows."""
     r = tables.reviews(spark, SF001).repartition(8)  # mix the groups over tasks
-    plain = os.path.join(tmp_dir, "plain")
+    plain, clustered = os.path.join(tmp_dir, "plain"), os.path.join(tmp_dir, "clustered")
     a = run_reviews(spark, r, plain, odate="20240101")
+    b = run_reviews(spark, r, clustered, odate="20240101", rows_per_file=400)
     cols = ["side", "app", "type_client", "id", "snippet", "rating"]
 
     def rows(path):
         return sorted(map(tuple, spark.read.parquet(os.path.join(path, "reviews")).select(*cols).collect()), key=repr)
 
-    defaults = parquet.cluster_by_group.__kwdefaults__, parquet.cluster_by_group.__defaults__
-    for name, limit in (("small", None), ("large", 0)):
-        if limit is not None:
-            monkeypatch.setattr(parquet.cluster_by_group, "__defaults__", (*defaults[1][:-1], limit))
-        clustered = os.path.join(tmp_dir, name)
-        b = run_reviews(spark, r, clustered, odate="20240101", rows_per_file=400)
-        assert a.valid.rows == b.valid.rows and a.invalid.rows == b.invalid.rows and rows(clustered) == rows(plain)
-        counts = spark.read.parquet(os.path.join(clustered, "reviews")).groupBy("side", "app", "type_client").count().collect()
-        for s in counts:
-            folder = os.path.join(clustered, "reviews", f"side={s['side']}", f"app={s['app']}", f"type_client={s['type_client']}",
-                                  "odate=20240101")
-            assert len(glob.glob(os.path.join(folder, "*.parquet"))) <= -(-s["count"] // 400) + 1
+    assert a.valid.rows == b.valid.rows and a.invalid.rows == b.invalid.rows and rows(clustered) == rows(plain)
+    written = spark.read.parquet(os.path.join(clustered, "reviews")).withColumn("file", F.input_file_name())
+    per_file = written.groupBy("side", "app", "type_client", "file").count()
+    assert per_file.agg(F.max("count")).first()[0] <= 400
+    for s in per_file.groupBy("side", "app", "type_client").agg(F.sum("count").alias("n"), F.count("*").alias("files")).collect():
+        assert s["files"] <= -(-s["n"] // 400) + 1
+
+
+def test_clustering_counts_nothing_and_splits_a_hot_group(spark, tmp_dir):
+    """The plan is one rebalance by the groups; a group that holds most rows is split by size at run time."""
+    from revisor.sinks.parquet import cluster_by_group
+
+    name, size = "spark.sql.adaptive.advisoryPartitionSizeInBytes", spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    df = spark.range(0, 200_000, 1, 8).select(F.when(F.col("id") % 10 < 8, "hot").otherwise((F.col("id") % 7).cast("string")).alias("app"),
+                                              F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    out = cluster_by_group(df, ["app"])
+    assert "RebalancePartitions" in out._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.set(name, "1m")
+    try:
+        out.write.partitionBy("app").parquet(tmp_dir + "/out")
+    finally:
+        spark.conf.set(name, size)
+    files = {p.parent.name: 0 for p in Path(tmp_dir + "/out").rglob("*.parquet")}
+    for p in Path(tmp_dir + "/out").rglob("*.parquet"):
+        files[p.parent.name] += 1
+    assert files["app=hot"] > 3 and all(n <= 2 for k, n in files.items() if k != "app=hot")
 
 
 def test_cli_reviews_mode(spark, tmp_dir):

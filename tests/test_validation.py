@@ -1,5 +1,8 @@
 """Golden cases of the three checks and the valid / invalid split."""
 
+from collections import Counter
+
+import pytest
 from pyspark.sql import functions as F
 
 from revisor.operators import checks
@@ -281,23 +284,62 @@ def test_hot_threshold_does_not_grow_with_the_data(spark, monkeypatch):
     assert checks._hot_keys(keys, ["app", "id"], "count", 100) == (10 ** 6, 10)
 
 
-def test_shuffled_join_filters_the_rows_by_a_bloom_filter(spark):
-    """Above the broadcast limit the row side is cut down before its exchange."""
+def _scans(df, folder):
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return [line for line in plan.splitlines() if "FileScan parquet" in line and folder in line]
+
+
+@pytest.mark.parametrize("hot_rows", [None, 2])
+def test_keys_too_many_to_broadcast_take_one_scan(spark, tmp_dir, hot_rows):
+    """Above the broadcast limit the rows are read once, and only what the key filter lets pass is shuffled."""
     from revisor.sources import tables
 
     from conftest import SF001
 
-    saved = {k: spark.conf.get(k, None) for k in (
-        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "spark.sql.autoBroadcastJoinThreshold")}
-    for k in saved:
-        spark.conf.set(k, "0" if "Scan" in k else "-1")
+    tables.reviews(spark, SF001).write.parquet(tmp_dir + "/bronze")
+    rows = spark.read.parquet(tmp_dir + "/bronze")
+    v = validate(rows, ["app", "type_client"], materialize=True, stage_path=tmp_dir + "/stage", broadcast_max_bytes=0, hot_rows=hot_rows)
+    assert v.join_plan.strategy == ("hot_split" if hot_rows else "shuffle")
+    assert len(_scans(v.invalid, "/bronze")) == 1
+    keys = checks.duplicate_ids(rows, ["app", "type_client"])
+    found, _ = checks.duplicate_rows_planned(rows, keys, ["app", "type_client"], broadcast_max_bytes=0, hot_rows=hot_rows)
+    assert found.count() == checks.duplicate_rows(rows, keys, ["app", "type_client"]).count() > 0
+
+
+@pytest.mark.parametrize("most", [None, 1 << 12])
+def test_key_filter_has_no_false_negatives(spark, monkeypatch, most):
+    """All keys pass, few others do; with the largest size reached more pass and none is missed."""
+    if most:
+        monkeypatch.setattr(checks, "FILTER_MAX_BYTES", most)
+    n = 20_000
+    every = spark.range(3 * n).select(F.when(F.col("id") % 2 == 0, "a").alias("app"), F.col("id").cast("string").alias("id"))
+    keys = every.where(f"CAST(id AS LONG) < {n}")
+    blocks, n_wide = checks.key_filter(keys, ["app", "id"], n)
+    wide, block, bits = checks._places(["app", "id"], n_wide)
+    marked = every.withColumn("_at", wide * checks._BLOCKS + block).join(blocks, F.col("_at") == F.col("_block"), "left").select(
+        (F.col("id").cast("long") < n).alias("own"), checks._perhaps(bits).alias("passes"))
+    got = {(r["own"], r["passes"]): r["count"] for r in marked.groupBy("own", "passes").count().collect()}
+    assert got[True, True] == n and (True, False) not in got
+    assert most or got[False, True] < 0.05 * 2 * n
+
+
+def test_rows_with_a_settled_reason_are_spread(spark):
+    """A third of the rows lacks id, snippet and rating: they meet in no one partition of the join."""
+    rows = [(None, None, None, "d")] * 400 + [(f"k{i // 2}", "s", "1", "d") for i in range(800)]
+    df = _edge_frame(spark, rows).withColumn("app", F.lit("a")).withColumn("type_client", F.lit("pf"))
+    v = validate(df, broadcast_max_bytes=0)
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
     try:
-        v = validate(tables.reviews(spark, SF001), materialize=True, broadcast_max_bytes=0)
-        plan = v.invalid._jdf.queryExecution().optimizedPlan().toString()
-        assert v.join_plan.strategy == "shuffle" and "might_contain" in plan
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        parted = v.invalid.select(F.spark_partition_id().alias("part"), "id").collect()
+        sizes = list(Counter(r["part"] for r in parted if r["id"] is None).values())
     finally:
         for k, value in saved.items():
-            spark.conf.set(k, value) if value is not None else spark.conf.unset(k)
+            spark.conf.set(k, value)
+    assert sum(sizes) == 400 and max(sizes) < 200
+    assert v.invalid.count() == 1200
 
 
 def test_staged_empty_batch(spark):
