@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revisor.session import stage_dir
+from revisor.session import release, stage_dir
 
 MAX_BLOOM_BITS = 1 << 28  # 32 MiB, whatever the corpus size
 SEGMENT_BITS = 1 << 20
@@ -163,7 +163,7 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 
 def split(docs: DataFrame, id_col: str, filter_: Bloom, hit: bool) -> DataFrame:
-    """Rows, all columns, whose id's ``xxhash64`` passes the filter (``hit``) or surely is not in it.
+    """Rows, all columns, whose id's ``xxhash64``, as a long, passes the filter (``hit``) or surely is not in it.
 
     A null id is never a hit.
     """
@@ -179,7 +179,7 @@ def split(docs: DataFrame, id_col: str, filter_: Bloom, hit: bool) -> DataFrame:
             found = named & filter_.has(batch.column(0).fill_null(0).to_numpy().view(np.uint64))
             yield batch.filter(pa.array(found if hit else ~found)).select(list(range(1, n + 1)))
 
-    keyed = rows.select(F.when(own.isNotNull(), F.xxhash64(own)).alias("key"), "*")
+    keyed = rows.select(F.when(own.isNotNull(), F.xxhash64(own.cast("long"))).alias("key"), "*")
     return keyed.mapInArrow(run, rows.schema).toDF(*docs.columns)
 
 
@@ -190,9 +190,42 @@ def without(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
     others, nearly all that stay, are not shuffled.
     """
     ids, _ = staged(ids.filter(F.col(id_col).isNotNull()), "drop-ids")
-    keys = ids.select(F.xxhash64(F.col(id_col)).alias("key"))
+    keys = ids.select(F.xxhash64(F.col(id_col).cast("long")).alias("key"))
     filter_ = bloom(keys, "key", keys.count())
     hits = numbered(split(docs, id_col, filter_, True))
     own = f"c{docs.columns.index(id_col)}"
     left = hits.join(ids.toDF("__id"), F.col(own) == F.col("__id"), "left_anti")
     return split(docs, id_col, filter_, False).union(left.toDF(*docs.columns))
+
+
+OWN_ID = "__own_id"
+
+
+def with_own_ids(docs: DataFrame, id_col: str) -> tuple[DataFrame, bool]:
+    """``docs`` and ``OWN_ID``, a long that no two rows share; whether it differs from the id anywhere.
+
+    An id that is there and occurs once is a row's own.  Rows that repeat an id, or
+    have none, get new ones beyond all others, so they come last in any order by
+    id; these rows alone are staged, which makes their ids stable, however many
+    share one id.  Ids are counted by an aggregation that combines on the map side.
+    """
+    spark = docs.sparkSession
+    own = docs[id_col].cast("long")
+    odd, path = staged(docs.select(own.alias("id")).groupBy("id").agg(F.count("*").alias("n"))
+                       .filter("id IS NULL OR n > 1").select("id"), "odd-ids")
+    if odd.isEmpty():
+        release(spark, path)
+        return docs.withColumn(OWN_ID, own), False
+    repeated = odd.filter("id IS NOT NULL")
+    keys = repeated.select(F.xxhash64("id").alias("key"))
+    filter_ = bloom(keys, "key", keys.count())
+    hits, others = split(docs, id_col, filter_, True), split(docs, id_col, filter_, False)
+    ends = docs.agg(F.min(own).alias("low"), F.max(own).alias("high")).first()
+    number = F.monotonically_increasing_id()
+    after = ends["high"] is None or ends["high"] < 1 << 62
+    new = number + F.lit((-1 if ends["high"] is None else ends["high"]) + 1) if after else F.lit(ends["low"] - 1) - number
+    same = hits[id_col].cast("long") == repeated["id"]
+    strange, _ = staged(numbered(hits.join(repeated, same, "left_semi").union(others.filter(others[id_col].isNull())))
+                        .withColumn(OWN_ID, new), "odd-rows")
+    plain = others.filter(others[id_col].isNotNull()).union(hits.join(repeated, same, "left_anti"))
+    return plain.withColumn(OWN_ID, plain[id_col].cast("long")).union(strange.toDF(*docs.columns, OWN_ID)), True

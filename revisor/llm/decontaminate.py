@@ -27,7 +27,8 @@ pass: no text is shuffled.
 
 Defined cases: null or empty texts and items match nothing; an item is matched
 once per document, at its best place (the first of equals); repeated documents
-and items are matched alike; empty tables give no rows; items shorter than
+and items are matched alike, a null id like any other; a text of any length is
+read whole; empty tables give no rows; items shorter than
 ``MIN_ITEM_WORDS`` words are compared as they are, allowing no edit; columns
 beyond the ids and texts are not read.
 """
@@ -42,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revisor.llm.common import rename_free, slices, string_views, without
+from revisor.llm.common import OWN_ID, rename_free, slices, string_views, with_own_ids, without
 from revisor.llm.hashing import mix, windows, word_hashes
 
 ALLOWED = 0.2
@@ -276,6 +277,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **columns: str) -> DataFrame:
-    """The documents that contain no item, with all their columns; a null id stays."""
-    found = leaks(docs, benchmark, id_col=id_col, **columns).select(F.col("doc_id").alias(id_col)).distinct()
-    return without(docs, found, id_col)
+    """The documents that contain no item, with all their columns; each row is judged by its own text."""
+    rows, _ = with_own_ids(docs, id_col)
+    found = leaks(rows, benchmark, id_col=OWN_ID, **columns).select(F.col("doc_id").alias(OWN_ID)).distinct()
+    return without(rows, found, OWN_ID).drop(OWN_ID)

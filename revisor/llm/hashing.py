@@ -3,9 +3,11 @@
 A word's hash is a polynomial over its bytes modulo 2**64 with random byte
 values, finished by a bit mixer, computed for all words of a text at once
 from prefix sums.  Separators are ASCII, so working on bytes is exact for
-UTF-8.  Words longer than ``SEGMENT`` bytes are hashed by BLAKE2 instead, so
-that no text needs more than a few times ``SEGMENT`` bytes beyond one hash per
-word.
+UTF-8.  Words of ``LONG_WORD`` bytes or more are hashed by BLAKE2 instead: modulo a
+power of two, texts built by doubling (a Thue-Morse pattern and its complement)
+agree from 1,024 bytes on whatever the base.  Texts are hashed in segments of
+``SEGMENT`` bytes, so that none needs more than a few times that beyond one hash
+per word.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ import hashlib
 import numpy as np
 
 SEGMENT = 1 << 20
+LONG_WORD = 256
 M64 = (1 << 64) - 1
 
 #: White space that parts words, and the A-Z folding.
@@ -71,7 +74,10 @@ def _segment_hashes(data: np.ndarray, fold: np.ndarray, is_separator: np.ndarray
     up, down = _power_tables(len(data) + 1)
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(_BYTE[data] * up[:len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts])
+    hashes = mix((sums[ends] - sums[starts]) * down[starts])
+    for k in np.flatnonzero(ends - starts >= LONG_WORD).tolist():
+        hashes[k] = int.from_bytes(hashlib.blake2b(data[starts[k]:ends[k]].tobytes(), digest_size=8).digest(), "little")
+    return hashes
 
 
 def word_hashes(data: np.ndarray, fold: np.ndarray = FOLD, is_separator: np.ndarray = IS_SPACE) -> np.ndarray:

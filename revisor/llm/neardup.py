@@ -25,9 +25,12 @@ one document of each component stays.
    pairs are emitted but the links that join components.
 
 Defined cases: texts without words are linked with nothing; with fewer than five
-words the whole sequence is the one shingle; a null id is linked with nothing,
-has no component and is kept; rows that repeat an id count as one document;
-an empty table gives no rows; columns beyond id and text are not read.
+words the whole sequence is the one shingle; rows that repeat an id, or have none,
+are documents of their own that come after all others (``with_own_ids``), so each
+is linked by its text alone, ``component_id`` is the smallest id in its component
+(null if there is none), and one row of a component is kept; equal rows are one
+class, however many; a text of any length is read whole; an empty table gives no
+rows; columns beyond id and text are not read.
 """
 
 from __future__ import annotations
@@ -41,7 +44,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revisor.llm.common import bloom, rename_free, slices, staged, string_views, without
+from revisor.llm.common import OWN_ID, bloom, rename_free, slices, staged, string_views, with_own_ids, without
 from revisor.llm.components import components
 from revisor.llm.hashing import mix, shingles, word_hashes
 from revisor.session import release
@@ -356,14 +359,13 @@ def _mixed_blocks(members: DataFrame, labels: DataFrame) -> DataFrame:
         "bucket", "at.*", "cls", "component", "n")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``."""
-    spark = docs.sparkSession
-    rows = rename_free(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
+def _linked(rows: DataFrame) -> DataFrame:
+    """(doc_id, n, component) of (doc_id, text) with ids that no two rows share: the smallest id linked with each."""
+    spark = rows.sparkSession
     made, _ = staged(sketches(rows), "near-sketches")
     named = made.filter("doc_id IS NOT NULL AND n > 0")
     leaders, _ = staged(named.groupBy("d1", "d2").agg(F.min("doc_id").alias("cls")), "near-classes")
-    # a class is stood for by its smallest id; rows that repeat that id are equal and do no harm
+    # a class is stood for by its smallest id, which one row has
     classes, p_cls = staged(named.join(leaders.withColumnRenamed("cls", "doc_id"), ["d1", "d2", "doc_id"], "left_semi")
                             .select(F.col("doc_id").alias("cls"), "n", "registers"), "near-leaders")
 
@@ -391,12 +393,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of_class = leaders.join(labels.toDF("cls", "component"), "cls", "left").select(
         "d1", "d2", F.coalesce("component", "cls").alias("component"))
     joined = made.select("doc_id", "n", "d1", "d2").join(of_class, ["d1", "d2"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    return joined.select("doc_id", "n", F.coalesce("component", "doc_id").alias("component"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``."""
+    found, _ = _near(docs, id_col, text_col)
+    return found.drop(OWN_ID)
+
+
+def _near(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """``near_duplicates`` with each row's own id, and ``docs`` with it."""
+    rows, odd = with_own_ids(docs, id_col)
+    linked = _linked(rename_free(rows, doc_id=OWN_ID, text=text_col))
+    kept = (F.col("doc_id") == F.col("component")).alias("kept")
+    if not odd:
+        return linked.select(F.col("doc_id").alias(OWN_ID), "doc_id", F.col("n").alias("n_shingles"),
+                             F.col("component").alias("component_id"), kept), rows
+    linked, _ = staged(linked, "near-linked")
+    names = rows.select(F.col(OWN_ID).alias("doc_id"), rows[id_col].cast("long").alias("name"))
+    named = linked.join(names, "doc_id")
+    least = named.groupBy("component").agg(F.min("name").alias("component_id"))
+    return named.join(least, "component").select(F.col("doc_id").alias(OWN_ID), F.col("name").alias("doc_id"),
+                                                 F.col("n").alias("n_shingles"), "component_id", kept), rows
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns."""
-    gone = near_duplicates(docs, id_col, text_col).filter("NOT kept")
-    return without(docs, gone.select(F.col("doc_id").alias(id_col)).distinct(), id_col)
+    """The documents that stay, with all their columns: one row of each group of linked or equal rows."""
+    found, rows = _near(docs, id_col, text_col)
+    return without(rows, found.filter("NOT kept").select(OWN_ID), OWN_ID).drop(OWN_ID)

@@ -21,10 +21,12 @@ Aggregations combine on the map side and joins that may meet a hot key keep the
 aggregated side unique, so AQE can split the other.  Filters only skip work:
 a wrong hit adds a window that the exact steps discard.
 
-Defined cases: a null text has no words; a null id neither loses words nor
-counts as a smaller document; rows that repeat an id are taken as repeats of one
-text (each is cut alike, and windows that only they share don't count); an
-empty table gives no rows; columns beyond id and text are not read.
+Defined cases: a null text has no words; a text of any length is read whole.  For
+``deduplicate``, whose rows are known by their id alone, a null id neither loses
+words nor counts as a smaller document, and rows that repeat an id are taken as
+repeats of one text (each is cut alike, and windows that only they share don't
+count); ``remove_repeats`` tells rows apart and cuts each for itself.  An empty
+table gives no rows; columns beyond id and text are not read.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revisor.llm.common import Bloom, bloom, numbered, rename_free, slices, split, staged, string_views
+from revisor.llm.common import OWN_ID, Bloom, bloom, numbered, rename_free, slices, split, staged, string_views, with_own_ids
 from revisor.llm.hashing import SAME, mix, windows, word_hashes
 from revisor.session import release
 
@@ -322,16 +324,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     A text that loses nothing stays as it is; another one becomes its kept words
     joined by one space, and ``length_col`` (if there is one) its new length in
-    code points.  A document that loses every word goes.
+    code points.  A document that loses every word goes.  Rows that repeat an id,
+    or have none, come after all others and are cut each for itself.
     """
-    marks = removal_marks(docs, id_col, text_col)
+    docs, _ = with_own_ids(docs, id_col)
+    marks = removal_marks(docs, OWN_ID, text_col)
     marked = bloom(marks, "key", marks.count())
     names = docs.columns
-    own, text_at = f"c{names.index(id_col)}", names.index(text_col)
+    own, text_at = f"c{names.index(OWN_ID)}", names.index(text_col)
     length_at = names.index(length_col) if length_col in names else -1
-    touched = numbered(split(docs, id_col, marked, True))
+    touched = numbered(split(docs, OWN_ID, marked, True))
     found = touched.join(marks.select(F.col("doc_id").alias("__id"), F.col("whole").alias("__whole"), "starts"),
-                         F.col(own).cast("long") == F.col("__id"), "left").filter("NOT coalesce(__whole, false)")
+                         F.col(own) == F.col("__id"), "left").filter("NOT coalesce(__whole, false)")
     fields = touched.columns
 
     def run(batches):
@@ -349,4 +353,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays(columns, names=fields).filter(pa.array(keep))
 
     cut = found.select(*fields, "starts").mapInArrow(run, touched.schema).toDF(*names)
-    return split(docs, id_col, marked, False).union(cut)
+    return split(docs, OWN_ID, marked, False).union(cut).drop(OWN_ID)

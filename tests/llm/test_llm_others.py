@@ -146,7 +146,20 @@ def test_decontamination_edges(spark, edge, none):
     assert decontaminate.leaks(none, items).count() == 0 and decontaminate.leaks(edge, items.limit(0)).count() == 0
     kept = decontaminate.clean(edge, items)
     assert kept.columns == edge.columns
-    assert {r["doc_id"] for r in kept.collect()} == {r[0] for r in EDGE} - {4, 5, 6, 7, 8, 9}
+    rows = kept.collect()
+    assert {r["doc_id"] for r in rows} == {r[0] for r in EDGE} - {4, 5, 6, 7, 8, 9}
+    assert [r["text"] for r in rows if r["doc_id"] is None] == [None]  # the other one holds item 4
+
+
+def test_each_row_is_decontaminated_by_its_own_text(spark):
+    """Rows that share an id, or have none, and int ids."""
+    item = prose(30, 71)
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(1, prose(40, 72)), (2, item), (2, prose(40, 73)), (None, item), (None, prose(40, 74)), (3, "x " + item)]
+    clean = [(i, t) for i, t in rows if item not in t]
+    for kind in ("long", "int"):
+        df = spark.createDataFrame(rows, f"doc_id {kind}, text string")
+        assert sorted(map(tuple, decontaminate.clean(df, items).collect()), key=str) == sorted(clean, key=str)
 
 
 # -- 5: licences -------------------------------------------------------------------------------

@@ -213,11 +213,70 @@ def test_near_duplicate_edges(edge, none):
     assert by[1]["component_id"] == 1 and by[2]["component_id"] == 2 and by[2]["n_shingles"] == 0
     assert by[4]["n_shingles"] == 1 and by[6]["component_id"] == by[7]["component_id"] == by[8]["component_id"] == 5
     assert by[14]["component_id"] == 13  # one distinct shingle each, the same
-    assert all(r["kept"] and r["component_id"] is None for r in found if r["doc_id"] is None)
+    # a row without an id is judged by its text: a copy of document 5, and a text without words
+    assert sorted((r["n_shingles"], r["component_id"], r["kept"]) for r in found if r["doc_id"] is None) == [
+        (0, None, True), (by[5]["n_shingles"], 5, False)]
     assert neardup.near_duplicates(none).count() == 0
     kept = neardup.one_of_each(edge)
     assert kept.columns == edge.columns
-    assert {r["doc_id"] for r in kept.collect()} == {r[0] for r in EDGE} - {6, 7, 8, 14}
+    rows = kept.collect()
+    assert {r["doc_id"] for r in rows} == {r[0] for r in EDGE} - {6, 7, 8, 14}
+    assert [r["text"] for r in rows if r["doc_id"] is None] == [None]
+
+
+A, B = prose(150, 61), prose(150, 62)
+
+
+@pytest.mark.parametrize("kind", ["long", "int"])
+def test_rows_that_share_an_id_are_told_apart(spark, kind):
+    """A unique text stays whatever id it has, copies go whatever id they have, int ids are ids."""
+    def left(rows):
+        df = spark.createDataFrame(rows, f"doc_id {kind}, text string").repartition(3)
+        return [sorted(map(tuple, f(df).collect()), key=str) for f in (neardup.one_of_each, substrings.remove_repeats)]
+
+    assert left([(3, B), (7, A), (7, B)]) == [[(3, B), (7, A)]] * 2
+    assert left([(5, A), (9, A), (9, B), (None, B)]) == [[(5, A), (9, B)]] * 2 or left(
+        [(5, A), (9, A), (9, B), (None, B)]) == [[(5, A), (None, B)]] * 2
+    assert left([(1, A), (2, A), (4, B)]) == [[(1, A), (4, B)]] * 2
+    assert [len(x) for x in left([(None, A)] * 30 + [(8, B)] * 30)] == [2, 2]
+
+
+def test_repeated_rows_stay_linear(spark, monkeypatch):
+    """One near copy of a row that stands 10,000 times: the buckets hold two classes, and one row stays."""
+    near = A.replace(A.split()[70], "changed", 1)
+    df = spark.createDataFrame([(1, near)], "doc_id long, text string").union(
+        spark.range(10_000).selectExpr("5L AS doc_id", f"'{A}' AS text")).repartition(4)
+    sizes = {}
+    plain = neardup.staged
+
+    def counting(frame, name):
+        out = plain(frame, name)
+        sizes[name] = out[0].count()
+        return out
+
+    monkeypatch.setattr(neardup, "staged", counting)
+    assert [r["doc_id"] for r in neardup.one_of_each(df).collect()] == [1]
+    assert sizes["near-leaders"] == 2 and sizes["near-members"] <= 2 * neardup.BANDS and sizes["near-pairs"] <= 1
+
+
+def thue_morse(n):
+    text = "a"
+    for _ in range(n):
+        text += text.translate(str.maketrans("ab", "ba"))
+    return text
+
+
+def test_long_words_built_by_doubling_are_told_apart(spark):
+    for n in (8, 9, 10, 11, 12, 21):
+        x = thue_morse(n)
+        y = x.translate(str.maketrans("ab", "ba"))
+        h = hashing.word_hashes(np.frombuffer(f"{x} {y} {x}".encode(), dtype=np.uint8))
+        assert len(h) == 3 and h[0] == h[2] != h[1]
+    x, rest = thue_morse(10), prose(60, 5)
+    y = x.translate(str.maketrans("ab", "ba"))
+    docs = spark.createDataFrame([(1, f"{x} {rest}"), (2, f"{y} {rest}"), (3, x), (4, y)], "doc_id long, text string")
+    assert {r["doc_id"]: r["n_removed"] for r in substrings.deduplicate(docs, digest_only=True).collect()} == {1: 0, 2: 60, 3: 0, 4: 0}
+    assert {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
 
 
 # -- 8: packing ----------------------------------------------------------------------
