@@ -243,15 +243,22 @@ def assemble(records: DataFrame) -> DataFrame:
 def page_captures(captures: DataFrame, id_type: str = "bigint") -> DataFrame:
     """Digest of the captures: one row per page, revisits resolved to the page they refer to.
 
-    A response's size and digest come from the payload that was read back; a
-    revisit has no payload, and its metadata record keeps both.
+    Sizes and digests are those of the payloads in the captures, a revisit's those
+    of the response it refers to; where that is not in the archive, the metadata
+    record's.  A metadata record that disagrees with the payload is an error.
     """
+    payload = F.col("response.payload")
     narrow, _ = staged(captures.select(
-        "capture_id", F.col("metadata.page_id").cast(id_type).alias("page_id"),
-        F.coalesce("response.payload_bytes", "metadata.payload_bytes").alias("payload_bytes"),
-        F.coalesce("response.payload_digest", "metadata.payload_digest").alias("payload_digest"),
+        "capture_id", F.col("metadata.page_id").cast(id_type).alias("page_id"), F.octet_length(payload).cast("long").alias("own_bytes"),
+        F.sha2(payload, 256).alias("own_digest"), F.col("metadata.payload_bytes").alias("said_bytes"),
+        F.col("metadata.payload_digest").alias("said_digest"),
         F.col("response.type").alias("record_type"), F.col("response.refers_to").alias("target")), "warc-captures")
-    targets = narrow.filter(F.col("target").isNotNull()).select(F.col("target").alias("capture_id")).distinct()
-    targets = targets.join(narrow.select("capture_id", F.col("page_id").alias("refers_to")), "capture_id")
-    return narrow.join(targets.withColumnRenamed("capture_id", "target"), "target", "left").select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    wanted = narrow.filter(F.col("target").isNotNull()).select(F.col("target").alias("capture_id")).distinct()
+    targets = wanted.join(narrow.select("capture_id", F.col("page_id").alias("refers_to"), F.col("own_bytes").alias("their_bytes"),
+                                        F.col("own_digest").alias("their_digest")), "capture_id")
+    found = narrow.join(targets.withColumnRenamed("capture_id", "target"), "target", "left")
+    size, digest = F.coalesce("own_bytes", "their_bytes"), F.coalesce("own_digest", "their_digest")
+    differs = F.coalesce((size != F.col("said_bytes")) | (digest != F.col("said_digest")), F.lit(False))
+    checked = F.when(differs, F.raise_error(F.concat(F.lit("the metadata of "), F.col("capture_id"), F.lit(" disagree with its payload"))))
+    return found.select("page_id", F.coalesce(size, "said_bytes").alias("payload_bytes"),
+                        F.coalesce(checked, digest, "said_digest").alias("payload_digest"), "record_type", "refers_to")
