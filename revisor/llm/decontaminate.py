@@ -171,13 +171,50 @@ class ItemIndex:
             found.append(np.stack([self.lengths[place], np.repeat(at, n) - self.offsets[place]], axis=1))
         return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
 
-    def _candidates(self, texts: list[np.ndarray]):
-        """(text, item, start of the item) of windows and pieces that share an LSH key, each once a block of windows."""
+    def _windows(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Text, length and start of the aligned windows, and the first window of equal words for each of them.
+
+        Words that many items share align with windows at many offsets; a text that
+        repeats them has many such windows but few that differ.
+        """
         aligned = [self._aligned(t) for t in texts]
         which = np.repeat(np.arange(len(texts)), [len(a) for a in aligned])
         flat = np.concatenate(aligned) if aligned else np.zeros((0, 2), np.int64)
-        for at in range(0, len(flat), WINDOWS_AT_ONCE):
-            sizes, starts, own = flat[at:at + WINDOWS_AT_ONCE, 0], flat[at:at + WINDOWS_AT_ONCE, 1], which[at:at + WINDOWS_AT_ONCE]
+        sizes, starts = flat[:, 0], flat[:, 1]
+        # a window that reaches over an end of its text stands for itself
+        content = mix(np.arange(len(flat), dtype=np.uint64) + np.uint64(1 << 40))
+        at = 0
+        for text, own in zip(texts, aligned):
+            inside = (own[:, 1] >= 0) & (own[:, 1] + own[:, 0] <= len(text))
+            for n in np.unique(own[inside, 0]):
+                same = np.flatnonzero(inside & (own[:, 0] == n))
+                content[at + same] = windows(text, int(n), seed=11)[own[same, 1]]
+            at += len(own)
+        _, first, like = np.unique(np.rec.fromarrays([content, sizes], names="h,n"), return_index=True, return_inverse=True)
+        return which, sizes, starts, first[like.reshape(-1)] if len(flat) else np.zeros(0, np.int64)
+
+    def _candidates(self, texts: list[np.ndarray]):
+        """(text, item, start of the item) of windows and pieces that share an LSH key, by text and item."""
+        which, all_sizes, all_starts, first = self._windows(texts)
+        order = np.argsort(first, kind="stable")  # the windows of equal words, next to each other
+        groups = np.searchsorted(first[order], np.arange(len(first) + 1))
+        distinct = np.unique(first)
+        pairs, vocabulary, possible = set(), {}, {}
+
+        def may_hold(t, k):
+            """Every word of an item that the whole text lacks costs an edit."""
+            if (t, k) not in possible:
+                if t not in vocabulary:
+                    vocabulary[t] = np.unique(texts[t])
+                words = self.items[k][1]
+                at = np.searchsorted(vocabulary[t], words)
+                there = vocabulary[t][np.minimum(at, len(vocabulary[t]) - 1)] == words
+                possible[t, k] = int(there.sum()) >= len(words) - allowed_edits(len(words))
+            return possible[t, k]
+
+        for at in range(0, len(distinct), WINDOWS_AT_ONCE):
+            block = distinct[at:at + WINDOWS_AT_ONCE]
+            sizes, starts, own = all_sizes[block], all_starts[block], which[block]
             runs = np.full((len(sizes), self.longest + 1), _PAD)
             for i, (t, start, n) in enumerate(zip(own.tolist(), starts.tolist(), sizes.tolist())):
                 part = texts[t][max(0, start):max(0, start + n)]
@@ -188,8 +225,13 @@ class ItemIndex:
             hit = np.flatnonzero(n.any(axis=1))
             found = {(int(i), int(k)) for i in hit for r in np.flatnonzero(n[i])
                      for k in self.owner[low[i, r]:low[i, r] + n[i, r]]}
-            pairs = {(int(own[i]), int(self.piece_item[k]), int(starts[i] - self.piece_at[k])) for i, k in found}
-            yield from sorted(pairs)
+            for i, k in found:
+                item = int(self.piece_item[k])
+                for j in order[groups[block[i]]:groups[block[i] + 1]].tolist():
+                    t = int(which[j])
+                    if may_hold(t, item):
+                        pairs.add((t, item, int(all_starts[j] - self.piece_at[k])))
+        yield from sorted(pairs)
 
     def _places(self, texts: list[np.ndarray]):
         """(text, item, first start, last start) of candidates.  The pieces of a long item give many starts that differ
