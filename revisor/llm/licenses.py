@@ -5,21 +5,22 @@ Two kinds of finds:
 * *base phrases*: every place where the words of a phrase stand one after the
   other;
 * *templates*: licence notices, found through their rarest words.  Document
-  frequencies of all template words are counted over the whole corpus; each
-  template's ``ANCHORS`` words of highest IDF index it.  In a text every
-  occurrence of an anchor votes, through the postings (template, position), for
-  the place where the template would have to start; at each such place the
-  IDF of the template's words that stand where they should, over the IDF of
-  all of them, is the share that is present.  A place counts if the share
-  reaches ``MIN_SHARE`` and every mandatory key phrase of the template stands at
-  its place.
+  frequencies of all template words are counted over the whole corpus; the
+  word of highest IDF in a template's mandatory key phrases indexes it.  In a text
+  every occurrence of an indexed word votes, through the postings (template,
+  position), for the place where the template would have to start.  A place
+  counts if every mandatory key phrase stands there and the IDF of the template's
+  words that stand where they should reaches ``MIN_SHARE`` of the IDF of all of
+  them.  A place that counts holds the phrases and so the word that votes for it:
+  none is lost, whatever else in the notice was altered.
 
 Only texts that hold the rarest word of some base phrase or key phrase are looked
 at word by word; the others can't hold any.  Words are cut and folded A-Z over
 the whole text.
 
-Defined cases: a null text is empty: no words, no labels, score 0; repeated
-rows are scanned one by one; ties between templates at one place keep both
+Defined cases: a null text is empty: no words, no labels, score 0; null ids and
+repeated rows are scanned one by one; a text of any length is one row's array of
+words; ties between templates at one place keep both
 labels; an empty table counts no words and gives no rows; columns beyond id and
 text are not read.
 """
@@ -67,7 +68,6 @@ TEMPLATES = [
     ("unlicense", "this is free and unencumbered software released into the public domain",
      ["free and unencumbered software"]),
 ]
-ANCHORS = 3
 MIN_SHARE = 0.7
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -96,13 +96,14 @@ def idf(frequency: int, total: int) -> float:
     return math.log((1 + total) / (1 + frequency)) + 1.0
 
 
-def index(weights: dict[str, float], anchors: int = ANCHORS) -> dict[str, list[tuple[int, int]]]:
-    """Postings of the anchor words: word to (template, position); ties go by the word."""
+def index(weights: dict[str, float]) -> dict[str, list[tuple[int, int]]]:
+    """Postings, word to (template, position): the rarest word of each template's key phrases; ties go by the word."""
     postings: dict[str, list[tuple[int, int]]] = {}
-    for t, (_, text, _) in enumerate(TEMPLATES):
-        words = text.split()
-        for word in sorted(set(words), key=lambda w: (-weights[w], w))[:anchors]:
-            postings.setdefault(word, []).extend((t, i) for i, w in enumerate(words) if w == word)
+    for t, (_, text, phrases) in enumerate(TEMPLATES):
+        body = text.split()
+        held = [(w, _position(body, phrase.split()) + k) for phrase in phrases for k, w in enumerate(phrase.split())]
+        word, at = min(held, key=lambda x: (-weights[x[0]], x))
+        postings.setdefault(word, []).append((t, at))
     return postings
 
 

@@ -151,6 +151,28 @@ def test_decontamination_edges(spark, edge, none):
     assert [r["text"] for r in rows if r["doc_id"] is None] == [None]  # the other one holds item 4
 
 
+def test_words_that_many_items_share_cost_little():
+    """1,000 items hold three words at many offsets and a text repeats them: few of its windows differ."""
+    import time
+
+    rng = random.Random(8)
+    items = []
+    for k in range(1000):
+        w = prose(40, 900 + k).split()
+        at = rng.randrange(37)
+        w[at:at + 3] = ["which", "of", "the"]
+        items.append((k, decontaminate.item_words(" ".join(w))))
+    index = decontaminate.ItemIndex(items)
+    text = decontaminate.item_words("which of the " * 1000)
+    held = decontaminate.item_words("which of the " * 500 + prose(40, 900) + " which of the" * 300 + " " + prose(40, 903))
+    index.search([text[:300]])
+    started = time.time()
+    assert index.search([text]) == []
+    assert time.time() - started < 3
+    assert len(index._windows([text])[0]) > 20 * len(np.unique(index._windows([text])[3]))
+    assert {k for _, k, *_ in index.search([held])} == {0, 3}
+
+
 def test_each_row_is_decontaminated_by_its_own_text(spark):
     """Rows that share an id, or have none, and int ids."""
     item = prose(30, 71)
@@ -171,6 +193,10 @@ LICENSED = [
     (106, "permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
     (107, "mit mit license license gnu general public licensed"), (108, "ccby cc-by CC\nBY ccc by"), (109, "apachexlicense apache license"),
     (110, "Apache License Version 2.0 alone"),
+    # the rarest words of the notice are altered, its key phrases whole
+    (111, "permission to use kopy modify und or distribute this software for eny purpose with or without fee is hereby granted"),
+    (112, "to the extent possible under law the auther has waived oll copyright"),
+    (113, "to the extent possible under law the author has waived"), (114, "the author has waived all copyright"),
 ]
 
 
@@ -179,14 +205,15 @@ def plain_license(text, weights):
     found = {}
     for label, body, phrases in licenses.TEMPLATES:
         body = body.split()
-        anchors = sorted(set(body), key=lambda w: (-weights[w], w))[:licenses.ANCHORS]
-        starts = {i - p for i, w in enumerate(words) for p, b in enumerate(body) if b == w and w in anchors}
-        for s in starts:
-            must = all(words[s + at:s + at + len(p)] == p and s + at >= 0 for ph in phrases for p in [ph.split()]
-                       for at in [licenses._position(body, p)])
+        places = [(f" {' '.join(body)} ".index(f" {ph} "), ph.split()) for ph in phrases]
+        places = [(len(" ".join(body)[:at].split()), p) for at, p in places]
+        for s in range(-len(body), len(words)):  # every start
+            must = all(s + at >= 0 and words[s + at:s + at + len(p)] == p for at, p in places)
+            if not must:
+                continue
             share = sum(weights[b] for k, b in enumerate(body) if 0 <= s + k < len(words) and words[s + k] == b)
             share /= sum(weights[b] for b in body)
-            if must and share >= licenses.MIN_SHARE:
+            if share >= licenses.MIN_SHARE:
                 found[label] = max(found.get(label, 0), share)
     return found
 
@@ -213,6 +240,7 @@ def test_licenses_match_plain_version(spark, edge, none):
     by = {r["doc_id"]: r for r in out}
     assert by[100_100]["labels"] == "apache,apache-2.0" and by[100_102]["labels"] == "gpl,gpl-3.0"
     assert by[100_103]["labels"] == "cc-by,cc-by-nc-4.0" and by[100_105]["labels"] == "" and by[100_101]["n_base"] == 3
+    assert by[100_111]["labels"] == "isc-text" and by[100_112]["labels"] == by[100_113]["labels"] == "cc0-1.0" and not by[100_114]["labels"]
     assert by[100_104]["n_base"] == 2 and by[100_110]["base_labels"] == "apache"
     assert licenses.scan(none).count() == 0
     assert "Python" not in licenses.scan(rows, frequencies=(dict.fromkeys(vocab, 1), 10))._jdf.queryExecution().toString()
@@ -248,7 +276,7 @@ def test_warc_round_trip(spark):
     df = spark.createDataFrame(PAGES, "page_id long, url string, html string").withColumn("payload", F.lit(1)).coalesce(2)
     for compression in ("gzip", "none"):
         path = warc.write_archive(df, compression=compression)
-        found = [tuple(r) for r in warc.page_captures(warc.assemble(warc.read_records(spark, path, payloads=False))).collect()]
+        found = [tuple(r) for r in warc.page_captures(warc.assemble(warc.read_records(spark, path))).collect()]
         assert sorted(found, key=str) == plain_pages(PAGES)
     captures = warc.assemble(warc.read_records(spark, path)).collect()
     assert len(captures) == len(PAGES)
@@ -259,6 +287,19 @@ def test_warc_round_trip(spark):
     assert warc.page_captures(warc.assemble(warc.read_records(spark, empty))).count() == 0
 
 
+def test_metadata_that_disagree_with_a_payload_are_an_error(spark):
+    """A response whose payload was changed in the archive, and a revisit of it."""
+    pages = [(1, "http://a/", "x" * 200), (2, "http://b/", "x" * 200)]
+    path = warc.write_archive(spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1))
+    records = warc.read_records(spark, path)
+    assert {r["refers_to"] for r in warc.page_captures(warc.assemble(records)).collect()} == {None, 1}
+    changed = records.withColumn("payload", F.when(F.col("type") == "response", F.encode(F.lit("y" * 200), "utf-8")))
+    with pytest.raises(Exception, match="disagree with its payload"):
+        warc.page_captures(warc.assemble(changed)).collect()
+    lost = records.filter("type != 'response' OR concurrent_to IS NOT NULL")
+    assert {r["payload_bytes"] for r in warc.page_captures(warc.assemble(lost)).collect()} == {200}
+
+
 def test_parser_reads_members_by_record_and_rejects_cut_files():
     one = lambda n: (f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <{n}>\r\nContent-Length: {n}\r\n\r\n"
                      + "b" * n + "\r\n\r\n").encode()
