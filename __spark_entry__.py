@@ -488,8 +488,8 @@ def q_many_duplicates_invalid_reviews(spark, sf_dir):
 
 
 def q_rejected_documents(spark, sf_dir):
-    """What the metrics writer refuses, over a document made of every text: as
-    a JSON member, cut short, empty, and with trailing content."""
+    """What the metrics writer refuses, over a document made of every text's id and length:
+    whole, cut short, empty, and with trailing content."""
     from revisor.sinks.metrics import rejected_documents
 
     kind = F.col("doc_id") % 5
@@ -695,6 +695,7 @@ summary AS (
 )""".format(bad=_BAD)
 
 
+# The message texts in this SQL are those of ``revisor/functions/messages.py``.
 def _results_sql(keys: str) -> str:
     sel = f"{keys}, " if keys else ""
     nulls = ("concat_ws(', ', CASE WHEN null_id > 0 THEN '''id'': ' || null_id END, "
