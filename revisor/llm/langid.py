@@ -2,24 +2,30 @@
 
 Subwords are the byte 3-grams and 4-grams of the folded text (white space
 becomes one blank, so grams carry word starts and ends).  Each gram hashes to
-a row of an embedding table; a text is the mean of its rows; a linear softmax
-reads the language from the mean.  Table and softmax are trained together by
-stochastic gradient descent in numpy on a bounded sample of labelled rows
-(about ``MAX_SAMPLE`` texts in all, drawn evenly by language through a hash of the
-id, or ``MIN_EACH`` of every language if that is more; ``MAX_GRAMS`` grams a text,
-spread evenly over the whole text).  Every label that occurs is learned.  One part
-in five of the sample calibrates: a temperature makes the softmax's confidence
-honest, and the rejection threshold is the confidence that all but
-``FALSE_REJECT`` of the calibration texts reach, 0.5 at most.
-
-Prediction covers the whole text: since softmax weights act on a mean, they are
-multiplied into the table first, and a text costs one lookup of a short row
-for each gram.  With more languages than ``DIMENSIONS`` they act on the mean
-itself, which keeps the rows short.
+a row of an embedding table; a text is the mean of the rows of all its grams; a
+linear softmax reads the language from the mean.  The model has this one form
+for any number of languages.
+
+Table and softmax are trained together by stochastic gradient descent in numpy
+on a bounded sample of labelled rows, read whole: about ``max_sample`` texts and
+``max_bytes`` of text in all, drawn evenly by language, or ``MIN_EACH`` texts of
+every language if that is more.  A hash of id and text decides whether a row is
+drawn, and rows that repeat both count once, so the sample does not depend on the
+order of the rows and no repeated id crowds others out.  A drawn text becomes its
+distinct table rows with their shares, at most 2 * ``BUCKETS`` of them however
+long it is.  Every label that occurs is learned; more than ``MAX_LABELS`` of them
+are an error, as then the column does not hold languages.  One part in five of
+the sample calibrates: a temperature makes the softmax's confidence honest, and
+the rejection threshold is the confidence that all but ``FALSE_REJECT`` of the
+calibration texts reach, 0.5 at most.
+
+Prediction covers the whole text, in blocks of ``BLOCK`` bytes, which keeps its
+memory flat for very long texts.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0 and
 rejected, and never learned from; without labelled rows every text is ``und``;
-a null id is predicted but never learned from; repeated rows are predicted alike; columns beyond id,
+a null id is predicted but never learned from; repeated rows are predicted alike; of
+equal probabilities the label that sorts first wins; columns beyond id,
 text and label are not read.
 """
 
@@ -35,15 +41,15 @@ from revisor.llm.common import numbered, rename_free, slices, string_views
 from revisor.llm.hashing import FOLD, IS_SPACE
 
 BUCKETS = 1 << 16  # for either gram length
-DIMENSIONS = 16
-MANY_DIMENSIONS = 64  # these two with more languages than DIMENSIONS
-MANY_EPOCHS = 12
+DIMENSIONS = 32
 MAX_SAMPLE = 6000
+MAX_SAMPLE_BYTES = 32 << 20
 MIN_EACH = 30
-MAX_GRAMS = 600
-EPOCHS = 6
+MAX_LABELS = 4096
+EPOCHS = 8
+BLOCK = 1 << 14
 BATCH = 32
-RATE = 2.0
+RATE = 4.0
 FALSE_REJECT = 0.001
 UNKNOWN = "und"
 
@@ -77,12 +83,31 @@ def has_letter(data: np.ndarray) -> bool:
     return any(c.isalpha() for c in data.tobytes().decode("utf-8", "replace"))
 
 
+def gram_shares(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct table rows of a text's grams, and the share of each."""
+    found = [np.unique(_block(data, at, 1 << 20), return_counts=True) for at in range(0, max(1, len(data)), 1 << 20)]
+    rows, counts = found[0]
+    if len(found) > 1:
+        total = np.zeros(2 * BUCKETS, dtype=np.int64)
+        for own, n in found:
+            total[own] += n
+        rows = np.flatnonzero(total)
+        counts = total[rows]
+    return rows, (counts / counts.sum()).astype(np.float32)
+
+
+def _block(data: np.ndarray, at: int, size: int) -> np.ndarray:
+    """Table rows of one block's grams; blocks overlap by the three bytes before them."""
+    return grams(data[max(0, at - 3):at + size])
+
+
 class LanguageModel:
-    """``table`` holds logits of each gram, or embeddings that ``weight`` makes logits of."""
+    """``table`` holds embeddings of the grams; ``weight`` and ``bias`` make logits of their mean."""
 
     def __init__(self, languages: list[str], table: np.ndarray, bias: np.ndarray, temperature: float, threshold: float,
                  weight: np.ndarray | None = None):
-        self.languages, self.table, self.bias, self.weight = languages, table, bias, weight
+        self.languages, self.table, self.bias = languages, table, bias
+        self.weight = np.eye(table.shape[1]) if weight is None else weight
         self.temperature, self.threshold = temperature, threshold
 
     def predict(self, data: np.ndarray | None) -> tuple[str, float, bool]:
@@ -90,12 +115,11 @@ class LanguageModel:
         if data is None or not self.languages or not has_letter(data):
             return UNKNOWN, 0.0, True
         total, n = np.zeros(self.table.shape[1]), 0
-        for at in range(0, len(data), 1 << 20):  # overlapping blocks keep memory flat
-            rows = grams(data[max(0, at - 3):at + (1 << 20)])
-            total += self.table[rows].sum(axis=0, dtype=np.float64)
+        for at in range(0, len(data), BLOCK):
+            rows = _block(data, at, BLOCK)
+            total += self.table.take(rows, axis=0).sum(axis=0)
             n += len(rows)
-        mean = total / n if self.weight is None else total / n @ self.weight
-        logits = (mean + self.bias) / self.temperature
+        logits = (total / n @ self.weight + self.bias) / self.temperature
         p = np.exp(logits - logits.max())
         p /= p.sum()
         best = int(p.argmax())
@@ -107,92 +131,104 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return p / p.sum(axis=1, keepdims=True)
 
 
-def fit(languages: list[str], labels: np.ndarray, texts: list[np.ndarray], seed: int = 7) -> LanguageModel:
-    """SGD on (label, gram rows) pairs, then calibration on every fifth pair."""
+def _mean(embed: np.ndarray, text: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    # einsum stays on one core: products this small would only keep BLAS threads spinning
+    return np.einsum("i,ij->j", text[1], embed.take(text[0], axis=0))
+
+
+def fit(languages: list[str], labels: np.ndarray, texts: list[tuple[np.ndarray, np.ndarray]], seed: int = 7) -> LanguageModel:
+    """SGD on labels and the gram shares of their texts, then calibration on every fifth text."""
     rng = np.random.default_rng(seed)
     n = len(languages)
     held = np.arange(len(labels)) % 5 == 4
     if held.sum() < n or n < 2:
         held[:] = False
     train = np.flatnonzero(~held)
-    width, epochs = (DIMENSIONS, EPOCHS) if n <= DIMENSIONS else (MANY_DIMENSIONS, MANY_EPOCHS)
-    embed = rng.normal(0, 0.1, (2 * BUCKETS, width)).astype(np.float32)
-    weight = rng.normal(0, 0.1, (width, n)).astype(np.float32)
+    embed = rng.normal(0, 0.1, (2 * BUCKETS, DIMENSIONS)).astype(np.float32)
+    weight = rng.normal(0, 0.1, (DIMENSIONS, n)).astype(np.float32)
     bias = np.zeros(n, dtype=np.float32)
-    steps = epochs * max(1, -(-len(train) // BATCH))
+    steps = EPOCHS * max(1, -(-len(train) // BATCH))
     step = 0
-    for _ in range(epochs):
+    for _ in range(EPOCHS):
         rng.shuffle(train)
         for at in range(0, len(train), BATCH):
             own = train[at:at + BATCH]
-            rows = [texts[i] for i in own]
-            starts = np.cumsum([0] + [len(r) for r in rows[:-1]])
-            sizes = np.array([len(r) for r in rows], dtype=np.float32)
-            flat = np.concatenate(rows)
-            mean = np.add.reduceat(embed[flat], starts, axis=0) / sizes[:, None]
+            mean = np.stack([_mean(embed, texts[i]) for i in own])
             error = _softmax(mean @ weight + bias)
             error[np.arange(len(own)), labels[own]] -= 1
             error /= len(own)
-            rate = RATE * (1 - step / steps)
-            back = error @ weight.T / sizes[:, None]
-            weight -= rate * mean.T @ error
+            rate = np.float32(RATE * (1 - step / steps))
+            back = error @ weight.T * (rate * BATCH)
+            weight -= rate * (mean.T @ error)
             bias -= rate * error.sum(axis=0)
-            # a text's gradient is one row for all its grams; the mean makes it small, so scale it up
-            np.subtract.at(embed, flat, np.repeat(back * (rate * BATCH), sizes.astype(int), axis=0))
+            # a text's gradient is spread over all its grams; the mean makes it small, so scale it up
+            for i, change in zip(own, back):
+                rows, shares = texts[i]
+                embed[rows] = embed.take(rows, axis=0) - shares[:, None] * change
             step += 1
-    table, after = (embed @ weight, None) if n <= DIMENSIONS else (embed, weight)
     temperature, threshold = 1.0, 0.0
     if held.any():
-        logits = np.stack([table[texts[i]].mean(axis=0) for i in np.flatnonzero(held)])
-        logits = (logits if after is None else logits @ after) + bias
+        logits = np.stack([_mean(embed, texts[i]) for i in np.flatnonzero(held)]) @ weight + bias
         truth = labels[held]
         loss = [(-np.log(_softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12).mean(), t)
                 for t in np.geomspace(0.05, 20, 61)]
         temperature = float(min(loss)[1])
         reached = _softmax(logits / temperature).max(axis=1)
         threshold = float(min(0.5, np.quantile(reached, FALSE_REJECT)))
-    return LanguageModel(languages, table.astype(np.float32), bias, temperature, threshold, after)
+    return LanguageModel(languages, embed, bias, temperature, threshold, weight)
+
+
+def drawn(rows: DataFrame, counts: list, max_sample: int, max_bytes: int) -> DataFrame:
+    """The sample of (doc_id, text, lang) rows: columns ``own``, a hash of id and text, ``lang`` and ``text``.
+
+    ``counts`` has the number of rows and the mean bytes of each language.
+    """
+    each = max(max_sample // len(counts), MIN_EACH)
+    scale = 1 << 30
+    shares = []
+    for r in counts:
+        fitting = max_bytes / len(counts) / max(1.0, r["bytes"])
+        shares.append((r["lang"], min(scale, int(scale * max(MIN_EACH, min(each, fitting)) / max(1, r["n"])))))
+    table = rows.sparkSession.createDataFrame(shares, "lang string, share long")
+    return (rows.select(_own().alias("own"), "lang", "text").join(F.broadcast(table), "lang")
+            .filter(F.pmod("own", F.lit(scale)) < F.col("share")).drop("share").dropDuplicates(["own", "lang"]))
+
+
+def _own() -> Column:
+    return F.xxhash64(F.lit(17), F.col("doc_id"), F.col("text"))
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          max_sample: int = MAX_SAMPLE) -> LanguageModel:
+          max_sample: int = MAX_SAMPLE, max_bytes: int = MAX_SAMPLE_BYTES) -> LanguageModel:
     """Fit on a bounded sample of the labelled rows that are not held out."""
-    rows = rename_free(docs, doc_id=id_col, text=text_col, lang=lang_col)
+    rows = rename_free(docs, doc_id=id_col, text=text_col, lang=lang_col).withColumn("lang", F.col("lang").cast("string"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
                        & ~held_out(F.col("doc_id")))
-    counts = rows.groupBy("lang").count().collect()
+    counts = (rows.groupBy("lang").agg(F.approx_count_distinct(_own()).alias("n"), F.avg(F.octet_length("text")).alias("bytes"))
+              .limit(MAX_LABELS + 1).collect())
+    if len(counts) > MAX_LABELS:
+        raise ValueError(f"{lang_col} holds more than {MAX_LABELS} labels")
     languages = sorted(r["lang"] for r in counts)
+    untrained = LanguageModel([], np.zeros((2 * BUCKETS, 0), np.float32), np.zeros(0), 1.0, 0.0)
     if not languages:
-        return LanguageModel([], np.zeros((2 * BUCKETS, 0), np.float32), np.zeros(0), 1.0, 0.0)
-    each = max(max_sample // len(languages), MIN_EACH)
-    scale = 1 << 30
-    shares = docs.sparkSession.createDataFrame([(r["lang"], min(scale, int(scale * each / r["count"]))) for r in counts],
-                                               f"lang {dict(rows.dtypes)['lang']}, share long")
-    place = F.pmod(F.xxhash64(F.lit(17), F.col("doc_id")), F.lit(scale))
-    picked = rows.join(F.broadcast(shares), "lang").filter(place < F.col("share"))
+        return untrained
 
     def features(batches):
         for batch in slices(batches):
-            out, keep = [], []
-            for data in string_views(batch.column("text")):
-                keep.append(has_letter(data))
-                g = grams(data)
-                if len(g) > MAX_GRAMS:
-                    g = g[np.arange(MAX_GRAMS) * len(g) // MAX_GRAMS]
-                out.append(g.astype("<u4").tobytes())
+            views = list(string_views(batch.column("text")))
+            pairs = [gram_shares(data) for data in views]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("place"), batch.column("lang"), pa.array(out, pa.binary())],
-                names=["place", "lang", "grams"]).filter(pa.array(keep))
+                [batch.column("own"), batch.column("lang"), pa.array([r.astype("<u4").tobytes() for r, _ in pairs], pa.binary()),
+                 pa.array([w.astype("<f4").tobytes() for _, w in pairs], pa.binary())],
+                names=["own", "lang", "rows", "shares"]).filter(pa.array([has_letter(data) for data in views]))
 
-    sample = (picked.select(place.alias("place"), "lang", "text")
-              .mapInArrow(features, "place long, lang string, grams binary").limit(2 * max(max_sample, each * len(languages))).toArrow())
-    order = sorted(zip(sample.column("place").to_pylist(), sample.column("lang").to_pylist(),
-                       sample.column("grams").to_pylist()))
-    index = {name: i for i, name in enumerate(languages)}
+    sample = drawn(rows, counts, max_sample, max_bytes).mapInArrow(features, "own long, lang string, rows binary, shares binary").toArrow()
+    order = sorted(zip(*[sample.column(c).to_pylist() for c in ("own", "lang", "rows", "shares")]))
     if not order:
-        return LanguageModel([], np.zeros((2 * BUCKETS, 0), np.float32), np.zeros(0), 1.0, 0.0)
-    labels = np.array([index[lang] for _, lang, _ in order], dtype=np.int64)
-    return fit(languages, labels, [np.frombuffer(g, dtype="<u4").astype(np.int64) for _, _, g in order])
+        return untrained
+    index = {name: i for i, name in enumerate(languages)}
+    labels = np.array([index[lang] for _, lang, _, _ in order], dtype=np.int64)
+    return fit(languages, labels, [(np.frombuffer(r, dtype="<u4"), np.frombuffer(w, dtype="<f4")) for _, _, r, w in order])
 
 
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import random
+import zlib
 
 import brute
 import numpy as np
@@ -426,6 +427,68 @@ def test_every_language_is_learned(spark):
     assert sum(ok for _, ok in right) >= 0.97 * len(right) and sum(rare) >= 0.97 * len(rare)
 
 
+def invented_languages(n, each, seed=5, words=12):
+    rng = random.Random(seed)
+    vocabulary = {f"l{k:03d}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(words)] for k in range(n)}
+    return [(lang, " ".join(rng.choice(own) for _ in range(20))) for lang, own in vocabulary.items() for _ in range(each)]
+
+
+@pytest.mark.parametrize("n", [15, 16, 17, 33])
+def test_the_model_has_one_form_for_any_number_of_labels(spark, n):
+    rows = invented_languages(n, 60)
+    docs = spark.createDataFrame([(i, *row) for i, row in enumerate(rows)], "doc_id long, lang string, text string")
+    model = langid.train(docs)
+    assert model.table.shape == (2 * langid.BUCKETS, langid.DIMENSIONS) and model.weight.shape == (langid.DIMENSIONS, n)
+    found = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs, model).collect()}
+    held = [i for i in range(len(rows)) if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert len(held) > 100 and sum(found[i] == rows[i][0] for i in held) >= 0.97 * len(held)
+
+
+def test_a_text_is_learned_whole():
+    """The words that tell the languages apart stand at the end of long texts."""
+    rng = random.Random(8)
+    noise = [prose(1500, 100 + k) for k in range(40)]
+    texts = [(k % 2, f"{rng.choice(noise)} {('qqxz jjvk ' if k % 2 else 'wwpf bbhd ') * 300}") for k in range(200)]
+    pairs = [langid.gram_shares(np.frombuffer(t.encode(), dtype=np.uint8)) for _, t in texts]
+    for (_, text), (rows, shares) in zip(texts[:5], pairs):
+        flat = langid.grams(np.frombuffer(text.encode(), dtype=np.uint8))
+        assert np.array_equal(rows, np.unique(flat)) and abs(float(shares.sum()) - 1) < 1e-4
+    model = langid.fit(["a", "b"], np.array([label for label, _ in texts]), pairs)
+    right = [model.predict(np.frombuffer(t.encode(), dtype=np.uint8))[0] == "ab"[label] for label, t in texts]
+    assert sum(right) >= 0.97 * len(right)
+
+
+def test_gram_shares_of_a_very_long_text():
+    data = np.frombuffer(("abcd efg " * 300_000).encode(), dtype=np.uint8)
+    rows, shares = langid.gram_shares(data)
+    whole = np.bincount(langid.grams(data), minlength=2 * langid.BUCKETS) / len(langid.grams(data))
+    assert np.allclose(shares, whole[rows], atol=1e-5) and shares.dtype == np.float32
+    empty, none_of_it = langid.gram_shares(np.zeros(0, dtype=np.uint8))
+    assert len(empty) == len(none_of_it)
+
+
+def test_the_sample_follows_rows_and_not_their_order(spark):
+    """One id and text that holds most rows is drawn once; the order of the rows changes nothing."""
+    rows = invented_languages(3, 400)
+    docs = spark.createDataFrame([(i, *row) for i, row in enumerate(rows)], "doc_id long, lang string, text string")
+    hot = spark.range(5000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("l000").alias("lang"), F.lit("zzz yyy").alias("text"))
+    several = docs.unionByName(hot)
+    counts = several.groupBy("lang").agg(F.approx_count_distinct(langid._own()).alias("n"), F.lit(100.0).alias("bytes")).collect()
+    picked = [{(r["own"], r["lang"]) for r in langid.drawn(d, counts, 300, 1 << 20).collect()} for d in (several, several.repartition(7))]
+    assert picked[0] == picked[1]
+    by = {lang: sum(1 for _, x in picked[0] if x == lang) for lang in ("l000", "l001", "l002")}
+    assert all(60 <= n <= 150 for n in by.values())
+    fewer = langid.drawn(several, counts, 300, 3 * 50 * 100).count()
+    assert fewer < 0.75 * len(picked[0])
+
+
+def test_a_column_that_holds_no_languages_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LABELS", 20)
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("some words").alias("text"), F.col("id").cast("string").alias("lang"))
+    with pytest.raises(ValueError, match="more than 20 labels"):
+        langid.train(docs)
+
+
 def test_language_edges(spark, edge, none):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = langid.train(docs)
