@@ -14,7 +14,9 @@ folds committed batches into a base that remembers their ids.
 Defined cases: a null source, language or version is a group of its own; a
 missing count is 0 tokens; a change with neither side does nothing; repeated
 rows are changes each; groups without documents leave the totals; an empty batch
-commits and adds nothing; columns beyond the named ones are not read.
+commits and adds nothing; columns beyond the named ones are not read.  Counting
+tokens gives one row for every row, ids null or repeated as they are; a null or
+empty text has 0 tokens, a very long one is counted whole.
 """
 
 from __future__ import annotations
@@ -101,17 +103,26 @@ class Rollup:
         fs, mark = self._fs(f"{folder}/_SUCCESS")
         return fs.exists(mark)
 
-    def _base(self) -> tuple[str | None, set[str]]:
-        """The latest base and the batches folded into it."""
+    def _base(self) -> str | None:
+        """Folder of the latest base."""
         bases = self._folders("base=")
-        if not bases:
-            return None, set()
-        folder = f"{self.path}/base={bases[-1]}"
-        ids = self.spark.read.schema("id string").parquet(f"{folder}/ids").collect()
-        return folder, {r["id"] for r in ids}
+        return f"{self.path}/base={bases[-1]}" if bases else None
+
+    def _ids(self, base: str | None) -> DataFrame:
+        """Ids of the batches folded into a base; their number grows, so they stay on the executors."""
+        return self.spark.read.schema("id string").parquet(f"{base}/ids") if base else self.spark.createDataFrame([], "id string")
+
+    def _pending(self, base: str | None) -> tuple[list[str], list[str]]:
+        """Committed batches whose folders are there: those not folded yet, and those a cut-off compaction left."""
+        there = self._folders("batch=")
+        if not base or not there:
+            return there, []
+        folders = self.spark.createDataFrame([(b,) for b in there], "id string")
+        folded = {r["id"] for r in folders.join(self._ids(base), "id", "left_semi").collect()}
+        return [b for b in there if b not in folded], sorted(folded)
 
     def committed(self, batch: str) -> bool:
-        return self._marked(self._folder(batch)) or batch in self._base()[1]
+        return self._marked(self._folder(batch)) or not self._ids(self._base()).filter(F.col("id") == batch).isEmpty()
 
     def apply(self, batch: str, changes: DataFrame) -> bool:
         """Commit a batch of changes (columns ``before`` and ``after``); False if it was committed before."""
@@ -129,8 +140,8 @@ class Rollup:
 
     def totals(self) -> DataFrame:
         """Documents and tokens by source, language and tokenizer version."""
-        base, folded = self._base()
-        paths = [self._folder(b) for b in self._folders("batch=") if b not in folded] + ([f"{base}/totals"] if base else [])
+        base = self._base()
+        paths = [self._folder(b) for b in self._pending(base)[0]] + ([f"{base}/totals"] if base else [])
         if not paths:
             return self.spark.createDataFrame([], DELTA_SCHEMA)
         deltas = self.spark.read.schema(DELTA_SCHEMA).parquet(*paths)
@@ -139,15 +150,15 @@ class Rollup:
 
     def compact(self) -> None:
         """Fold all committed batches into a new base; replays of them stay without effect."""
-        _, folded = self._base()
-        batches = [b for b in self._folders("batch=") if b not in folded]
+        base = self._base()
+        batches, leftover = self._pending(base)
         number = len(self._folders("base="))
         folder = f"{self.path}/base={number:08d}"
         self.totals().write.mode("overwrite").parquet(f"{folder}/totals")
-        ids = self.spark.createDataFrame([(b,) for b in sorted(folded | set(batches))], "id string")
-        ids.write.mode("overwrite").parquet(f"{folder}/ids")
+        new = self.spark.createDataFrame([(b,) for b in batches], "id string")
+        self._ids(base).union(new).write.mode("overwrite").parquet(f"{folder}/ids")
         fs, mark = self._fs(f"{folder}/_SUCCESS")
         fs.create(mark, True).close()
-        for b in batches:
+        for b in batches + leftover:
             fs, p = self._fs(self._folder(b))
             fs.delete(p, True)

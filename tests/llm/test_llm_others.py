@@ -357,6 +357,47 @@ def test_rollup_deltas_replays_and_compaction(spark):
     assert rollup.apply("empty", spark.createDataFrame([], schema)) and rollup.committed("empty")
 
 
+def test_compaction_cut_off_before_its_deletes(spark, monkeypatch):
+    """Folders of folded batches that stayed behind count once, and the next compaction removes them."""
+    path = stage_dir(spark, "rollup-cut")
+    rollup = rollups.Rollup(spark, path)
+    change = spark.createDataFrame([(None, side_of("a", "en", "v", 5))], f"before {rollups.SIDE}, after {rollups.SIDE}")
+    assert rollup.apply("one", change) and rollup.apply("two", change)
+
+    class NoDelete:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            if name == "delete":
+                raise OSError("cut off")
+            return getattr(self.fs, name)
+
+    real = rollups.Rollup._fs
+    monkeypatch.setattr(rollups.Rollup, "_fs", lambda self, p: (NoDelete(real(self, p)[0]), real(self, p)[1]))
+    with pytest.raises(OSError, match="cut off"):
+        rollup.compact()
+    monkeypatch.undo()
+    assert rollup._folders("batch=") == ["one", "two"] and rollup.apply("three", change) and not rollup.apply("one", change)
+    total = lambda: [(r["documents"], r["tokens"]) for r in rollup.totals().collect()]
+    assert total() == [(3, 15)]
+    rollup.compact()
+    assert total() == [(3, 15)] and rollup._folders("batch=") == []
+    assert not any(rollup.apply(b, change) for b in ("one", "two", "three"))
+
+
+def test_token_counts_of_odd_rows(spark, edge, none):
+    import public_tokenizers
+    import tokenizers
+
+    counted = rollups.count_tokens(edge, {"v1": public_tokenizers.path("byte_bpe_50k.tiktoken")}).collect()
+    exact = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    expected = sorted((str(i), len(exact.encode(t or "", add_special_tokens=False).ids)) for i, t in EDGE)
+    assert sorted((str(r["doc_id"]), r["n_v1"]) for r in counted) == expected
+    assert {r["lang"] for r in counted} == {"en"}
+    assert rollups.count_tokens(none, {"v1": public_tokenizers.path("byte_bpe_50k.tiktoken")}).count() == 0
+
+
 def test_rollup_ignores_a_batch_without_its_mark(spark):
     path = stage_dir(spark, "rollup-test")
     rollup = rollups.Rollup(spark, path)
