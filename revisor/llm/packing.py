@@ -5,14 +5,18 @@ length, so the whole corpus packs through its length histogram (at most
 ``length`` numbers): ``packing_plan`` fills a sequence greedily with the largest
 piece that fits, then replaces its smallest piece by two unpacked pieces that
 fill the widened gap more tightly, and repeats each pattern of lengths as
-often as the remaining counts allow.  A pattern run uses up the count of one
-of its lengths, so the plan has a bounded number of rows, whatever the corpus.
+often as the same choices would be made again.  A pattern run leaves one of its
+lengths with fewer pieces than a sequence takes, so the number of plan rows depends on
+the lengths, not on the corpus.
 
 On the executors a piece gets its rank among the pieces of its length: its
 place within its input partition plus the partition's offset, a prefix sum over
 (partition, length) counts.  The plan owns ranges of ranks for each length,
-so length and rank give the sequence and the offset by a binary search.  No
-piece is sorted, shuffled or collected.
+so length and rank give the sequence and the offset by a binary search.  The
+partitions' offsets grow with the input, so they are merged with the pieces by
+(partition, length) behind an exchange of narrow rows, never broadcast; a key holds
+only pieces of one input partition, so no length of the corpus meets in one task.
+No text is shuffled, and nothing is collected but the histogram.
 
 Defined cases: a null text is empty and packs as the single end id; equal and
 repeated rows are packed one by one; a null id is carried along; an empty
@@ -130,7 +134,8 @@ def packing_plan(counts: np.ndarray, length: int) -> list[tuple[list[int], int]]
     Best-two-fit: every sequence starts with the longest piece left and takes
     the longest that still fits until none does; then its smallest piece gives
     way to the two unpacked pieces that fill its place and the gap best, if they
-    fill more than it did (of equal sums, the pair with the larger piece).
+    fill more than it did (of equal sums, the pair with the larger piece).  A pattern
+    repeats as long as packing one sequence after the other would choose it again.
     """
     left = np.array(counts, dtype=np.int64)
     left[0] = 0
@@ -153,6 +158,7 @@ def packing_plan(counts: np.ndarray, length: int) -> list[tuple[list[int], int]]
             chosen += [size] * n
             used[size] = used.get(size, 0) + n
             gap -= n * size
+        wanted = dict(used)  # pieces that must be there for the same choices
         if gap and len(chosen) > 1:
             smallest = chosen[-1]
             free = left.copy()
@@ -161,8 +167,10 @@ def packing_plan(counts: np.ndarray, length: int) -> list[tuple[list[int], int]]
             pair = best_pair(free, gap + smallest)
             if pair and sum(pair) > smallest:
                 chosen = chosen[:-1] + list(pair)
+                for size in pair:
+                    wanted[size] = wanted.get(size, 0) + 1
         need = {size: chosen.count(size) for size in set(chosen)}
-        times = min(int(left[size]) // n for size, n in need.items())
+        times = min((int(left[size]) - wanted[size]) // n + 1 for size, n in need.items())
         for size, n in need.items():
             left[size] -= n * times
         plan.append((chosen, times))
@@ -244,5 +252,5 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
 
     kinds = dict(pieces.dtypes)
     schema = ", ".join(f"{c} {kinds[c]}" for c in columns) + ", sequence_id long, offset long"
-    joined = pieces.join(offsets, ["part", "length"], "left")
+    joined = pieces.join(offsets.hint("merge"), ["part", "length"], "left")
     return joined.mapInArrow(assign, schema).withColumn("length", F.col("length").cast("long"))

@@ -337,6 +337,47 @@ def test_plan_uses_every_piece_once():
     assert packing.packing_plan(counts, 10)[0] == ([6, 2, 2], 1)
 
 
+def plain_two_fit(lengths, room):
+    """Best-two-fit one sequence after the other, by trying every piece and every pair."""
+    left, out = sorted(lengths, reverse=True), []
+    while left:
+        own = []
+        for x in list(left):
+            if sum(own) + x <= room:
+                own.append(x)
+                left.remove(x)
+        gap = room - sum(own)
+        if gap and len(own) > 1:
+            pairs = [(left[i] + left[j], left[i], left[j]) for i in range(len(left)) for j in range(i + 1, len(left))
+                     if left[i] + left[j] <= gap + own[-1]]
+            best = max(pairs, default=(0, 0, 0))
+            if best[0] > own[-1]:
+                left.append(own.pop())
+                for x in best[1:]:
+                    left.remove(x)
+                    own.append(x)
+                left.sort(reverse=True)
+        out.append(sorted(own, reverse=True))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_plan_packs_as_sequence_after_sequence(seed):
+    rng = random.Random(seed)
+    room = rng.choice([7, 12, 20, 33, 64])
+    lengths = [min(room, 1 + int(rng.expovariate(rng.choice([0.1, 0.3])))) for _ in range(rng.choice([1, 5, 40, 150]))]
+    lengths += [rng.randint(1, room)] * rng.choice([0, 30])
+    plan = packing.packing_plan(np.bincount(lengths, minlength=room + 1), room)
+    assert sorted(sorted(chosen, reverse=True) for chosen, times in plan for _ in range(times)) == plain_two_fit(lengths, room)
+
+
+def test_offsets_of_partitions_are_not_broadcast(spark):
+    found = packing.pack(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    found.count()  # the plan after Spark saw how small the offsets are
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_encoder_equals_the_tokenizer_file(docs):
     from tokenizers import Tokenizer
 
