@@ -141,6 +141,7 @@ class Validation:
     join_options: dict = field(default_factory=dict)
     staged_summary: DataFrame | None = None
     staged_keys: DataFrame | None = None
+    stage_path: str | None = None
     _invalid: DataFrame | None = None
     _join_plan: JoinPlan | None = None
 
@@ -175,7 +176,7 @@ class Validation:
     def _plan_duplicates(self) -> None:
         if self._invalid is None:
             self._invalid, self._join_plan = checks.invalid_rows_planned(
-                self.source, self.duplicate_keys, self.group_cols, **self.join_options
+                self.source, self.duplicate_keys, self.group_cols, stage_path=self.stage_path, **self.join_options
             )
 
     @property
@@ -187,7 +188,7 @@ class Validation:
         """Valid and invalid rows in one frame with a ``side`` column (one
         pass over the input when the duplicated keys are broadcast)."""
         rows, plan = checks.side_rows_planned(self.source, self.duplicate_keys, self.group_cols,
-                                              **self.join_options)
+                                              stage_path=self.stage_path, **self.join_options)
         self._join_plan = self._join_plan or plan
         return rows
 
@@ -226,4 +227,5 @@ def validate(
         if stage_path is None:
             stage_path = stage_dir(df.sparkSession, "validation")
         v.staged_summary, v.staged_keys = stage_tables(stats, group_cols, stage_path)
+        v.stage_path = stage_path
     return v

@@ -211,7 +211,8 @@ def _run_reviews(spark, reviews, out_base, odate, ctx, group_cols, overwrite, jo
         own = partitions if name != "reviews" else ["side", *partitions]
         target = os.path.join(out_base, name)
         out = save_dataframe(rows, target if layout == "sides" else both.aside(target), name, odate=odate, schema=WRITTEN_SCHEMA,
-                             strict=True, partition_cols=own, overwrite=overwrite, max_records_per_file=rows_per_file)
+                             strict=True, partition_cols=own, overwrite=overwrite, max_records_per_file=rows_per_file,
+                             fresh=layout == "split")
         return out if layout == "sides" else both.add(out, target, overwrite, len(own))
 
     stage_path = stage_dir(spark, "key-stats")
@@ -334,8 +335,9 @@ def run_single_app(
     valid_target, invalid_target = target_path(valid_base, app, type_client), target_path(invalid_base, app, type_client)
     try:
         v = validate(reviews, [], materialize=True, stage_path=stage_path)
-        valid = save_dataframe(v.valid, both.aside(valid_target), "valid", odate=odate, schema=BRONZE_SCHEMA, overwrite=overwrite)
-        invalid = save_dataframe(v.invalid, both.aside(invalid_target), "invalid", odate=odate, overwrite=overwrite)
+        valid = save_dataframe(v.valid, both.aside(valid_target), "valid", odate=odate, schema=BRONZE_SCHEMA, overwrite=overwrite,
+                               fresh=True)
+        invalid = save_dataframe(v.invalid, both.aside(invalid_target), "invalid", odate=odate, overwrite=overwrite, fresh=True)
         _checked(valid, invalid)
         valid, invalid = both.add(valid, valid_target, overwrite, 1), both.add(invalid, invalid_target, overwrite, 1)
         both.commit()

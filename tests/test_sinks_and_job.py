@@ -387,3 +387,25 @@ def test_cli_requested(spark, tmp_dir, capsys):
     said = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert said["empty_groups"] == 2
     assert sorted(r["app"] for r in spark.read.json(said["empty_path"]).collect()) == ["app_y", "app_z"]
+
+
+def test_a_fresh_folder_is_not_probed(spark, tmp_dir, monkeypatch):
+    """A write aside is one job, and the session gets its number of open files back after a write."""
+    from pyspark.sql import DataFrame
+
+    from revisor.sinks import parquet
+
+    seen = []
+    real = DataFrame.isEmpty
+    monkeypatch.setattr(DataFrame, "isEmpty", lambda df: seen.append(1) or real(df))
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    with parquet._open_files(spark):
+        assert spark.conf.get(key) == str(parquet.OPEN_FILES)
+    assert spark.conf.get(key) == before
+    rows = spark.createDataFrame([("r1", "s", "5")], "id string, snippet string, rating string")
+    assert parquet.save_dataframe(rows, tmp_dir + "/aside", "valid", odate="20240101", fresh=True).rows == 1
+    assert not parquet.save_dataframe(rows.where("false"), tmp_dir + "/none", "valid", odate="20240101", fresh=True).ok
+    assert not seen
+    assert not parquet.save_dataframe(rows.where("false"), tmp_dir + "/aside", "valid", odate="20240101").ok
+    assert seen and spark.read.parquet(tmp_dir + "/aside").count() == 1

@@ -347,3 +347,54 @@ def test_staged_empty_batch(spark):
     df = spark.createDataFrame([], BRONZE_SCHEMA).withColumn("app", F.lit("a")).withColumn("type_client", F.lit("pf"))
     v = validate(df, materialize=True)
     assert v.summary.count() == 0 and v.invalid.count() == 0 and v.join_plan.strategy == "empty"
+
+
+def _keys_frame(spark):
+    """Ids of one to three copies in groups that may be NULL, rows without id, snippet or rating, and one id with many copies."""
+    n = F.col("id")
+    rows = spark.range(6000).select(
+        F.when(n % 17 != 0, F.concat(F.lit("k"), F.when(n % 5 < 2, n - n % 5).otherwise(n).cast("string"))).alias("key"),
+        F.when(n % 13 != 0, "s").alias("snippet"), F.when(n % 11 != 0, "1").otherwise("bad").alias("rating"),
+        F.when(n % 3 != 0, F.concat(F.lit("a"), (n % 2).cast("string"))).alias("app"))
+    many = spark.range(700).select(F.lit("many").alias("key"), F.lit("s").alias("snippet"), F.lit("1").alias("rating"), F.lit("a0").alias("app"))
+    null = F.lit(None).cast("string")
+    return rows.unionByName(many).select(
+        null.alias("avatar"), F.lit("d").alias("date"), F.col("key").alias("id"), null.alias("iso_date"), F.lit(0).cast("bigint").alias("likes"),
+        "rating", F.lit(None).cast("map<string,string>").alias("response"), "snippet", null.alias("title"), "app", F.lit("pf").alias("type_client"))
+
+
+@pytest.mark.parametrize("hot_rows", [None, 100])
+@pytest.mark.parametrize("most", [None, 1 << 12])
+@pytest.mark.parametrize("groups", [[], ["app", "type_client"]])
+def test_staged_runs_shuffle_no_rows(spark, tmp_dir, monkeypatch, hot_rows, most, groups):
+    """Keys too many to broadcast: both sides are flagged map-side in one scan, exactly, however full the filter is."""
+    if most:
+        monkeypatch.setattr(checks, "FILTER_MAX_BYTES", most)
+        monkeypatch.setattr(checks, "FILTER_BITS_PER_KEY", 2)
+    _keys_frame(spark).write.parquet(tmp_dir + "/bronze")
+    rows = spark.read.parquet(tmp_dir + "/bronze")
+    v = validate(rows, groups, materialize=True, stage_path=tmp_dir + "/stage", broadcast_max_bytes=0, hot_rows=hot_rows)
+    keys = checks.duplicate_ids(rows, groups)
+    plain = checks.invalid_rows(checks.null_invalid_rows(rows, groups), checks.duplicate_rows(rows, keys, groups))
+
+    def found(df):
+        return Counter(tuple(r) for r in df.select(*groups, "id", "snippet", "rating").collect())
+
+    assert found(v.invalid) == found(plain) and plain.count() > 1000
+    assert v.join_plan.strategy == ("hot_split" if hot_rows else "shuffle")
+    sides = v.sides()
+    assert sides.where("side = 'invalid'").count() == plain.count()
+    assert sides.where("side = 'valid'").count() == checks.valid_rows(rows, groups).count()
+    for df in (v.invalid, sides):
+        assert len(_scans(df, "/bronze")) == 1
+        assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_unsure_keys_too_many_to_broadcast(spark, tmp_dir, monkeypatch):
+    """With no room for them the rows are joined behind the exchange, with the same result."""
+    rows = _keys_frame(spark)
+    want = validate(rows).invalid.count()
+    monkeypatch.setattr(checks, "HOT_BROADCAST_MAX_BYTES", -1)
+    v = validate(rows, materialize=True, stage_path=tmp_dir + "/stage", broadcast_max_bytes=0)
+    assert v.invalid.count() == want
+    assert v.sides().where("side = 'invalid'").count() == want
