@@ -12,6 +12,7 @@ per word.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -109,12 +110,33 @@ def word_hashes(data: np.ndarray, fold: np.ndarray = FOLD, is_separator: np.ndar
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
 
-def windows(words: np.ndarray, size: int, seed: int = 1) -> np.ndarray:
-    """A 64-bit hash of every run of ``size`` consecutive words."""
+KEPT_POWERS = 1 << 16  # words of a text up to which a seed's powers are kept
+
+
+@functools.cache
+def _window_base(seed: int) -> int:
+    return (2 * int(mix(np.array([seed], dtype=np.uint64))[0]) + 1) & M64
+
+
+@functools.lru_cache(maxsize=64)
+def _kept_powers(seed: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    base = _window_base(seed)
+    return powers(base, size), powers(pow(base, -1, 1 << 64), size)
+
+
+def _window_powers(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers, or more, of a seed's base and of its inverse; those of a long text are not kept."""
+    if n > KEPT_POWERS:
+        return _kept_powers.__wrapped__(seed, n)
+    return _kept_powers(seed, 1 << max(10, (n - 1).bit_length()))
+
+
+def windows(words: np.ndarray, size: int, seed: int = 1, at: np.ndarray | None = None) -> np.ndarray:
+    """A 64-bit hash of every run of ``size`` consecutive words, or of those that start ``at`` some places (``size`` above 8)."""
     n = len(words) - size + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
-    base = (2 * int(mix(np.array([seed], dtype=np.uint64))[0]) + 1) & M64
+    base = _window_base(seed)
     if size <= 8:
         total = np.zeros(n, dtype=np.uint64)
         weight = 1
@@ -122,9 +144,11 @@ def windows(words: np.ndarray, size: int, seed: int = 1) -> np.ndarray:
             total += words[k:k + n] * np.uint64(weight)
             weight = weight * base & M64
         return mix(total)
-    up, down = powers(base, len(words) + 1), powers(pow(base, -1, 1 << 64), len(words) + 1)
+    up, down = _window_powers(seed, len(words) + 1)
     sums = np.zeros(len(words) + 1, dtype=np.uint64)
-    np.cumsum(words * up[:-1], out=sums[1:])
+    np.cumsum(words * up[:len(words)], out=sums[1:])
+    if at is not None:
+        return mix((sums[at + size] - sums[at]) * down[at])
     return mix((sums[size:] - sums[:-size]) * down[:n])
 
 

@@ -49,8 +49,7 @@ WINDOW = 50
 PERIOD = 31
 COVER = (1, 5, 11, 24, 25, 27)
 ANCHOR = WINDOW - PERIOD + 1
-_ON_COVER = np.zeros(PERIOD, dtype=bool)
-_ON_COVER[list(COVER)] = True
+_COVER = np.array(COVER)
 
 
 def hashes_of(data: np.ndarray) -> np.ndarray:
@@ -65,9 +64,10 @@ def digest_of(words: np.ndarray) -> bytes:
 
 def anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions and hashes of the anchors of a text."""
-    every = windows(words, ANCHOR, seed=3)
-    at = np.flatnonzero(_ON_COVER[np.arange(len(every)) % PERIOD])
-    return at, every[at]
+    n = max(0, len(words) - ANCHOR + 1)
+    at = (np.arange(0, n, PERIOD)[:, None] + _COVER).reshape(-1)
+    at = at[:np.searchsorted(at, n)]
+    return at, windows(words, ANCHOR, seed=3, at=at)
 
 
 def candidates(words: np.ndarray, shared: Bloom) -> np.ndarray:
@@ -85,9 +85,14 @@ def candidates(words: np.ndarray, shared: Bloom) -> np.ndarray:
     return np.flatnonzero(np.cumsum(step[:n]) > 0)
 
 
-def window_hashes(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent 64-bit hashes of the windows that start at ``at``."""
-    return windows(words, WINDOW, seed=5)[at], windows(mix(words ^ np.uint64(0xA5A5A5A55A5A5A5A)), WINDOW, seed=11)[at]
+def first_hashes(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the windows that start at ``at``."""
+    return windows(words, WINDOW, seed=5, at=at)
+
+
+def second_hashes(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Another one, independent of the first."""
+    return windows(mix(words ^ np.uint64(0xA5A5A5A55A5A5A5A)), WINDOW, seed=11, at=at)
 
 
 def _digests(rows: DataFrame) -> DataFrame:
@@ -185,9 +190,8 @@ def _windows_of(doc, words, shared):
     at = candidates(words, shared)
     if not len(at):
         return None
-    h1, h2 = window_hashes(words, at)
-    _, once = np.unique(h1, return_index=True)
-    return h1[once].view(np.int64), h2[once].view(np.int64), np.full(len(once), doc, dtype=np.int64)
+    h1, once = np.unique(first_hashes(words, at), return_index=True)
+    return h1.view(np.int64), second_hashes(words, at[once]).view(np.int64), np.full(len(once), doc, dtype=np.int64)
 
 
 def _placed_windows_of(doc, words, filters):
@@ -196,10 +200,12 @@ def _placed_windows_of(doc, words, filters):
     at = candidates(words, shared)
     if not len(at):
         return None
-    h1, h2 = window_hashes(words, at)
+    h1 = first_hashes(words, at)
     keep = repeated.has(h1)
-    return (h1[keep].view(np.int64), h2[keep].view(np.int64), np.full(int(keep.sum()), doc, dtype=np.int64),
-            at[keep].astype(np.int32))
+    if not keep.any():
+        return None
+    h1, at = h1[keep], at[keep]
+    return h1.view(np.int64), second_hashes(words, at).view(np.int64), np.full(len(at), doc, dtype=np.int64), at.astype(np.int32)
 
 
 def removal_marks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
