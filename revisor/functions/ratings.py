@@ -31,11 +31,13 @@ _INT_PART = r"^[\x00-\x20\x7f]*([+-]?[0-9]*)"
 
 def text_rating_is_int(rating: Column) -> Column:
     """TRUE when the text converts to int, FALSE otherwise, NULL for NULL.
-    One ``rlike`` and one ``regexp_extract`` per row."""
+    What ``try_cast`` converts passes; one ``rlike`` and one ``regexp_extract``
+    decide the rest, such as ``'4.5'`` (far dearer, so only there)."""
     int_part = F.regexp_extract(rating, _INT_PART, 1)
     no_digits = int_part.isin("", "+", "-")  # ".5", "-.": the value is 0
     in_range = no_digits | int_part.try_cast(T.IntegerType()).isNotNull()
-    return F.when(rating.isNull(), F.lit(None).cast("boolean")).otherwise(rating.rlike(_INT_TEXT) & in_range)
+    return (F.when(rating.isNull(), F.lit(None).cast("boolean")).when(rating.try_cast(T.IntegerType()).isNotNull(), F.lit(True))
+            .otherwise(rating.rlike(_INT_TEXT) & in_range))
 
 
 def rating_fails_type_check(rating: Column, data_type: T.DataType) -> Column:

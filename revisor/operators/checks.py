@@ -399,11 +399,10 @@ def side_rows_planned(
         found = _flagged(df, keys, cols, count_col, kwargs.get("hot_rows"), n_keys, n_bytes, stage_path)
     if found:
         flagged, dup, plan = found
-        sides = F.filter(
-            F.array(F.when(is_valid(), F.lit("valid")), F.when(is_null_invalid(), F.lit("invalid")),
-                    F.when(dup, F.lit("invalid"))),
-            lambda x: x.isNotNull(),
-        )
+        # every row has one side of its own (C2 is C1's complement); no lambda, which would be interpreted with all below it
+        invalid = F.array(F.lit("invalid"))
+        sides = F.concat(F.when(is_valid(), F.array(F.lit("valid"))).otherwise(invalid),
+                         F.when(dup, invalid).otherwise(F.slice(invalid, 1, 0)))
         return flagged.select(*review_cols, F.explode(sides).alias("side")), plan
     invalid, plan = invalid_rows_planned(df, dup_keys, group_cols, broadcast_max_bytes=broadcast_max_bytes,
                                          **kwargs)

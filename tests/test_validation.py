@@ -398,3 +398,10 @@ def test_unsure_keys_too_many_to_broadcast(spark, tmp_dir, monkeypatch):
     v = validate(rows, materialize=True, stage_path=tmp_dir + "/stage", broadcast_max_bytes=0)
     assert v.invalid.count() == want
     assert v.sides().where("side = 'invalid'").count() == want
+
+
+def test_sides_run_as_generated_code(spark, tmp_dir):
+    """No lambda above the flags: it would be interpreted for every row, with the probes of the filter below it."""
+    v = validate(_keys_frame(spark), ["app", "type_client"], materialize=True, stage_path=tmp_dir + "/stage", broadcast_max_bytes=0)
+    plan = v.sides()._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" in plan and "lambda" not in plan
