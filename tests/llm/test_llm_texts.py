@@ -386,3 +386,23 @@ def test_encoder_equals_the_tokenizer_file(docs):
     odd = ["<|endoftext|> a <|endoftext|>", "a b c\r\n\r\n  d", "١٢٣ x² ½", "漢字かな😀👩‍👩‍👧", "don't I'LL we've 's", "\x00\x1f\x85"]
     for text in [*docs.text, *odd]:
         assert encode(text).tolist() == exact.encode(text, add_special_tokens=False).ids
+
+
+def test_a_seeds_powers_are_made_once(monkeypatch):
+    """Window hashes at some places are those of all windows, and texts of one size share the seed's powers."""
+    from revisor.llm import hashing
+
+    made = []
+    real = hashing.powers
+    hashing._kept_powers.cache_clear()
+    monkeypatch.setattr(hashing, "powers", lambda base, n: made.append(n) or real(base, n))
+    rng = np.random.default_rng(5)
+    for n in (49, 50, 300, 800, 301):
+        words = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        every = hashing.windows(words, 20, seed=3)
+        at = np.array([0, 7, n - 20])
+        assert (hashing.windows(words, 20, seed=3, at=at) == every[at]).all()
+        assert list(substrings.anchors(words)[0]) == [i for i in range(n - 19) if i % substrings.PERIOD in substrings.COVER]
+    assert len(made) == 2
+    monkeypatch.setattr(hashing, "KEPT_POWERS", 100)
+    assert (hashing.windows(words, 20, seed=3) == every).all() and len(made) == 4

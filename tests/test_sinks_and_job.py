@@ -391,13 +391,12 @@ def test_cli_requested(spark, tmp_dir, capsys):
 
 def test_a_fresh_folder_is_not_probed(spark, tmp_dir, monkeypatch):
     """A write aside is one job, and the session gets its number of open files back after a write."""
-    from pyspark.sql import DataFrame
-
     from revisor.sinks import parquet
 
     seen = []
-    real = DataFrame.isEmpty
-    monkeypatch.setattr(DataFrame, "isEmpty", lambda df: seen.append(1) or real(df))
+    kind = type(spark.range(1))
+    real = kind.isEmpty
+    monkeypatch.setattr(kind, "isEmpty", lambda df: seen.append(1) or real(df))
     key = "spark.sql.maxConcurrentOutputFileWriters"
     before = spark.conf.get(key)
     with parquet._open_files(spark):
