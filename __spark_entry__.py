@@ -24,6 +24,7 @@ the hot/cold split.
 
 from __future__ import annotations
 
+import functools
 import importlib
 import os
 from collections.abc import Callable
@@ -372,20 +373,30 @@ def q_stream_pages_job(spark, sf_dir):
     return _flat_from_json(docs)
 
 
-def q_rerun_job(spark, sf_dir):
-    """A batch run twice with one load date, then one app's part of it again, in both layouts of
-    the trees: every group still has one document, and its reviews once."""
+def _rerun(spark, rows: DataFrame, app: str | None, layout: str) -> DataFrame:
+    """One layout of ``rerun_job``: the documents and the number of reviews a side holds, NULL where it has none."""
     from revisor.plans.job import run_reviews
 
-    base, rows = stage_dir(spark, "rerun-job"), _reviews(spark, sf_dir)
-    for part, layout in ((rows, "split"), (rows, "split"), (rows.where("app = 'app_R'"), "split")):
-        res = run_reviews(spark, part, base, odate=ODATE, ctx=FIXED_CTX, layout=layout)
-    docs = _flat_from_json(spark.read.schema(MX.document_schema(spark, FIXED_CTX)).json(res.metrics_path))
-    sides = []
-    for side in ("valid", "invalid"):
-        written = read_written(spark, os.path.join(base, side), WRITTEN_SCHEMA, [*G, "odate"])
-        sides.append(written.groupBy(*G).agg(F.count(F.lit(1)).alias(f"{side}_rows")))
-    return docs.join(sides[0], G).join(sides[1], G)
+    base = stage_dir(spark, f"rerun-job-{layout}")
+    parts = (rows, rows, rows.where(F.col("app") == F.lit(app)))
+    whole = [run_reviews(spark, part, base, odate=ODATE, ctx=FIXED_CTX, layout=layout) for part in parts][0]
+    docs = _flat_from_json(spark.read.schema(MX.document_schema(spark, FIXED_CTX)).json(whole.metrics_path))
+    sides = [read_written(spark, o.path, WRITTEN_SCHEMA, [*G, "odate"]).select(*G, F.lit(side).alias("side"))
+             for side, o in (("valid", whole.valid), ("invalid", whole.invalid)) if o.rows]
+    counts = functools.reduce(DataFrame.unionByName, sides).groupBy(*G).agg(
+        *[F.sum(F.when(F.col("side") == side, 1)).alias(f"{side}_rows") for side in ("valid", "invalid")])
+    return docs.join(counts, G)
+
+
+def q_rerun_job(spark, sf_dir):
+    """A batch run twice with one load date, then one app's part of it again, in both layouts of
+    the trees: every group still has one document, and its reviews once.  Both layouts must hold the same."""
+    rows = _reviews(spark, sf_dir)
+    app = rows.agg(F.max("app")).first()[0]  # any one app that is there
+    split, sides = (_rerun(spark, rows, app, layout) for layout in ("split", "sides"))
+    if not (split.exceptAll(sides).isEmpty() and sides.exceptAll(split).isEmpty()):
+        raise RuntimeError("the layouts of a batch run again hold different documents or reviews")
+    return split
 
 
 def q_skewed_invalid_reviews(spark, sf_dir):

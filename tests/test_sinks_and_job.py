@@ -8,6 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from revisor.operators import metrics as MX
 from revisor.plans import job
 from revisor.plans.job import run_pages, run_reviews, run_single_app
@@ -362,6 +363,52 @@ def test_reruns_leave_one_document_a_group(spark, tmp_dir):
         ("20240101", "batch", groups), ("20240101", "late", groups), ("20240102", "batch", groups)]
 
 
+def _few_line_items(spark, folder, last="R"):
+    """Line items of four groups: one all valid, the one of the last app all invalid; order 3 comes twice."""
+    rows = [(1, 1, "A", "O"), (2, 1, "A", "O"), (4, 53, "A", "O"), (3, 1, "N", "F"), (3, 1, "N", "F"), (5, 1, "N", "F"),
+            (6, 1, "N", "O"), (7, 1, "N", "O"), (8, 53, last, "F")]  # part 53 has no rating
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_returnflag string, l_linestatus string").select(
+        "*", F.lit(1).alias("l_linenumber"), F.lit(2).alias("l_suppkey"), F.lit(5.0).alias("l_quantity"),
+        F.lit("2024-01-01").alias("l_shipdate")).coalesce(1).write.parquet(folder + "/lineitem.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("last", ["R", "Q"])
+def test_rerun_job_runs_both_layouts(spark, tmp_dir, monkeypatch, last):
+    """Each layout gets the whole batch twice and one app's part, in a folder of its own; no group gets lost."""
+    runs = []
+
+    def recorded(spark, rows, base, *, layout, **kwargs):
+        runs.append((layout, base, rows.count(), rows.select("app").distinct().count()))
+        return run_reviews(spark, rows, base, layout=layout, **kwargs)
+
+    monkeypatch.setattr(job, "run_reviews", recorded)
+    found = E.q_rerun_job(spark, _few_line_items(spark, tmp_dir, last))
+    assert sorted(tuple(r) for r in found.select("app", "type_client", "total_records", "valid_rows", "invalid_rows").collect()) == [
+        ("app_A", "pf", 3, 2, 1), ("app_N", "pf", 2, 2, None), ("app_N", "pj", 5, 3, 2), (f"app_{last}", "pj", 1, None, 1)]
+    for layout in ("split", "sides"):
+        own = [r for r in runs if r[0] == layout]
+        assert [(rows, apps) for _, _, rows, apps in own] == [(9, 3), (9, 3), (1, 1)], layout
+        assert len({base for _, base, _, _ in own}) == 1
+    assert len({base for _, base, _, _ in runs}) == 2
+
+
+@pytest.mark.parametrize("layout", ["split", "sides"])
+def test_rerun_job_tells_a_layout_that_differs(spark, tmp_dir, monkeypatch, layout):
+    """Reviews that one layout holds twice, on one side of one group, are not passed over."""
+
+    def doubled(spark, rows, base, **kwargs):
+        res = run_reviews(spark, rows, base, **kwargs)
+        if kwargs["layout"] == layout and rows.select("app").distinct().count() == 1:  # after the last run
+            part = next(Path(res.invalid.path.removeprefix("file:")).rglob("part-*.parquet"))
+            shutil.copy(part, part.with_name("part-again.parquet"))
+        return res
+
+    monkeypatch.setattr(job, "run_reviews", doubled)
+    with pytest.raises(RuntimeError, match="layouts"):
+        E.q_rerun_job(spark, _few_line_items(spark, tmp_dir))
+
+
 def test_reruns_of_pages_replace_their_failures_and_empties(spark, tmp_dir):
     asked = spark.createDataFrame([("app_x", "pf"), ("app_z", "pf"), (None, "pf")], "app string, type_client string")
     kwargs = {"odate": "20240101", "requested": asked}
